@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows, so the check stays cheap on a large side.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast only when the side is proven small; otherwise leave the
+    choice to the planner (sort-merge join, AQE may still convert or split skew)."""
+    return F.broadcast(df) if fits_in_rows(df, max_rows) else df
