@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.config import EngineConfig
-from eventide.schemas import EVENT_JSON_SCHEMA, REQUIRED_COLS
+from eventide.schemas import EVENT_JSON_SCHEMA, JSON_OPTIONS, REQUIRED_COLS
 
 MALFORMED = "malformed_record"
 
@@ -29,7 +29,7 @@ def avro_available() -> bool:
 
 def decode_json_struct(value: Column, schema=EVENT_JSON_SCHEMA) -> Column:
     """``value`` (string or binary) → struct, NULL when the input is NULL/empty."""
-    return F.from_json(value.cast("string"), schema)
+    return F.from_json(value.cast("string"), schema, JSON_OPTIONS)
 
 
 def decode_avro_struct(value: Column, schema_json: str, framed: bool = False) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.schemas import ALERT_REQUIRED, ALERT_SCHEMA
+from eventide.schemas import ALERT_REQUIRED, ALERT_SCHEMA, JSON_OPTIONS
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 NOTIFY_SEVERITIES = ("high", "medium")
@@ -41,7 +41,7 @@ def alert_records(anomalies: DataFrame, batch_id: int | Column | None = None,
 def to_kafka_rows(records: DataFrame, key_col: str = "user_id") -> DataFrame:
     """``(key, value)`` strings, the shape of a Kafka or JSON-lines sink."""
     return records.select(F.col(key_col).cast("string").alias("key"),
-                          F.to_json(F.struct(*[F.col(c) for c in records.columns])).alias("value"))
+                          F.to_json(F.struct(*[F.col(c) for c in records.columns]), JSON_OPTIONS).alias("value"))
 
 
 def anomaly_documents(records: DataFrame) -> DataFrame:
@@ -49,12 +49,12 @@ def anomaly_documents(records: DataFrame) -> DataFrame:
     doc = F.struct(F.lit("anomaly").alias("type"), "user_id", "event_count", "window_start",
                    "window_end", F.col("score").alias("distance"), "detector_type", "severity",
                    "user_name", "region", "detected_at", "batch_id")
-    return records.select(F.to_json(doc).alias("value"))
+    return records.select(F.to_json(doc, JSON_OPTIONS).alias("value"))
 
 
 def parse_alerts(raw: DataFrame) -> DataFrame:
     """JSON ``value`` → alert columns; fields absent from the payload are NULL."""
-    return raw.select(F.from_json(F.col("value").cast("string"), ALERT_SCHEMA).alias("a"),
+    return raw.select(F.from_json(F.col("value").cast("string"), ALERT_SCHEMA, JSON_OPTIONS).alias("a"),
                       F.col("value").cast("string").alias("payload")).select("a.*", "payload")
 
 
@@ -67,12 +67,12 @@ def split_alerts(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tagged.filter("_ok").drop("_ok"), tagged.filter(~F.col("_ok")).drop("_ok")
 
 
-def alert_message(c_user=F.col("user_id")) -> Column:
+def alert_message() -> Column:
     """Multi-line notification text; unknown name or region reads ``Unknown``."""
     return F.format_string(
         "⚠️ Anomaly detected:\nUser: %d (%s)\nRegion: %s\nCount: %d\nWindow: %s - %s\n"
         "Score (%s): %.4f\nSeverity: %s",
-        c_user, F.coalesce(F.col("user_name"), F.lit("Unknown")),
+        F.col("user_id"), F.coalesce(F.col("user_name"), F.lit("Unknown")),
         F.coalesce(F.col("region"), F.lit("Unknown")), F.col("event_count"),
         F.col("window_start"), F.col("window_end"),
         F.coalesce(F.col("detector_type"), F.lit("unknown")), F.round(F.col("score"), 4),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.schemas import RAW_COLS
+from eventide.schemas import JSON_OPTIONS, RAW_COLS
 
 
 def dlq_records(rejected: DataFrame, batch_id: int | Column, reason_col: str = "dq_reason",
@@ -24,7 +24,7 @@ def dlq_records(rejected: DataFrame, batch_id: int | Column, reason_col: str = "
 def dlq_json(records: DataFrame) -> DataFrame:
     """JSON transport form: ``(key, value)``."""
     return records.select(F.col("batch_id").cast("string").alias("key"),
-                          F.to_json(F.struct(*[F.col(c) for c in records.columns])).alias("value"))
+                          F.to_json(F.struct(*[F.col(c) for c in records.columns]), JSON_OPTIONS).alias("value"))
 
 
 def sink_violations(df: DataFrame, max_lengths: dict, required: Sequence[str] = ("user_id", "product_id", "action", "timestamp")) -> Column:

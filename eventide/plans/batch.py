@@ -15,7 +15,7 @@ from eventide.operators.alerts import alert_records, notifications, parse_alerts
 from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows
 from eventide.operators.detect import CentroidDistanceDetector, FixedCountDetector, ZScoreDetector
 from eventide.operators.enrich import enrich
-from eventide.schemas import RAW_COLS, RAW_KEY, SUMMARY_KEY
+from eventide.schemas import JSON_OPTIONS, RAW_COLS, RAW_KEY, SUMMARY_KEY
 from eventide.sources.tables import events_from_tables, json_envelope, users_from_tables
 
 CFG = EngineConfig()
@@ -210,7 +210,7 @@ def dlq_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     js = dlq_json(recs)
     schema = "batch_id long, row struct<user_id int, product_id int, action string, " \
              "event_time timestamp_ntz>, reason string"
-    back = js.select(F.from_json("value", schema).alias("d"))
+    back = js.select(F.from_json("value", schema, JSON_OPTIONS).alias("d"))
     return back.select(F.col("d.batch_id").alias("batch_id"), F.col("d.row.user_id").alias("user_id"),
                        F.col("d.row.product_id").alias("product_id"),
                        F.col("d.row.action").alias("action"),

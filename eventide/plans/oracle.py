@@ -175,8 +175,8 @@ c AS (SELECT {_bucket('event_time', day)} AS window_start,
              user_id, action, count(*) AS event_count
       FROM ev WHERE event_time IS NOT NULL GROUP BY ALL),
 f AS (SELECT *, [CAST(event_count AS DOUBLE), {CENTROID_FEATS}] AS feats FROM c),
-d AS (SELECT *, list_transform({CENTERS_SQL}, ctr -> sqrt(list_sum(
-            list_transform(list_zip(feats, ctr), p -> (p[1] - p[2]) * (p[1] - p[2]))))) AS dists
+d AS (SELECT *, list_transform({CENTERS_SQL}, lambda ctr: sqrt(list_sum(
+            list_transform(list_zip(feats, ctr), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))) AS dists
       FROM f),
 m AS (SELECT *, list_min(dists) AS score,
              CAST(list_position(dists, list_min(dists)) - 1 AS INTEGER) AS cluster FROM d)

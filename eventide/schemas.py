@@ -74,3 +74,10 @@ ALERT_SCHEMA = T.StructType([
 
 # Fields an alert must carry to be formatted for notification.
 ALERT_REQUIRED = ["user_id", "event_count", "window_start", "window_end", "score", "severity"]
+
+# JSON timestamp formats with full microsecond precision; Spark's defaults
+# keep only milliseconds. Used by every to_json / from_json in the engine.
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}

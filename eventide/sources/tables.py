@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.config import EngineConfig
 from eventide.operators.joins import bounded_broadcast
-from eventide.schemas import EVENT_JSON_SCHEMA
+from eventide.schemas import EVENT_JSON_SCHEMA, JSON_OPTIONS
 
 TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -86,4 +86,4 @@ def json_envelope(events: DataFrame) -> DataFrame:
     """Producer-side view: each event as one JSON ``value`` string, the shape a
     Kafka topic or a JSON-lines file carries."""
     fields = [F.col(f.name) for f in EVENT_JSON_SCHEMA.fields]
-    return events.select(F.to_json(F.struct(*fields)).alias("value"), "event_time")
+    return events.select(F.to_json(F.struct(*fields), JSON_OPTIONS).alias("value"), "event_time")
