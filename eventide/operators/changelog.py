@@ -81,3 +81,18 @@ def compact(spark: SparkSession, log_path: str, out_path: str, key_cols: Sequenc
     log = read_log(spark, log_path)
     view = latest_by_key(log, key_cols) if keep == "latest" else first_by_key(log, key_cols)
     view.write.mode("overwrite").parquet(out_path)
+
+
+def dedup_stream(df: DataFrame, key_cols: Sequence[str] = RAW_KEY,
+                 nullable_cols: Sequence[str] = ("device_id",), watermark: str = "2 minutes",
+                 time_col: str = "event_time") -> DataFrame:
+    """Streaming form of :func:`dedup_rows`: duplicates of a key arriving
+    within ``watermark`` of each other are dropped (state is bounded by the
+    watermark); rows with a NULL key column or event time bypass dedup."""
+    keys = list(key_cols)
+    has_null = F.col(time_col).isNull()
+    for c in set(keys) | set(nullable_cols):
+        has_null = has_null | F.col(c).isNull()
+    df = df.withWatermark(time_col, watermark)
+    return (df.filter(~has_null).dropDuplicatesWithinWatermark(keys)
+            .unionByName(df.filter(has_null)))

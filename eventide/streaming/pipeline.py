@@ -1,0 +1,230 @@
+"""The streaming application: one parsed stream, four concurrent queries.
+
+- ``raw_route``   validate every row; valid rows → raw table change log,
+                  rejected rows → dead letter (with reason), one metrics row.
+- ``archive``     parsed events → parquet, partitioned by event date.
+- ``summary_<w>`` event-time window counts with a watermark, update mode;
+                  each batch → summary change log, enrichment, detectors,
+                  anomaly change log, alerts, documents, metrics.
+
+Every transform is the batch transform from ``eventide.operators``; only the
+wiring lives here.
+"""
+
+from __future__ import annotations
+
+import logging
+import signal
+import time
+from collections.abc import Callable, Sequence
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from eventide.config import EngineConfig
+from eventide.functions import quality
+from eventide.functions.decode import MALFORMED, parse_events
+from eventide.operators import changelog, windows
+from eventide.operators.alerts import alert_records, anomaly_documents, to_kafka_rows
+from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows, sink_violations
+from eventide.operators.detect import Detector, detect
+from eventide.operators.enrich import enrich
+from eventide.operators.joins import fits_in_rows
+from eventide.operators.metrics import metrics_row
+from eventide.schemas import RAW_COLS, RAW_KEY
+from eventide.streaming.sinks import SinkPaths, write_batch_json, write_batch_parquet
+
+log = logging.getLogger(__name__)
+
+
+class RefreshingDimension:
+    """A static dimension for stream-static joins, reloaded every
+    ``refresh_seconds`` (None: loaded once) instead of frozen at start-up."""
+
+    def __init__(self, loader: Callable[[], DataFrame], refresh_seconds: float | None = None,
+                 max_broadcast_rows: int = 2_000_000):
+        self.loader, self.refresh_seconds = loader, refresh_seconds
+        self.max_broadcast_rows = max_broadcast_rows
+        self._df: DataFrame | None = None
+        self._loaded_at = 0.0
+
+    def get(self) -> DataFrame:
+        stale = self.refresh_seconds is not None and time.time() - self._loaded_at > self.refresh_seconds
+        if self._df is None or stale:
+            if self._df is not None:
+                self._df.unpersist()
+            df = self.loader().persist()
+            self._df, self._loaded_at = df, time.time()
+        return self._df
+
+
+class EventPipeline:
+    def __init__(self, spark: SparkSession, sinks: SinkPaths, cfg: EngineConfig | None = None,
+                 users: RefreshingDimension | None = None,
+                 detectors: Sequence[Detector] | Callable[[], Sequence[Detector]] = (),
+                 fmt: str = "json", avro_schema: str | None = None, framed: bool = False,
+                 dedup_raw: bool = False):
+        self.spark, self.sinks, self.cfg = spark, sinks, cfg or EngineConfig()
+        self.users, self.detectors = users, detectors
+        self.fmt, self.avro_schema, self.framed = fmt, avro_schema, framed
+        self.dedup_raw = dedup_raw
+        self.queries: dict[str, StreamingQuery] = {}
+
+    # --- plan pieces -----------------------------------------------------------
+
+    def parsed(self, raw: DataFrame, keep_rejects: bool = False) -> DataFrame:
+        df = parse_events(raw, self.cfg, self.fmt, self.avro_schema, self.framed, keep_rejects)
+        return windows.to_event_timestamp(df)
+
+    def counted_input(self, raw: DataFrame) -> DataFrame:
+        df = self.parsed(raw)
+        if self.cfg.count_input == "valid":
+            df = df.filter(quality.dq_reason(self.cfg).isNull())
+        return df
+
+    def _detectors(self) -> Sequence[Detector]:
+        return self.detectors() if callable(self.detectors) else self.detectors
+
+    # --- foreachBatch handlers --------------------------------------------------
+
+    def route_batch(self, batch_df: DataFrame, batch_id: int) -> None:
+        """Validate and route one micro-batch (persisted once, read by each sink)."""
+        df = batch_df.persist()
+        try:
+            if df.isEmpty():
+                return
+            tagged = quality.with_dq_reason(df, self.cfg)
+            reason = F.coalesce(F.col("parse_reason"), F.col("dq_reason"),
+                                sink_violations(raw_sink_rows(df), self.cfg.sink_max_lengths))
+            tagged = tagged.withColumn("reject_reason", reason).persist()
+            valid = tagged.filter(F.col("reject_reason").isNull())
+            if self.dedup_raw:
+                valid = changelog.dedup_rows(valid, RAW_KEY)
+            rejected = tagged.filter(F.col("reject_reason").isNotNull())
+            write_batch_parquet(raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")),
+                                self.sinks.raw, batch_id)
+            recs = dlq_records(rejected, batch_id, reason_col="reject_reason",
+                               row_cols=RAW_COLS + ["event_time", "_raw"])
+            write_batch_json(dlq_json(recs), self.sinks.dlq, batch_id)
+            counts = tagged.agg(F.count(F.lit(1)).alias("n"),
+                                F.count("reject_reason").alias("bad")).first()
+            write_batch_parquet(metrics_row(self.spark, "raw_batch", batch_id,
+                                            records=counts["n"] - counts["bad"],
+                                            rejected=counts["bad"]),
+                                self.sinks.path("metrics_raw"), batch_id)
+            tagged.unpersist()
+        finally:
+            df.unpersist()
+
+    def summary_batch(self, batch_df: DataFrame, batch_id: int, window_type: str) -> None:
+        """Persist the changed window counts, enrich, detect, alert."""
+        df = batch_df.persist()
+        try:
+            if df.isEmpty():
+                return
+            summary = windows.to_wall_clock(windows.flatten_window(df))
+            if self.users is not None:
+                enriched = enrich(summary, self.users.get(), self.cfg)
+            else:
+                enriched = summary.withColumn("user_name", F.lit(None).cast("string")) \
+                    .withColumn("region", F.lit(None).cast("string"))
+            enriched = enriched.persist()
+            write_batch_parquet(enriched.select("window_start", "window_end", "user_id",
+                                                "event_count"),
+                                self.sinks.summary(window_type), batch_id)
+            n_records = enriched.count()
+            n_anom = 0
+            found = detect(enriched, self._detectors())
+            if found is not None:
+                found = found.persist()
+                n_anom = found.count()
+                if n_anom:
+                    write_batch_parquet(found.select("window_start", "window_end", "user_id",
+                                                     "event_count", "detector_type", "score",
+                                                     "threshold", "severity", "reason",
+                                                     F.current_timestamp().alias("detected_at")),
+                                        self.sinks.anomalies(window_type), batch_id)
+                    recs = alert_records(found, batch_id)
+                    write_batch_json(to_kafka_rows(recs), self.sinks.path(f"alerts_{window_type}"),
+                                     batch_id)
+                    write_batch_json(anomaly_documents(recs),
+                                     self.sinks.path(f"documents_{window_type}"), batch_id)
+                found.unpersist()
+            write_batch_parquet(metrics_row(self.spark, "agg_batch", batch_id, records=n_records,
+                                            anomalies=n_anom, window_type=window_type),
+                                self.sinks.path(f"metrics_{window_type}"), batch_id)
+            enriched.unpersist()
+        finally:
+            df.unpersist()
+
+    # --- queries -----------------------------------------------------------------
+
+    def _trigger(self, w, trigger):
+        if trigger == "availableNow":
+            return w.trigger(availableNow=True)
+        if trigger:
+            return w.trigger(processingTime=trigger)
+        return w
+
+    def start(self, raw: DataFrame, trigger: str | None = None,
+              which: Sequence[str] = ("raw_route", "archive", "summary_5s", "summary_1min")
+              ) -> dict[str, StreamingQuery]:
+        """Start the named queries; ``trigger`` is a processing-time interval,
+        ``"availableNow"`` (drain and stop), or None for the configured one.
+        The short-window summary runs without a trigger, as fast as possible."""
+        cfg = self.cfg
+        trig = trigger if trigger is not None else cfg.trigger
+        if "raw_route" in which:
+            routed = self.parsed(raw, keep_rejects=True)
+            if self.dedup_raw:
+                routed = changelog.dedup_stream(routed, watermark=cfg.watermark_long)
+            w = (routed.writeStream.outputMode("append")
+                 .foreachBatch(self.route_batch)
+                 .option("checkpointLocation", self.sinks.checkpoint("raw_route")))
+            self.queries["raw_route"] = self._trigger(w, trig).start()
+        if "archive" in which:
+            arch = self.parsed(raw).withColumn("event_date", F.to_date("event_time"))
+            w = (arch.writeStream.format("parquet").outputMode("append")
+                 .option("path", self.sinks.archive)
+                 .option("checkpointLocation", self.sinks.checkpoint("archive"))
+                 .partitionBy("event_date"))
+            self.queries["archive"] = self._trigger(w, trig).start()
+        for name, dur, wm, trig_q in (
+                ("summary_5s", cfg.window_short, cfg.watermark_short,
+                 "availableNow" if trigger == "availableNow" else None),
+                ("summary_1min", cfg.window_long, cfg.watermark_long, trig)):
+            if name not in which:
+                continue
+            counts = windows.window_counts(self.counted_input(raw), dur, cfg.window_slide,
+                                           watermark=wm)
+            w = (counts.writeStream.outputMode("update")
+                 .foreachBatch(partial(self.summary_batch, window_type=name.split("_", 1)[1]))
+                 .option("checkpointLocation", self.sinks.checkpoint(name)))
+            self.queries[name] = self._trigger(w, trig_q).start()
+        return self.queries
+
+    def await_all(self, timeout: float | None = None) -> None:
+        for q in self.queries.values():
+            q.awaitTermination(timeout)
+        for name, q in self.queries.items():
+            if q.exception() is not None:
+                raise RuntimeError(f"query {name} failed: {q.exception()}")
+
+    def stop(self) -> None:
+        for q in self.queries.values():
+            try:
+                q.stop()
+            except Exception:  # noqa: BLE001
+                log.exception("stopping %s", q.name)
+
+    def run_forever(self) -> None:
+        """Await any termination; stop every query on SIGTERM/SIGINT or failure."""
+        def _stop(signum, frame):
+            self.stop()
+        signal.signal(signal.SIGTERM, _stop)
+        signal.signal(signal.SIGINT, _stop)
+        try:
+            self.spark.streams.awaitAnyTermination()
+        finally:
+            self.stop()
