@@ -36,18 +36,21 @@ def _finish(df: DataFrame, score: Column, threshold: Column, flag: Column, detec
 class Detector:
     name = "detector"
 
-    def score(self, df: DataFrame) -> DataFrame:  # pragma: no cover - interface
+    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:  # pragma: no cover
         raise NotImplementedError
 
-    def anomalies(self, df: DataFrame) -> DataFrame:
-        return self.score(df).filter(F.col("is_anomaly"))
+    def anomalies(self, df: DataFrame, eager: bool = False) -> DataFrame:
+        return self.score(df, eager).filter(F.col("is_anomaly"))
 
 
 class ZScoreDetector(Detector):
     """``(value - mean) / stddev_samp > threshold`` (upper tail).
 
     Without ``group_cols`` the statistics cover the whole input and enter the
-    plan as scalar subqueries (no join, no cross product). With ``group_cols``
+    plan as one scalar subquery (no join, no cross product); with ``eager``
+    they are computed first as one two-value row, which is what a
+    ``foreachBatch`` handler wants: there a subquery would not reuse the
+    persisted micro-batch and would re-run the stateful aggregation. With ``group_cols``
     they are aggregated per group (map-side partial aggregation) and joined
     back on the group key. A zero stddev gives NULL score, never an error.
     """
@@ -61,11 +64,16 @@ class ZScoreDetector(Detector):
         self.group_cols, self.high_factor = list(group_cols), high_factor
         self.broadcast_max_rows = broadcast_max_rows
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
         v = F.col(self.value_col).cast("double")
         if not self.group_cols:
-            mean = df.select(F.avg(v)).scalar()
-            std = df.select(F.stddev_samp(v)).scalar()
+            stats = df.select(F.struct(F.avg(v).alias("m"), F.stddev_samp(v).alias("s")))
+            if eager:
+                row = stats.first()[0]
+                mean, std = F.lit(row["m"]).cast("double"), F.lit(row["s"]).cast("double")
+            else:
+                sub = stats.scalar()
+                mean, std = sub.getField("m"), sub.getField("s")
             scored = df.withColumn("_mean", mean).withColumn("_std", std)
         else:
             stats = df.groupBy(*self.group_cols).agg(F.avg(v).alias("_mean"),
@@ -86,7 +94,7 @@ class FixedCountDetector(Detector):
     def __init__(self, threshold: int = 5, value_col: str = "event_count", high_factor: float = 1.5):
         self.threshold, self.value_col, self.high_factor = threshold, value_col, high_factor
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
         return _finish(df, F.col(self.value_col), F.lit(self.threshold),
                        F.col("score") > F.col("threshold"), "fixed_count", "count_threshold",
                        self.high_factor)
@@ -105,7 +113,7 @@ class CentroidDistanceDetector(Detector):
         self.threshold, self.features = float(threshold), features
         self.cluster_col, self.high_factor = cluster_col, high_factor
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
         centers = matrix_literal(self.centers)
         feats = F.col(self.features)
         if self.cluster_col:
@@ -131,7 +139,7 @@ class KMeansModelDetector(Detector):
         self.model, self.threshold, self.high_factor = model, float(threshold), high_factor
         self.features_col, self.cluster_col = features_col, cluster_col
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
         from pyspark.ml.functions import vector_to_array
         centers = [list(map(float, c)) for c in self.model.stages[-1].clusterCenters()]
         pred = self.model.transform(df).withColumn("_f", vector_to_array(F.col(self.features_col)))
@@ -150,7 +158,7 @@ class PredictionDetector(Detector):
     def __init__(self, model, prediction_col: str = "prediction", high_factor: float = 1.5):
         self.model, self.prediction_col, self.high_factor = model, prediction_col, high_factor
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
         out = self.model.transform(df)
         flag = F.col(self.prediction_col) == F.lit(-1)
         return _finish(out, F.when(flag, F.lit(1.0)).otherwise(F.lit(0.0)), F.lit(0.5), flag,
@@ -174,9 +182,9 @@ def detectors_from_config(cfg: EngineConfig, model=None, threshold: float | None
     return out
 
 
-def detect(df: DataFrame, detectors: Sequence[Detector]) -> DataFrame | None:
+def detect(df: DataFrame, detectors: Sequence[Detector], eager: bool = False) -> DataFrame | None:
     """Anomalies of every detector, unioned by name; None when there is no detector."""
-    parts = [d.anomalies(df) for d in detectors]
+    parts = [d.anomalies(df, eager) for d in detectors]
     if not parts:
         return None
     out = parts[0]

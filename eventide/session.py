@@ -28,6 +28,7 @@ def build_session(master: str | None = None, app_name: str = "eventide",
         "spark.sql.streaming.fileSink.logCleanupDelay": "1h",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -57,6 +57,11 @@ def alert_stream(spark: SparkSession, path: str, fmt: str = "text",
     return file_source(spark, path, fmt, max_files_per_trigger)
 
 
-def write_json_lines(df: DataFrame, path: str, value_col: str = "value") -> None:
-    """Write a ``value`` string column as JSON-lines text files (a topic stand-in)."""
-    df.select(F.col(value_col).alias("value")).write.mode("overwrite").text(path)
+def write_json_lines(df: DataFrame, path: str, value_col: str = "value",
+                     partitions: int | None = None) -> None:
+    """Write a ``value`` string column as JSON-lines text files: a topic
+    stand-in with ``partitions`` files (default: the cluster's parallelism),
+    rows spread round-robin as a producer spreads messages over partitions."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    (df.select(F.col(value_col).alias("value")).repartition(n)
+       .write.mode("overwrite").text(path))

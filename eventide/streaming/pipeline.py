@@ -31,7 +31,7 @@ from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows,
 from eventide.operators.detect import Detector, detect
 from eventide.operators.enrich import enrich
 from eventide.operators.joins import fits_in_rows
-from eventide.operators.metrics import metrics_row
+from eventide.operators.metrics import metrics_row, observed, observed_rows
 from eventide.schemas import RAW_COLS, RAW_KEY
 from eventide.streaming.sinks import SinkPaths, write_batch_json, write_batch_parquet
 
@@ -50,12 +50,15 @@ class RefreshingDimension:
         self._loaded_at = 0.0
 
     def get(self) -> DataFrame:
+        """The current dimension, with a broadcast hint only when its row
+        count (checked once per load) is within ``max_broadcast_rows``."""
         stale = self.refresh_seconds is not None and time.time() - self._loaded_at > self.refresh_seconds
         if self._df is None or stale:
             if self._df is not None:
                 self._df.unpersist()
             df = self.loader().persist()
-            self._df, self._loaded_at = df, time.time()
+            small = fits_in_rows(df, self.max_broadcast_rows)
+            self._df, self._loaded_at = (F.broadcast(df) if small else df), time.time()
         return self._df
 
 
@@ -102,16 +105,16 @@ class EventPipeline:
             if self.dedup_raw:
                 valid = changelog.dedup_rows(valid, RAW_KEY)
             rejected = tagged.filter(F.col("reject_reason").isNotNull())
-            write_batch_parquet(raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")),
-                                self.sinks.raw, batch_id)
+            good, good_obs = observed(
+                raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")), "raw")
+            write_batch_parquet(good, self.sinks.raw, batch_id)
             recs = dlq_records(rejected, batch_id, reason_col="reject_reason",
                                row_cols=RAW_COLS + ["event_time", "_raw"])
-            write_batch_json(dlq_json(recs), self.sinks.dlq, batch_id)
-            counts = tagged.agg(F.count(F.lit(1)).alias("n"),
-                                F.count("reject_reason").alias("bad")).first()
+            bad, bad_obs = observed(dlq_json(recs), "dlq")
+            write_batch_json(bad, self.sinks.dlq, batch_id)
             write_batch_parquet(metrics_row(self.spark, "raw_batch", batch_id,
-                                            records=counts["n"] - counts["bad"],
-                                            rejected=counts["bad"]),
+                                            records=observed_rows(good_obs),
+                                            rejected=observed_rows(bad_obs)),
                                 self.sinks.path("metrics_raw"), batch_id)
             tagged.unpersist()
         finally:
@@ -125,26 +128,26 @@ class EventPipeline:
                 return
             summary = windows.to_wall_clock(windows.flatten_window(df))
             if self.users is not None:
-                enriched = enrich(summary, self.users.get(), self.cfg)
+                enriched = enrich(summary, self.users.get(), self.cfg, size_checked=True)
             else:
                 enriched = summary.withColumn("user_name", F.lit(None).cast("string")) \
                     .withColumn("region", F.lit(None).cast("string"))
             enriched = enriched.persist()
-            write_batch_parquet(enriched.select("window_start", "window_end", "user_id",
-                                                "event_count"),
-                                self.sinks.summary(window_type), batch_id)
-            n_records = enriched.count()
+            out, obs = observed(enriched.select("window_start", "window_end", "user_id",
+                                                "event_count"), "summary")
+            write_batch_parquet(out, self.sinks.summary(window_type), batch_id)
+            n_records = observed_rows(obs)
             n_anom = 0
-            found = detect(enriched, self._detectors())
+            found = detect(enriched, self._detectors(), eager=True)
             if found is not None:
                 found = found.persist()
-                n_anom = found.count()
+                anom, anom_obs = observed(
+                    found.select("window_start", "window_end", "user_id", "event_count",
+                                 "detector_type", "score", "threshold", "severity", "reason",
+                                 F.current_timestamp().alias("detected_at")), "anomalies")
+                write_batch_parquet(anom, self.sinks.anomalies(window_type), batch_id)
+                n_anom = observed_rows(anom_obs)
                 if n_anom:
-                    write_batch_parquet(found.select("window_start", "window_end", "user_id",
-                                                     "event_count", "detector_type", "score",
-                                                     "threshold", "severity", "reason",
-                                                     F.current_timestamp().alias("detected_at")),
-                                        self.sinks.anomalies(window_type), batch_id)
                     recs = alert_records(found, batch_id)
                     write_batch_json(to_kafka_rows(recs), self.sinks.path(f"alerts_{window_type}"),
                                      batch_id)
