@@ -86,11 +86,51 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arch.select(*RAW_COLS, F.col("event_time").cast("timestamp_ntz").alias("event_time"))
 
 
+ANOMALY_LOG_SCHEMA = ("window_start timestamp, window_end timestamp, user_id int, "
+                      "event_count long, batch_id long")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    from eventide.sources.artifacts import _path_exists
+    return _path_exists(spark, path)
+
+
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Z-score anomalies of the short-window stream, insert-ignore view."""
+    """Z-score anomalies of the 1-minute sliding stream, insert-ignore view."""
+    sinks = run_stream(spark, sf_dir)
+    path = sinks.anomalies("1min")
+    if _exists(spark, path):
+        log = spark.read.parquet(path).select(*SUMMARY_KEY, "batch_id", "event_count")
+    else:
+        log = spark.createDataFrame([], ANOMALY_LOG_SCHEMA)
+    view = changelog.first_by_key(log, SUMMARY_KEY).drop("batch_id")
+    return view.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_count")
+
+
+def stream_alert_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of the 1-minute sliding stream, consumed by the alert job:
+    notification messages for high/medium severities."""
+    from eventide.streaming.alerts import AlertJob, alert_source
     sinks = run_stream(spark, sf_dir)
-    log = spark.read.parquet(sinks.anomalies("5s")).select(*SUMMARY_KEY, "batch_id", "event_count")
-    return changelog.first_by_key(log, SUMMARY_KEY).drop("batch_id")
+    key = ("alerts", spark.sparkContext.applicationId, sf_dir)
+    out = _RUNS.get(key)
+    if out is None:
+        out = SinkPaths(shared_dir(spark, "alert-job"))
+        job = AlertJob(spark, out)
+        src = sinks.path("alerts_1min")
+        if not _exists(spark, src):
+            return spark.createDataFrame([], "user_id int, severity string, message string")
+        q = job.start(alert_source(spark, src), trigger="availableNow")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        _RUNS[key] = out
+    if not _exists(spark, out.path("notifications")):
+        return spark.createDataFrame([], "user_id int, severity string, message string")
+    notes = spark.read.option("recursiveFileLookup", "true").text(out.path("notifications"))
+    return notes.select(F.from_json("value", "user_id int, severity string, message string")
+                        .alias("n")).select("n.*")
 
 
 def registered() -> dict:
@@ -99,6 +139,8 @@ def registered() -> dict:
         "stream_sliding": stream_sliding,
         "stream_route": stream_route,
         "stream_archive": stream_archive,
+        "stream_anomalies": stream_anomalies,
+        "stream_alert_notifications": stream_alert_notifications,
     }
 
 
@@ -110,7 +152,24 @@ def oracles(batch_sql: dict[str, str]) -> dict[str, str]:
     sink_reason = "NULLIF(concat_ws(',', " + ", ".join(
         f"CASE WHEN length({c}) > {n} THEN '{c}_too_long' END"
         for c, n in CFG.sink_max_lengths.items()) + "), '')"
+    z = CFG.z_threshold
+    zs = f"""WITH {O.EVENTS_CTE.strip()}, {parsed},
+{O.USERS_CTE.strip()},
+s AS (SELECT t.*, u.name AS user_name, u.region FROM ({O._sliding(60, 5, 'parsed')}) t
+      LEFT JOIN users u USING (user_id)),
+st AS (SELECT avg(event_count) AS m, stddev_samp(event_count) AS s FROM s),
+a AS (SELECT s.*, (event_count - m) / NULLIF(st.s, 0) AS score FROM s CROSS JOIN st)"""
+    sev = O._severity("score", str(z))
     return {
+        "stream_anomalies": zs + f"""
+SELECT user_id, window_start, window_end, event_count FROM a WHERE score > {z}""",
+        "stream_alert_notifications": zs + f"""
+SELECT user_id, {sev} AS severity,
+       printf('⚠️ Anomaly detected:\nUser: %d (%s)\nRegion: %s\nCount: %d\nWindow: %s - %s\nScore (%s): %.4f\nSeverity: %s',
+              user_id, coalesce(user_name, 'Unknown'), coalesce(region, 'Unknown'), event_count,
+              strftime(window_start, '%Y-%m-%dT%H:%M:%S'), strftime(window_end, '%Y-%m-%dT%H:%M:%S'),
+              'zscore', round(score, 4), {sev}) AS message
+FROM a WHERE score > {z}""",
         "stream_tumbling": f"WITH {O.EVENTS_CTE.strip()}, {parsed}\n{O._tumbling(5, 'parsed')}",
         "stream_sliding": f"WITH {O.EVENTS_CTE.strip()}, {parsed}\n{O._sliding(60, 5, 'parsed')}",
         "stream_archive": f"WITH {O.EVENTS_CTE.strip()}, {parsed}\n"
