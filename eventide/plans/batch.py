@@ -219,10 +219,11 @@ def dlq_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alerts_1d(spark, sf_dir):
-    s = enrich(_summary(spark, sf_dir, "1 day"), users_from_tables(spark, sf_dir, CFG), CFG)
     det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor,
                          broadcast_max_rows=CFG.broadcast_max_rows)
-    recs = alert_records(det.anomalies(s), batch_id=0)
+    found = det.anomalies(_summary(spark, sf_dir, "1 day"))
+    # names are looked up for the anomalies only, not for every window count
+    recs = alert_records(enrich(found, users_from_tables(spark, sf_dir, CFG), CFG), batch_id=0)
     return parse_alerts(to_kafka_rows(recs))
 
 
@@ -242,13 +243,14 @@ def alert_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- flagship ------------------------------------------------------------------------
 
 def flagship(spark: SparkSession, sf_dir: str, duration: str = "1 day") -> DataFrame:
-    """events → validate → window count → users left join → z-score → anomalies."""
+    """events → validate → window count → z-score → users left join → anomalies."""
     valid, _ = quality.split_valid_invalid(_events(spark, sf_dir), CFG)
     counts = windows.summary(valid, duration)
-    enriched = enrich(counts, users_from_tables(spark, sf_dir, CFG), CFG)
     det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor,
                          broadcast_max_rows=CFG.broadcast_max_rows)
-    out = det.anomalies(enriched)
+    # enrichment after detection: the left join on a unique key keeps every
+    # row, so only the (few) anomalies need the users lookup
+    out = enrich(det.anomalies(counts), users_from_tables(spark, sf_dir, CFG), CFG)
     return out.select("window_start", "window_end", "user_id", "user_name", "region", "event_count",
                       F.round("score", 6).alias("score"), "severity")
 

@@ -121,25 +121,22 @@ class EventPipeline:
             df.unpersist()
 
     def summary_batch(self, batch_df: DataFrame, batch_id: int, window_type: str) -> None:
-        """Persist the changed window counts, enrich, detect, alert."""
+        """Persist the changed window counts, detect, enrich the anomalies, alert."""
         df = batch_df.persist()
         try:
             if df.isEmpty():
                 return
-            summary = windows.to_wall_clock(windows.flatten_window(df))
-            if self.users is not None:
-                enriched = enrich(summary, self.users.get(), self.cfg, size_checked=True)
-            else:
-                enriched = summary.withColumn("user_name", F.lit(None).cast("string")) \
-                    .withColumn("region", F.lit(None).cast("string"))
-            enriched = enriched.persist()
-            out, obs = observed(enriched.select("window_start", "window_end", "user_id",
-                                                "event_count"), "summary")
+            summary = windows.to_wall_clock(windows.flatten_window(df)).persist()
+            out, obs = observed(summary.select("window_start", "window_end", "user_id",
+                                               "event_count"), "summary")
             write_batch_parquet(out, self.sinks.summary(window_type), batch_id)
             n_records = observed_rows(obs)
             n_anom = 0
-            found = detect(enriched, self._detectors(), eager=True)
+            found = detect(summary, self._detectors(), eager=True)
             if found is not None:
+                # names and regions are looked up for the anomalies only
+                if self.users is not None:
+                    found = enrich(found, self.users.get(), self.cfg, size_checked=True)
                 found = found.persist()
                 anom, anom_obs = observed(
                     found.select("window_start", "window_end", "user_id", "event_count",
@@ -157,7 +154,7 @@ class EventPipeline:
             write_batch_parquet(metrics_row(self.spark, "agg_batch", batch_id, records=n_records,
                                             anomalies=n_anom, window_type=window_type),
                                 self.sinks.path(f"metrics_{window_type}"), batch_id)
-            enriched.unpersist()
+            summary.unpersist()
         finally:
             df.unpersist()
 
