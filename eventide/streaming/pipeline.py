@@ -33,7 +33,8 @@ from eventide.operators.enrich import enrich
 from eventide.operators.joins import fits_in_rows
 from eventide.operators.metrics import metrics_row, observed, observed_rows
 from eventide.schemas import RAW_COLS, RAW_KEY
-from eventide.streaming.sinks import SinkPaths, write_batch_json, write_batch_parquet
+from eventide.sources.jdbc import write_jdbc
+from eventide.streaming.sinks import SinkPaths, write_batch_json, write_batch_kafka, write_batch_parquet
 
 log = logging.getLogger(__name__)
 
@@ -67,17 +68,27 @@ class EventPipeline:
                  users: RefreshingDimension | None = None,
                  detectors: Sequence[Detector] | Callable[[], Sequence[Detector]] = (),
                  fmt: str = "json", avro_schema: str | None = None, framed: bool = False,
-                 dedup_raw: bool = False):
+                 dedup_raw: bool = False, repartition_by_user: int | None = None,
+                 kafka_brokers: str | None = None, raw_jdbc: dict | None = None):
+        """``repartition_by_user``: hash-partition parsed rows by user_id into
+        that many partitions (off by default: the stateful aggregation
+        re-shuffles on (window, user_id) anyway). ``kafka_brokers``: also send
+        dead letters and alerts to the configured topics. ``raw_jdbc``:
+        ``{"url", "table", "properties"}`` to also append valid rows over JDBC in
+        batches of ``copy_chunk`` rows (at-least-once)."""
         self.spark, self.sinks, self.cfg = spark, sinks, cfg or EngineConfig()
         self.users, self.detectors = users, detectors
         self.fmt, self.avro_schema, self.framed = fmt, avro_schema, framed
-        self.dedup_raw = dedup_raw
+        self.dedup_raw, self.repartition_by_user = dedup_raw, repartition_by_user
+        self.kafka_brokers, self.raw_jdbc = kafka_brokers, raw_jdbc
         self.queries: dict[str, StreamingQuery] = {}
 
     # --- plan pieces -----------------------------------------------------------
 
     def parsed(self, raw: DataFrame, keep_rejects: bool = False) -> DataFrame:
         df = parse_events(raw, self.cfg, self.fmt, self.avro_schema, self.framed, keep_rejects)
+        if self.repartition_by_user:
+            df = df.repartition(self.repartition_by_user, "user_id")
         return windows.to_event_timestamp(df)
 
     def counted_input(self, raw: DataFrame) -> DataFrame:
@@ -108,10 +119,15 @@ class EventPipeline:
             good, good_obs = observed(
                 raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")), "raw")
             write_batch_parquet(good, self.sinks.raw, batch_id)
+            if self.raw_jdbc:
+                write_jdbc(raw_sink_rows(valid), self.raw_jdbc["url"], self.raw_jdbc["table"],
+                           self.raw_jdbc.get("properties"), batch_size=self.cfg.copy_chunk)
             recs = dlq_records(rejected, batch_id, reason_col="reject_reason",
                                row_cols=RAW_COLS + ["event_time", "_raw"])
             bad, bad_obs = observed(dlq_json(recs), "dlq")
             write_batch_json(bad, self.sinks.dlq, batch_id)
+            if self.kafka_brokers:
+                write_batch_kafka(dlq_json(recs), self.kafka_brokers, self.cfg.dlq_topic)
             write_batch_parquet(metrics_row(self.spark, "raw_batch", batch_id,
                                             records=observed_rows(good_obs),
                                             rejected=observed_rows(bad_obs)),
@@ -148,6 +164,9 @@ class EventPipeline:
                     recs = alert_records(found, batch_id)
                     write_batch_json(to_kafka_rows(recs), self.sinks.path(f"alerts_{window_type}"),
                                      batch_id)
+                    if self.kafka_brokers:
+                        write_batch_kafka(to_kafka_rows(recs), self.kafka_brokers,
+                                          self.cfg.alert_topic)
                     write_batch_json(anomaly_documents(recs),
                                      self.sinks.path(f"documents_{window_type}"), batch_id)
                 found.unpersist()
