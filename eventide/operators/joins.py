@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# (plan hash, input files, bound) -> verdict, for the life of the process.
+_CHECKED: dict[tuple, bool] = {}
+
 
 def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
@@ -13,7 +16,23 @@ def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_in_rows_cached(df: DataFrame, max_rows: int) -> bool:
+    """:func:`fits_in_rows`, remembered per logical plan and input file set, so a
+    dimension scanned by many queries is counted once per session. Inputs that
+    are not plain files (streams, in-memory rows) are always re-checked."""
+    try:
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:  # noqa: BLE001
+        files = ()
+    if not files:
+        return fits_in_rows(df, max_rows)
+    key = (df.semanticHash(), files, max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = fits_in_rows(df, max_rows)
+    return _CHECKED[key]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only when the side is proven small; otherwise leave the
     choice to the planner (sort-merge join, AQE may still convert or split skew)."""
-    return F.broadcast(df) if fits_in_rows(df, max_rows) else df
+    return F.broadcast(df) if fits_in_rows_cached(df, max_rows) else df

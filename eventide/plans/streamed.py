@@ -23,16 +23,25 @@ from eventide.streaming.sinks import SinkPaths
 _RUNS: dict = {}
 
 
+def prepare_topic(spark: SparkSession, sf_dir: str) -> str:
+    """Write the events of ``sf_dir`` once as a JSON-lines topic stand-in;
+    returns the run folder (the topic is ``<folder>/topic``)."""
+    key = ("topic", spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        root = shared_dir(spark, "stream")
+        write_json_lines(json_envelope(events_from_tables(spark, sf_dir, CFG)), f"{root}/topic")
+        _RUNS[key] = root
+    return _RUNS[key]
+
+
 def run_stream(spark: SparkSession, sf_dir: str,
                which=("raw_route", "archive", "summary_5s", "summary_1min")) -> SinkPaths:
     """Drain the event stream of ``sf_dir`` once per session; reuse the sinks."""
     key = (spark.sparkContext.applicationId, sf_dir, tuple(which))
     if key in _RUNS:
         return _RUNS[key]
-    root = shared_dir(spark, "stream")
-    source = f"{root}/topic"
-    write_json_lines(json_envelope(events_from_tables(spark, sf_dir, CFG)), source)
-    raw = file_source(spark, source, fmt="text")
+    root = prepare_topic(spark, sf_dir)
+    raw = file_source(spark, f"{root}/topic", fmt="text")
     users = RefreshingDimension(lambda: users_from_tables(spark, sf_dir, CFG),
                                 max_broadcast_rows=CFG.broadcast_max_rows)
     det = [ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor,
