@@ -19,10 +19,17 @@ from eventide.schemas import EVENT_JSON_SCHEMA, JSON_OPTIONS, REQUIRED_COLS
 MALFORMED = "malformed_record"
 
 
-def avro_available() -> bool:
+def avro_available(spark=None) -> bool:
+    """True when spark-avro is usable: the Python wrapper imports and the JVM
+    expression class is on the classpath."""
     try:
+        from pyspark.sql import SparkSession
         from pyspark.sql.avro.functions import from_avro  # noqa: F401
-    except Exception:
+        spark = spark or SparkSession.getActiveSession()
+        if spark is None:
+            return False
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
+    except Exception:  # noqa: BLE001
         return False
     return True
 
@@ -75,7 +82,7 @@ def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "js
     if fmt == "json":
         data = decode_json_struct(F.col("value"))
     elif fmt == "avro":
-        if not avro_available():
+        if not avro_available(raw.sparkSession):
             raise RuntimeError("spark-avro is not available; cannot decode Avro")
         if avro_schema is None:
             raise ValueError("Avro decoding needs the writer schema string")

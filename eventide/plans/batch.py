@@ -28,9 +28,15 @@ def _events(spark, sf_dir, geo=True):
     return events_from_tables(spark, sf_dir, CFG, with_geo=geo)
 
 
+def wall_clock_micros(ts_col: str = "event_time"):
+    """Microseconds from 1970-01-01 00:00:00 to a TIMESTAMP_NTZ value; no time
+    zone is involved, whatever the session zone is."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, F.col(ts_col).cast("timestamp_ntz"))
+
+
 def batch_id_of(ts_col: str = "event_time"):
-    return F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / (BATCH_SECONDS * 1_000_000)) \
-        .cast("long")
+    return F.floor(wall_clock_micros(ts_col) / (BATCH_SECONDS * 1_000_000)).cast("long")
 
 
 # --- data quality ------------------------------------------------------------

@@ -46,3 +46,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(scols) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(scols, srows) == digest(dcols, drows)
+
+
+@pytest.mark.parametrize("name", ["summary_upsert_latest", "dlq_json", "tumbling_1h",
+                                  "anomaly_zscore_by_window_1h", "text_export"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        srows, scols = [tuple(r) for r in df.collect()], df.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rel = duck.sql(E.oracle_sql()[name])
+    assert digest(scols, srows) == digest(rel.columns, rel.fetchall())
