@@ -29,6 +29,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--threshold", help="saved threshold parquet folder")
     s.add_argument("--detectors", default="zscore", help="comma list: zscore,fixed_count,kmeans")
     s.add_argument("--available-now", action="store_true", help="drain what is there and stop")
+    s.add_argument("--copy-text", action="store_true", help="also write bulk-load text of valid rows")
+    s.add_argument("--dedup", action="store_true", help="drop duplicate raw events within the watermark")
     t = sub.add_parser("train")
     t.add_argument("--history", required=True, help="parquet of typed events (event model)")
     t.add_argument("--out", required=True, help="folder for model and threshold")
@@ -68,10 +70,14 @@ def main(argv=None) -> None:
     model = load_pipeline_model(spark, args.model) if args.model else None
     threshold = load_threshold(spark, args.threshold) if args.threshold else None
     dets = detectors_from_config(cfg, model, threshold, args.detectors.split(","))
+    # a model reading `action` scores (window, user, action) counts, its training grain
+    action_dets = [d for d in dets if "action" in getattr(d, "input_columns", set())]
+    dets = [d for d in dets if d not in action_dets]
     schema = open(args.avro_schema).read() if args.avro_schema else None
     pipe = EventPipeline(spark, SinkPaths(args.sinks), cfg, users=users, detectors=dets,
                          fmt=args.format, avro_schema=schema, framed=args.framed,
-                         kafka_brokers=args.kafka)
+                         kafka_brokers=args.kafka, copy_text=args.copy_text,
+                         dedup_raw=args.dedup, action_detectors=action_dets)
     pipe.start(raw, trigger="availableNow" if args.available_now else None)
     if args.available_now:
         pipe.await_all()

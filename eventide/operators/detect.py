@@ -134,6 +134,20 @@ class KMeansModelDetector(Detector):
 
     name = "kmeans"
 
+    @property
+    def input_columns(self) -> set[str]:
+        """Columns the model's stages read (e.g. ``action`` for the indexer)."""
+        cols: set[str] = set()
+        for st in self.model.stages:
+            for getter in ("getInputCol", "getInputCols"):
+                if hasattr(st, getter):
+                    try:
+                        v = getattr(st, getter)()
+                    except Exception:  # noqa: BLE001
+                        continue
+                    cols.update([v] if isinstance(v, str) else v)
+        return cols
+
     def __init__(self, model, threshold: float, high_factor: float = 1.5,
                  features_col: str = "features", cluster_col: str = "cluster"):
         self.model, self.threshold, self.high_factor = model, float(threshold), high_factor

@@ -24,7 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventide.config import EngineConfig
 from eventide.functions import quality
-from eventide.functions.decode import MALFORMED, parse_events
+from eventide.functions.decode import parse_events
+from eventide.functions.text import to_copy_text
 from eventide.operators import changelog, windows
 from eventide.operators.alerts import alert_records, anomaly_documents, to_kafka_rows
 from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows, sink_violations
@@ -69,18 +70,24 @@ class EventPipeline:
                  detectors: Sequence[Detector] | Callable[[], Sequence[Detector]] = (),
                  fmt: str = "json", avro_schema: str | None = None, framed: bool = False,
                  dedup_raw: bool = False, repartition_by_user: int | None = None,
-                 kafka_brokers: str | None = None, raw_jdbc: dict | None = None):
+                 kafka_brokers: str | None = None, raw_jdbc: dict | None = None,
+                 copy_text: bool = False, action_detectors: Sequence[Detector] = ()):
         """``repartition_by_user``: hash-partition parsed rows by user_id into
         that many partitions (off by default: the stateful aggregation
         re-shuffles on (window, user_id) anyway). ``kafka_brokers``: also send
         dead letters and alerts to the configured topics. ``raw_jdbc``:
         ``{"url", "table", "properties"}`` to also append valid rows over JDBC in
-        batches of ``copy_chunk`` rows (at-least-once)."""
+        batches of ``copy_chunk`` rows (at-least-once). ``copy_text``: also write
+        valid rows as tab-separated bulk-load text under ``raw_copy``.
+        ``action_detectors``: detectors whose model works on (window, user,
+        action) counts; they get their own aggregation at that grain (queries
+        ``actions_5s`` / ``actions_1min``), so scoring matches training."""
         self.spark, self.sinks, self.cfg = spark, sinks, cfg or EngineConfig()
         self.users, self.detectors = users, detectors
         self.fmt, self.avro_schema, self.framed = fmt, avro_schema, framed
         self.dedup_raw, self.repartition_by_user = dedup_raw, repartition_by_user
-        self.kafka_brokers, self.raw_jdbc = kafka_brokers, raw_jdbc
+        self.kafka_brokers, self.raw_jdbc, self.copy_text = kafka_brokers, raw_jdbc, copy_text
+        self.action_detectors = list(action_detectors)
         self.queries: dict[str, StreamingQuery] = {}
 
     # --- plan pieces -----------------------------------------------------------
@@ -119,6 +126,9 @@ class EventPipeline:
             good, good_obs = observed(
                 raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")), "raw")
             write_batch_parquet(good, self.sinks.raw, batch_id)
+            if self.copy_text:
+                write_batch_json(to_copy_text(raw_sink_rows(valid), RAW_COLS), self.sinks.path("raw_copy"),
+                                 batch_id, value_col="line")
             if self.raw_jdbc:
                 write_jdbc(raw_sink_rows(valid), self.raw_jdbc["url"], self.raw_jdbc["table"],
                            self.raw_jdbc.get("properties"), batch_size=self.cfg.copy_chunk)
@@ -136,26 +146,29 @@ class EventPipeline:
         finally:
             df.unpersist()
 
-    def summary_batch(self, batch_df: DataFrame, batch_id: int, window_type: str) -> None:
+    def summary_batch(self, batch_df: DataFrame, batch_id: int, window_type: str,
+                      detectors: Sequence[Detector] | None = None) -> None:
         """Persist the changed window counts, detect, enrich the anomalies, alert."""
         df = batch_df.persist()
         try:
             if df.isEmpty():
                 return
             summary = windows.to_wall_clock(windows.flatten_window(df)).persist()
-            out, obs = observed(summary.select("window_start", "window_end", "user_id",
-                                               "event_count"), "summary")
+            keys = ["window_start", "window_end", "user_id"] + \
+                (["action"] if "action" in summary.columns else [])
+            out, obs = observed(summary.select(*keys, "event_count"), "summary")
             write_batch_parquet(out, self.sinks.summary(window_type), batch_id)
             n_records = observed_rows(obs)
             n_anom = 0
-            found = detect(summary, self._detectors(), eager=True)
+            dets = self._detectors() if detectors is None else detectors
+            found = detect(summary, dets, eager=True)
             if found is not None:
                 # names and regions are looked up for the anomalies only
                 if self.users is not None:
                     found = enrich(found, self.users.get(), self.cfg, size_checked=True)
                 found = found.persist()
                 anom, anom_obs = observed(
-                    found.select("window_start", "window_end", "user_id", "event_count",
+                    found.select(*keys, "event_count",
                                  "detector_type", "score", "threshold", "severity", "reason",
                                  F.current_timestamp().alias("detected_at")), "anomalies")
                 write_batch_parquet(anom, self.sinks.anomalies(window_type), batch_id)
@@ -221,6 +234,16 @@ class EventPipeline:
                  .foreachBatch(partial(self.summary_batch, window_type=name.split("_", 1)[1]))
                  .option("checkpointLocation", self.sinks.checkpoint(name)))
             self.queries[name] = self._trigger(w, trig_q).start()
+            if self.action_detectors:
+                aname = name.replace("summary", "actions")
+                counts = windows.window_counts(self.counted_input(raw), dur, cfg.window_slide,
+                                               keys=("user_id", "action"), watermark=wm)
+                w = (counts.writeStream.outputMode("update")
+                     .foreachBatch(partial(self.summary_batch,
+                                           window_type=aname.split("_", 1)[1] + "_action",
+                                           detectors=self.action_detectors))
+                     .option("checkpointLocation", self.sinks.checkpoint(aname)))
+                self.queries[aname] = self._trigger(w, trig_q).start()
         return self.queries
 
     def await_all(self, timeout: float | None = None) -> None:
