@@ -71,7 +71,8 @@ class EventPipeline:
                  fmt: str = "json", avro_schema: str | None = None, framed: bool = False,
                  dedup_raw: bool = False, repartition_by_user: int | None = None,
                  kafka_brokers: str | None = None, raw_jdbc: dict | None = None,
-                 copy_text: bool = False, action_detectors: Sequence[Detector] = ()):
+                 copy_text: bool = False, action_detectors: Sequence[Detector] = (),
+                 state_partitions: int | None = None):
         """``repartition_by_user``: hash-partition parsed rows by user_id into
         that many partitions (off by default: the stateful aggregation
         re-shuffles on (window, user_id) anyway). ``kafka_brokers``: also send
@@ -81,13 +82,18 @@ class EventPipeline:
         valid rows as tab-separated bulk-load text under ``raw_copy``.
         ``action_detectors``: detectors whose model works on (window, user,
         action) counts; they get their own aggregation at that grain (queries
-        ``actions_5s`` / ``actions_1min``), so scoring matches training."""
+        ``actions_5s`` / ``actions_1min``), so scoring matches training.
+        ``state_partitions``: shuffle partitions of the stateful window
+        queries. Streaming disables AQE and a checkpoint freezes this number at
+        the first start, so size it for the state (keys per partition), not
+        the session default."""
         self.spark, self.sinks, self.cfg = spark, sinks, cfg or EngineConfig()
         self.users, self.detectors = users, detectors
         self.fmt, self.avro_schema, self.framed = fmt, avro_schema, framed
         self.dedup_raw, self.repartition_by_user = dedup_raw, repartition_by_user
         self.kafka_brokers, self.raw_jdbc, self.copy_text = kafka_brokers, raw_jdbc, copy_text
         self.action_detectors = list(action_detectors)
+        self.state_partitions = state_partitions
         self.queries: dict[str, StreamingQuery] = {}
 
     # --- plan pieces -----------------------------------------------------------
@@ -199,6 +205,19 @@ class EventPipeline:
             return w.trigger(processingTime=trigger)
         return w
 
+    def _start_stateful(self, writer):
+        """Start a stateful query with ``state_partitions`` shuffle partitions
+        (the session value is restored afterwards)."""
+        if not self.state_partitions:
+            return writer.start()
+        conf = self.spark.conf
+        before = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(self.state_partitions))
+        try:
+            return writer.start()
+        finally:
+            conf.set("spark.sql.shuffle.partitions", before)
+
     def start(self, raw: DataFrame, trigger: str | None = None,
               which: Sequence[str] = ("raw_route", "archive", "summary_5s", "summary_1min")
               ) -> dict[str, StreamingQuery]:
@@ -233,7 +252,7 @@ class EventPipeline:
             w = (counts.writeStream.outputMode("update")
                  .foreachBatch(partial(self.summary_batch, window_type=name.split("_", 1)[1]))
                  .option("checkpointLocation", self.sinks.checkpoint(name)))
-            self.queries[name] = self._trigger(w, trig_q).start()
+            self.queries[name] = self._start_stateful(self._trigger(w, trig_q))
             if self.action_detectors:
                 aname = name.replace("summary", "actions")
                 counts = windows.window_counts(self.counted_input(raw), dur, cfg.window_slide,
@@ -243,7 +262,7 @@ class EventPipeline:
                                            window_type=aname.split("_", 1)[1] + "_action",
                                            detectors=self.action_detectors))
                      .option("checkpointLocation", self.sinks.checkpoint(aname)))
-                self.queries[aname] = self._trigger(w, trig_q).start()
+                self.queries[aname] = self._start_stateful(self._trigger(w, trig_q))
         return self.queries
 
     def await_all(self, timeout: float | None = None) -> None:

@@ -144,3 +144,19 @@ def test_multibatch_upserts_equal_batch_with_long_watermark(spark, tmp_dir):
     batch = windows.summary(events, cfg.window_long, cfg.window_slide) \
         .select("window_start", "window_end", "user_id", "event_count")
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_count_valid_only_and_state_partitions(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    good = _event(1)
+    bad = json.dumps({"user_id": 1, "product_id": 1001, "action": "signup",
+                      "timestamp": "2025-09-20 10:00:02"})
+    _drop_file(src, 0, [good, bad])
+    for mode, expect in (("parsed", 2), ("valid", 1)):
+        sinks = SinkPaths(f"{tmp_dir}/sinks_{mode}")
+        pipe = EventPipeline(spark, sinks, EngineConfig(count_input=mode), state_partitions=3)
+        q = pipe.start(file_source(spark, src), trigger="availableNow", which=("summary_5s",))
+        pipe.await_all()
+        assert spark.read.parquet(sinks.summary("5s")).first()["event_count"] == expect
+        state = q["summary_5s"].recentProgress[0]["stateOperators"][0]
+        assert state["numShufflePartitions"] == 3
