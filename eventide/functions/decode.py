@@ -69,16 +69,17 @@ def location_in_bounds(max_len: int) -> Column:
 
 def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "json",
                  avro_schema: str | None = None, framed: bool = False,
-                 keep_rejects: bool = False) -> DataFrame:
+                 keep_rejects: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """The parse stage: decode → drop undecodable → flatten → event time →
     require fields (→ Avro-branch allowed-value and location filters).
 
     With ``keep_rejects`` nothing is dropped; a ``parse_reason`` column marks
     rows that fail decoding (``malformed_record``) so they can be dead-lettered.
-    Extra columns of ``raw`` (other than ``value``) are carried through.
+    Source columns named in ``carry`` (e.g. Kafka ``partition``, ``offset``)
+    are kept with a ``source_`` prefix, so they never collide with event fields.
     """
     cfg = cfg or EngineConfig()
-    extra = [c for c in raw.columns if c not in ("value",)]
+    extra = list(carry)
     if fmt == "json":
         data = decode_json_struct(F.col("value"))
     elif fmt == "avro":
@@ -104,7 +105,7 @@ def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "js
         event_time.alias("event_time"),
         F.col("data").isNull().alias("_undecodable"),
         "_raw",
-        *[F.col(f"_src_{c}").alias(c) for c in extra],
+        *[F.col(f"_src_{c}").alias(f"source_{c}") for c in extra],
     )
     ok = ~F.col("_undecodable") & required_present()
     if fmt == "avro":

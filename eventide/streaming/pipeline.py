@@ -72,7 +72,7 @@ class EventPipeline:
                  dedup_raw: bool = False, repartition_by_user: int | None = None,
                  kafka_brokers: str | None = None, raw_jdbc: dict | None = None,
                  copy_text: bool = False, action_detectors: Sequence[Detector] = (),
-                 state_partitions: int | None = None):
+                 state_partitions: int | None = None, summary_source: str = "raw"):
         """``repartition_by_user``: hash-partition parsed rows by user_id into
         that many partitions (off by default: the stateful aggregation
         re-shuffles on (window, user_id) anyway). ``kafka_brokers``: also send
@@ -86,7 +86,14 @@ class EventPipeline:
         ``state_partitions``: shuffle partitions of the stateful window
         queries. Streaming disables AQE and a checkpoint freezes this number at
         the first start, so size it for the state (keys per partition), not
-        the session default."""
+        the session default. ``summary_source="archive"``: the window queries
+        read the archive (an exactly-once parquet file sink) as a stream instead
+        of decoding the topic again, so each event is decoded twice (route,
+        archive) rather than four times; the windows then trail the archive by
+        one trigger."""
+        if summary_source not in ("raw", "archive"):
+            raise ValueError("summary_source must be 'raw' or 'archive'")
+        self.summary_source = summary_source
         self.spark, self.sinks, self.cfg = spark, sinks, cfg or EngineConfig()
         self.users, self.detectors = users, detectors
         self.fmt, self.avro_schema, self.framed = fmt, avro_schema, framed
@@ -104,8 +111,21 @@ class EventPipeline:
             df = df.repartition(self.repartition_by_user, "user_id")
         return windows.to_event_timestamp(df)
 
+    def archived(self) -> DataFrame:
+        """The archive as a streaming source (reads only committed files)."""
+        from eventide.schemas import EVENT_JSON_SCHEMA
+        from pyspark.sql import types as T
+        schema = T.StructType(list(EVENT_JSON_SCHEMA.fields) + [
+            T.StructField("event_time", T.TimestampType()),
+            T.StructField("event_date", T.DateType())])
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.sinks.archive)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+        df = self.spark.readStream.schema(schema).parquet(self.sinks.archive)
+        return df.drop("event_date")
+
     def counted_input(self, raw: DataFrame) -> DataFrame:
-        df = self.parsed(raw)
+        df = self.archived() if self.summary_source == "archive" else self.parsed(raw)
         if self.cfg.count_input == "valid":
             df = df.filter(quality.dq_reason(self.cfg).isNull())
         return df
@@ -234,13 +254,16 @@ class EventPipeline:
                  .foreachBatch(self.route_batch)
                  .option("checkpointLocation", self.sinks.checkpoint("raw_route")))
             self.queries["raw_route"] = self._trigger(w, trig).start()
-        if "archive" in which:
+        if "archive" in which or self.summary_source == "archive":
             arch = self.parsed(raw).withColumn("event_date", F.to_date("event_time"))
             w = (arch.writeStream.format("parquet").outputMode("append")
                  .option("path", self.sinks.archive)
                  .option("checkpointLocation", self.sinks.checkpoint("archive"))
                  .partitionBy("event_date"))
             self.queries["archive"] = self._trigger(w, trig).start()
+            if self.summary_source == "archive" and trigger == "availableNow":
+                # a drain reads what the archive has committed: let it finish first
+                self.queries["archive"].awaitTermination()
         for name, dur, wm, trig_q in (
                 ("summary_5s", cfg.window_short, cfg.watermark_short,
                  "availableNow" if trigger == "availableNow" else None),

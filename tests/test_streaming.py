@@ -160,3 +160,22 @@ def test_count_valid_only_and_state_partitions(spark, tmp_dir):
         assert spark.read.parquet(sinks.summary("5s")).first()["event_count"] == expect
         state = q["summary_5s"].recentProgress[0]["stateOperators"][0]
         assert state["numShufflePartitions"] == 3
+
+
+def test_windows_from_archive_equal_windows_from_topic(spark, tmp_dir):
+    cfg = EngineConfig()
+    events = events_from_tables(spark, SF_SMALL, cfg)
+    src = f"{tmp_dir}/topic"
+    write_json_lines(json_envelope(events), src, partitions=3)
+    out = {}
+    for mode in ("raw", "archive"):
+        sinks = SinkPaths(f"{tmp_dir}/sinks_{mode}")
+        pipe = EventPipeline(spark, sinks, cfg, summary_source=mode)
+        pipe.start(file_source(spark, src), trigger="availableNow", which=("summary_1min",))
+        pipe.await_all()
+        log = spark.read.parquet(sinks.summary("1min"))
+        out[mode] = changelog.latest_by_key(log, ["user_id", "window_start", "window_end"]) \
+            .select("window_start", "window_end", "user_id", "event_count")
+    assert out["raw"].count() > 0
+    assert out["raw"].exceptAll(out["archive"]).count() == 0
+    assert out["archive"].exceptAll(out["raw"]).count() == 0
