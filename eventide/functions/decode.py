@@ -67,6 +67,16 @@ def location_in_bounds(max_len: int) -> Column:
     return F.length("location").between(1, max_len)
 
 
+def avro_branch_filter(cfg: EngineConfig | None = None) -> Column:
+    """Extra filters of the Avro branch: allowed action and a location of
+    1..max characters (a NULL location fails, as a pattern match would)."""
+    cfg = cfg or EngineConfig()
+    action_ok = F.col("action").isin(*cfg.valid_actions) if cfg.valid_actions \
+        else F.col("action").isNotNull()
+    return F.coalesce(action_ok, F.lit(False)) & \
+        F.coalesce(location_in_bounds(cfg.max_location_len), F.lit(False))
+
+
 def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "json",
                  avro_schema: str | None = None, framed: bool = False,
                  keep_rejects: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -109,8 +119,7 @@ def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "js
     )
     ok = ~F.col("_undecodable") & required_present()
     if fmt == "avro":
-        ok = ok & F.coalesce(F.col("action").isin(*(cfg.valid_actions or ())), F.lit(False)) \
-            & F.coalesce(location_in_bounds(cfg.max_location_len), F.lit(False))
+        ok = ok & avro_branch_filter(cfg)
     if keep_rejects:
         return flat.withColumn("parse_reason", F.when(~ok, F.lit(MALFORMED))).drop("_undecodable")
     return flat.filter(ok).drop("_undecodable", "_raw")

@@ -37,3 +37,12 @@ def test_event_time_parsing(spark):
     assert got[2] is None and got[3] is None
     ms = spark.range(1).select(F.timestamp_millis(F.lit(1758362400123)).alias("t")).first()["t"]
     assert ms == dt.datetime(2025, 9, 20, 10, 0, 0, 123000)
+
+
+def test_avro_branch_filter(spark):
+    from eventide.functions.decode import avro_branch_filter
+    rows = [("click", "Hanoi"), ("click", ""), ("click", None), ("bad", "Hanoi"),
+            ("view", "x" * 200), ("view", "x" * 201)]
+    df = spark.createDataFrame(rows, "action string, location string")
+    kept = [(r["action"], len(r["location"])) for r in df.filter(avro_branch_filter()).collect()]
+    assert kept == [("click", 5), ("view", 200)]

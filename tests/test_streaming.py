@@ -179,3 +179,15 @@ def test_windows_from_archive_equal_windows_from_topic(spark, tmp_dir):
     assert out["raw"].count() > 0
     assert out["raw"].exceptAll(out["archive"]).count() == 0
     assert out["archive"].exceptAll(out["raw"]).count() == 0
+
+
+def test_user_repartition_keeps_results(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    _drop_file(src, 0, [_event(s, user=u) for s in range(3) for u in (1, 2, 3)])
+    sinks = SinkPaths(f"{tmp_dir}/sinks")
+    pipe = EventPipeline(spark, sinks, EngineConfig(), repartition_by_user=4)
+    pipe.start(file_source(spark, src), trigger="availableNow", which=("summary_5s", "raw_route"))
+    pipe.await_all()
+    got = sorted((r["user_id"], r["event_count"]) for r in spark.read.parquet(sinks.summary("5s")).collect())
+    assert got == [(1, 3), (2, 3), (3, 3)]
+    assert spark.read.parquet(sinks.raw).count() == 9
