@@ -37,7 +37,8 @@ def build_pipeline(cfg: EngineConfig | None = None) -> Pipeline:
     return Pipeline(stages=[indexer, encoder, assembler, kmeans])
 
 
-def fit(frame: DataFrame, cfg: EngineConfig | None = None) -> tuple[PipelineModel, float]:
+def fit(frame: DataFrame, cfg: EngineConfig | None = None, checkpointed: bool = False
+        ) -> tuple[PipelineModel, float]:
     """Fit the pipeline and derive the distance threshold.
 
     The training frame is checkpointed to the shared folder first: KMeans runs
@@ -45,14 +46,20 @@ def fit(frame: DataFrame, cfg: EngineConfig | None = None) -> tuple[PipelineMode
     from the raw scan.
     """
     cfg = cfg or EngineConfig()
-    ensure_checkpoint_dir(frame.sparkSession)
-    frame = frame.checkpoint(eager=True)
+    if not checkpointed:
+        frame = checkpoint_frame(frame)
     model = build_pipeline(cfg).fit(frame)
     scored = KMeansModelDetector(model, threshold=float("inf")).score(frame)
     threshold = scored.select(F.percentile_approx("score", cfg.threshold_quantile)).first()[0]
     return model, float(threshold)
 
 
+def checkpoint_frame(frame: DataFrame) -> DataFrame:
+    """Materialise the training frame in the shared checkpoint folder."""
+    ensure_checkpoint_dir(frame.sparkSession)
+    return frame.checkpoint(eager=True)
+
+
 def save(spark: SparkSession, model: PipelineModel, threshold: float, model_path: str,
          threshold_path: str) -> None:
     model.write().overwrite().save(model_path)
@@ -61,24 +68,25 @@ def save(spark: SparkSession, model: PipelineModel, threshold: float, model_path
 
 
 def train_from_tables(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None = None
-                      ) -> tuple[PipelineModel, float, str, str]:
+                      ) -> tuple[PipelineModel, float, str, str, DataFrame]:
+    """Fit on the tables' (1-day window, user, action) counts and save; also
+    returns the checkpointed training frame."""
     cfg = cfg or CFG
-    frame = training_frame(events_from_tables(spark, sf_dir, cfg, with_geo=False))
-    model, threshold = fit(frame, cfg)
+    frame = checkpoint_frame(training_frame(events_from_tables(spark, sf_dir, cfg, with_geo=False)))
+    model, threshold = fit(frame, cfg, checkpointed=True)
     root = shared_dir(spark, "models")
     model_path, threshold_path = f"{root}/anomaly_kmeans", f"{root}/anomaly_kmeans_threshold"
     save(spark, model, threshold, model_path, threshold_path)
-    return model, threshold, model_path, threshold_path
+    return model, threshold, model_path, threshold_path, frame
 
 
 def kmeans_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, save, reload the artefacts, and score the same grain: rows whose
     distance to their centre is strictly above the saved threshold."""
     from eventide.sources.artifacts import load_pipeline_model, load_threshold
-    _, _, model_path, threshold_path = train_from_tables(spark, sf_dir)
+    _, _, model_path, threshold_path, frame = train_from_tables(spark, sf_dir)
     model = load_pipeline_model(spark, model_path)
     threshold = load_threshold(spark, threshold_path)
-    frame = training_frame(events_from_tables(spark, sf_dir, CFG, with_geo=False))
     det = KMeansModelDetector(model, threshold, CFG.severity_high_factor)
     return det.anomalies(frame).select("window_start", "window_end", "user_id", "action",
                                        "event_count", "cluster",

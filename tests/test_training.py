@@ -5,7 +5,7 @@ from conftest import SF_SMALL
 
 
 def test_train_save_load_score(spark, tmp_dir):
-    model, threshold, mpath, tpath = training.train_from_tables(spark, SF_SMALL)
+    model, threshold, mpath, tpath, _ = training.train_from_tables(spark, SF_SMALL)
     assert threshold > 0
     assert load_threshold(spark, tpath) == threshold
     assert load_pipeline_model(spark, mpath) is not None
