@@ -51,12 +51,6 @@ def file_source(spark: SparkSession, path: str, fmt: str = "text",
     return df
 
 
-def alert_stream(spark: SparkSession, path: str, fmt: str = "text",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Alert topic scan, re-aimed from a polling consumer: same contract as events."""
-    return file_source(spark, path, fmt, max_files_per_trigger)
-
-
 def write_json_lines(df: DataFrame, path: str, value_col: str = "value",
                      partitions: int | None = None) -> None:
     """Write a ``value`` string column as JSON-lines text files: a topic

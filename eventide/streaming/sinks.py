@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from eventide.operators.changelog import append_batch
+
 
 @dataclass(frozen=True)
 class SinkPaths:
@@ -37,10 +39,8 @@ class SinkPaths:
     def checkpoint(self, query: str) -> str: return self.path(f"_checkpoints/{query}")
 
 
-def write_batch_parquet(df: DataFrame, path: str, batch_id: int, partition_cols=()) -> None:
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id", *partition_cols).parquet(path))
+# One micro-batch into a change log under ``batch_id=<id>`` (replay-safe).
+write_batch_parquet = append_batch
 
 
 def write_batch_json(df: DataFrame, path: str, batch_id: int, value_col: str = "value") -> None:
