@@ -142,6 +142,18 @@ def stream_alert_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .alias("n")).select("n.*")
 
 
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-batch metric rows of the stream, totalled per output: records,
+    rejects and anomalies of the raw route and of both window queries."""
+    sinks = run_stream(spark, sf_dir)
+    parts = [spark.read.parquet(sinks.path(f"metrics_{name}"))
+             for name in ("raw", "5s", "1min")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return (rows.groupBy("type", F.coalesce("window_type", F.lit("")).alias("window_type"))
+            .agg(F.sum("records").alias("records"), F.sum("rejected").alias("rejected"),
+                 F.sum("anomalies").alias("anomalies")))
+
+
 def registered() -> dict:
     return {
         "stream_tumbling": stream_tumbling,
@@ -150,6 +162,7 @@ def registered() -> dict:
         "stream_archive": stream_archive,
         "stream_anomalies": stream_anomalies,
         "stream_alert_notifications": stream_alert_notifications,
+        "stream_metrics": stream_metrics,
     }
 
 
@@ -169,7 +182,23 @@ s AS (SELECT t.*, u.name AS user_name, u.region FROM ({O._sliding(60, 5, 'parsed
 st AS (SELECT avg(event_count) AS m, stddev_samp(event_count) AS s FROM s),
 a AS (SELECT s.*, (event_count - m) / NULLIF(st.s, 0) AS score FROM s CROSS JOIN st)"""
     sev = O._severity("score", str(z))
+    zcol = "(event_count - avg(event_count) OVER ()) / NULLIF(stddev_samp(event_count) OVER (), 0)"
+    metrics = f"""WITH {O.TAGGED_CTE.strip()},
+parsed AS (SELECT * FROM ev WHERE {req}),
+route AS (SELECT CASE WHEN NOT ({req}) THEN 'malformed_record'
+                      ELSE coalesce(dq_reason, {sink_reason}) END AS reason FROM tagged),
+w5 AS (SELECT {zcol} AS score FROM ({O._tumbling(5, 'parsed')})),
+w60 AS (SELECT {zcol} AS score FROM ({O._sliding(60, 5, 'parsed')}))
+SELECT 'raw_batch' AS type, '' AS window_type,
+       count(*) FILTER (WHERE reason IS NULL) AS records,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS rejected,
+       CAST(0 AS BIGINT) AS anomalies FROM route
+UNION ALL
+SELECT 'agg_batch', '5s', count(*), CAST(0 AS BIGINT), count(*) FILTER (WHERE score > {z}) FROM w5
+UNION ALL
+SELECT 'agg_batch', '1min', count(*), CAST(0 AS BIGINT), count(*) FILTER (WHERE score > {z}) FROM w60"""
     return {
+        "stream_metrics": metrics,
         "stream_anomalies": zs + f"""
 SELECT user_id, window_start, window_end, event_count FROM a WHERE score > {z}""",
         "stream_alert_notifications": zs + f"""
