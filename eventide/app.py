@@ -32,15 +32,63 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--copy-text", action="store_true", help="also write bulk-load text of valid rows")
     s.add_argument("--dedup", action="store_true", help="drop duplicate raw events within the watermark")
     t = sub.add_parser("train")
-    t.add_argument("--history", required=True, help="parquet of typed events (event model)")
+    t.add_argument("--history", help="parquet of typed events (event model)")
+    t.add_argument("--jdbc-url", help="read the history over JDBC instead")
+    t.add_argument("--jdbc-table", default="user_events")
+    t.add_argument("--jdbc-user")
+    t.add_argument("--jdbc-password")
     t.add_argument("--out", required=True, help="folder for model and threshold")
     t.add_argument("--window", default="1 day")
+    v = sub.add_parser("views", help="fold change logs into the keyed tables")
+    v.add_argument("--sinks", required=True)
+    v.add_argument("--out", help="parquet folder for the tables")
+    v.add_argument("--jdbc-url", help="also overwrite the tables over JDBC")
+    v.add_argument("--jdbc-user")
+    v.add_argument("--jdbc-password")
     a = sub.add_parser("alerts")
     a.add_argument("--source", required=True)
     a.add_argument("--sinks", required=True)
     return p
 
 
+def keyed_views(spark, sinks) -> dict:
+    """The keyed tables from the change logs: ``user_activity_summary`` (last
+    wins per user and window, over both window sizes) and ``anomalous_events``
+    (first wins)."""
+    from eventide.operators import changelog
+    from eventide.schemas import SUMMARY_KEY
+    from eventide.sources.artifacts import _path_exists
+    views = {}
+    logs = [sinks.summary(w) for w in ("5s", "1min") if _path_exists(spark, sinks.summary(w))]
+    def read_all(paths, cols):
+        parts = [spark.read.parquet(p).select(*cols) for p in paths]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    if logs:
+        log = read_all(logs, [*SUMMARY_KEY, "event_count", "batch_id"])
+        views["user_activity_summary"] = changelog.latest_by_key(log, SUMMARY_KEY)
+    anoms = [sinks.anomalies(w) for w in ("5s", "1min", "5s_action", "1min_action")
+             if _path_exists(spark, sinks.anomalies(w))]
+    if anoms:
+        log = read_all(anoms, [*SUMMARY_KEY, "event_count", "detected_at", "detector_type",
+                               "severity", "batch_id"])
+        views["anomalous_events"] = changelog.first_by_key(
+            log, SUMMARY_KEY, order_cols=("batch_id", "detected_at")).drop("batch_id")
+    return views
+
+
+def write_views(spark, sinks, out: str | None, jdbc_url: str | None, props: dict) -> None:
+    from eventide.sources.jdbc import write_jdbc
+    for name, df in keyed_views(spark, sinks).items():
+        if out:
+            df.write.mode("overwrite").parquet(f"{out}/{name}")
+        if jdbc_url:
+            write_jdbc(df, jdbc_url, name, props, mode="overwrite")
+
+
 def main(argv=None) -> None:
     logging.basicConfig(level=logging.INFO)
     args = _parser().parse_args(argv)
@@ -49,12 +97,26 @@ def main(argv=None) -> None:
     spark = build_session(app_name=f"eventide-{args.cmd}")
     if args.cmd == "train":
         from eventide.plans import training
-        frame = training.training_frame(spark.read.parquet(args.history), args.window)
+        if args.jdbc_url:
+            from eventide.functions.decode import event_time_from_string
+            from eventide.sources.jdbc import read_jdbc
+            history = read_jdbc(spark, args.jdbc_url, args.jdbc_table,
+                                {"user": args.jdbc_user or "", "password": args.jdbc_password or ""})
+            if "event_time" not in history.columns:
+                history = history.withColumn(
+                    "event_time", event_time_from_string(history["timestamp"].cast("string")))
+        else:
+            history = spark.read.parquet(args.history)
+        frame = training.training_frame(history, args.window)
         model, threshold = training.fit(frame, cfg)
         training.save(spark, model, threshold, f"{args.out}/anomaly_kmeans",
                       f"{args.out}/anomaly_kmeans_threshold")
         return
     from eventide.streaming.sinks import SinkPaths
+    if args.cmd == "views":
+        write_views(spark, SinkPaths(args.sinks), args.out, args.jdbc_url,
+                    {"user": args.jdbc_user or "", "password": args.jdbc_password or ""})
+        return
     if args.cmd == "alerts":
         from eventide.streaming.alerts import AlertJob, alert_source
         AlertJob(spark, SinkPaths(args.sinks)).start(alert_source(spark, args.source)).awaitTermination()

@@ -41,3 +41,10 @@ def test_cli_train_then_stream(spark, tmp_dir):
     assert all(r["score"] > r["threshold"] for r in kmeans)
     alerts = spark.read.text(f"{tmp_dir}/sinks/alerts_1min_action").collect()
     assert len(alerts) == len(kmeans)
+
+    app.main(["views", "--sinks", f"{tmp_dir}/sinks", "--out", f"{tmp_dir}/tables"])
+    summary = spark.read.parquet(f"{tmp_dir}/tables/user_activity_summary")
+    key = ["user_id", "window_start", "window_end"]
+    assert summary.count() == summary.select(*key).distinct().count()
+    table = spark.read.parquet(f"{tmp_dir}/tables/anomalous_events")
+    assert table.count() == table.select(*key).distinct().count() > 0
