@@ -23,7 +23,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--avro-schema", help="path of the Avro writer schema (.avsc)")
     s.add_argument("--framed", action="store_true", help="Avro values carry a 5-byte registry header")
     s.add_argument("--sinks", required=True, help="shared output folder")
-    s.add_argument("--users", help="parquet path of the users dimension")
+    s.add_argument("--users", help="users dimension: parquet path, or a jdbc: URL (table users)")
+    s.add_argument("--jdbc-user")
+    s.add_argument("--jdbc-password")
     s.add_argument("--users-refresh-seconds", type=float)
     s.add_argument("--model", help="saved pipeline model folder")
     s.add_argument("--threshold", help="saved threshold parquet folder")
@@ -127,7 +129,14 @@ def main(argv=None) -> None:
     from eventide.streaming.pipeline import EventPipeline, RefreshingDimension
     raw = kafka_source(spark, args.kafka, cfg.events_topic, cfg) if args.kafka \
         else file_source(spark, args.source)
-    users = RefreshingDimension(lambda: spark.read.parquet(args.users), args.users_refresh_seconds,
+    def load_users():
+        if args.users.startswith("jdbc:"):
+            from eventide.sources.jdbc import read_jdbc
+            return read_jdbc(spark, args.users, "users",
+                             {"user": args.jdbc_user or "", "password": args.jdbc_password or ""})
+        return spark.read.parquet(args.users)
+
+    users = RefreshingDimension(load_users, args.users_refresh_seconds,
                                 cfg.broadcast_max_rows) if args.users else None
     model = load_pipeline_model(spark, args.model) if args.model else None
     threshold = load_threshold(spark, args.threshold) if args.threshold else None
