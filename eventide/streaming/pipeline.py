@@ -136,15 +136,14 @@ class EventPipeline:
     # --- foreachBatch handlers --------------------------------------------------
 
     def route_batch(self, batch_df: DataFrame, batch_id: int) -> None:
-        """Validate and route one micro-batch (persisted once, read by each sink)."""
-        df = batch_df.persist()
+        """Validate and route one micro-batch (tagged and cached once, read by each sink)."""
+        reason = F.coalesce(F.col("parse_reason"), F.col("dq_reason"),
+                            sink_violations(raw_sink_rows(batch_df), self.cfg.sink_max_lengths))
+        tagged = quality.with_dq_reason(batch_df, self.cfg).withColumn("reject_reason", reason)
+        tagged = tagged.persist()
         try:
-            if df.isEmpty():
+            if tagged.isEmpty():
                 return
-            tagged = quality.with_dq_reason(df, self.cfg)
-            reason = F.coalesce(F.col("parse_reason"), F.col("dq_reason"),
-                                sink_violations(raw_sink_rows(df), self.cfg.sink_max_lengths))
-            tagged = tagged.withColumn("reject_reason", reason).persist()
             valid = tagged.filter(F.col("reject_reason").isNull())
             rejected = tagged.filter(F.col("reject_reason").isNotNull())
             good, good_obs = observed(
@@ -166,18 +165,16 @@ class EventPipeline:
                                             records=observed_rows(good_obs),
                                             rejected=observed_rows(bad_obs)),
                                 self.sinks.path("metrics_raw"), batch_id)
-            tagged.unpersist()
         finally:
-            df.unpersist()
+            tagged.unpersist()
 
     def summary_batch(self, batch_df: DataFrame, batch_id: int, window_type: str,
                       detectors: Sequence[Detector] | None = None) -> None:
         """Persist the changed window counts, detect, enrich the anomalies, alert."""
-        df = batch_df.persist()
+        summary = windows.to_wall_clock(windows.flatten_window(batch_df)).persist()
         try:
-            if df.isEmpty():
+            if summary.isEmpty():
                 return
-            summary = windows.to_wall_clock(windows.flatten_window(df)).persist()
             keys = ["window_start", "window_end", "user_id"] + \
                 (["action"] if "action" in summary.columns else [])
             out, obs = observed(summary.select(*keys, "event_count"), "summary")
@@ -210,9 +207,8 @@ class EventPipeline:
             write_batch_parquet(metrics_row(self.spark, "agg_batch", batch_id, records=n_records,
                                             anomalies=n_anom, window_type=window_type),
                                 self.sinks.path(f"metrics_{window_type}"), batch_id)
-            summary.unpersist()
         finally:
-            df.unpersist()
+            summary.unpersist()
 
     # --- queries -----------------------------------------------------------------
 
