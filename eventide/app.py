@@ -126,7 +126,7 @@ def main(argv=None) -> None:
     from eventide.operators.detect import detectors_from_config
     from eventide.sources.artifacts import load_pipeline_model, load_threshold
     from eventide.sources.stream import file_source, kafka_source
-    from eventide.streaming.pipeline import EventPipeline, RefreshingDimension
+    from eventide.streaming.application import EventStreamApp, RefreshingDimension
     raw = kafka_source(spark, args.kafka, cfg.events_topic, cfg) if args.kafka \
         else file_source(spark, args.source)
     def load_users():
@@ -145,7 +145,7 @@ def main(argv=None) -> None:
     action_dets = [d for d in dets if "action" in getattr(d, "input_columns", set())]
     dets = [d for d in dets if d not in action_dets]
     schema = open(args.avro_schema).read() if args.avro_schema else None
-    pipe = EventPipeline(spark, SinkPaths(args.sinks), cfg, users=users, detectors=dets,
+    pipe = EventStreamApp(spark, SinkPaths(args.sinks), cfg, users=users, detectors=dets,
                          fmt=args.format, avro_schema=schema, framed=args.framed,
                          kafka_brokers=args.kafka, copy_text=args.copy_text,
                          dedup_raw=args.dedup, action_detectors=action_dets)

@@ -17,7 +17,7 @@ from eventide.schemas import JSON_OPTIONS, RAW_COLS, SUMMARY_KEY
 from eventide.session import shared_dir
 from eventide.sources.stream import file_source, write_json_lines
 from eventide.sources.tables import events_from_tables, json_envelope, users_from_tables
-from eventide.streaming.pipeline import EventPipeline, RefreshingDimension
+from eventide.streaming.application import EventStreamApp, RefreshingDimension
 from eventide.streaming.sinks import SinkPaths
 
 _RUNS: dict = {}
@@ -47,7 +47,7 @@ def run_stream(spark: SparkSession, sf_dir: str,
     det = [ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor,
                           broadcast_max_rows=CFG.broadcast_max_rows)]
     sinks = SinkPaths(f"{root}/sinks")
-    pipe = EventPipeline(spark, sinks, CFG, users=users, detectors=det)
+    pipe = EventStreamApp(spark, sinks, CFG, users=users, detectors=det)
     try:
         pipe.start(raw, trigger="availableNow", which=which)
         pipe.await_all()

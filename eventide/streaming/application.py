@@ -64,7 +64,7 @@ class RefreshingDimension:
         return self._df
 
 
-class EventPipeline:
+class EventStreamApp:
     def __init__(self, spark: SparkSession, sinks: SinkPaths, cfg: EngineConfig | None = None,
                  users: RefreshingDimension | None = None,
                  detectors: Sequence[Detector] | Callable[[], Sequence[Detector]] = (),

@@ -9,7 +9,7 @@ from eventide.config import EngineConfig
 from eventide.operators import changelog, windows
 from eventide.sources.stream import file_source, write_json_lines
 from eventide.sources.tables import events_from_tables, json_envelope
-from eventide.streaming.pipeline import EventPipeline
+from eventide.streaming.application import EventStreamApp
 from eventide.streaming.sinks import SinkPaths
 
 from conftest import SF_SMALL
@@ -31,7 +31,7 @@ def _drop_file(src, i, lines):
 
 
 def _summary_only(spark, root, src):
-    pipe = EventPipeline(spark, SinkPaths(f"{root}/sinks"), EngineConfig())
+    pipe = EventStreamApp(spark, SinkPaths(f"{root}/sinks"), EngineConfig())
     q = pipe.start(file_source(spark, src, max_files_per_trigger=1), trigger="availableNow",
                    which=("summary_5s",))
     pipe.await_all()
@@ -72,7 +72,7 @@ def test_restart_from_checkpoint_continues(spark, tmp_dir):
 
 
 def test_replayed_summary_batch_is_idempotent(spark, tmp_dir):
-    pipe = EventPipeline(spark, SinkPaths(tmp_dir), EngineConfig())
+    pipe = EventStreamApp(spark, SinkPaths(tmp_dir), EngineConfig())
     batch = spark.createDataFrame(
         [((BASE, BASE + dt.timedelta(seconds=5)), 1, 4)],
         "window struct<start: timestamp, end: timestamp>, user_id int, event_count long")
@@ -81,13 +81,13 @@ def test_replayed_summary_batch_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/summary_5s").count() == 1
 
 
-def test_pipeline_route_total_and_stream_equals_batch(spark, tmp_dir):
+def test_app_route_total_and_stream_equals_batch(spark, tmp_dir):
     cfg = EngineConfig()
     events = events_from_tables(spark, SF_SMALL, cfg)
     src = f"{tmp_dir}/topic"
     write_json_lines(json_envelope(events), src)
     sinks = SinkPaths(f"{tmp_dir}/sinks")
-    pipe = EventPipeline(spark, sinks, cfg)
+    pipe = EventStreamApp(spark, sinks, cfg)
     # one micro-batch: nothing can be late, so the stream must equal the batch query
     pipe.start(file_source(spark, src), trigger="availableNow",
                which=("raw_route", "archive", "summary_5s"))
@@ -116,7 +116,7 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
     _drop_file(src, 0, [line, line, nulldev, nulldev])
     _drop_file(src, 1, [line])
     sinks = SinkPaths(f"{tmp_dir}/sinks")
-    pipe = EventPipeline(spark, sinks, EngineConfig(), dedup_raw=True)
+    pipe = EventStreamApp(spark, sinks, EngineConfig(), dedup_raw=True)
     pipe.start(file_source(spark, src, max_files_per_trigger=1), trigger="availableNow",
                which=("raw_route",))
     pipe.await_all()
@@ -133,7 +133,7 @@ def test_multibatch_upserts_equal_batch_with_long_watermark(spark, tmp_dir):
     src = f"{tmp_dir}/topic"
     write_json_lines(json_envelope(events), src, partitions=4)
     sinks = SinkPaths(f"{tmp_dir}/sinks")
-    pipe = EventPipeline(spark, sinks, cfg)
+    pipe = EventStreamApp(spark, sinks, cfg)
     pipe.start(file_source(spark, src, max_files_per_trigger=1), trigger="availableNow",
                which=("summary_1min",))
     pipe.await_all()
@@ -154,7 +154,7 @@ def test_count_valid_only_and_state_partitions(spark, tmp_dir):
     _drop_file(src, 0, [good, bad])
     for mode, expect in (("parsed", 2), ("valid", 1)):
         sinks = SinkPaths(f"{tmp_dir}/sinks_{mode}")
-        pipe = EventPipeline(spark, sinks, EngineConfig(count_input=mode), state_partitions=3)
+        pipe = EventStreamApp(spark, sinks, EngineConfig(count_input=mode), state_partitions=3)
         q = pipe.start(file_source(spark, src), trigger="availableNow", which=("summary_5s",))
         pipe.await_all()
         assert spark.read.parquet(sinks.summary("5s")).first()["event_count"] == expect
@@ -170,7 +170,7 @@ def test_windows_from_archive_equal_windows_from_topic(spark, tmp_dir):
     out = {}
     for mode in ("raw", "archive"):
         sinks = SinkPaths(f"{tmp_dir}/sinks_{mode}")
-        pipe = EventPipeline(spark, sinks, cfg, summary_source=mode)
+        pipe = EventStreamApp(spark, sinks, cfg, summary_source=mode)
         pipe.start(file_source(spark, src), trigger="availableNow", which=("summary_1min",))
         pipe.await_all()
         log = spark.read.parquet(sinks.summary("1min"))
@@ -185,7 +185,7 @@ def test_user_repartition_keeps_results(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     _drop_file(src, 0, [_event(s, user=u) for s in range(3) for u in (1, 2, 3)])
     sinks = SinkPaths(f"{tmp_dir}/sinks")
-    pipe = EventPipeline(spark, sinks, EngineConfig(), repartition_by_user=4)
+    pipe = EventStreamApp(spark, sinks, EngineConfig(), repartition_by_user=4)
     pipe.start(file_source(spark, src), trigger="availableNow", which=("summary_5s", "raw_route"))
     pipe.await_all()
     got = sorted((r["user_id"], r["event_count"]) for r in spark.read.parquet(sinks.summary("5s")).collect())
