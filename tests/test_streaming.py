@@ -191,3 +191,24 @@ def test_user_repartition_keeps_results(spark, tmp_dir):
     got = sorted((r["user_id"], r["event_count"]) for r in spark.read.parquet(sinks.summary("5s")).collect())
     assert got == [(1, 3), (2, 3), (3, 3)]
     assert spark.read.parquet(sinks.raw).count() == 9
+
+
+def test_hot_user_stream_equals_batch(spark, tmp_dir):
+    """One user sends a third of all events; stream counts equal batch counts."""
+    src = f"{tmp_dir}/src"
+    lines = [_event(s % 50, user=1 if s % 3 == 0 else 2 + s % 40) for s in range(600)]
+    for i in range(3):
+        _drop_file(src, i, lines[i::3])
+    sinks = SinkPaths(f"{tmp_dir}/sinks")
+    pipe = EventStreamApp(spark, sinks, EngineConfig())
+    pipe.start(file_source(spark, src), trigger="availableNow", which=("summary_1min",))
+    pipe.await_all()
+    log = spark.read.parquet(sinks.summary("1min"))
+    streamed = changelog.latest_by_key(log, ["user_id", "window_start", "window_end"]) \
+        .select("window_start", "window_end", "user_id", "event_count")
+    ev = spark.read.json(src).select(
+        "user_id", F.to_timestamp("timestamp").alias("event_time"))
+    batch = windows.summary(ev, "1 minute", "5 seconds").withColumn("user_id", F.col("user_id").cast("int"))
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    hot = streamed.filter("user_id = 1").agg(F.sum("event_count")).first()[0]
+    assert hot == 12 * 200
