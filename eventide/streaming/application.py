@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import logging
 import signal
+import threading
 import time
 from collections.abc import Callable, Sequence
 from functools import partial
@@ -50,18 +51,21 @@ class RefreshingDimension:
         self.max_broadcast_rows = max_broadcast_rows
         self._df: DataFrame | None = None
         self._loaded_at = 0.0
+        self._lock = threading.Lock()   # handlers of concurrent queries share it
 
     def get(self) -> DataFrame:
         """The current dimension, with a broadcast hint only when its row
         count (checked once per load) is within ``max_broadcast_rows``."""
-        stale = self.refresh_seconds is not None and time.time() - self._loaded_at > self.refresh_seconds
-        if self._df is None or stale:
-            if self._df is not None:
-                self._df.unpersist()
-            df = self.loader().persist()
-            small = fits_in_rows(df, self.max_broadcast_rows)
-            self._df, self._loaded_at = (F.broadcast(df) if small else df), time.time()
-        return self._df
+        with self._lock:
+            stale = self.refresh_seconds is not None and \
+                time.time() - self._loaded_at > self.refresh_seconds
+            if self._df is None or stale:
+                if self._df is not None:
+                    self._df.unpersist()
+                df = self.loader().persist()
+                small = fits_in_rows(df, self.max_broadcast_rows)
+                self._df, self._loaded_at = (F.broadcast(df) if small else df), time.time()
+            return self._df
 
 
 class EventStreamApp:
@@ -147,7 +151,7 @@ class EventStreamApp:
             valid = tagged.filter(F.col("reject_reason").isNull())
             rejected = tagged.filter(F.col("reject_reason").isNotNull())
             good, good_obs = observed(
-                raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")), "raw")
+                raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")), f"raw_{batch_id}")
             write_batch_parquet(good, self.sinks.raw, batch_id)
             if self.copy_text:
                 write_batch_json(to_copy_text(raw_sink_rows(valid), RAW_COLS), self.sinks.path("raw_copy"),
@@ -157,7 +161,7 @@ class EventStreamApp:
                            self.raw_jdbc.get("properties"), batch_size=self.cfg.copy_chunk)
             recs = dlq_records(rejected, batch_id, reason_col="reject_reason",
                                row_cols=RAW_COLS + ["event_time", "_raw"])
-            bad, bad_obs = observed(dlq_json(recs), "dlq")
+            bad, bad_obs = observed(dlq_json(recs), f"dlq_{batch_id}")
             write_batch_json(bad, self.sinks.dlq, batch_id)
             if self.kafka_brokers:
                 write_batch_kafka(dlq_json(recs), self.kafka_brokers, self.cfg.dlq_topic)
@@ -177,7 +181,8 @@ class EventStreamApp:
                 return
             keys = ["window_start", "window_end", "user_id"] + \
                 (["action"] if "action" in summary.columns else [])
-            out, obs = observed(summary.select(*keys, "event_count"), "summary")
+            out, obs = observed(summary.select(*keys, "event_count"),
+                                f"summary_{window_type}_{batch_id}")
             write_batch_parquet(out, self.sinks.summary(window_type), batch_id)
             n_records = observed_rows(obs)
             n_anom = 0
@@ -191,7 +196,8 @@ class EventStreamApp:
                 anom, anom_obs = observed(
                     found.select(*keys, "event_count",
                                  "detector_type", "score", "threshold", "severity", "reason",
-                                 F.current_timestamp().alias("detected_at")), "anomalies")
+                                 F.current_timestamp().alias("detected_at")),
+                    f"anomalies_{window_type}_{batch_id}")
                 write_batch_parquet(anom, self.sinks.anomalies(window_type), batch_id)
                 n_anom = observed_rows(anom_obs)
                 if n_anom:
