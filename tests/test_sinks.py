@@ -57,3 +57,15 @@ def test_alert_stream_rules(spark):
     notes = notifications(valid).collect()
     assert [r["user_id"] for r in notes] == [1]
     assert "User: 1 (Unknown)" in notes[0]["message"] and "Region: HN" in notes[0]["message"]
+
+
+def test_compact_folds_log_into_view(spark, tmp_dir):
+    log_path, out = f"{tmp_dir}/log", f"{tmp_dir}/view"
+    changelog.append_batch(spark.createDataFrame([(1, 1), (2, 5)], "user_id int, n long"), log_path, 0)
+    changelog.append_batch(spark.createDataFrame([(1, 3)], "user_id int, n long"), log_path, 1)
+    changelog.compact(spark, log_path, out, ["user_id"], keep="latest")
+    got = {r["user_id"]: (r["n"], r["batch_id"]) for r in spark.read.parquet(out).collect()}
+    assert got == {1: (3, 1), 2: (5, 0)}
+    changelog.compact(spark, log_path, f"{out}_first", ["user_id"], keep="first")
+    first = {r["user_id"]: r["n"] for r in spark.read.parquet(f"{out}_first").collect()}
+    assert first == {1: 1, 2: 5}
