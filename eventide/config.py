@@ -90,7 +90,7 @@ class EngineConfig:
     # that passed validation ("valid").
     count_input: str = "parsed"
     # Largest dimension (rows) that may be broadcast; above it the join shuffles.
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 1_000_000
     # Sink-side length limits of the raw table (checked per row, not per chunk).
     sink_max_lengths: dict = field(default_factory=lambda: {
         "action": 50, "device_id": 50, "device_type": 50, "location": 100,

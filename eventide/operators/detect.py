@@ -59,7 +59,7 @@ class ZScoreDetector(Detector):
 
     def __init__(self, threshold: float = 2.0, value_col: str = "event_count",
                  group_cols: Sequence[str] = (), high_factor: float = 1.5,
-                 broadcast_max_rows: int = 2_000_000):
+                 broadcast_max_rows: int = 1_000_000):
         self.threshold, self.value_col = float(threshold), value_col
         self.group_cols, self.high_factor = list(group_cols), high_factor
         self.broadcast_max_rows = broadcast_max_rows

@@ -46,7 +46,7 @@ class RefreshingDimension:
     ``refresh_seconds`` (None: loaded once) instead of frozen at start-up."""
 
     def __init__(self, loader: Callable[[], DataFrame], refresh_seconds: float | None = None,
-                 max_broadcast_rows: int = 2_000_000):
+                 max_broadcast_rows: int = 1_000_000):
         self.loader, self.refresh_seconds = loader, refresh_seconds
         self.max_broadcast_rows = max_broadcast_rows
         self._df: DataFrame | None = None
