@@ -76,10 +76,16 @@ class ZScoreDetector(Detector):
                 mean, std = sub.getField("m"), sub.getField("s")
             scored = df.withColumn("_mean", mean).withColumn("_std", std)
         else:
-            stats = df.groupBy(*self.group_cols).agg(F.avg(v).alias("_mean"),
-                                                     F.stddev_samp(v).alias("_std"))
+            # Every group (NULL included) has a stats row, so an inner join on
+            # null-safe equality keeps exactly the rows of a left join, and it
+            # infers no one-sided IS NOT NULL filter: both branches then share
+            # one count shuffle (exchange reuse) instead of computing it twice.
+            keyed = {c: f"_g_{c}" for c in self.group_cols}
+            stats = df.groupBy(*[F.col(c).alias(k) for c, k in keyed.items()]) \
+                .agg(F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"))
             stats = bounded_broadcast(stats, self.broadcast_max_rows)
-            scored = df.join(stats, self.group_cols, "left")
+            cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in keyed.items()]
+            scored = df.join(stats, cond, "inner").drop(*keyed.values())
         z = (v - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
         out = _finish(scored, z, F.lit(self.threshold), F.col("score") > F.col("threshold"),
                       "zscore", "zscore_threshold", self.high_factor)

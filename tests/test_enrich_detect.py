@@ -85,3 +85,12 @@ def test_detect_unions_detectors(spark):
     out = detect(s, [ZScoreDetector(2.0), FixedCountDetector(5)])
     assert sorted(r["detector_type"] for r in out.collect()) == ["fixed_count", "zscore"]
     assert detect(s, []) is None
+
+
+def test_zscore_grouped_null_group_is_its_own_group(spark):
+    a = _counts(spark, [2] * 9 + [100]).withColumn("g", F.lit(None).cast("string"))
+    b = _counts(spark, [5] * 10).withColumn("g", F.lit("b"))
+    scored = ZScoreDetector(2.0, group_cols=["g"]).score(a.unionByName(b))
+    assert scored.count() == 20
+    out = [(r["g"], r["event_count"]) for r in scored.filter("is_anomaly").collect()]
+    assert out == [(None, 100)]
