@@ -83,6 +83,8 @@ class EngineConfig:
     kmeans_k: int = DEFAULT_KMEANS_K
     kmeans_seed: int = DEFAULT_KMEANS_SEED
     threshold_quantile: float = DEFAULT_THRESHOLD_QUANTILE
+    # percentile_approx accuracy (Spark's default); relative error is 1/accuracy
+    threshold_accuracy: int = 10000
     # Ours: the reference has no severity tiers; an anomaly is "high" when its
     # score reaches this multiple of the threshold, else "medium".
     severity_high_factor: float = 1.5

@@ -50,7 +50,8 @@ def fit(frame: DataFrame, cfg: EngineConfig | None = None, checkpointed: bool =
         frame = checkpoint_frame(frame)
     model = build_pipeline(cfg).fit(frame)
     scored = KMeansModelDetector(model, threshold=float("inf")).score(frame)
-    threshold = scored.select(F.percentile_approx("score", cfg.threshold_quantile)).first()[0]
+    threshold = scored.select(F.percentile_approx("score", cfg.threshold_quantile,
+                                                  cfg.threshold_accuracy)).first()[0]
     return model, float(threshold)
 
 
