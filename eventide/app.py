@@ -48,8 +48,10 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--jdbc-user")
     v.add_argument("--jdbc-password")
     a = sub.add_parser("alerts")
-    a.add_argument("--source", required=True)
+    a.add_argument("--source", help="folder of alert JSON lines")
+    a.add_argument("--kafka", help="bootstrap servers; read the alert topic instead")
     a.add_argument("--sinks", required=True)
+    a.add_argument("--available-now", action="store_true")
     return p
 
 
@@ -120,8 +122,12 @@ def main(argv=None) -> None:
                     {"user": args.jdbc_user or "", "password": args.jdbc_password or ""})
         return
     if args.cmd == "alerts":
+        from eventide.sources.stream import kafka_source
         from eventide.streaming.alerts import AlertJob, alert_source
-        AlertJob(spark, SinkPaths(args.sinks)).start(alert_source(spark, args.source)).awaitTermination()
+        src = kafka_source(spark, args.kafka, cfg.alert_topic, cfg) if args.kafka \
+            else alert_source(spark, args.source)
+        trigger = "availableNow" if args.available_now else "1 second"
+        AlertJob(spark, SinkPaths(args.sinks)).start(src, trigger).awaitTermination()
         return
     from eventide.operators.detect import detectors_from_config
     from eventide.sources.artifacts import load_pipeline_model, load_threshold

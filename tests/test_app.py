@@ -48,3 +48,8 @@ def test_cli_train_then_stream(spark, tmp_dir):
     assert summary.count() == summary.select(*key).distinct().count()
     table = spark.read.parquet(f"{tmp_dir}/tables/anomalous_events")
     assert table.count() == table.select(*key).distinct().count() > 0
+
+    app.main(["alerts", "--source", f"{tmp_dir}/sinks/alerts_1min_action", "--sinks",
+              f"{tmp_dir}/alert_job", "--available-now"])
+    archived = spark.read.text(f"{tmp_dir}/alert_job/alert_archive").count()
+    assert archived == len(alerts)
