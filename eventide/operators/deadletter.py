@@ -29,12 +29,13 @@ def dlq_json(records: DataFrame) -> DataFrame:
 
 def sink_violations(df: DataFrame, max_lengths: dict, required: Sequence[str] = ("user_id", "product_id", "action", "timestamp")) -> Column:
     """Per-row check of the raw table's constraints (NOT NULL, column widths):
-    the reason text, or NULL when the row fits. Replaces all-or-nothing chunk
-    failures with per-row routing."""
-    parts = [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in required if c in df.columns]
+    the reason text (``sink_`` prefixed, so it never reads as a data-quality
+    reason), or NULL when the row fits. Replaces all-or-nothing chunk failures
+    with per-row routing."""
+    parts = [F.when(F.col(c).isNull(), F.lit(f"sink_null_{c}")) for c in required if c in df.columns]
     for c, n in max_lengths.items():
         if c in df.columns:
-            parts.append(F.when(F.length(F.col(c)) > n, F.lit(f"{c}_too_long")))
+            parts.append(F.when(F.length(F.col(c)) > n, F.lit(f"sink_{c}_too_long")))
     return F.nullif(F.concat_ws(",", *parts), F.lit(""))
 
 

@@ -172,7 +172,7 @@ def oracles(batch_sql: dict[str, str]) -> dict[str, str]:
            "AND event_time IS NOT NULL")
     parsed = f"parsed AS (SELECT * FROM ev WHERE {req})"
     sink_reason = "NULLIF(concat_ws(',', " + ", ".join(
-        f"CASE WHEN length({c}) > {n} THEN '{c}_too_long' END"
+        f"CASE WHEN length({c}) > {n} THEN 'sink_{c}_too_long' END"
         for c, n in CFG.sink_max_lengths.items()) + "), '')"
     z = CFG.z_threshold
     zs = f"""WITH {O.EVENTS_CTE.strip()}, {parsed},

@@ -69,3 +69,21 @@ def test_compact_folds_log_into_view(spark, tmp_dir):
     changelog.compact(spark, log_path, f"{out}_first", ["user_id"], keep="first")
     first = {r["user_id"]: r["n"] for r in spark.read.parquet(f"{out}_first").collect()}
     assert first == {1: 1, 2: 5}
+
+
+def test_sink_constraints_route_rows_not_chunks(spark):
+    import datetime as dt
+    from eventide.config import EngineConfig
+    from eventide.functions import quality
+    from eventide.operators.deadletter import raw_sink_rows, sink_violations
+    t = dt.datetime(2025, 9, 20)
+    df = spark.createDataFrame(
+        [(1, 2, "click", "2025-09-20 00:00:00", t, "x" * 150), (1, 2, "click", "2025-09-20 00:00:00", t, "HN")],
+        "user_id int, product_id int, action string, timestamp string, event_time timestamp, location string")
+    for c in ("device_id", "device_type", "user_segment", "ip_address"):
+        df = df.withColumn(c, F.lit(None).cast("string"))
+    cfg = EngineConfig()
+    tagged = quality.with_dq_reason(df, cfg, t).withColumn(
+        "sink", sink_violations(raw_sink_rows(df), cfg.sink_max_lengths))
+    got = sorted((len(r["location"]), r["dq_reason"], r["sink"]) for r in tagged.collect())
+    assert got == [(2, None, None), (150, None, "sink_location_too_long")]
