@@ -29,6 +29,9 @@ def build_session(master: str | None = None, app_name: str = "eventide",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # one memory budget per executor for all RocksDB instances (block cache +
+        # write buffers), instead of unbounded native memory per state partition
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

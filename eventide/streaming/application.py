@@ -76,7 +76,8 @@ class EventStreamApp:
                  dedup_raw: bool = False, repartition_by_user: int | None = None,
                  kafka_brokers: str | None = None, raw_jdbc: dict | None = None,
                  copy_text: bool = False, action_detectors: Sequence[Detector] = (),
-                 state_partitions: int | None = None, summary_source: str = "raw"):
+                 state_partitions: int | None = None, summary_source: str = "raw",
+                 sink_files: int | None = None):
         """``repartition_by_user``: hash-partition parsed rows by user_id into
         that many partitions (off by default: the stateful aggregation
         re-shuffles on (window, user_id) anyway). ``kafka_brokers``: also send
@@ -94,7 +95,9 @@ class EventStreamApp:
         read the archive (an exactly-once parquet file sink) as a stream instead
         of decoding the topic again, so each event is decoded twice (route,
         archive) rather than four times; the windows then trail the archive by
-        one trigger."""
+        one trigger. ``sink_files``: merge each micro-batch's output into at
+        most that many files per sink (the batch is cached, so only the write
+        tasks are merged); a compaction job folds older batches."""
         if summary_source not in ("raw", "archive"):
             raise ValueError("summary_source must be 'raw' or 'archive'")
         self.summary_source = summary_source
@@ -105,6 +108,7 @@ class EventStreamApp:
         self.kafka_brokers, self.raw_jdbc, self.copy_text = kafka_brokers, raw_jdbc, copy_text
         self.action_detectors = list(action_detectors)
         self.state_partitions = state_partitions
+        self.sink_files = sink_files
         self.queries: dict[str, StreamingQuery] = {}
 
     # --- plan pieces -----------------------------------------------------------
@@ -139,6 +143,9 @@ class EventStreamApp:
 
     # --- foreachBatch handlers --------------------------------------------------
 
+    def _files(self, df: DataFrame) -> DataFrame:
+        return df.coalesce(self.sink_files) if self.sink_files else df
+
     def route_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         """Validate and route one micro-batch (tagged and cached once, read by each sink)."""
         reason = F.coalesce(F.col("parse_reason"), F.col("dq_reason"),
@@ -152,7 +159,7 @@ class EventStreamApp:
             rejected = tagged.filter(F.col("reject_reason").isNotNull())
             good, good_obs = observed(
                 raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")), f"raw_{batch_id}")
-            write_batch_parquet(good, self.sinks.raw, batch_id)
+            write_batch_parquet(self._files(good), self.sinks.raw, batch_id)
             if self.copy_text:
                 write_batch_json(to_copy_text(raw_sink_rows(valid), RAW_COLS), self.sinks.path("raw_copy"),
                                  batch_id, value_col="line")
@@ -162,7 +169,7 @@ class EventStreamApp:
             recs = dlq_records(rejected, batch_id, reason_col="reject_reason",
                                row_cols=RAW_COLS + ["event_time", "_raw"])
             bad, bad_obs = observed(dlq_json(recs), f"dlq_{batch_id}")
-            write_batch_json(bad, self.sinks.dlq, batch_id)
+            write_batch_json(self._files(bad), self.sinks.dlq, batch_id)
             if self.kafka_brokers:
                 write_batch_kafka(dlq_json(recs), self.kafka_brokers, self.cfg.dlq_topic)
             write_batch_parquet(metrics_row(self.spark, "raw_batch", batch_id,
@@ -183,7 +190,7 @@ class EventStreamApp:
                 (["action"] if "action" in summary.columns else [])
             out, obs = observed(summary.select(*keys, "event_count"),
                                 f"summary_{window_type}_{batch_id}")
-            write_batch_parquet(out, self.sinks.summary(window_type), batch_id)
+            write_batch_parquet(self._files(out), self.sinks.summary(window_type), batch_id)
             n_records = observed_rows(obs)
             n_anom = 0
             dets = self._detectors() if detectors is None else detectors
@@ -198,7 +205,7 @@ class EventStreamApp:
                                  "detector_type", "score", "threshold", "severity", "reason",
                                  F.current_timestamp().alias("detected_at")),
                     f"anomalies_{window_type}_{batch_id}")
-                write_batch_parquet(anom, self.sinks.anomalies(window_type), batch_id)
+                write_batch_parquet(self._files(anom), self.sinks.anomalies(window_type), batch_id)
                 n_anom = observed_rows(anom_obs)
                 if n_anom:
                     recs = alert_records(found, batch_id)

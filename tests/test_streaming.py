@@ -212,3 +212,15 @@ def test_hot_user_stream_equals_batch(spark, tmp_dir):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     hot = streamed.filter("user_id = 1").agg(F.sum("event_count")).first()[0]
     assert hot == 12 * 200
+
+
+def test_sink_files_caps_files_per_batch(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    _drop_file(src, 0, [_event(s, user=u) for s in range(20) for u in range(1, 30)])
+    sinks = SinkPaths(f"{tmp_dir}/sinks")
+    pipe = EventStreamApp(spark, sinks, EngineConfig(), sink_files=1, state_partitions=4)
+    pipe.start(file_source(spark, src), trigger="availableNow", which=("summary_5s",))
+    pipe.await_all()
+    files = [f for f in os.listdir(f"{sinks.summary('5s')}/batch_id=0") if f.endswith(".parquet")]
+    assert len(files) == 1
+    assert spark.read.parquet(sinks.summary("5s")).agg(F.sum("event_count")).first()[0] == 20 * 29
