@@ -29,6 +29,21 @@ DEFAULT_DLQ_TOPIC = "dead_letter_topic"
 DEFAULT_KMEANS_K = 5
 DEFAULT_KMEANS_SEED = 42
 DEFAULT_THRESHOLD_QUANTILE = 0.95
+# Bulk-load text: NULL token and timestamp layout.
+COPY_NULL_TOKEN = "\\N"
+COPY_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Alert timestamps: ISO-8601 to the second.
+ALERT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+# Severities that are delivered as notifications; the rest are only archived.
+NOTIFY_SEVERITIES = ("high", "medium")
+# Detector type and reason literals of the anomaly table and alerts.
+DETECTOR_ZSCORE, DETECTOR_KMEANS = "zscore", "kmeans"
+REASON_DISTANCE, REASON_MODEL = "distance_threshold", "model_detected"
+# Notification text (placeholders: user id, name, region, count, window start,
+# window end, detector, score, severity); missing name/region read "Unknown".
+ALERT_MESSAGE_FORMAT = ("⚠️ Anomaly detected:\nUser: %d (%s)\nRegion: %s\nCount: %d\n"
+                        "Window: %s - %s\nScore (%s): %.4f\nSeverity: %s")
+UNKNOWN = "Unknown"
 # -----------------------------------------------------------------------------
 
 _UNIT_SECONDS = {

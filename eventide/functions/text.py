@@ -8,8 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-NULL_TOKEN = "\\N"
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+from eventide.config import COPY_NULL_TOKEN as NULL_TOKEN, COPY_TS_FORMAT as TS_FORMAT
 
 
 def field_text(c: Column, dtype: str) -> Column:

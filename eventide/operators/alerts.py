@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.schemas import ALERT_REQUIRED, ALERT_SCHEMA, JSON_OPTIONS
 
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-NOTIFY_SEVERITIES = ("high", "medium")
+from eventide.config import (ALERT_MESSAGE_FORMAT, ALERT_TS_FORMAT as ISO_SECONDS,
+                             NOTIFY_SEVERITIES, UNKNOWN)
 
 
 def iso(c: Column) -> Column:
@@ -70,10 +70,9 @@ def split_alerts(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def alert_message() -> Column:
     """Multi-line notification text; unknown name or region reads ``Unknown``."""
     return F.format_string(
-        "⚠️ Anomaly detected:\nUser: %d (%s)\nRegion: %s\nCount: %d\nWindow: %s - %s\n"
-        "Score (%s): %.4f\nSeverity: %s",
-        F.col("user_id"), F.coalesce(F.col("user_name"), F.lit("Unknown")),
-        F.coalesce(F.col("region"), F.lit("Unknown")), F.col("event_count"),
+        ALERT_MESSAGE_FORMAT,
+        F.col("user_id"), F.coalesce(F.col("user_name"), F.lit(UNKNOWN)),
+        F.coalesce(F.col("region"), F.lit(UNKNOWN)), F.col("event_count"),
         F.col("window_start"), F.col("window_end"),
         F.coalesce(F.col("detector_type"), F.lit("unknown")), F.round(F.col("score"), 4),
         F.col("severity"))

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.config import EngineConfig
+from eventide.config import (DETECTOR_KMEANS, DETECTOR_ZSCORE, REASON_DISTANCE, REASON_MODEL,
+                             EngineConfig)
 from eventide.functions.vectors import distance_to_assigned, matrix_literal, nearest_center
 from eventide.operators.joins import bounded_broadcast
 
@@ -88,7 +89,7 @@ class ZScoreDetector(Detector):
             scored = df.join(stats, cond, "inner").drop(*keyed.values())
         z = (v - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
         out = _finish(scored, z, F.lit(self.threshold), F.col("score") > F.col("threshold"),
-                      "zscore", "zscore_threshold", self.high_factor)
+                      DETECTOR_ZSCORE, "zscore_threshold", self.high_factor)
         return out.drop("_mean", "_std")
 
 
@@ -130,7 +131,7 @@ class CentroidDistanceDetector(Detector):
                     .withColumn("cluster", F.col("_near.cluster"))
             dist = F.col("_near.distance")
         out = _finish(out, dist, F.lit(self.threshold), F.col("score") > F.col("threshold"),
-                      "kmeans", "distance_threshold", self.high_factor)
+                      DETECTOR_KMEANS, REASON_DISTANCE, self.high_factor)
         return out.drop("_near")
 
 
@@ -182,7 +183,7 @@ class PredictionDetector(Detector):
         out = self.model.transform(df)
         flag = F.col(self.prediction_col) == F.lit(-1)
         return _finish(out, F.when(flag, F.lit(1.0)).otherwise(F.lit(0.0)), F.lit(0.5), flag,
-                       "model", "model_detected", self.high_factor)
+                       "model", REASON_MODEL, self.high_factor)
 
 
 def detectors_from_config(cfg: EngineConfig, model=None, threshold: float | None = None,

@@ -3,10 +3,12 @@ batch plans, over the driver tables registered as views."""
 
 from __future__ import annotations
 
+from eventide.config import ALERT_MESSAGE_FORMAT as MSG, NOTIFY_SEVERITIES, UNKNOWN
 from eventide.plans import batch as B
 
 VALID_ACTIONS_SQL = ", ".join(f"'{a}'" for a in B.CFG.valid_actions)
 MAX_LOC = B.CFG.max_location_len
+NOTIFY_SQL = ", ".join(f"'{v}'" for v in NOTIFY_SEVERITIES)
 Z = B.CFG.z_threshold
 HIGH = B.CFG.severity_high_factor
 N_FIXED = B.CFG.count_threshold
@@ -224,10 +226,10 @@ FROM tagged WHERE dq_reason IS NOT NULL""",
 SELECT user_id, user_name, region, ws AS window_start, we AS window_end, event_count,
        'zscore' AS detector_type, round(score, 6) AS score, CAST({Z} AS DOUBLE) AS threshold, severity
 FROM a""",
-        "alert_message": alerts_base + """
+        "alert_message": alerts_base + f"""
 SELECT user_id, severity,
-       printf('⚠️ Anomaly detected:\nUser: %d (%s)\nRegion: %s\nCount: %d\nWindow: %s - %s\nScore (%s): %.4f\nSeverity: %s',
-              user_id, coalesce(user_name, 'Unknown'), coalesce(region, 'Unknown'), event_count,
+       printf('{MSG}',
+              user_id, coalesce(user_name, '{UNKNOWN}'), coalesce(region, '{UNKNOWN}'), event_count,
               ws, we, 'zscore', round(score, 4), severity) AS message
-FROM a WHERE severity IN ('high', 'medium')""",
+FROM a WHERE severity IN ({NOTIFY_SQL})""",
     }

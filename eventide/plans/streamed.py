@@ -167,6 +167,7 @@ def registered() -> dict:
 
 
 def oracles(batch_sql: dict[str, str]) -> dict[str, str]:
+    from eventide.config import ALERT_MESSAGE_FORMAT as MSG, UNKNOWN
     from eventide.plans import oracle as O
     req = ("user_id IS NOT NULL AND product_id IS NOT NULL AND action IS NOT NULL "
            "AND event_time IS NOT NULL")
@@ -203,8 +204,8 @@ SELECT 'agg_batch', '1min', count(*), CAST(0 AS BIGINT), count(*) FILTER (WHERE
 SELECT user_id, window_start, window_end, event_count FROM a WHERE score > {z}""",
         "stream_alert_notifications": zs + f"""
 SELECT user_id, {sev} AS severity,
-       printf('⚠️ Anomaly detected:\nUser: %d (%s)\nRegion: %s\nCount: %d\nWindow: %s - %s\nScore (%s): %.4f\nSeverity: %s',
-              user_id, coalesce(user_name, 'Unknown'), coalesce(region, 'Unknown'), event_count,
+       printf('{MSG}',
+              user_id, coalesce(user_name, '{UNKNOWN}'), coalesce(region, '{UNKNOWN}'), event_count,
               strftime(window_start, '%Y-%m-%dT%H:%M:%S'), strftime(window_end, '%Y-%m-%dT%H:%M:%S'),
               'zscore', round(score, 4), {sev}) AS message
 FROM a WHERE score > {z}""",

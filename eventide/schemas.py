@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# --- Fixed values: record layouts that must match the producer and the tables ---
 # JSON envelope payload as the producer writes it (timestamp is a string).
 EVENT_JSON_SCHEMA = T.StructType([
     T.StructField("user_id", T.IntegerType(), False),
