@@ -87,3 +87,10 @@ def test_sink_constraints_route_rows_not_chunks(spark):
         "sink", sink_violations(raw_sink_rows(df), cfg.sink_max_lengths))
     got = sorted((len(r["location"]), r["dq_reason"], r["sink"]) for r in tagged.collect())
     assert got == [(2, None, None), (150, None, "sink_location_too_long")]
+
+
+def test_write_copy_text(spark, tmp_dir):
+    from eventide.functions.text import write_copy_text
+    df = spark.createDataFrame([(1, "a\tb", None)], "a int, b string, c string")
+    write_copy_text(df, ["a", "b", "c"], f"{tmp_dir}/copy")
+    assert [r["value"] for r in spark.read.text(f"{tmp_dir}/copy").collect()] == ["1\ta b\t\\N"]

@@ -47,3 +47,12 @@ def test_action_counts(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a")], "user_id int, action string")
     got = {(r["user_id"], r["action"]): r["event_count"] for r in windows.action_counts(df).collect()}
     assert got == {(1, "a"): 2, (1, "b"): 1, (2, "a"): 1}
+
+
+def test_configured_short_and_long_summaries(spark):
+    base = dt.datetime(2025, 1, 1)
+    df = _events(spark, [base + dt.timedelta(seconds=s) for s in (0, 1, 7, 61)])
+    short = {r["window_start"]: r["event_count"] for r in windows.short_summary(df).collect()}
+    assert short == {base: 2, base + dt.timedelta(seconds=5): 1, base + dt.timedelta(seconds=60): 1}
+    long = windows.long_summary(df)
+    assert long.agg(F.sum("event_count")).first()[0] == 12 * 4
