@@ -37,11 +37,16 @@ def _finish(df: DataFrame, score: Column, threshold: Column, flag: Column, detec
 class Detector:
     name = "detector"
 
-    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:  # pragma: no cover
+    def score(self, df: DataFrame, eager: bool = False, stats: dict | None = None
+              ) -> DataFrame:  # pragma: no cover
         raise NotImplementedError
 
-    def anomalies(self, df: DataFrame, eager: bool = False) -> DataFrame:
-        return self.score(df, eager).filter(F.col("is_anomaly"))
+    def anomalies(self, df: DataFrame, eager: bool = False, stats: dict | None = None
+                  ) -> DataFrame:
+        """Rows flagged by the detector. ``stats`` maps a value column to an
+        already known ``(mean, stddev)`` of ``df`` (e.g. observed while the
+        batch was written), which detectors that need them may use."""
+        return self.score(df, eager, stats).filter(F.col("is_anomaly"))
 
 
 class ZScoreDetector(Detector):
@@ -65,15 +70,18 @@ class ZScoreDetector(Detector):
         self.group_cols, self.high_factor = list(group_cols), high_factor
         self.broadcast_max_rows = broadcast_max_rows
 
-    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False, stats: dict | None = None) -> DataFrame:
         v = F.col(self.value_col).cast("double")
+        known = (stats or {}).get(self.value_col)
         if not self.group_cols:
-            stats = df.select(F.struct(F.avg(v).alias("m"), F.stddev_samp(v).alias("s")))
-            if eager:
-                row = stats.first()[0]
+            agg = df.select(F.struct(F.avg(v).alias("m"), F.stddev_samp(v).alias("s")))
+            if known is not None:
+                mean, std = F.lit(known[0]).cast("double"), F.lit(known[1]).cast("double")
+            elif eager:
+                row = agg.first()[0]
                 mean, std = F.lit(row["m"]).cast("double"), F.lit(row["s"]).cast("double")
             else:
-                sub = stats.scalar()
+                sub = agg.scalar()
                 mean, std = sub.getField("m"), sub.getField("s")
             scored = df.withColumn("_mean", mean).withColumn("_std", std)
         else:
@@ -101,7 +109,8 @@ class FixedCountDetector(Detector):
     def __init__(self, threshold: int = 5, value_col: str = "event_count", high_factor: float = 1.5):
         self.threshold, self.value_col, self.high_factor = threshold, value_col, high_factor
 
-    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False, stats: dict | None = None
+              ) -> DataFrame:
         return _finish(df, F.col(self.value_col), F.lit(self.threshold),
                        F.col("score") > F.col("threshold"), "fixed_count", "count_threshold",
                        self.high_factor)
@@ -120,7 +129,8 @@ class CentroidDistanceDetector(Detector):
         self.threshold, self.features = float(threshold), features
         self.cluster_col, self.high_factor = cluster_col, high_factor
 
-    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False, stats: dict | None = None
+              ) -> DataFrame:
         centers = matrix_literal(self.centers)
         feats = F.col(self.features)
         if self.cluster_col:
@@ -160,7 +170,8 @@ class KMeansModelDetector(Detector):
         self.model, self.threshold, self.high_factor = model, float(threshold), high_factor
         self.features_col, self.cluster_col = features_col, cluster_col
 
-    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False, stats: dict | None = None
+              ) -> DataFrame:
         from pyspark.ml.functions import vector_to_array
         centers = [list(map(float, c)) for c in self.model.stages[-1].clusterCenters()]
         pred = self.model.transform(df).withColumn("_f", vector_to_array(F.col(self.features_col)))
@@ -179,7 +190,8 @@ class PredictionDetector(Detector):
     def __init__(self, model, prediction_col: str = "prediction", high_factor: float = 1.5):
         self.model, self.prediction_col, self.high_factor = model, prediction_col, high_factor
 
-    def score(self, df: DataFrame, eager: bool = False) -> DataFrame:
+    def score(self, df: DataFrame, eager: bool = False, stats: dict | None = None
+              ) -> DataFrame:
         out = self.model.transform(df)
         flag = F.col(self.prediction_col) == F.lit(-1)
         return _finish(out, F.when(flag, F.lit(1.0)).otherwise(F.lit(0.0)), F.lit(0.5), flag,
@@ -203,9 +215,10 @@ def detectors_from_config(cfg: EngineConfig, model=None, threshold: float | None
     return out
 
 
-def detect(df: DataFrame, detectors: Sequence[Detector], eager: bool = False) -> DataFrame | None:
+def detect(df: DataFrame, detectors: Sequence[Detector], eager: bool = False,
+           stats: dict | None = None) -> DataFrame | None:
     """Anomalies of every detector, unioned by name; None when there is no detector."""
-    parts = [d.anomalies(df, eager) for d in detectors]
+    parts = [d.anomalies(df, eager, stats) for d in detectors]
     if not parts:
         return None
     out = parts[0]

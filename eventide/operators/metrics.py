@@ -17,10 +17,22 @@ METRICS_SCHEMA = T.StructType([
 ])
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that fills in as a side effect of the next action."""
+def observed(df: DataFrame, name: str, moments_of: str | None = None
+             ) -> tuple[DataFrame, Observation]:
+    """Attach a row counter (and, with ``moments_of``, the mean and sample
+    standard deviation of that column) that fills in as a side effect of the
+    next action."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if moments_of:
+        v = F.col(moments_of).cast("double")
+        metrics += [F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")]
+    return df.observe(obs, *metrics), obs
+
+
+def observed_moments(obs: Observation) -> tuple[float | None, float | None]:
+    got = obs.get
+    return got.get("mean"), got.get("std")
 
 
 def observed_rows(obs: Observation) -> int:

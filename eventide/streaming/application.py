@@ -33,7 +33,7 @@ from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows,
 from eventide.operators.detect import Detector, detect
 from eventide.operators.enrich import enrich
 from eventide.operators.joins import fits_in_rows
-from eventide.operators.metrics import metrics_row, observed, observed_rows
+from eventide.operators.metrics import metrics_row, observed, observed_moments, observed_rows
 from eventide.schemas import RAW_COLS
 from eventide.sources.jdbc import write_jdbc
 from eventide.streaming.sinks import SinkPaths, write_batch_json, write_batch_kafka, write_batch_parquet
@@ -189,12 +189,14 @@ class EventStreamApp:
             keys = ["window_start", "window_end", "user_id"] + \
                 (["action"] if "action" in summary.columns else [])
             out, obs = observed(summary.select(*keys, "event_count"),
-                                f"summary_{window_type}_{batch_id}")
+                                f"summary_{window_type}_{batch_id}", moments_of="event_count")
             write_batch_parquet(self._files(out), self.sinks.summary(window_type), batch_id)
             n_records = observed_rows(obs)
             n_anom = 0
             dets = self._detectors() if detectors is None else detectors
-            found = detect(summary, dets, eager=True)
+            # the z-score statistics were observed during the write: no extra pass
+            found = detect(summary, dets, eager=True,
+                           stats={"event_count": observed_moments(obs)})
             if found is not None:
                 # names and regions are looked up for the anomalies only
                 if self.users is not None:
