@@ -94,3 +94,38 @@ def test_write_copy_text(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a\tb", None)], "a int, b string, c string")
     write_copy_text(df, ["a", "b", "c"], f"{tmp_dir}/copy")
     assert [r["value"] for r in spark.read.text(f"{tmp_dir}/copy").collect()] == ["1\ta b\t\\N"]
+
+
+def _one_anomaly(spark):
+    import datetime as dt
+    from eventide.operators.detect import FixedCountDetector
+    w0 = dt.datetime(2025, 9, 20, 10, 0, 0)
+    df = spark.createDataFrame([(w0, w0.replace(second=5), 7, 9, "Alice", "HN")],
+                               "window_start timestamp_ntz, window_end timestamp_ntz, user_id int, "
+                               "event_count long, user_name string, region string")
+    return FixedCountDetector(5).anomalies(df)
+
+
+def test_alert_record_fields_and_iso_times(spark):
+    import json
+    from eventide.operators.alerts import alert_records, to_kafka_rows
+    recs = alert_records(_one_anomaly(spark), batch_id=3,
+                         detected_at=F.lit("2025-09-21 12:00:00").cast("timestamp_ntz"))
+    row = to_kafka_rows(recs).first()
+    msg = json.loads(row["value"])
+    assert row["key"] == "7"
+    assert msg["window_start"] == "2025-09-20T10:00:00" and msg["window_end"] == "2025-09-20T10:00:05"
+    assert msg["detected_at"] == "2025-09-21T12:00:00"
+    assert (msg["event_count"], msg["severity"], msg["detector_type"], msg["batch_id"]) == \
+        (9, "high", "fixed_count", 3)
+    assert (msg["user_name"], msg["region"], msg["threshold"]) == ("Alice", "HN", 5.0)
+
+
+def test_anomaly_document_fields(spark):
+    import json
+    from eventide.operators.alerts import alert_records, anomaly_documents
+    doc = json.loads(anomaly_documents(alert_records(_one_anomaly(spark), batch_id=0)).first()["value"])
+    assert doc["type"] == "anomaly"
+    assert {"user_id", "event_count", "window_start", "window_end", "distance", "severity",
+            "user_name", "region", "detected_at"} <= set(doc)
+    assert doc["distance"] == 9.0
