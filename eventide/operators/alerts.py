@@ -59,7 +59,11 @@ def parse_alerts(raw: DataFrame) -> DataFrame:
 
 
 def split_alerts(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(well-formed, invalid-schema) by the required fields."""
+    """(well-formed, invalid-schema) by the required fields.
+
+    Persist ``parsed`` first when both sides (or further filters) are used:
+    otherwise Catalyst pushes the filters below the ``from_json`` projection
+    and each alert is parsed again inside the filter."""
     ok = F.lit(True)
     for c in ALERT_REQUIRED:
         ok = ok & F.col(c).isNotNull()
