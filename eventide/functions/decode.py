@@ -100,8 +100,13 @@ def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "js
         data = decode_avro_struct(F.col("value"), avro_schema, framed)
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    df = raw.select(data.alias("data"), F.col("value").cast("string").alias("_raw"),
-                    *[F.col(c).alias(f"_src_{c}") for c in extra])
+    # Decode inside a one-element explode: filters on decoded fields cannot be
+    # pushed below a generator, so Catalyst does not copy the decode into them
+    # (through a plain projection it would, and every record would be parsed
+    # twice: once in the filter, once in the projection).
+    decoded = F.struct(data.alias("data"), F.col("value").cast("string").alias("_raw"),
+                       *[F.col(c).alias(f"_src_{c}") for c in extra])
+    df = raw.select(F.explode(F.array(decoded)).alias("_rec")).select("_rec.*")
     names = [f.name for f in EVENT_JSON_SCHEMA.fields]
     ts = F.col("data.timestamp")
     event_time = event_time_from_millis(ts) if fmt == "avro" else event_time_from_string(ts)
