@@ -105,13 +105,15 @@ def word_spans(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.nd
     return edge[::2], edge[1::2]
 
 
-def head_hash(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of the first ``width`` bytes of each span."""
-    padded = np.concatenate((data, np.zeros(width, np.uint8)))
-    h = np.full(len(starts), 0x9E3779B97F4A7C15, np.uint64)
-    for j in range(width):
+def head_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, widths: tuple[int, ...]) -> list[np.ndarray]:
+    """64-bit hashes of the first bytes of each span, one for each (rising) width."""
+    padded = np.concatenate((data, np.zeros(widths[-1], np.uint8)))
+    h, out = np.full(len(starts), 0x9E3779B97F4A7C15, np.uint64), []
+    for j in range(widths[-1]):
         byte = padded[starts + j].astype(np.uint64) + np.uint64(1)
         byte[lengths <= j] = 0
         h = (h ^ byte) * np.uint64(0x100000001B3)
         h ^= h >> np.uint64(29)
-    return h
+        if j + 1 in widths:
+            out.append(h)
+    return out

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.llm.blocks import (blocks, head_hash, keyed_texts, labelled_sample, small_batches, utf8,
+from eventide.llm.blocks import (blocks, head_hashes, keyed_texts, labelled_sample, small_batches, utf8,
                                  word_spans)
 
 PASSAGE_WORDS = 64
@@ -77,7 +77,7 @@ def passages(data: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np
     found = np.bincount(of_byte[:-1] * PAIR_BUCKETS + pair, minlength=n * PAIR_BUCKETS)
     out[:, _CLASSES:_CLASSES + PAIR_BUCKETS] = np.sqrt(found.reshape(n, -1) / size[:, None])
     words = np.bincount(of_word, minlength=n)
-    h = head_hash(data, begin, end - begin, 8)
+    h = head_hashes(data, begin, end - begin, (8,))[0]
     same = np.zeros(len(h))
     same[1:] = (h[1:] == h[:-1]) & (of_word[1:] == of_word[:-1])
     order = np.lexsort((h, of_word))

@@ -21,15 +21,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.llm.blocks import (blocks, head_hash, keyed_texts, labelled_sample, small_batches, utf8,
+from eventide.llm.blocks import (blocks, head_hashes, keyed_texts, labelled_sample, small_batches, utf8,
                                  word_spans)
 
 #: Weights, a power of two.
 BUCKETS = 1 << 18
 #: Bytes of a word's beginnings that count as features beside the word itself.
-HEADS = (4, 5)
+HEADS = (4, 5, 6, 7)
 #: Labelled rows the weights are fitted on, at most.
-LEARN_ROWS = 12_000
+LEARN_ROWS = 10_000
 
 IS_LETTER = np.zeros(256, bool)
 IS_LETTER[list(range(48, 58)) + list(range(65, 91)) + list(range(97, 123)) + list(range(128, 256))] = True
@@ -39,6 +39,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(20)) % np.uint64(BUCKETS - 1) + np.uint64(1)
+
+
 def sentence_words(data: np.ndarray, starts: np.ndarray):
     """Of a block: features (one row for each kind) of the words, the sentence of
     each word, begin and end (bytes) and piece of each sentence."""
@@ -48,11 +52,10 @@ def sentence_words(data: np.ndarray, starts: np.ndarray):
         return np.zeros((1 + len(HEADS), 0), np.int32), empty, empty, empty, empty
     low = LOWER[data]
     length = end - begin
-    whole = head_hash(low, begin, length, 16)
-    kinds = [(whole ^ (length.astype(np.uint64) << np.uint64(40))) % np.uint64(BUCKETS - 1) + np.uint64(1)]
-    for k in HEADS:
-        h = (head_hash(low, begin, np.minimum(length, k), k) ^ np.uint64(k * 0x9E3779B1)) * np.uint64(0xD6E8FEB86659FD93)
-        h = (h >> np.uint64(20)) % np.uint64(BUCKETS - 1) + np.uint64(1)
+    *heads, whole = head_hashes(low, begin, length, (*HEADS, 16))
+    kinds = [_bucket(whole ^ (length.astype(np.uint64) << np.uint64(40)))]
+    for k, h in zip(HEADS, heads):
+        h = _bucket((h ^ np.uint64(k * 0x9E3779B1)) * np.uint64(0xD6E8FEB86659FD93))
         h[length <= k] = 0  # bucket 0 has weight 0
         kinds.append(h)
     stop = np.flatnonzero(ENDS[data])
@@ -69,8 +72,8 @@ def softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def train(features: list[np.ndarray], sentences: list[np.ndarray], y: np.ndarray, epochs: int = 8, batch: int = 100,
-          rate: float = 0.3, decay: float = 1e-6, start: float = -7.0, seed: int = 11) -> np.ndarray | None:
+def train(features: list[np.ndarray], sentences: list[np.ndarray], y: np.ndarray, epochs: int = 12, batch: int = 100,
+          rate: float = 0.5, decay: float = 1e-6, start: float = -7.0, seed: int = 11) -> np.ndarray | None:
     """Weights, the last being the bias. ``features[d]``: kinds x words;
     ``sentences[d]``: the sentence of each word, from 0."""
     if not len(y) or y.min() == y.max():
@@ -93,13 +96,13 @@ def train(features: list[np.ndarray], sentences: list[np.ndarray], y: np.ndarray
             label = y[docs]
             # d log(1 - e^-S) = e^-S / (1 - e^-S) for label 1, -1 for label 0
             outer = np.where(label > 0, 1 / np.expm1(np.clip(total, 1e-6, 50)), -1.0)
-            g_s = np.repeat(np.clip(outer, -1, 50), n) / (1 + np.exp(-z)) / len(docs)
+            g_s = np.repeat(np.clip(outer, -1, 50), n) / (1 + np.exp(-np.clip(z, -60, 60))) / len(docs)
             per_word = g_s[s]
-            touched, back = np.unique(f, return_inverse=True)
-            g = np.bincount(back.ravel(), np.broadcast_to(per_word, f.shape).ravel(), minlength=len(touched))
-            g -= decay * w[touched]
-            square[touched] += g * g
-            w[touched] += rate * g / np.sqrt(square[touched])
+            g = np.bincount(f.ravel(), np.broadcast_to(per_word, f.shape).ravel(), minlength=BUCKETS + 1)
+            g -= decay * w
+            g[-1] = 0
+            square += g * g
+            w += rate * g / np.sqrt(square)
             g_b = g_s.sum()
             square[-1] += g_b * g_b
             w[-1] += 0.1 * rate * g_b / np.sqrt(square[-1])
