@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import quality_attention, quality_rules, toxicity_mil
+from eventide.llm import bpe_replay, quality_attention, quality_rules, toxicity_mil
 from eventide.sources.tables import read_table
 
 
@@ -24,6 +24,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe_replay.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = read_table(spark, sf_dir, "documents")
+    coded = bpe_replay.decode(bpe_replay.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     fold = toxicity_mil.held_out()
@@ -33,6 +43,6 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_sentences", "offending")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_attention, op4_quality_rules, op10_toxicity_mil)}
+QUERIES = {f.__name__: f for f in (op1_quality_attention, op4_quality_rules, op7_bpe_replay, op10_toxicity_mil)}
 
 ORACLES: dict[str, str] = {}
