@@ -7,12 +7,16 @@ of texts, so memory does not grow with the length of a text or of a batch.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+#: The folder that holds the package.
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows an Arrow batch may hold. Texts of a few kB make batches of a few MB.
 BATCH_ROWS = 500
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -21,6 +25,7 @@ BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: The same as a regular expression of words.
 WORD = r"[^\x20\x09-\x0D]+"
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def col(name: str) -> Column:
@@ -29,7 +34,12 @@ def col(name: str) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts fits a worker."""
+    """Bound the rows of an Arrow batch, so that a batch of long texts fits a worker,
+    and let Python workers find this package where the driver found it."""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, paths)])
     if not 0 < int(spark.conf.get(BATCH_CONF, "10000")) <= BATCH_ROWS:
         spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
 
@@ -117,3 +127,15 @@ def head_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width
         if j + 1 in widths:
             out.append(h)
     return out
+
+
+def word_parts(text: bytes, limit: int = 1 << 20) -> Iterator[bytes]:
+    """``text`` in parts of about ``limit`` bytes, cut at white space only."""
+    at = 0
+    while len(text) - at > limit:
+        found = _BLANK.search(text, at + limit)
+        if not found:
+            break
+        yield text[at:found.start()]
+        at = found.end()
+    yield text[at:] if at else text

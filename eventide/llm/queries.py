@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import bpe_replay, quality_attention, quality_rules, toxicity_mil
+from eventide.llm import bpe_replay, quality_attention, quality_rules, simhash_gph, toxicity_mil
 from eventide.sources.tables import read_table
 
 
@@ -34,6 +34,11 @@ def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_gph.cluster(read_table(spark, sf_dir, "documents"), shingle=3, distance=2, seed=42)
+    return found.select("doc_id", simhash_gph.hex_digits().alias("fingerprint"), "component_id")
+
+
 def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     fold = toxicity_mil.held_out()
@@ -43,6 +48,7 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_sentences", "offending")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_attention, op4_quality_rules, op7_bpe_replay, op10_toxicity_mil)}
+QUERIES = {f.__name__: f for f in (op1_quality_attention, op4_quality_rules, op7_bpe_replay,
+                                  op8_simhash_gph, op10_toxicity_mil)}
 
 ORACLES: dict[str, str] = {}
