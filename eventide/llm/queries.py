@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import bpe_replay, quality_attention, quality_rules, simhash_gph, toxicity_mil
+from eventide.llm import bpe_replay, decontaminate, quality_attention, quality_rules, simhash_gph, toxicity_mil
 from eventide.sources.tables import read_table
 
 
@@ -17,6 +17,11 @@ def op1_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_passages")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                               similarity=0.8, recall=0.99)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality_rules.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -48,7 +53,7 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_sentences", "offending")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_attention, op4_quality_rules, op7_bpe_replay,
+QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op4_quality_rules, op7_bpe_replay,
                                   op8_simhash_gph, op10_toxicity_mil)}
 
 ORACLES: dict[str, str] = {}
