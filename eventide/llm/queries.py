@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import bpe_replay, decontaminate, quality_attention, quality_rules, simhash_gph, toxicity_mil
+from eventide.llm import bpe_replay, decontaminate, hypergeometric_shards, quality_attention, quality_rules, simhash_gph, toxicity_mil
 from eventide.sources.tables import read_table
 
 
@@ -29,6 +29,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op6_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    rows = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.length(text).cast("bigint") + 8).alias("size"), F.crc32(text).alias("text_crc32"))
+    dealt = hypergeometric_shards.shuffle(rows, 24, ["doc_id", "size", "text_crc32"])
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,7 +62,7 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_sentences", "offending")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op4_quality_rules, op7_bpe_replay,
+QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op4_quality_rules, op6_hypergeometric_shards, op7_bpe_replay,
                                   op8_simhash_gph, op10_toxicity_mil)}
 
 ORACLES: dict[str, str] = {}
