@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import bpe_replay, decontaminate, hypergeometric_shards, quality_attention, quality_rules, simhash_gph, toxicity_mil
+from eventide.llm import bpe_replay, decontaminate, hypergeometric_shards, quality_attention, quality_rules, secret_scan, simhash_gph, toxicity_mil
+from eventide.llm.spans import count_of, named
 from eventide.sources.tables import read_table
 
 
@@ -22,6 +23,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                similarity=0.8, recall=0.99)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, kinds = F.col("base"), secret_scan.KINDS
+    return found.select("d.doc_id", *[count_of(base, k).alias(f"n_{name}") for k, name in enumerate(kinds[:3])],
+                        F.sha2(named(base, kinds), 256).alias("base_sha256"), named(F.col("spans"), kinds).alias("spans"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality_rules.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -62,7 +70,7 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_sentences", "offending")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op4_quality_rules, op6_hypergeometric_shards, op7_bpe_replay,
+QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op3_secret_scan, op4_quality_rules, op6_hypergeometric_shards, op7_bpe_replay,
                                   op8_simhash_gph, op10_toxicity_mil)}
 
 ORACLES: dict[str, str] = {}
