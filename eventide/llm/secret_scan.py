@@ -58,7 +58,10 @@ def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float,
     """``struct<first, last>`` (from 0, last exclusive) of the hot windows of an
     ASCII string; first is null if none is hot."""
     codes = F.transform(F.split(run, ""), lambda c: F.ascii(c))
-    size = F.length(run)
+    # what each step adds to the window and drops from it (-1: nothing yet)
+    moves = F.transform(F.arrays_zip(codes.alias("new"), F.concat(F.array_repeat(F.lit(-1), window), codes).alias("old")),
+                        lambda m, k: F.struct(m["new"].alias("new"), m["old"].alias("old"), (k + 1).alias("i")))
+    moves = F.filter(moves, lambda m: m["new"].isNotNull())
 
     def term(c: Column) -> Column:
         return F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
@@ -75,9 +78,8 @@ def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float,
     def is_hex(c: Column) -> Column:
         return (c.between(48, 57) | c.between(97, 102) | c.between(65, 70)).cast("int")
 
-    def step(acc: Column, i: Column) -> Column:
-        new = F.element_at(codes, i)
-        old = F.when(i > window, F.element_at(codes, F.greatest(i - window, F.lit(1)))).otherwise(F.lit(-1))
+    def step(acc: Column, move: Column) -> Column:
+        new, old, i = move["new"], move["old"], move["i"]
         c_new = F.get(acc["n"], new)
         same = new == old  # the window neither gains nor loses
         c_old = F.coalesce(F.get(acc["n"], F.greatest(old, F.lit(0))), F.lit(0))
@@ -103,7 +105,7 @@ def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float,
     start = F.struct(F.array_repeat(zero, 128).alias("n"), F.lit(0.0).alias("s"), zero.alias("digit"), zero.alias("lower"),
                      zero.alias("upper"), zero.alias("hexed"), F.lit(None).cast("int").alias("first"),
                      F.lit(None).cast("int").alias("last"))
-    done = F.aggregate(F.sequence(F.lit(1), size), start, step)
+    done = F.aggregate(moves, start, step)
     return F.struct(done["first"].alias("first"), done["last"].alias("last"))
 
 
