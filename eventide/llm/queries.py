@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import bpe_replay, decontaminate, hypergeometric_shards, quality_attention, quality_rules, secret_scan, simhash_gph, toxicity_mil
+from eventide.llm import (bpe_replay, decontaminate, hypergeometric_shards, pii_sanitise, quality_attention,
+                          quality_rules, secret_scan, simhash_gph, toxicity_mil)
 from eventide.llm.spans import count_of, named
 from eventide.sources.tables import read_table
 
@@ -61,6 +62,13 @@ def op8_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_gph.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op9_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_sanitise.scan(read_table(spark, sf_dir, "documents"))
+    base, kinds = F.col("base"), pii_sanitise.KINDS
+    return found.select("doc_id", *[count_of(base, k).alias(f"n_{name}") for k, name in enumerate(kinds[:4])],
+                        F.sha2(named(base, kinds), 256).alias("base_sha256"), named(F.col("spans"), kinds).alias("spans"))
+
+
 def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     fold = toxicity_mil.held_out()
@@ -71,6 +79,6 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op3_secret_scan, op4_quality_rules, op6_hypergeometric_shards, op7_bpe_replay,
-                                  op8_simhash_gph, op10_toxicity_mil)}
+                                  op8_simhash_gph, op9_pii_sanitise, op10_toxicity_mil)}
 
 ORACLES: dict[str, str] = {}
