@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import (bpe_replay, decontaminate, hypergeometric_shards, pii_sanitise, quality_attention,
+from eventide.llm import (bpe_replay, chat_windows, decontaminate, hypergeometric_shards, pii_sanitise, quality_attention,
                           quality_rules, secret_scan, simhash_gph, toxicity_mil)
 from eventide.llm.spans import count_of, named
 from eventide.sources.tables import read_table
@@ -38,6 +38,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_windows.digest(chat_windows.windows(turns))
+
+
 def op6_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = read_table(spark, sf_dir, "documents").select(
@@ -78,7 +86,7 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_sentences", "offending")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op3_secret_scan, op4_quality_rules, op6_hypergeometric_shards, op7_bpe_replay,
+QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op3_secret_scan, op4_quality_rules, op5_chat_windows, op6_hypergeometric_shards, op7_bpe_replay,
                                   op8_simhash_gph, op9_pii_sanitise, op10_toxicity_mil)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_chat_windows": chat_windows.SQL}
