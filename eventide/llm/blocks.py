@@ -71,12 +71,12 @@ def utf8(column: pa.Array) -> list[bytes]:
 
 
 def pieces(text: bytes, limit: int) -> Iterator[bytes]:
-    """``text`` in parts of at most about ``limit`` bytes, cut behind white space
-    (a longer run without any is cut where it stands)."""
+    """``text`` in parts of at most ``limit`` bytes, cut behind the end of a sentence
+    or line, else behind white space, else where it stands."""
     at = 0
     while len(text) - at > limit:
         window = text[at:at + limit]
-        cut = max(window.rfind(b"\n"), window.rfind(b" ")) + 1 or limit
+        cut = max(map(window.rfind, (b"\n", b".", b"!", b"?"))) + 1 or max(window.rfind(b" "), window.rfind(b"\t")) + 1 or limit
         yield text[at:at + cut]
         at += cut
     yield text[at:]

@@ -64,18 +64,20 @@ def passages(data: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np
     first = np.flatnonzero(within % PASSAGE_WORDS == 0)
     n = len(first)
     of_word = np.repeat(np.arange(n), np.diff(np.append(first, len(begin))))
-    bounds = np.append(begin[first], len(data))
-    lead = int(bounds[0])
-    body = data[lead:]
-    of_byte = np.repeat(np.arange(n), np.diff(bounds))
-    size = np.diff(bounds).astype(np.float64)
+    # bytes between passages belong to none, so a text's neighbours do not matter
+    until = end[np.append(first[1:], len(begin)) - 1]
+    size = (until - begin[first]).astype(np.float64)
+    gap = np.append(begin[first[1:]], until[-1]) - until
+    of_byte = np.repeat(np.stack((np.arange(n), np.full(n, n)), 1).ravel(), np.stack((until - begin[first], gap), 1).ravel())
+    body = data[int(begin[0]):int(until[-1])]
     out = np.empty((n, WIDTH), np.float32)
     out[:, :_CLASSES] = np.bincount(of_byte * _CLASSES + CLASS[body],
-                                    minlength=n * _CLASSES).reshape(n, -1) / size[:, None]
+                                    minlength=(n + 1) * _CLASSES).reshape(n + 1, -1)[:n] / size[:, None]
     wide = body.astype(np.int64)
     pair = ((wide[:-1] * 31 + wide[1:]) * 40503 >> 5) & (PAIR_BUCKETS - 1)
-    found = np.bincount(of_byte[:-1] * PAIR_BUCKETS + pair, minlength=n * PAIR_BUCKETS)
-    out[:, _CLASSES:_CLASSES + PAIR_BUCKETS] = np.sqrt(found.reshape(n, -1) / size[:, None])
+    home = np.where(of_byte[:-1] == of_byte[1:], of_byte[:-1], n)
+    found = np.bincount(home * PAIR_BUCKETS + pair, minlength=(n + 1) * PAIR_BUCKETS)
+    out[:, _CLASSES:_CLASSES + PAIR_BUCKETS] = np.sqrt(found.reshape(n + 1, -1)[:n] / size[:, None])
     words = np.bincount(of_word, minlength=n)
     h = head_hashes(data, begin, end - begin, (8,))[0]
     same = np.zeros(len(h))
@@ -220,7 +222,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                     seen += np.bincount(of, minlength=n)
                 bare = np.flatnonzero(seen == 0)
                 t, w = model.pooled(np.zeros((len(bare), WIDTH)), bare, n)
-                out = model.score(top + t, below + w)
+                out = model.score(top + t, below + w).round(8)  # sums differ in their last digits by block
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(out), pa.array(seen)],
                                              names=["doc_id", "score", "n_passages"])
 

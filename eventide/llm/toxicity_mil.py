@@ -159,6 +159,10 @@ def score(docs: DataFrame, weights: np.ndarray | None, threshold: float = 0.5, i
             for data, starts, rows in blocks(utf8(batch["text"])):
                 f, s, begin, end, piece = sentence_words(data, starts)
                 code = np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)
+                stop = np.append(starts[1:], len(data)) - 1  # the line feed between pieces is no part of the text
+                points = code[stop] - code[starts] + ((data[starts] & 0xC0) != 0x80) - 1
+                ahead = np.cumsum(points) - points
+                ahead += passed[rows] - ahead[np.searchsorted(rows, rows)]  # of a text's pieces in this block, too
                 if weights is not None and len(s):
                     z = np.bincount(s, weights[f].sum(0), minlength=len(begin)) + weights[-1]
                     plus = softplus(z)
@@ -166,13 +170,11 @@ def score(docs: DataFrame, weights: np.ndarray | None, threshold: float = 0.5, i
                     seen += np.bincount(rows[piece], minlength=n)
                     p = -np.expm1(-plus)
                     for k in np.flatnonzero(p >= threshold):
-                        at, row = starts[piece[k]], rows[piece[k]]
-                        origin = code[at] - 1
-                        found[row].append({"start": int(passed[row] + code[begin[k]] - 1 - origin),
-                                           "end": int(passed[row] + code[end[k] - 1] - origin), "score": float(p[k])})
-                stop = np.append(starts[1:], len(data)) - 1  # the line feed between pieces is no part of the text
-                np.add.at(passed, rows, code[stop] - code[starts] + ((data[starts] & 0xC0) != 0x80) - 1)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(-np.expm1(-total)), pa.array(seen),
+                        origin = code[starts[piece[k]]] - 1 - ahead[piece[k]]
+                        found[rows[piece[k]]].append({"start": int(code[begin[k]] - 1 - origin),
+                                                      "end": int(code[end[k] - 1] - origin), "score": float(p[k])})
+                np.add.at(passed, rows, points)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array((-np.expm1(-total)).round(8)), pa.array(seen),
                                               pa.array(found, kind)],
                                              names=["doc_id", "score", "n_sentences", "offending"])
 
