@@ -11,7 +11,7 @@ Notes on Spark 4 semantics the chain depends on:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from eventide.config import EngineConfig
 from eventide.schemas import EVENT_JSON_SCHEMA, JSON_OPTIONS, REQUIRED_COLS
@@ -55,6 +55,12 @@ def event_time_from_millis(c: Column) -> Column:
     return F.timestamp_millis(c.cast("long"))
 
 
+def event_time_from_avro(c: Column, kind: str) -> Column:
+    """A decoded timestamp field: epoch millis as a plain long, or already a
+    timestamp where the writer schema's logical type was understood."""
+    return c.cast("timestamp") if kind.startswith("timestamp") else event_time_from_millis(c)
+
+
 def required_present(cols=REQUIRED_COLS) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -79,19 +85,24 @@ def avro_branch_filter(cfg: EngineConfig | None = None) -> Column:
 
 def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "json",
                  avro_schema: str | None = None, framed: bool = False,
-                 keep_rejects: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+                 keep_rejects: bool = False, carry: tuple[str, ...] = (),
+                 fields: tuple[str, ...] | None = None) -> DataFrame:
     """The parse stage: decode → drop undecodable → flatten → event time →
     require fields (→ Avro-branch allowed-value and location filters).
 
     With ``keep_rejects`` nothing is dropped; a ``parse_reason`` column marks
-    rows that fail decoding (``malformed_record``) so they can be dead-lettered.
+    rows of which nothing could be decoded (``malformed_record``), and those the
+    Avro branch filters out, so they can be dead-lettered; rows that only lack
+    a required field are left to the quality rules, which name it.
+    ``fields`` (JSON): decode these fields only; the others are not in the result.
     Source columns named in ``carry`` (e.g. Kafka ``partition``, ``offset``)
     are kept with a ``source_`` prefix, so they never collide with event fields.
     """
     cfg = cfg or EngineConfig()
     extra = list(carry)
     if fmt == "json":
-        data = decode_json_struct(F.col("value"))
+        wanted = [f for f in EVENT_JSON_SCHEMA.fields if fields is None or f.name in fields]
+        data = decode_json_struct(F.col("value"), T.StructType(wanted))
     elif fmt == "avro":
         if not avro_available(raw.sparkSession):
             raise RuntimeError("spark-avro is not available; cannot decode Avro")
@@ -102,9 +113,9 @@ def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "js
         raise ValueError(f"unknown format {fmt!r}")
     df = raw.select(data.alias("data"), F.col("value").cast("string").alias("_raw"),
                     *[F.col(c).alias(f"_src_{c}") for c in extra])
-    names = [f.name for f in EVENT_JSON_SCHEMA.fields]
+    names = [f.name for f in EVENT_JSON_SCHEMA.fields if fmt == "avro" or fields is None or f.name in fields]
     ts = F.col("data.timestamp")
-    event_time = event_time_from_millis(ts) if fmt == "avro" else event_time_from_string(ts)
+    event_time = event_time_from_avro(ts, df.select(ts).dtypes[0][1]) if fmt == "avro" else event_time_from_string(ts)
     if fmt == "avro":
         # the raw sink's timestamp column is a timestamp text, not epoch millis
         ts_text = F.date_format(event_time, "yyyy-MM-dd HH:mm:ss.SSS")
@@ -118,8 +129,11 @@ def parse_events(raw: DataFrame, cfg: EngineConfig | None = None, fmt: str = "js
         *[F.col(f"_src_{c}").alias(f"source_{c}") for c in extra],
     )
     ok = ~F.col("_undecodable") & required_present()
+    if keep_rejects:
+        bad = F.col("_undecodable") | ~F.greatest(*[F.col(n).isNotNull() for n in names])
+        if fmt == "avro":
+            bad = bad | (ok & ~avro_branch_filter(cfg))
+        return flat.withColumn("parse_reason", F.when(bad, F.lit(MALFORMED))).drop("_undecodable")
     if fmt == "avro":
         ok = ok & avro_branch_filter(cfg)
-    if keep_rejects:
-        return flat.withColumn("parse_reason", F.when(~ok, F.lit(MALFORMED))).drop("_undecodable")
     return flat.filter(ok).drop("_undecodable", "_raw")

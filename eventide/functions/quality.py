@@ -15,16 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.config import EngineConfig
 
-# Fixed reason codes, in the order they are reported.
-REASON_ORDER = (
-    "invalid_user_id",
-    "invalid_product_id",
-    "invalid_action",
-    "invalid_event_time",
-    "location_too_long",
-)
-
-
 def as_of_column(as_of=None) -> Column:
     """The validation clock: ``current_timestamp()`` (fixed per query/batch) or
     an injected instant for deterministic runs."""

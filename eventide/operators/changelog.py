@@ -1,7 +1,7 @@
 """Keyed result tables as an append-only change log plus views.
 
-Each micro-batch appends its rows under ``batch_id=N``; a replay of batch N
-overwrites exactly that partition (dynamic partition overwrite), so replays
+Each micro-batch writes its rows to a folder of its own, ``batch_id=N``; a
+replay of batch N overwrites that folder, also with no rows at all, so replays
 are idempotent. The upsert table is the last-wins view (latest ``batch_id``
 per key), the insert-ignore table the first-wins view (earliest). Both views
 are one aggregate with map-side partial aggregation: a hot key is folded
@@ -20,6 +20,13 @@ from eventide.schemas import RAW_KEY
 def _pick(log: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str], fn) -> DataFrame:
     keys = list(key_cols)
     values = [c for c in log.columns if c not in keys]
+    if len(order_cols) == 1 and len(values) == 2 and order_cols[0] in values:
+        # one value beside the order: plain types, which hash aggregation can hold
+        [order] = order_cols
+        value = next(c for c in values if c != order)
+        of_order = F.max if fn is F.max_by else F.min
+        return log.groupBy(*keys).agg(
+            *[(of_order(order) if c == order else fn(value, order)).alias(c) for c in values])
     order = F.struct(*[F.col(c) for c in order_cols])
     payload = F.struct(*[F.col(c) for c in values])
     return (log.groupBy(*keys).agg(fn(payload, order).alias("_row"))
@@ -62,12 +69,12 @@ def dedup_rows(df: DataFrame, key_cols: Sequence[str] = RAW_KEY,
 
 def append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
     """Write one micro-batch into the change log under ``batch_id=<id>``;
-    writing the same batch again replaces it."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id", *partition_cols)
-       .parquet(path))
+    writing the same batch again replaces it, whatever rows it has now."""
+    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(batch_path(path, batch_id))
+
+
+def batch_path(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/batch_id={int(batch_id)}"
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -75,24 +82,15 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, log_path: str, out_path: str, key_cols: Sequence[str],
-            keep: str = "latest") -> None:
+            keep: str = "latest", base_path: str | None = None, after: int | None = None) -> int | None:
     """Fold the change log into its view and write it to a new location (never
-    read-and-overwrite the same path)."""
+    read-and-overwrite the same path); returns the last batch folded in.
+
+    With ``base_path``, an earlier result that holds all batches up to ``after``,
+    only the newer batches are read (their folders are pruned) and folded onto it."""
     log = read_log(spark, log_path)
+    if base_path is not None and after is not None:
+        log = log.filter(F.col("batch_id") > after).unionByName(spark.read.parquet(base_path))
     view = latest_by_key(log, key_cols) if keep == "latest" else first_by_key(log, key_cols)
     view.write.mode("overwrite").parquet(out_path)
-
-
-def dedup_stream(df: DataFrame, key_cols: Sequence[str] = RAW_KEY,
-                 nullable_cols: Sequence[str] = ("device_id",), watermark: str = "2 minutes",
-                 time_col: str = "event_time") -> DataFrame:
-    """Streaming form of :func:`dedup_rows`: duplicates of a key arriving
-    within ``watermark`` of each other are dropped (state is bounded by the
-    watermark); rows with a NULL key column or event time bypass dedup."""
-    keys = list(key_cols)
-    has_null = F.col(time_col).isNull()
-    for c in set(keys) | set(nullable_cols):
-        has_null = has_null | F.col(c).isNull()
-    df = df.withWatermark(time_col, watermark)
-    return (df.filter(~has_null).dropDuplicatesWithinWatermark(keys)
-            .unionByName(df.filter(has_null)))
+    return read_log(spark, log_path).agg(F.max("batch_id")).first()[0]

@@ -42,10 +42,8 @@ def run_stream(spark: SparkSession, sf_dir: str,
         return _RUNS[key]
     root = prepare_topic(spark, sf_dir)
     raw = file_source(spark, f"{root}/topic", fmt="text")
-    users = RefreshingDimension(lambda: users_from_tables(spark, sf_dir, CFG),
-                                max_broadcast_rows=CFG.broadcast_max_rows)
-    det = [ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor,
-                          broadcast_max_rows=CFG.broadcast_max_rows)]
+    users = RefreshingDimension(lambda: users_from_tables(spark, sf_dir, CFG))
+    det = [ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor)]
     sinks = SinkPaths(f"{root}/sinks")
     pipe = EventStreamApp(spark, sinks, CFG, users=users, detectors=det)
     try:
@@ -105,7 +103,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Z-score anomalies of the 1-minute sliding stream, insert-ignore view."""
+    """Z-score anomalies of the 1-minute sliding stream, insert-ignore view. The
+    score is per micro-batch; the drain takes the topic as one, so the SQL's
+    statistics over everything are the batch's."""
     sinks = run_stream(spark, sf_dir)
     path = sinks.anomalies("1min")
     if _exists(spark, path):
@@ -142,6 +142,24 @@ def stream_alert_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .alias("n")).select("n.*")
 
 
+def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search documents of the 1-minute stream's anomalies, read back."""
+    sinks = run_stream(spark, sf_dir)
+    schema = "type string, user_id int, event_count long, distance double, detector_type string, severity string, " \
+             "user_name string, region string, window_start string"
+    docs = spark.read.text(sinks.path("documents_1min")).select(F.from_json("value", schema).alias("d")).select("d.*")
+    return docs.withColumn("distance", F.round("distance", 6))
+
+
+def stream_alert_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every alert payload that the alert job archived, whatever its severity."""
+    stream_alert_notifications(spark, sf_dir)
+    out = _RUNS[("alerts", spark.sparkContext.applicationId, sf_dir)]
+    kept = spark.read.text(out.path("alert_archive")).select(
+        F.from_json("value", "user_id int, event_count long, window_end string, severity string").alias("a"))
+    return kept.select("a.*")
+
+
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-batch metric rows of the stream, totalled per output: records,
     rejects and anomalies of the raw route and of both window queries."""
@@ -163,6 +181,8 @@ def registered() -> dict:
         "stream_anomalies": stream_anomalies,
         "stream_alert_notifications": stream_alert_notifications,
         "stream_metrics": stream_metrics,
+        "stream_documents": stream_documents,
+        "stream_alert_archive": stream_alert_archive,
     }
 
 
@@ -186,8 +206,7 @@ a AS (SELECT s.*, (event_count - m) / NULLIF(st.s, 0) AS score FROM s CROSS JOIN
     zcol = "(event_count - avg(event_count) OVER ()) / NULLIF(stddev_samp(event_count) OVER (), 0)"
     metrics = f"""WITH {O.TAGGED_CTE.strip()},
 parsed AS (SELECT * FROM ev WHERE {req}),
-route AS (SELECT CASE WHEN NOT ({req}) THEN 'malformed_record'
-                      ELSE coalesce(dq_reason, {sink_reason}) END AS reason FROM tagged),
+route AS (SELECT coalesce(dq_reason, {sink_reason}) AS reason FROM tagged),
 w5 AS (SELECT {zcol} AS score FROM ({O._tumbling(5, 'parsed')})),
 w60 AS (SELECT {zcol} AS score FROM ({O._sliding(60, 5, 'parsed')}))
 SELECT 'raw_batch' AS type, '' AS window_type,
@@ -198,7 +217,13 @@ UNION ALL
 SELECT 'agg_batch', '5s', count(*), CAST(0 AS BIGINT), count(*) FILTER (WHERE score > {z}) FROM w5
 UNION ALL
 SELECT 'agg_batch', '1min', count(*), CAST(0 AS BIGINT), count(*) FILTER (WHERE score > {z}) FROM w60"""
+    iso = "'%Y-%m-%dT%H:%M:%S'"
     return {
+        "stream_documents": zs + f"""
+SELECT 'anomaly' AS type, user_id, event_count, round(score, 6) AS distance, 'zscore' AS detector_type, {sev} AS severity,
+       user_name, region, strftime(window_start, {iso}) AS window_start FROM a WHERE score > {z}""",
+        "stream_alert_archive": zs + f"""
+SELECT user_id, event_count, strftime(window_end, {iso}) AS window_end, {sev} AS severity FROM a WHERE score > {z}""",
         "stream_metrics": metrics,
         "stream_anomalies": zs + f"""
 SELECT user_id, window_start, window_end, event_count FROM a WHERE score > {z}""",
@@ -215,7 +240,7 @@ FROM a WHERE score > {z}""",
                           f"SELECT {O.RAW_COLS_SQL}, event_time FROM parsed",
         "stream_route": f"""WITH {O.TAGGED_CTE.strip()}
 SELECT user_id, product_id, action, event_time,
-       CASE WHEN NOT ({req}) THEN 'malformed_record'
-            ELSE coalesce(dq_reason, {sink_reason}) END AS dq_reason
+       CASE WHEN coalesce(CAST(user_id AS VARCHAR), CAST(product_id AS VARCHAR), action, "timestamp", location) IS NULL
+            THEN 'malformed_record' ELSE coalesce(dq_reason, {sink_reason}) END AS dq_reason
 FROM tagged""",
     }

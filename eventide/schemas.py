@@ -16,23 +16,6 @@ EVENT_JSON_SCHEMA = T.StructType([
     T.StructField("ip_address", T.StringType(), True),
 ])
 
-# Avro writer schema of the same record: timestamp is epoch millis, optional
-# fields are null-unions with a null default.
-EVENT_AVRO_SCHEMA = """{
-  "type": "record", "name": "UserEvent", "namespace": "events",
-  "fields": [
-    {"name": "user_id", "type": "int"},
-    {"name": "product_id", "type": "int"},
-    {"name": "action", "type": "string"},
-    {"name": "timestamp", "type": {"type": "long", "logicalType": "timestamp-millis"}},
-    {"name": "device_id", "type": ["null", "string"], "default": null},
-    {"name": "device_type", "type": ["null", "string"], "default": null},
-    {"name": "location", "type": ["null", "string"], "default": null},
-    {"name": "user_segment", "type": ["null", "string"], "default": null},
-    {"name": "ip_address", "type": ["null", "string"], "default": null}
-  ]
-}"""
-
 # Columns of the raw event sink, in order (event_time is dropped at the sink).
 RAW_COLS = [
     "user_id", "product_id", "action", "timestamp", "device_id",
@@ -48,14 +31,6 @@ RAW_KEY = ["user_id", "timestamp", "action", "device_id"]
 # Key of the summary and anomaly tables.
 SUMMARY_KEY = ["user_id", "window_start", "window_end"]
 
-USER_SCHEMA = T.StructType([
-    T.StructField("user_id", T.IntegerType(), False),
-    T.StructField("name", T.StringType(), True),
-    T.StructField("email", T.StringType(), True),
-    T.StructField("region", T.StringType(), True),
-    T.StructField("created_at", T.TimestampType(), True),
-])
-
 # Alert record: one common shape for every detector.
 ALERT_SCHEMA = T.StructType([
     T.StructField("user_id", T.IntegerType(), True),

@@ -32,9 +32,8 @@ from eventide.operators.alerts import alert_records, anomaly_documents, to_kafka
 from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows, sink_violations
 from eventide.operators.detect import Detector, detect
 from eventide.operators.enrich import enrich
-from eventide.operators.joins import fits_in_rows
 from eventide.operators.metrics import metrics_row, observed, observed_moments, observed_rows
-from eventide.schemas import RAW_COLS
+from eventide.schemas import RAW_COLS, REQUIRED_COLS
 from eventide.sources.jdbc import write_jdbc
 from eventide.streaming.sinks import SinkPaths, write_batch_json, write_batch_kafka, write_batch_parquet
 
@@ -45,26 +44,24 @@ class RefreshingDimension:
     """A static dimension for stream-static joins, reloaded every
     ``refresh_seconds`` (None: loaded once) instead of frozen at start-up."""
 
-    def __init__(self, loader: Callable[[], DataFrame], refresh_seconds: float | None = None,
-                 max_broadcast_rows: int = 1_000_000):
+    def __init__(self, loader: Callable[[], DataFrame], refresh_seconds: float | None = None):
         self.loader, self.refresh_seconds = loader, refresh_seconds
-        self.max_broadcast_rows = max_broadcast_rows
         self._df: DataFrame | None = None
+        self._previous: DataFrame | None = None   # a handler may still read it
         self._loaded_at = 0.0
         self._lock = threading.Lock()   # handlers of concurrent queries share it
 
     def get(self) -> DataFrame:
-        """The current dimension, with a broadcast hint only when its row
-        count (checked once per load) is within ``max_broadcast_rows``."""
+        """The current dimension. The one before it stays cached until the next
+        reload, as other handlers may be reading it."""
         with self._lock:
             stale = self.refresh_seconds is not None and \
                 time.time() - self._loaded_at > self.refresh_seconds
             if self._df is None or stale:
-                if self._df is not None:
-                    self._df.unpersist()
-                df = self.loader().persist()
-                small = fits_in_rows(df, self.max_broadcast_rows)
-                self._df, self._loaded_at = (F.broadcast(df) if small else df), time.time()
+                if self._previous is not None:
+                    self._previous.unpersist()
+                self._previous, self._df = self._df, self.loader().persist()
+                self._loaded_at = time.time()
             return self._df
 
 
@@ -85,6 +82,9 @@ class EventStreamApp:
         ``{"url", "table", "properties"}`` to also append valid rows over JDBC in
         batches of ``copy_chunk`` rows (at-least-once). ``copy_text``: also write
         valid rows as tab-separated bulk-load text under ``raw_copy``.
+        ``dedup_raw``: one row per raw key within a micro-batch; duplicates in
+        other batches are settled by the keyed raw view (``changelog.dedup_rows``
+        over the log), so no late row is lost to a watermark.
         ``action_detectors``: detectors whose model works on (window, user,
         action) counts; they get their own aggregation at that grain (queries
         ``actions_5s`` / ``actions_1min``), so scoring matches training.
@@ -113,8 +113,8 @@ class EventStreamApp:
 
     # --- plan pieces -----------------------------------------------------------
 
-    def parsed(self, raw: DataFrame, keep_rejects: bool = False) -> DataFrame:
-        df = parse_events(raw, self.cfg, self.fmt, self.avro_schema, self.framed, keep_rejects)
+    def parsed(self, raw: DataFrame, keep_rejects: bool = False, fields: tuple[str, ...] | None = None) -> DataFrame:
+        df = parse_events(raw, self.cfg, self.fmt, self.avro_schema, self.framed, keep_rejects, fields=fields)
         if self.repartition_by_user:
             df = df.repartition(self.repartition_by_user, "user_id")
         return windows.to_event_timestamp(df)
@@ -133,7 +133,16 @@ class EventStreamApp:
         return df.drop("event_date")
 
     def counted_input(self, raw: DataFrame) -> DataFrame:
-        df = self.archived() if self.summary_source == "archive" else self.parsed(raw)
+        """What the windows count. Events of the future are left out in any case:
+        they reach the dead letter by the route, and one of them would push the
+        watermark past everybody else's events."""
+        if self.summary_source == "archive":
+            df = self.archived()
+        else:
+            fields = (*REQUIRED_COLS, "timestamp", "location") if self.cfg.count_input == "valid" \
+                else (*REQUIRED_COLS, "timestamp")
+            df = self.parsed(raw, fields=fields)
+        df = df.filter(F.col("event_time") <= F.current_timestamp())
         if self.cfg.count_input == "valid":
             df = df.filter(quality.dq_reason(self.cfg).isNull())
         return df
@@ -157,6 +166,8 @@ class EventStreamApp:
                 return
             valid = tagged.filter(F.col("reject_reason").isNull())
             rejected = tagged.filter(F.col("reject_reason").isNotNull())
+            if self.dedup_raw:
+                valid = changelog.dedup_rows(valid)
             good, good_obs = observed(
                 raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")), f"raw_{batch_id}")
             write_batch_parquet(self._files(good), self.sinks.raw, batch_id)
@@ -200,7 +211,7 @@ class EventStreamApp:
             if found is not None:
                 # names and regions are looked up for the anomalies only
                 if self.users is not None:
-                    found = enrich(found, self.users.get(), self.cfg, size_checked=True)
+                    found = enrich(found, self.users.get())
                 found = found.persist()
                 anom, anom_obs = observed(
                     found.select(*keys, "event_count",
@@ -209,15 +220,13 @@ class EventStreamApp:
                     f"anomalies_{window_type}_{batch_id}")
                 write_batch_parquet(self._files(anom), self.sinks.anomalies(window_type), batch_id)
                 n_anom = observed_rows(anom_obs)
-                if n_anom:
-                    recs = alert_records(found, batch_id)
-                    write_batch_json(to_kafka_rows(recs), self.sinks.path(f"alerts_{window_type}"),
-                                     batch_id)
-                    if self.kafka_brokers:
-                        write_batch_kafka(to_kafka_rows(recs), self.kafka_brokers,
-                                          self.cfg.alert_topic)
-                    write_batch_json(anomaly_documents(recs),
-                                     self.sinks.path(f"documents_{window_type}"), batch_id)
+                recs = alert_records(found, batch_id)
+                write_batch_json(to_kafka_rows(recs), self.sinks.path(f"alerts_{window_type}"),
+                                 batch_id)
+                if self.kafka_brokers:
+                    write_batch_kafka(to_kafka_rows(recs), self.kafka_brokers,
+                                      self.cfg.alert_topic)
+                self.write_documents(anomaly_documents(recs), window_type, batch_id)
                 found.unpersist()
             write_batch_parquet(metrics_row(self.spark, "agg_batch", batch_id, records=n_records,
                                             anomalies=n_anom, window_type=window_type),
@@ -225,6 +234,10 @@ class EventStreamApp:
         finally:
             summary.unpersist()
 
+    def write_documents(self, documents: DataFrame, window_type: str, batch_id: int) -> None:
+        """Where the documents of the anomalies go; override for another store."""
+        write_batch_json(documents, self.sinks.path(f"documents_{window_type}"), batch_id)
+
     # --- queries -----------------------------------------------------------------
 
     def _trigger(self, w, trigger):
@@ -257,8 +270,6 @@ class EventStreamApp:
         trig = trigger if trigger is not None else cfg.trigger
         if "raw_route" in which:
             routed = self.parsed(raw, keep_rejects=True)
-            if self.dedup_raw:
-                routed = changelog.dedup_stream(routed, watermark=cfg.watermark_long)
             w = (routed.writeStream.outputMode("append")
                  .foreachBatch(self.route_batch)
                  .option("checkpointLocation", self.sinks.checkpoint("raw_route")))

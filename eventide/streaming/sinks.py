@@ -1,8 +1,8 @@
 """Sink layout of a pipeline run and idempotent per-batch writers.
 
-Every per-batch writer replaces the ``batch_id=N`` partition it owns, so a
-micro-batch replayed after a failure rewrites the same files instead of
-appending duplicates.
+Every per-batch writer replaces the folder ``batch_id=N`` it owns, so what a
+micro-batch wrote before a failure is gone when its replay has been written, also
+where the replay yields no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.operators.changelog import append_batch
+from eventide.operators.changelog import append_batch, batch_path
 
 
 @dataclass(frozen=True)
@@ -27,12 +27,6 @@ class SinkPaths:
     def dlq(self) -> str: return self.path("dead_letter")
     @property
     def archive(self) -> str: return self.path("archive")
-    @property
-    def alerts(self) -> str: return self.path("alerts")
-    @property
-    def documents(self) -> str: return self.path("documents")
-    @property
-    def metrics(self) -> str: return self.path("metrics")
 
     def summary(self, window_type: str) -> str: return self.path(f"summary_{window_type}")
     def anomalies(self, window_type: str) -> str: return self.path(f"anomalies_{window_type}")
@@ -45,10 +39,7 @@ write_batch_parquet = append_batch
 
 def write_batch_json(df: DataFrame, path: str, batch_id: int, value_col: str = "value") -> None:
     """JSON-lines documents under ``batch_id=N`` (a topic / index stand-in)."""
-    (df.select(F.col(value_col).alias("value"))
-       .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").text(path))
+    df.select(F.col(value_col).alias("value")).write.mode("overwrite").text(batch_path(path, batch_id))
 
 
 def write_batch_kafka(df: DataFrame, brokers: str, topic: str) -> None:

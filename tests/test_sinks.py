@@ -4,6 +4,7 @@ from eventide.functions.text import to_copy_text
 from eventide.operators import changelog
 from eventide.operators.alerts import notifications, parse_alerts, split_alerts
 from eventide.operators.deadletter import dlq_json, dlq_records
+from eventide.streaming.sinks import write_batch_json
 
 
 def test_upsert_and_insert_ignore_views_with_replay(spark, tmp_dir):
@@ -129,3 +130,35 @@ def test_anomaly_document_fields(spark):
     assert {"user_id", "event_count", "window_start", "window_end", "distance", "severity",
             "user_name", "region", "detected_at"} <= set(doc)
     assert doc["distance"] == 9.0
+
+
+def test_empty_replay_empties_its_batch(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "x")], "user_id int, value string")
+    changelog.append_batch(df, f"{tmp_dir}/log", 0)
+    changelog.append_batch(df, f"{tmp_dir}/log", 1)
+    changelog.append_batch(df.filter("false"), f"{tmp_dir}/log", 0)
+    assert [r["batch_id"] for r in spark.read.parquet(f"{tmp_dir}/log").collect()] == [1]
+    write_batch_json(df, f"{tmp_dir}/json", 0)
+    write_batch_json(df.filter("false"), f"{tmp_dir}/json", 0)
+    assert spark.read.text(f"{tmp_dir}/json").count() == 0
+
+
+def test_base_and_tail_fold_to_the_whole_view(spark, tmp_dir):
+    log = f"{tmp_dir}/log"
+    for b in range(5):
+        rows = [(u, b * 10 + u) for u in range(b, b + 3)]
+        changelog.append_batch(spark.createDataFrame(rows, "user_id int, event_count long"), log, b)
+        if b == 2:
+            after = changelog.compact(spark, log, f"{tmp_dir}/base", ["user_id"])
+    assert after == 2
+    changelog.compact(spark, log, f"{tmp_dir}/next", ["user_id"], base_path=f"{tmp_dir}/base", after=after)
+    changelog.compact(spark, log, f"{tmp_dir}/whole", ["user_id"])
+    cols = ["user_id", "event_count", "batch_id"]
+    a, b = (sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/{x}").select(*cols).collect())) for x in ("next", "whole"))
+    assert a == b and len(a) == 7
+
+
+def test_views_of_one_plain_value_need_no_sort(spark):
+    df = spark.range(10).selectExpr("id % 3 as user_id", "id as event_count", "id as batch_id")
+    plan = changelog.latest_by_key(df, ["user_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -107,7 +107,8 @@ def test_app_route_total_and_stream_equals_batch(spark, tmp_dir):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
-def test_stream_dedup_within_watermark(spark, tmp_dir):
+def test_stream_dedup_settles_in_the_view(spark, tmp_dir):
+    from eventide.app import keyed_views
     src = f"{tmp_dir}/src"
     line = json.dumps({"user_id": 1, "product_id": 1001, "action": "click", "device_id": "d",
                        "timestamp": "2025-09-20 10:00:00"})
@@ -120,8 +121,49 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
     pipe.start(file_source(spark, src, max_files_per_trigger=1), trigger="availableNow",
                which=("raw_route",))
     pipe.await_all()
-    got = sorted(r["user_id"] for r in spark.read.parquet(sinks.raw).collect())
-    assert got == [1, 2, 2]
+    assert sorted(r["user_id"] for r in spark.read.parquet(sinks.raw).collect()) == [1, 1, 2, 2]
+    assert sorted(r["user_id"] for r in keyed_views(spark, sinks)["user_events"].collect()) == [1, 2, 2]
+
+
+def test_dedup_loses_no_late_event(spark, tmp_dir):
+    """Distinct events, two of them far behind the others: all are in the raw
+    table or the dead letter, with and without dedup."""
+    src = f"{tmp_dir}/src"
+    _drop_file(src, 0, [_event(4000), _event(4001), _event(4002)])
+    _drop_file(src, 1, [_event(1), _event(2), json.dumps({"user_id": -1, "product_id": 1, "action": "click", "timestamp": "2025-09-20 10:00:09"})])
+    for dedup in (False, True):
+        sinks = SinkPaths(f"{tmp_dir}/sinks_{dedup}")
+        pipe = EventStreamApp(spark, sinks, EngineConfig(), dedup_raw=dedup)
+        pipe.start(file_source(spark, src, max_files_per_trigger=1), trigger="availableNow", which=("raw_route",))
+        pipe.await_all()
+        assert spark.read.parquet(sinks.raw).count() == 5
+        assert spark.read.text(sinks.dlq).count() == 1
+
+
+def test_one_future_event_stops_no_window(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    future = json.dumps({"user_id": 9, "product_id": 1, "action": "click", "timestamp": "2099-01-01 00:00:00"})
+    _drop_file(src, 0, [_event(0), _event(1), future])
+    _drop_file(src, 1, [_event(6), _event(7), _event(8)])
+    for mode in ("parsed", "valid"):
+        sinks = SinkPaths(f"{tmp_dir}/sinks_{mode}")
+        pipe = EventStreamApp(spark, sinks, EngineConfig(count_input=mode))
+        pipe.start(file_source(spark, src, max_files_per_trigger=1), trigger="availableNow", which=("summary_5s", "raw_route"))
+        pipe.await_all()
+        log = changelog.latest_by_key(spark.read.parquet(sinks.summary("5s")), ["user_id", "window_start", "window_end"])
+        assert log.agg(F.sum("event_count")).first()[0] == 5
+        assert spark.read.text(sinks.dlq).count() == 1
+
+
+def test_missing_field_is_named_and_garbage_is_malformed(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    _drop_file(src, 0, [json.dumps({"user_id": 1, "action": "click", "timestamp": "2025-09-20 10:00:00"}), "not json", _event(1)])
+    sinks = SinkPaths(f"{tmp_dir}/sinks")
+    pipe = EventStreamApp(spark, sinks, EngineConfig())
+    pipe.start(file_source(spark, src), trigger="availableNow", which=("raw_route",))
+    pipe.await_all()
+    reasons = sorted(json.loads(r["value"])["reason"] for r in spark.read.text(sinks.dlq).collect())
+    assert reasons == ["invalid_product_id", "malformed_record"]
 
 
 def test_multibatch_upserts_equal_batch_with_long_watermark(spark, tmp_dir):
