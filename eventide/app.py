@@ -13,6 +13,19 @@ import logging
 from eventide.config import EngineConfig
 
 
+def _jdbc_bounds(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--jdbc-partition-column", help="numeric column that splits the JDBC scan")
+    p.add_argument("--jdbc-lower", type=int)
+    p.add_argument("--jdbc-upper", type=int)
+    p.add_argument("--jdbc-partitions", type=int)
+
+
+def _scan_jdbc(spark, url: str, table: str, args):
+    from eventide.sources.jdbc import read_jdbc
+    return read_jdbc(spark, url, table, {"user": args.jdbc_user or "", "password": args.jdbc_password or ""},
+                     args.jdbc_partition_column, args.jdbc_lower, args.jdbc_upper, args.jdbc_partitions)
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="eventide")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -32,7 +45,13 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--detectors", default="zscore", help="comma list: zscore,fixed_count,kmeans")
     s.add_argument("--available-now", action="store_true", help="drain what is there and stop")
     s.add_argument("--copy-text", action="store_true", help="also write bulk-load text of valid rows")
-    s.add_argument("--dedup", action="store_true", help="drop duplicate raw events within the watermark")
+    s.add_argument("--dedup", action="store_true", help="one raw row per key in each batch; the view user_events settles the rest")
+    s.add_argument("--max-offsets", type=int, help="Kafka records per trigger and query (default: no cap)")
+    s.add_argument("--state-partitions", type=int, help="shuffle partitions of the window queries")
+    s.add_argument("--sink-files", type=int, help="files per sink and micro-batch, at most")
+    s.add_argument("--summary-source", default="raw", choices=["raw", "archive"])
+    s.add_argument("--count-input", choices=["parsed", "valid"])
+    _jdbc_bounds(s)
     t = sub.add_parser("train")
     t.add_argument("--history", help="parquet of typed events (event model)")
     t.add_argument("--jdbc-url", help="read the history over JDBC instead")
@@ -41,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--jdbc-password")
     t.add_argument("--out", required=True, help="folder for model and threshold")
     t.add_argument("--window", default="1 day")
+    _jdbc_bounds(t)
     v = sub.add_parser("views", help="fold change logs into the keyed tables")
     v.add_argument("--sinks", required=True)
     v.add_argument("--out", help="parquet folder for the tables")
@@ -74,13 +94,15 @@ def keyed_views(spark, sinks) -> dict:
     if logs:
         log = read_all(logs, [*SUMMARY_KEY, "event_count", "batch_id"])
         views["user_activity_summary"] = changelog.latest_by_key(log, SUMMARY_KEY)
+    if _path_exists(spark, sinks.raw):
+        views["user_events"] = changelog.dedup_rows(spark.read.parquet(sinks.raw).drop("batch_id"))
     anoms = [sinks.anomalies(w) for w in ("5s", "1min", "5s_action", "1min_action")
              if _path_exists(spark, sinks.anomalies(w))]
     if anoms:
         log = read_all(anoms, [*SUMMARY_KEY, "event_count", "detected_at", "detector_type",
                                "severity", "batch_id"])
         views["anomalous_events"] = changelog.first_by_key(
-            log, SUMMARY_KEY, order_cols=("batch_id", "detected_at")).drop("batch_id")
+            log, SUMMARY_KEY, order_cols=("detected_at", "detector_type", "batch_id")).drop("batch_id")
     return views
 
 
@@ -103,9 +125,7 @@ def main(argv=None) -> None:
         from eventide.plans import training
         if args.jdbc_url:
             from eventide.functions.decode import event_time_from_string
-            from eventide.sources.jdbc import read_jdbc
-            history = read_jdbc(spark, args.jdbc_url, args.jdbc_table,
-                                {"user": args.jdbc_user or "", "password": args.jdbc_password or ""})
+            history = _scan_jdbc(spark, args.jdbc_url, args.jdbc_table, args)
             if "event_time" not in history.columns:
                 history = history.withColumn(
                     "event_time", event_time_from_string(history["timestamp"].cast("string")))
@@ -133,17 +153,19 @@ def main(argv=None) -> None:
     from eventide.sources.artifacts import load_pipeline_model, load_threshold
     from eventide.sources.stream import file_source, kafka_source
     from eventide.streaming.application import EventStreamApp, RefreshingDimension
+    if args.max_offsets is not None:
+        cfg = cfg.with_(max_offsets_per_trigger=args.max_offsets)
+    if args.count_input:
+        cfg = cfg.with_(count_input=args.count_input)
     raw = kafka_source(spark, args.kafka, cfg.events_topic, cfg) if args.kafka \
         else file_source(spark, args.source)
+
     def load_users():
         if args.users.startswith("jdbc:"):
-            from eventide.sources.jdbc import read_jdbc
-            return read_jdbc(spark, args.users, "users",
-                             {"user": args.jdbc_user or "", "password": args.jdbc_password or ""})
+            return _scan_jdbc(spark, args.users, "users", args)
         return spark.read.parquet(args.users)
 
-    users = RefreshingDimension(load_users, args.users_refresh_seconds,
-                                cfg.broadcast_max_rows) if args.users else None
+    users = RefreshingDimension(load_users, args.users_refresh_seconds) if args.users else None
     model = load_pipeline_model(spark, args.model) if args.model else None
     threshold = load_threshold(spark, args.threshold) if args.threshold else None
     dets = detectors_from_config(cfg, model, threshold, args.detectors.split(","))
@@ -154,7 +176,9 @@ def main(argv=None) -> None:
     pipe = EventStreamApp(spark, SinkPaths(args.sinks), cfg, users=users, detectors=dets,
                          fmt=args.format, avro_schema=schema, framed=args.framed,
                          kafka_brokers=args.kafka, copy_text=args.copy_text,
-                         dedup_raw=args.dedup, action_detectors=action_dets)
+                         dedup_raw=args.dedup, action_detectors=action_dets,
+                         state_partitions=args.state_partitions, summary_source=args.summary_source,
+                         sink_files=args.sink_files)
     pipe.start(raw, trigger="availableNow" if args.available_now else None)
     if args.available_now:
         pipe.await_all()

@@ -20,9 +20,7 @@ DEFAULT_WATERMARK_LONG = "2 minutes"
 DEFAULT_Z_THRESHOLD = 2.0
 DEFAULT_COUNT_THRESHOLD = 5
 DEFAULT_TRIGGER = "1 seconds"
-DEFAULT_MAX_OFFSETS_PER_TRIGGER = 1000
 DEFAULT_COPY_CHUNK = 5000
-DEFAULT_BULK_CHUNK = 2000
 DEFAULT_EVENTS_TOPIC = "user_events"
 DEFAULT_ALERT_TOPIC = "anomaly_alerts"
 DEFAULT_DLQ_TOPIC = "dead_letter_topic"
@@ -89,9 +87,9 @@ class EngineConfig:
     z_threshold: float = DEFAULT_Z_THRESHOLD
     count_threshold: int = DEFAULT_COUNT_THRESHOLD
     trigger: str = DEFAULT_TRIGGER
-    max_offsets_per_trigger: int = DEFAULT_MAX_OFFSETS_PER_TRIGGER
+    # None: no cap. A cap also bounds what one batch's z-score looks at.
+    max_offsets_per_trigger: int | None = None
     copy_chunk: int = DEFAULT_COPY_CHUNK
-    bulk_chunk: int = DEFAULT_BULK_CHUNK
     events_topic: str = DEFAULT_EVENTS_TOPIC
     alert_topic: str = DEFAULT_ALERT_TOPIC
     dlq_topic: str = DEFAULT_DLQ_TOPIC
@@ -106,8 +104,6 @@ class EngineConfig:
     # Windows count the parsed stream ("parsed", as the reference) or only rows
     # that passed validation ("valid").
     count_input: str = "parsed"
-    # Largest dimension (rows) that may be broadcast; above it the join shuffles.
-    broadcast_max_rows: int = 1_000_000
     # Sink-side length limits of the raw table (checked per row, not per chunk).
     sink_max_lengths: dict = field(default_factory=lambda: {
         "action": 50, "device_id": 50, "device_type": 50, "location": 100,
@@ -138,7 +134,8 @@ class EngineConfig:
             ("count_threshold", "ANOMALY_THRESHOLD", int),
             ("trigger", "PROCESSING_TRIGGER", str),
             ("copy_chunk", "COPY_CHUNK", int),
-            ("bulk_chunk", "ES_BULK_CHUNK", int),
+            ("max_offsets_per_trigger", "MAX_OFFSETS_PER_TRIGGER", int),
+            ("count_input", "COUNT_INPUT", str),
             ("events_topic", "KAFKA_TOPIC", str),
             ("alert_topic", "KAFKA_ALERT_TOPIC", str),
             ("dlq_topic", "KAFKA_DLQ_TOPIC", str),

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventide.config import (DETECTOR_KMEANS, DETECTOR_ZSCORE, REASON_DISTANCE, REASON_MODEL,
                              EngineConfig)
 from eventide.functions.vectors import distance_to_assigned, matrix_literal, nearest_center
-from eventide.operators.joins import bounded_broadcast
 
 SCORE_COLS = ["score", "threshold", "is_anomaly", "detector_type", "reason", "severity"]
 
@@ -64,11 +63,9 @@ class ZScoreDetector(Detector):
     name = "zscore"
 
     def __init__(self, threshold: float = 2.0, value_col: str = "event_count",
-                 group_cols: Sequence[str] = (), high_factor: float = 1.5,
-                 broadcast_max_rows: int = 1_000_000):
+                 group_cols: Sequence[str] = (), high_factor: float = 1.5):
         self.threshold, self.value_col = float(threshold), value_col
         self.group_cols, self.high_factor = list(group_cols), high_factor
-        self.broadcast_max_rows = broadcast_max_rows
 
     def score(self, df: DataFrame, eager: bool = False, stats: dict | None = None) -> DataFrame:
         v = F.col(self.value_col).cast("double")
@@ -92,7 +89,6 @@ class ZScoreDetector(Detector):
             keyed = {c: f"_g_{c}" for c in self.group_cols}
             stats = df.groupBy(*[F.col(c).alias(k) for c, k in keyed.items()]) \
                 .agg(F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"))
-            stats = bounded_broadcast(stats, self.broadcast_max_rows)
             cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in keyed.items()]
             scored = df.join(stats, cond, "inner").drop(*keyed.values())
         z = (v - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
@@ -203,8 +199,7 @@ def detectors_from_config(cfg: EngineConfig, model=None, threshold: float | None
     out: list[Detector] = []
     for k in kinds:
         if k == "zscore":
-            out.append(ZScoreDetector(cfg.z_threshold, high_factor=cfg.severity_high_factor,
-                                      broadcast_max_rows=cfg.broadcast_max_rows))
+            out.append(ZScoreDetector(cfg.z_threshold, high_factor=cfg.severity_high_factor))
         elif k == "fixed_count":
             out.append(FixedCountDetector(cfg.count_threshold, high_factor=cfg.severity_high_factor))
         elif k == "kmeans":

@@ -4,20 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.config import EngineConfig
-from eventide.operators.joins import bounded_broadcast
 
 ENRICHED_COLS = ["window_start", "window_end", "user_id", "event_count", "user_name", "region"]
 
 
-def enrich(summary: DataFrame, users: DataFrame, cfg: EngineConfig | None = None,
-           size_checked: bool = False) -> DataFrame:
+def enrich(summary: DataFrame, users: DataFrame) -> DataFrame:
     """Left join on ``user_id``; users missing from the dimension keep NULL
-    name/region. The dimension is broadcast only when it is proven small;
-    ``size_checked`` means the caller already decided (and hinted) that."""
-    cfg = cfg or EngineConfig()
+    name/region. How the sides meet is Spark's choice, by their sizes in bytes."""
     dim = users.select("user_id", F.col("name").alias("user_name"), "region")
-    if not size_checked:
-        dim = bounded_broadcast(dim, cfg.broadcast_max_rows)
     extra = [c for c in summary.columns if c not in ENRICHED_COLS]
     return summary.join(dim, "user_id", "left").select(*ENRICHED_COLS, *extra)

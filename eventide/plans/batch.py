@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.config import EngineConfig
 from eventide.functions import quality
-from eventide.functions.decode import parse_events
+from eventide.functions.decode import avro_branch_filter, parse_events
 from eventide.functions.text import to_copy_text
-from eventide.functions.vectors import one_hot
+from eventide.functions.vectors import matrix_literal, nearest_center, one_hot
 from eventide.operators import changelog, windows
 from eventide.operators.alerts import alert_records, notifications, parse_alerts, split_alerts, to_kafka_rows
 from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows
 from eventide.operators.detect import CentroidDistanceDetector, FixedCountDetector, ZScoreDetector
 from eventide.operators.enrich import enrich
 from eventide.schemas import JSON_OPTIONS, RAW_COLS, RAW_KEY, SUMMARY_KEY
-from eventide.sources.tables import events_from_tables, json_envelope, users_from_tables
+from eventide.sources.tables import events_from_tables, json_envelope, read_table, users_from_tables
 
 CFG = EngineConfig()
 
@@ -64,6 +64,45 @@ def decode_json_required(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(*RAW_COLS, "event_time")
 
 
+# The middle of the events' month: with this clock half of them are of the future.
+STRICT_AS_OF = "2024-01-16 00:00:00"
+STRICT_MAX_LOCATION = 8
+
+
+def dq_reasons_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five rules, each with rows that break it: a fixed clock within the
+    data and a location limit that some nation names pass."""
+    tagged = quality.with_dq_reason(_events(spark, sf_dir), CFG.with_(max_location_len=STRICT_MAX_LOCATION), STRICT_AS_OF)
+    return tagged.select("user_id", "product_id", "action", "event_time", "location", "dq_reason")
+
+
+def _broken_envelopes(events: DataFrame) -> DataFrame:
+    """The JSON envelopes, some of them spoilt: by product id a tenth each is cut in
+    half, empty, missing, without its action, with a time that is none, and
+    with a product id that is no number."""
+    k = F.coalesce(F.col("product_id") % 10, F.lit(9))
+    whole = F.struct(*[F.col(c) for c in RAW_COLS])
+    value = F.to_json(whole, JSON_OPTIONS)
+    spoilt = (F.when(k == 0, F.substring(value, 1, 30)).when(k == 1, F.lit("")).when(k == 2, F.lit(None).cast("string"))
+              .when(k == 3, F.regexp_replace(value, '"action":"[a-z_]*",', ""))
+              .when(k == 4, F.regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":"yesterday"'))
+              .when(k == 5, F.regexp_replace(value, '"product_id":[0-9]+', '"product_id":"none"')).otherwise(value))
+    return events.select(spoilt.alias("value"))
+
+
+def decode_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spoilt envelopes: what the decoder keeps, per action."""
+    parsed = parse_events(_broken_envelopes(_events(spark, sf_dir)), CFG)
+    return parsed.groupBy("action", F.to_date("event_time").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("product_id").alias("n_products"))
+
+
+def avro_filter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The allowed-value and location filters of the Avro branch over the events."""
+    kept = _events(spark, sf_dir).filter(avro_branch_filter(CFG.with_(max_location_len=STRICT_MAX_LOCATION)))
+    return kept.select(*RAW_COLS, "event_time")
+
+
 # --- windows -----------------------------------------------------------------
 
 def _summary(spark, sf_dir, duration, slide=None):
@@ -91,7 +130,15 @@ def user_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(_summary(spark, sf_dir, "1 day"), users_from_tables(spark, sf_dir, CFG), CFG)
+    return enrich(_summary(spark, sf_dir, "1 day"), users_from_tables(spark, sf_dir, CFG))
+
+
+def summary_enriched_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts joined with the users that have an urgent order: others stay, without a name."""
+    urgent = read_table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(
+        F.col("o_custkey").cast("int").alias("user_id"))
+    users = users_from_tables(spark, sf_dir, CFG).join(urgent, "user_id", "left_semi")
+    return enrich(_summary(spark, sf_dir, "1 day"), users)
 
 
 # --- detection ---------------------------------------------------------------
@@ -105,8 +152,7 @@ def _scored(df: DataFrame) -> DataFrame:
 
 
 def anomaly_zscore(spark: SparkSession, sf_dir: str, duration: str = "1 day") -> DataFrame:
-    det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor,
-                         broadcast_max_rows=CFG.broadcast_max_rows)
+    det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor)
     return _scored(det.anomalies(_summary(spark, sf_dir, duration)))
 
 
@@ -121,8 +167,7 @@ def anomaly_zscore_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
 def anomaly_zscore_by_window_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Z-score scoped per day: statistics of the hourly counts within each day."""
     s = _summary(spark, sf_dir, "1 hour").withColumn("day", F.to_date("window_start"))
-    det = ZScoreDetector(CFG.z_threshold, group_cols=["day"], high_factor=CFG.severity_high_factor,
-                         broadcast_max_rows=CFG.broadcast_max_rows)
+    det = ZScoreDetector(CFG.z_threshold, group_cols=["day"], high_factor=CFG.severity_high_factor)
     return _scored(det.anomalies(s))
 
 
@@ -157,6 +202,21 @@ def anomaly_centroid_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round("score", 6).alias("score"), "severity")
 
 
+DISTANCE_QUANTILE = 0.95
+
+
+def distance_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per cluster the rows, the mean distance and how many lie strictly beyond the
+    exact 95th percentile of all distances to the nearest centre."""
+    feats = action_window_features(_events(spark, sf_dir, geo=False))
+    near = nearest_center(F.col("features"), matrix_literal(CENTROID_CENTERS))
+    scored = feats.select(near.alias("near")).select(F.round("near.distance", 9).alias("distance"), "near.cluster")
+    limit = scored.select(F.percentile("distance", F.lit(DISTANCE_QUANTILE))).scalar()
+    return scored.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("distance"), 6).alias("mean_distance"),
+        F.count_if(F.col("distance") > limit).alias("n_beyond"))
+
+
 # --- keyed tables: change log and its views -------------------------------------
 
 def summary_change_log(spark: SparkSession, sf_dir: str, duration: str = "1 day") -> DataFrame:
@@ -202,6 +262,14 @@ def raw_dedup_nulls_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(*RAW_COLS)
 
 
+def raw_dedup_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replayed events with a device for all but sign-ups: a device's events are
+    kept once, those without one are never duplicates of each other."""
+    device = F.when(F.col("action") != "signup", F.concat(F.lit("d"), F.col("user_id") % 7))
+    replayed = _replayed(spark, sf_dir).withColumn("device_id", device)
+    return changelog.dedup_rows(replayed, RAW_KEY, nulls_distinct=True).select(*RAW_COLS)
+
+
 # --- sinks and transport -----------------------------------------------------------
 
 def text_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,11 +293,10 @@ def dlq_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alerts_1d(spark, sf_dir):
-    det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor,
-                         broadcast_max_rows=CFG.broadcast_max_rows)
+    det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor)
     found = det.anomalies(_summary(spark, sf_dir, "1 day"))
     # names are looked up for the anomalies only, not for every window count
-    recs = alert_records(enrich(found, users_from_tables(spark, sf_dir, CFG), CFG), batch_id=0)
+    recs = alert_records(enrich(found, users_from_tables(spark, sf_dir, CFG)), batch_id=0)
     return parse_alerts(to_kafka_rows(recs))
 
 
@@ -252,11 +319,10 @@ def flagship(spark: SparkSession, sf_dir: str, duration: str = "1 day") -> DataF
     """events → validate → window count → z-score → users left join → anomalies."""
     valid, _ = quality.split_valid_invalid(_events(spark, sf_dir), CFG)
     counts = windows.summary(valid, duration)
-    det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor,
-                         broadcast_max_rows=CFG.broadcast_max_rows)
+    det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor)
     # enrichment after detection: the left join on a unique key keeps every
     # row, so only the (few) anomalies need the users lookup
-    out = enrich(det.anomalies(counts), users_from_tables(spark, sf_dir, CFG), CFG)
+    out = enrich(det.anomalies(counts), users_from_tables(spark, sf_dir, CFG))
     return out.select("window_start", "window_end", "user_id", "user_name", "region", "event_count",
                       F.round("score", 6).alias("score"), "severity")
 

@@ -78,6 +78,11 @@ FROM (SELECT {b} - to_microseconds(CAST(j AS BIGINT) * {slide * 1_000_000}) AS w
 GROUP BY ALL"""
 
 
+def _strict_reason() -> str:
+    return (REASON_SQL.replace("CAST(current_timestamp AS TIMESTAMP)", f"TIMESTAMP '{B.STRICT_AS_OF}'")
+            .replace(f"length(location) > {MAX_LOC}", f"length(location) > {B.STRICT_MAX_LOCATION}"))
+
+
 def _severity(score: str, thr: str) -> str:
     return f"CASE WHEN {score} >= {thr} * {HIGH} THEN 'high' ELSE 'medium' END"
 
@@ -140,6 +145,42 @@ a AS (SELECT *, {_severity('score', str(Z))} AS severity,
       FROM z WHERE score > {Z})"""
 
     return {
+        "dq_reasons_strict": f"""WITH {EVENTS_CTE.strip()}
+SELECT user_id, product_id, action, event_time, location, {_strict_reason()} AS dq_reason FROM ev""",
+        "decode_mixed": f"""WITH {EVENTS_CTE.strip()}
+SELECT action, CAST(event_time AS DATE) AS day, count(*) AS n_rows, count(DISTINCT product_id) AS n_products
+FROM ev WHERE product_id % 10 >= 6 AND user_id IS NOT NULL AND action IS NOT NULL AND event_time IS NOT NULL GROUP BY ALL""",
+        "avro_filter_rows": f"""WITH {EVENTS_CTE.strip()}
+SELECT {RAW_COLS_SQL}, event_time FROM ev
+WHERE action IN ({VALID_ACTIONS_SQL}) AND length(location) BETWEEN 1 AND {B.STRICT_MAX_LOCATION}""",
+        "summary_enriched_partial": f"""WITH {EVENTS_CTE.strip()},
+{USERS_CTE.strip()},
+urgent AS (SELECT * FROM users WHERE user_id IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'))
+SELECT t.window_start, t.window_end, t.user_id, t.event_count, u.name AS user_name, u.region
+FROM ({_tumbling(day)}) t LEFT JOIN urgent u USING (user_id)""",
+        "distance_p95": f"""WITH {EVENTS_CTE.strip()},
+c AS (SELECT {_bucket('event_time', day)} AS window_start, user_id, action, count(*) AS event_count
+      FROM ev WHERE event_time IS NOT NULL GROUP BY ALL),
+f AS (SELECT *, [CAST(event_count AS DOUBLE), {CENTROID_FEATS}] AS feats FROM c),
+d AS (SELECT list_transform({CENTERS_SQL}, lambda ctr: sqrt(list_sum(
+            list_transform(list_zip(feats, ctr), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))) AS dists
+      FROM f),
+m AS (SELECT round(list_min(dists), 9) AS distance,
+             CAST(list_position(dists, list_min(dists)) - 1 AS INTEGER) AS cluster FROM d),
+q AS (SELECT quantile_cont(distance, {B.DISTANCE_QUANTILE}) AS lim FROM m)
+SELECT cluster, count(*) AS n_rows, round(avg(distance), 6) AS mean_distance,
+       count(*) FILTER (WHERE distance > lim) AS n_beyond
+FROM m, q GROUP BY cluster""",
+        "raw_dedup_devices": f"""WITH {EVENTS_CTE.strip()},
+e AS (SELECT * REPLACE (CASE WHEN action <> 'signup' THEN 'd' || CAST(user_id % 7 AS VARCHAR) END AS device_id) FROM ev),
+r AS (SELECT * FROM e UNION ALL SELECT * FROM e)
+SELECT {RAW_COLS_SQL} FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, "timestamp", action, device_id) AS rn
+  FROM r WHERE user_id IS NOT NULL AND "timestamp" IS NOT NULL AND action IS NOT NULL
+    AND device_id IS NOT NULL) WHERE rn = 1
+UNION ALL
+SELECT {RAW_COLS_SQL} FROM r WHERE user_id IS NULL OR "timestamp" IS NULL OR action IS NULL
+  OR device_id IS NULL""",
         "flagship_1d": flag,
         "dq_valid": f"""WITH {TAGGED_CTE.strip()}
 SELECT {RAW_COLS_SQL}, event_time FROM tagged WHERE dq_reason IS NULL""",

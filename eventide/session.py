@@ -47,7 +47,7 @@ def build_session(master: str | None = None, app_name: str = "eventide",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we pick our own folder.
+    Only a local master may do without the setting; there we pick our own folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="eventide-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

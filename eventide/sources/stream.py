@@ -21,7 +21,7 @@ def kafka_available(spark: SparkSession) -> bool:
 def kafka_source(spark: SparkSession, brokers: str, topic: str,
                  cfg: EngineConfig | None = None, starting_offsets: str = "earliest",
                  fail_on_data_loss: bool = False, extra: dict | None = None) -> DataFrame:
-    """Kafka topic scan: earliest offsets, tolerate data loss, rate-limited per trigger."""
+    """Kafka topic scan: earliest offsets, tolerate data loss, rate-limited per trigger if configured."""
     cfg = cfg or EngineConfig()
     if not kafka_available(spark):
         raise RuntimeError("Kafka connector (spark-sql-kafka) is not on the classpath")
@@ -29,8 +29,9 @@ def kafka_source(spark: SparkSession, brokers: str, topic: str,
          .option("kafka.bootstrap.servers", brokers)
          .option("subscribe", topic)
          .option("startingOffsets", starting_offsets)
-         .option("failOnDataLoss", str(fail_on_data_loss).lower())
-         .option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger))
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+    if cfg.max_offsets_per_trigger is not None:
+        r = r.option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger)
     for k, v in (extra or {}).items():
         r = r.option(k, v)
     return r.load()

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.config import EngineConfig
-from eventide.operators.joins import bounded_broadcast
 from eventide.schemas import EVENT_JSON_SCHEMA, JSON_OPTIONS
 
 TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -25,7 +24,6 @@ def customer_geo(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> DataFra
     """(c_custkey, location, user_segment): customer with its nation name."""
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    nation = bounded_broadcast(nation, cfg.broadcast_max_rows)
     return (cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
             .select("c_custkey", F.col("n_name").alias("location"),
                     F.col("c_mktsegment").alias("user_segment")))
@@ -37,10 +35,7 @@ def users_from_tables(spark: SparkSession, sf_dir: str, cfg: EngineConfig | None
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = bounded_broadcast(
-        nation.join(bounded_broadcast(region, cfg.broadcast_max_rows),
-                    nation.n_regionkey == region.r_regionkey, "left"),
-        cfg.broadcast_max_rows)
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     return (cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left")
             .select(F.col("c_custkey").try_cast("int").alias("user_id"),
                     F.col("c_name").alias("name"),
@@ -67,7 +62,7 @@ def events_from_tables(spark: SparkSession, sf_dir: str, cfg: EngineConfig | Non
         F.col("ts").alias("event_time"),
     )
     if with_geo:
-        geo = bounded_broadcast(customer_geo(spark, sf_dir, cfg), cfg.broadcast_max_rows)
+        geo = customer_geo(spark, sf_dir, cfg)
         base = base.join(geo, base._ukey == geo.c_custkey, "left")
         location, segment = F.col("location"), F.col("user_segment")
     else:

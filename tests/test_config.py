@@ -31,3 +31,21 @@ def test_config_validation_and_env():
     with pytest.raises(ValueError):       # slide longer than the 5 s window
         EngineConfig.from_env({"WINDOW_SLIDE": "30 seconds"})
     assert EngineConfig().with_(z_threshold=3.0).z_threshold == 3.0
+
+
+def test_offsets_cap_is_off_unless_asked_for():
+    assert EngineConfig().max_offsets_per_trigger is None
+    assert EngineConfig.from_env({"MAX_OFFSETS_PER_TRIGGER": "500"}).max_offsets_per_trigger == 500
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from eventide.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *_: None)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master=master)
+        with pytest.raises(ValueError):
+            ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))

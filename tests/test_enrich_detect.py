@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from eventide.operators.detect import (CentroidDistanceDetector, FixedCountDetector,
                                        PredictionDetector, ZScoreDetector, detect)
 from eventide.operators.enrich import enrich
-from eventide.operators.joins import bounded_broadcast, fits_in_rows
 
 W0, W1 = dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 1, 0, 0, 5)
 
@@ -24,17 +23,22 @@ def test_enrich_left_outer(spark):
     assert out[2]["user_name"] is None and out[2]["region"] is None
 
 
-def test_broadcast_only_when_bounded(spark):
-    users = spark.createDataFrame([(1, "Alice", "HN")], "user_id int, name string, region string")
-    assert fits_in_rows(users, 1) and not fits_in_rows(users, 0)
-    small = _counts(spark, [1]).join(bounded_broadcast(users, 10), "user_id", "left")
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def _jobs(spark, build):
+    """Spark jobs that ``build`` starts, by its job group."""
+    group = f"build-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "plan building")
     try:
-        big = _counts(spark, [1]).join(bounded_broadcast(users, 0), "user_id", "left")
-        assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_plan_runs_no_job(spark):
+    users = spark.createDataFrame([(1, "Alice", "HN")], "user_id int, name string, region string")
+    counts = _counts(spark, [1, 2, 3])
+    assert _jobs(spark, lambda: enrich(counts, users)) == 0
+    assert _jobs(spark, lambda: ZScoreDetector(2.0, group_cols=["window_start"]).anomalies(counts)) == 0
 
 
 def test_zscore_flags_outlier(spark):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from eventide.plans.registry import registered_queries
 from eventide.operators import changelog, windows
 
 from conftest import SF_SMALL
@@ -54,8 +55,8 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"kmeans_train_score"}
-                                        - {n for n in E.queries() if n.startswith("stream_")}))
+@pytest.mark.parametrize("name", sorted(set(registered_queries()) - {"kmeans_train_score"}
+                                        - {n for n in registered_queries() if n.startswith("stream_")}))
 def test_no_python_evaluation_in_registered_plans(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from eventide.plans.registry import registered_oracles, registered_queries
 from tools.check_oracles import TABLES, digest
 
 from conftest import SF_SMALL
@@ -14,9 +15,10 @@ ROWS_ONLY = {"kmeans_train_score"}
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    q, sql = E.queries(), E.oracle_sql()
+    q, sql = registered_queries(), registered_oracles()
     assert set(q) - set(sql) == ROWS_ONLY
     assert set(sql) <= set(q)
+    assert set(q) <= set(E.queries()) and set(sql) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -37,7 +39,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registered_oracles()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
