@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.llm.blocks import col
+from eventide.session import ensure_checkpoint_dir
 
 #: Tokens of a window for the span, the turns shown again, and the system turn.
 SPAN, HISTORY, SYSTEM = 768, 192, 64
@@ -61,27 +62,29 @@ def numbered(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     t = turns.select(col(conv_col).alias("conv_id"), col(turn_col).cast("bigint").alias("turn"), role.alias("role"), text.alias("text"))
     t = t.withColumn("tokens", F.regexp_count("text", F.lit(TOKEN)).cast("bigint") + TURN_TOKENS)
     t = t.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62))))
-    order = ["turn", "role", "text"]
-    inside = Window.partitionBy("conv_id", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rank = F.row_number().over(Window.partitionBy("conv_id", "block").orderBy(*order)).cast("bigint") - 1
+    t = t.withColumn("big", (F.col("tokens") > SPAN // 2).cast("bigint"))
+    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = t.select("*", (F.row_number().over(inside).cast("bigint") - 1).alias("rank"),
+                     F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("w_in"),
+                     F.coalesce(F.sum("big").over(before), F.lit(0)).alias("b_in"))
     # the leading system turn stands in every window and weighs nothing in the spans
-    first = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    local = t.withColumn("rank", rank)
-    before = (local.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
-              .select("conv_id", "block", F.coalesce(F.sum("n").over(first), F.lit(0)).alias("n0")))
-    t = _with(local, before).withColumn("idx", F.col("rank") + F.col("n0"))
+    lead = F.min_by(F.when(F.col("role") == "system", F.struct("tokens", "big"))
+                    .otherwise(F.struct(F.lit(0).cast("bigint").alias("tokens"), F.lit(0).cast("bigint").alias("big"))), "rank")
+    blocks = local.groupBy("conv_id", "block").agg(F.count("*").alias("n"), F.sum("tokens").alias("w"), F.sum("big").alias("b"),
+                                                   lead.alias("lead"))
+    along = Window.partitionBy("conv_id").orderBy("block")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    sums = blocks.select("conv_id", "block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in "nwb"],
+                         F.first("lead").over(along).alias("lead"))
+    t = _with(local, sums).withColumn("idx", F.col("rank") + F.col("n0"))
     system = (F.col("idx") == 0) & (F.col("role") == "system")
-    t = t.withColumn("is_system", system).withColumn("weight", F.when(system, 0).otherwise(F.col("tokens")))
-    t = t.withColumn("big", (F.col("weight") > SPAN // 2).cast("bigint"))
-    t = (t.withColumn("w_in", F.coalesce(F.sum("weight").over(inside), F.lit(0)))
-         .withColumn("b_in", F.coalesce(F.sum("big").over(inside), F.lit(0))))
-    sums = (t.groupBy("conv_id", "block").agg(F.sum("weight").alias("w"), F.sum("big").alias("b"))
-            .select("conv_id", "block", F.coalesce(F.sum("w").over(first), F.lit(0)).alias("w0"),
-                    F.coalesce(F.sum("b").over(first), F.lit(0)).alias("b0")))
-    t = _with(t, sums)
-    c0 = F.col("w_in") + F.col("w0")
-    return t.select("conv_id", "idx", "role", "text", "tokens", "is_system", c0.alias("c0"), (c0 + F.col("weight")).alias("c1"),
-                    "big", (F.col("b_in") + F.col("b0")).alias("nb"))
+    later = F.when(F.col("idx") == 0, F.lit(0).cast("bigint"))
+    c0 = later.otherwise(F.col("w_in") + F.col("w0") - F.col("lead.tokens"))
+    nb = later.otherwise(F.col("b_in") + F.col("b0") - F.col("lead.big"))
+    return t.select("conv_id", "idx", "role", "text", "tokens", system.alias("is_system"), c0.alias("c0"),
+                    (c0 + F.when(system, 0).otherwise(F.col("tokens"))).alias("c1"),
+                    F.when(system, 0).otherwise(F.col("big")).cast("bigint").alias("big"), nb.alias("nb"))
 
 
 def _with(t: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -98,8 +101,9 @@ def windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     part = F.when(F.col("big") == 1, F.lit(0)).otherwise(F.floor(F.col("c0") / (SPAN // 2)))
     t = t.withColumn("part", part)
     spans = Window.partitionBy("conv_id", "nb", "big", "part")
-    t = (t.withColumn("window", F.min("idx").over(spans)).withColumn("next", F.max("idx").over(spans) + 1)
-         .withColumn("end", F.max("c1").over(spans)))
+    ensure_checkpoint_dir(turns.sparkSession)
+    t = t.select("*", F.min("idx").over(spans).alias("window"), (F.max("idx").over(spans) + 1).alias("next"),
+                 F.max("c1").over(spans).alias("end")).checkpoint()  # read four times
     fields = ["conv_id", "window", "idx", "context", "role", "text", "tokens"]
     own = t.withColumn("context", F.lit(False)).select(*fields)
     first = (t.filter("idx = window").select(F.col("conv_id").alias("_conv"), F.col("window").alias("_window")))
