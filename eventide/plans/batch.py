@@ -125,6 +125,12 @@ def sliding_1d_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(spark, sf_dir, "1 day", "1 hour")
 
 
+def sliding_by_action_1h_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding counts of few, busy keys: bucket counts are added up per window."""
+    counts = windows.window_counts(_events(spark, sf_dir, geo=False), "1 hour", "5 minutes", keys=("action",), buckets=True)
+    return windows.flatten_window(counts)
+
+
 def user_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.action_counts(_events(spark, sf_dir, geo=False))
 

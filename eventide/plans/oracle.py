@@ -197,6 +197,8 @@ WHERE user_id IS NOT NULL AND product_id IS NOT NULL AND action IS NOT NULL
         "sliding_1min_5s": f"WITH {EVENTS_CTE.strip()}\n{_sliding(60, 5)}",
         "tumbling_1h": f"WITH {EVENTS_CTE.strip()}\n{_tumbling(hour)}",
         "sliding_1d_1h": f"WITH {EVENTS_CTE.strip()}\n{_sliding(day, hour)}",
+        "sliding_by_action_1h_5min": f"WITH {EVENTS_CTE.strip()}\n"
+                                     + _sliding(hour, 300).replace("user_id", "action"),
         "user_action_counts": f"""WITH {EVENTS_CTE.strip()}
 SELECT user_id, action, count(*) AS event_count FROM ev GROUP BY ALL""",
         "summary_enriched": f"""WITH {EVENTS_CTE.strip()},

@@ -20,6 +20,7 @@ def registered_queries() -> dict:
         "sliding_1min_5s": B.sliding_1min_5s,
         "tumbling_1h": B.tumbling_1h,
         "sliding_1d_1h": B.sliding_1d_1h,
+        "sliding_by_action_1h_5min": B.sliding_by_action_1h_5min,
         "user_action_counts": B.user_action_counts,
         "summary_enriched": B.summary_enriched,
         "summary_enriched_partial": B.summary_enriched_partial,

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from eventide.config import EngineConfig, check_window
 from eventide.operators import windows
+from eventide.sources.tables import events_from_tables
+
+from conftest import SF_SMALL
 
 
 def _events(spark, times):
@@ -56,3 +59,10 @@ def test_configured_short_and_long_summaries(spark):
     assert short == {base: 2, base + dt.timedelta(seconds=5): 1, base + dt.timedelta(seconds=60): 1}
     long = windows.long_summary(df)
     assert long.agg(F.sum("event_count")).first()[0] == 12 * 4
+
+
+def test_bucket_counts_add_up_to_sliding_counts(spark):
+    ev = events_from_tables(spark, SF_SMALL, with_geo=False)
+    for dur, slide in (("1 hour", "5 minutes"), ("1 minute", "5 seconds"), ("50 minutes", "15 minutes")):
+        a, b = (windows.flatten_window(windows.window_counts(ev, dur, slide, keys=("action",), buckets=x)) for x in (True, False))
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0 and a.count() > 100
