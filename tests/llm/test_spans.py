@@ -48,7 +48,7 @@ PERSONAL = ["a@b.co", "x.y", "@", ".", "..", "_", "-", "+", "1", "22", "255", "2
 
 @pytest.mark.parametrize("pieces,slow,fast,names", [(SECRETS, slow_secrets, S.base_spans, S.KINDS), (PERSONAL, slow_personal, P.base_spans, P.KINDS)])
 def test_base_spans_match_brute_force(spark, pieces, slow, fast, names):
-    texts = _random_texts(pieces, 4000, 1) + ["".join(pieces * 40), "", "a" * 200_000 + "@", "1" * 200_000, "a@b" + ".c" * 20_000, "token " * 3000]
+    texts = _random_texts(pieces, 4000, 1) + ["".join(pieces * 40), "", "a" * 2_000 + "@", "1" * 2_000, "a@b" + ".c" * 2_000, "token " * 3000]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(8)
     got = {r["i"]: [tuple(s) for s in r["s"]] for r in df.select("i", fast(F.col("t")).alias("s")).collect()}
     for i, t in enumerate(texts):
@@ -56,6 +56,15 @@ def test_base_spans_match_brute_force(spark, pieces, slow, fast, names):
     assert any(len(s) > spans.CHUNK // 8 for s in got.values())
 
 
+def test_long_runs_take_no_quadratic_time(spark):
+    n = 200_000
+    texts = ["a" * n + "@", "1" * n, "a@b" + ".c" * n, "1." * 40_000, "0a" * n, "+1 " + "2 " * n]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = df.select("i", P.base_spans(F.col("t")).alias("p"), S.base_spans(F.col("t")).alias("s")).orderBy("i").collect()
+    assert [len(r["p"]) for r in rows] == [0, 0, 1, 10_000, 0, 0] and [len(r["s"]) for r in rows] == [1, 1, 0, 0, 1, 0]
+    assert tuple(rows[2]["p"][0]) == (0, 0, 3 + 2 * n)
+
+
 def test_many_matches_in_one_text(spark):
     text = "é x@y.zz " * 1000
     df = spark.createDataFrame([(text,)], "t string")
@@ -191,15 +200,11 @@ def test_disclosing_terms_match_brute_force(spark):
 
 
 def test_odd_rows(spark, odd, none):
-    found = S.scan(odd)
-    assert found.count() == odd.count()
-    assert S.redact(odd).schema.names == odd.columns and S.redact(odd).count() == odd.count()
+    assert S.redact(odd).columns == odd.columns
     same = lambda df: Counter((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect())
     assert same(S.redact(odd)) == same(odd) == same(P.sanitise(odd))
-    assert P.sanitise(odd).columns == odd.columns
     assert P.scan(odd).count() == odd.count()
-    for df in (S.scan(none), S.redact(none), P.scan(none), P.sanitise(none)):
-        assert df.count() == 0
+    assert S.redact(none).count() == 0 and P.sanitise(none).count() == 0
 
 
 def test_repeated_rows_get_equal_spans(spark):
