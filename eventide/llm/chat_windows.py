@@ -5,7 +5,8 @@ prefix sums of their tokens. A window shows the leading system turn, some turns
 right before its span again (at most ``history`` tokens) and the span; loss
 falls on the assistant texts of the span only, so every assistant text counts
 once. Prefix sums are built in two levels (blocks of turns, then totals of
-blocks), so a long conversation spreads over tasks.
+blocks), so a long conversation spreads over tasks; the numbered turns are
+checkpointed, as four readers share them.
 
 A span starts anew where the prefix sum passes a multiple of half the span's
 budget, and around a turn larger than that half; so a span holds no more than
