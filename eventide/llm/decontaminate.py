@@ -15,8 +15,8 @@ of at least (n - k) / (k + 1) of an item's n words together, so some such run
 of items must occur where the window lies; and a window within k edits has at
 least n - k words that occur in items.
 
-Items reach the tasks in blocks of at most ITEM_ROWS rows (one pass over the
-documents each), so the benchmark may be of any size. Items of under MIN_WORDS
+Items reach the tasks in blocks of about ITEM_ROWS rows or ITEM_BYTES bytes (one
+pass over the documents each), so the benchmark may be of any size. Items of under MIN_WORDS
 words are too short to tell and match nothing; items of over MAX_WORDS words
 are searched as consecutive parts. Defined results: null or empty texts leak
 nothing and null or empty items are no items; repeated documents repeat their
@@ -41,8 +41,8 @@ RECALL = 0.99
 #: Coordinates a repetition samples.
 SAMPLES = 2
 MIN_WORDS, MAX_WORDS = 5, 256
-#: Items that one pass over the documents looks for, at most.
-ITEM_ROWS = 20_000
+#: Items that one pass over the documents looks for, about: rows and bytes of text.
+ITEM_ROWS, ITEM_BYTES = 20_000, 16_000_000
 #: Bits of the table that tells words of items.
 TABLE_BITS = 20
 #: Repetitions, whatever the calibration finds.
@@ -369,7 +369,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     small_batches(spark)
     items = (benchmark.select(col(item_col).cast("bigint").alias("item_id"), col(item_text_col).cast("string").alias("text"))
              .filter("item_id is not null and text is not null").distinct())
-    blocks = max(1, -(-items.count() * 5 // (ITEM_ROWS * 4)))  # a fifth to spare: hashed blocks differ in size
+    size = items.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    # a fifth to spare: hashed blocks differ in size
+    blocks = max(1, -(-size["rows"] * 5 // (ITEM_ROWS * 4)), -(-(size["bytes"] or 0) * 5 // (ITEM_BYTES * 4)))
     texts, out = keyed_texts(docs, id_col, text_col), None
     for k in range(blocks):
         block = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
