@@ -6,9 +6,11 @@ item by at most (1 - similarity) of the item's words in word edits. Windows as
 long as the item begin at every word. The CGK random walk embeds a sequence so
 that a small edit distance becomes a small Hamming distance; a repetition
 samples SAMPLES coordinates of the embedding, windows that agree with an item
-on them are candidates, and as many repetitions run as the target recall
-needs (measured on items with the largest allowed number of edits). An exact
-edit distance decides every candidate.
+on them are candidates, and for every number of allowed edits as many
+repetitions run as the target recall needs (measured on its items with that
+many edits). An exact edit distance decides every candidate; items that would
+need more than EXACT_AFTER repetitions are compared with every window left by
+the tests below.
 
 Ahead of the embedding stand two tests that lose nothing: k edits leave a run
 of at least (n - k) / (k + 1) of an item's n words together, so some such run
@@ -45,8 +47,8 @@ MIN_WORDS, MAX_WORDS = 5, 256
 ITEM_ROWS, ITEM_BYTES = 20_000, 16_000_000
 #: Bits of the table that tells words of items.
 TABLE_BITS = 20
-#: Repetitions, whatever the calibration finds.
-MAX_REPETITIONS = 64
+#: Repetitions beyond which windows are compared with all items of their size.
+EXACT_AFTER = 512
 _PAD = np.uint64(0)
 
 
@@ -106,6 +108,12 @@ class Embedding:
         self.where = r.random((repetitions, SAMPLES))
         self.mix = r.integers(0, 1 << 63, (repetitions, SAMPLES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+    def part(self, first: int, last: int) -> Embedding:
+        """The repetitions from ``first`` to before ``last``."""
+        out = object.__new__(Embedding)
+        out.step, out.where, out.mix = (x[first:last].copy() for x in (self.step, self.where, self.mix))
+        return out
+
     def signatures(self, words: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
         """For each window of ``n`` words, one number for the sampled coordinates of
         each repetition (columns)."""
@@ -138,30 +146,34 @@ def _edited(item: np.ndarray, k: int, random: np.random.Generator) -> list:
     return out
 
 
-def repetitions_for(items: list[np.ndarray], similarity: float, recall: float, copies: int = 4, seed: int = 23) -> int:
-    """The repetitions after which items with the largest allowed number of random
-    edits are candidates with probability ``recall``, over a bounded set of items."""
-    random, trial, rates = np.random.default_rng(seed), Embedding(16), []
-    sizes = defaultdict(list)
-    for item in items[:: max(1, len(items) // 200)]:
-        sizes[len(item)].append(item)
-    for n, members in sizes.items():
-        if not (k := allowed_edits(n, similarity)):
-            continue
-        pad = [_PAD] * (n + k)
-        width = 2 * (n + k)
-        old = np.array([[*x, *pad][:width] + [_PAD] * (width - min(width, len(x) + len(pad))) for x in members for _ in range(copies)], np.uint64)
-        new = np.array([(_edited(x, k, random) + pad + pad)[:width] for x in members for _ in range(copies)], np.uint64)
-        start = np.arange(len(old)) * width
-        size = np.full(len(start), n)
-        agree = trial.signatures(old.ravel(), start, size) == trial.signatures(new.ravel(), start, size)
-        rates += list((agree.sum(1) + 0.5) / 17)
-    if not rates:
-        return 1
-    for r in range(1, MAX_REPETITIONS):
-        if np.mean((1 - np.array(rates)) ** r) <= 1 - recall:
-            return r
-    return MAX_REPETITIONS
+def repetitions_for(items: list[np.ndarray], similarity: float, recall: float, embedding: Embedding,
+                    pairs: int = 512, seed: int = 23) -> int | None:
+    """The repetitions of ``embedding`` after which items (of one number of allowed
+    edits) with that many random edits are candidates with probability ``recall``;
+    none if it has too few. Measured on ``pairs`` copies of the shortest items, in
+    which the edits lie closest; as they are a sample, half the misses are allowed."""
+    items = sorted(items, key=len)[:pairs]
+    if not (k := allowed_edits(len(items[0]), similarity)):
+        return 1  # equal words have equal signatures
+    random, old, new, size = np.random.default_rng(seed), [], [], []
+    width = 2 * (len(items[-1]) + k)
+    for c in range(pairs):
+        item = items[c % len(items)]
+        edited = _edited(item, k, random)
+        behind = random.integers(1 << 62, size=width - len(edited), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        old.append([*item, *[_PAD] * (width - len(item))])
+        new.append([*edited, *behind])
+        size.append(len(item))
+    old, new, size = np.array(old, np.uint64).ravel(), np.array(new, np.uint64).ravel(), np.array(size)
+    missed, allowed = np.arange(pairs), int(pairs * (1 - recall) / 2)
+    for first in range(0, len(embedding.step), 32):
+        part = embedding.part(first, first + 32)
+        agree = part.signatures(old, missed * width, size[missed]) == part.signatures(new, missed * width, size[missed])
+        left = len(missed) - np.logical_or.accumulate(agree, axis=1).sum(0)
+        if left[-1] <= allowed:
+            return first + 1 + int(np.argmax(left <= allowed))
+        missed = missed[~agree.any(1)]
+    return None
 
 
 class Targets:
@@ -196,16 +208,22 @@ class Targets:
             sorted_ = np.unique(np.concatenate(all_))
             table[self._slot(sorted_)] = True
             self.runs[q] = table, np.append(sorted_, ~np.uint64(0))
-        self.repetitions = repetitions_for(self.hashes, similarity, recall)
-        self.embedding = Embedding(self.repetitions)
         self.by_size: dict[int, list[int]] = defaultdict(list)
+        by_edits: dict[int, list[np.ndarray]] = defaultdict(list)
         for k, h in enumerate(self.hashes):
             self.by_size[len(h)].append(k)
+            by_edits[allowed_edits(len(h), similarity)].append(h)
+        whole = Embedding(EXACT_AFTER)
+        needed = {k: repetitions_for(members, similarity, recall, whole) for k, members in by_edits.items()}
+        self.repetitions = {n: needed[allowed_edits(n, similarity)] for n in self.by_size}  # by size; none: exact
+        self.embeddings = {r: whole.part(0, r) for r in set(needed.values()) if r}
         self.signed = {}
         for n, members in self.by_size.items():
+            if not self.repetitions[n]:
+                continue
             flat = np.concatenate([self.hashes[k] for k in members])
-            signs = self.embedding.signatures(flat, np.arange(len(members)) * n, np.full(len(members), n))
-            for rep in range(self.repetitions):
+            signs = self.embeddings[self.repetitions[n]].signatures(flat, np.arange(len(members)) * n, np.full(len(members), n))
+            for rep in range(self.repetitions[n]):
                 order = np.argsort(signs[:, rep], kind="stable")
                 self.signed[n, rep] = signs[order, rep], np.array(members)[order]
 
@@ -226,6 +244,27 @@ class Targets:
     def _slot(h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
+    def _candidates(self, n: int, start: np.ndarray, signs: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(start, target)`` of the windows of ``n`` words to be compared: those that agree
+        in some repetition, or all with all where there are no signatures."""
+        if signs is None:
+            members = np.array(self.by_size[n])
+            step = max(1, 200_000 // len(members))
+            for a in range(0, len(start), step):
+                part = start[a:a + step]
+                yield np.repeat(part, len(members)), np.tile(members, len(part))
+            return
+        pairs = []
+        for rep, got in enumerate(signs.T):
+            signed, of = self.signed[n, rep]
+            low, high = np.searchsorted(signed, got, "left"), np.searchsorted(signed, got, "right")
+            while len(hit := np.flatnonzero(low < high)):
+                pairs.append(start[hit] * len(self.item) + of[low[hit]])
+                low = low + 1
+        if pairs:
+            pair = np.unique(np.concatenate(pairs))
+            yield pair // len(self.item), pair % len(self.item)
+
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(start, target)`` of the windows within the allowed distance, by hash.
         ``words`` holds ``gap`` pads behind every text."""
@@ -249,29 +288,25 @@ class Targets:
             start = near[known[near + n] - known[near] >= n - k]
             if len(start):
                 windows[n] = start
-        if windows:
-            all_start = np.concatenate(list(windows.values()))
-            all_n = np.repeat(list(windows), [len(x) for x in windows.values()])
-            signs = np.concatenate([self.embedding.signatures(words, all_start[a:a + 4096], all_n[a:a + 4096])
-                                    for a in range(0, len(all_start), 4096)])
-        for n, start in windows.items():
-            k, pairs = allowed_edits(n, self.similarity), []
-            for rep, got in enumerate(signs[all_n == n].T):
-                signed, of = self.signed[n, rep]
-                low, high = np.searchsorted(signed, got, "left"), np.searchsorted(signed, got, "right")
-                while len(hit := np.flatnonzero(low < high)):
-                    pairs.append(start[hit] * len(self.item) + of[low[hit]])
-                    low = low + 1
-            if not pairs:
+        signs: dict[int, np.ndarray] = {}
+        for r, embedding in self.embeddings.items():
+            if not (sizes := [n for n in windows if self.repetitions[n] == r]):
                 continue
-            pair = np.unique(np.concatenate(pairs))
-            at, target = pair // len(self.item), pair % len(self.item)
-            for a in range(0, len(at), 2_000):
-                s, t = at[a:a + 2_000], target[a:a + 2_000]
-                window = words[np.minimum(s[:, None] + np.arange(n + k), len(words) - 1)]
-                fine = _distances(np.array([self.hashes[x] for x in t]), window) <= k
-                starts.append(s[fine])
-                targets.append(t[fine])
+            all_start = np.concatenate([windows[n] for n in sizes])
+            all_n = np.repeat(sizes, [len(windows[n]) for n in sizes])
+            step = max(1, (1 << 18) // r)
+            signed = np.concatenate([embedding.signatures(words, all_start[a:a + step], all_n[a:a + step])
+                                     for a in range(0, len(all_start), step)])
+            signs |= {n: signed[all_n == n] for n in sizes}
+        for n, start in windows.items():
+            for at, target in self._candidates(n, start, signs.get(n)):
+                k = allowed_edits(n, self.similarity)
+                for a in range(0, len(at), 2_000):
+                    s, t = at[a:a + 2_000], target[a:a + 2_000]
+                    window = words[np.minimum(s[:, None] + np.arange(n + k), len(words) - 1)]
+                    fine = _distances(np.array([self.hashes[x] for x in t]), window) <= k
+                    starts.append(s[fine])
+                    targets.append(t[fine])
         if not starts:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(starts), np.concatenate(targets)

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -71,6 +73,43 @@ def test_recall_with_the_most_edits(spark, sf):
     assert found >= 0.95 * total
 
 
+def _recall(items, targets, r, copies=1):
+    """By size, the share of copies with the most edits in which the item is found."""
+    hashes, base, of = [], [0], []
+    for i, text in items * copies:
+        words = text.split()
+        of.append((i, len(words)))
+        for e in range(D.allowed_edits(len(words), 0.8)):
+            at = int(r.integers(len(words)))
+            words[at:at + 1] = [[f"zz{e}"], [words[at], f"qq{e}"], []][int(r.integers(3))]
+        text = ("foo bar " + " ".join(words) + " baz" * 9).encode()
+        hashes += [D.words_of(np.frombuffer(text, np.uint8))[0], np.full(targets.gap, D._PAD)]
+        base.append(base[-1] + len(hashes[-2]) + targets.gap)
+    start, target = targets.find(np.concatenate(hashes))
+    row = np.searchsorted(base, start, side="right") - 1
+    hit = {k for k, t in zip(row.tolist(), target.tolist()) if targets.item[t] == of[k][0]}
+    total, found = Counter(n for _, n in of), Counter(of[k][1] for k in hit)
+    return {n: found[n] / total[n] for n in total}
+
+
+def test_recall_of_long_items_among_short_ones():
+    r = np.random.default_rng(2)
+    sizes = [60] * 20 + [128] * 20 + [256] * 20 + [8] * 1200
+    items = [(i, " ".join(f"w{r.integers(5000)}" for _ in range(n))) for i, n in enumerate(sizes)]
+    targets = D.Targets(items, 0.8, 0.99)
+    got = _recall(items[:60], targets, r, copies=15) | _recall(items[60:], targets, r)
+    assert set(got) == {8, 60, 128, 256} and min(got.values()) >= 0.99, got
+
+
+def test_sizes_of_too_many_repetitions_are_compared_exactly(monkeypatch):
+    monkeypatch.setattr(D, "EXACT_AFTER", 20)
+    r = np.random.default_rng(4)
+    items = [(i, " ".join(f"w{r.integers(500)}" for _ in range(n))) for i, n in enumerate([8] * 40 + [128] * 40)]
+    targets = D.Targets(items, 0.8, 0.99)
+    assert targets.repetitions[8] and targets.repetitions[128] is None
+    assert _recall(items, targets, r)[128] == 1
+
+
 def test_query_finds_the_verbatim_copies(spark):
     sf = "/root/testdata/sf0.01"
     got = {(r["doc_id"], r["item_id"]): r for r in op2_decontaminate(spark, sf).collect()}
