@@ -2,21 +2,23 @@
 
 All on Spark's own functions. Four patterns find the entities to protect
 (e-mail, IP, card and phone numbers); these are the base spans. The corpus then
-tells which terms beside an entity give it away: with document counts over the
-whole corpus, a term t near an entity c discloses
+tells which terms of a document give an entity in it away: with document counts
+over the whole corpus, a term t in the documents of an entity c discloses
 
     PMI(c; t) / IC(c) = log2(N df(c,t) / (df(c) df(t))) / log2(N / df(c))
 
-of it: 1 if t alone tells c, about 0 if t says nothing. Terms near c whose
-share reaches GENERALISE are generalised (to a mark), from REMOVE on removed,
-wherever they stand near that entity; df(c,t) must reach SUPPORT documents,
-as one document is no evidence. Term spans join the base spans.
+of it: 1 if t alone tells c, about 0 if t says nothing. Terms whose share
+reaches GENERALISE are generalised (to a mark), from REMOVE on removed, at every
+place in the documents that hold c; df(c,t) must reach SUPPORT documents, as one
+document is no evidence. Term spans join the base spans.
 
-Near: words of MIN_TERM or more letters or digits that lie wholly within NEAR
-code points before or behind a span.
+Terms are all words (runs of letters or digits) of the whole text that lie
+outside base spans.
 
-Counts are keyed by 64-bit hashes. Pairs of entity and term meet the counts of
-terms in a join salted by entity, so a frequent term does not fill one task.
+Counts are keyed by 64-bit hashes, documents by one of id and text. Entities of
+under SUPPORT documents are dropped before any term is listed; the documents of
+an entity meet its count, and pairs of entity and term the counts of terms, in
+salted joins, so neither a frequent entity nor a frequent term fills one task.
 
 Defined results: a null text is the empty text; repeated rows (equal id and
 text) count as one document and get equal spans; an empty table gives an empty
@@ -26,6 +28,8 @@ columns of any other name may stand beside id and text.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.llm.blocks import col
@@ -43,11 +47,11 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-NEAR = 60
-MIN_TERM = 3
+#: Code points before and behind a base span in which terms count: no bound (the tests' brute force reads this).
+NEAR = math.inf
 SUPPORT = 2
 GENERALISE, REMOVE = 0.7, 0.9
-#: Ways a term's pairs are split in the join with its count.
+#: Ways an entity's documents and a term's pairs are split in the join with its count.
 SALTS = 32
 
 
@@ -76,68 +80,73 @@ def base_spans(text: Column) -> Column:
         spans_of(text, PHONE, 3, lambda m: F.length(_digits(m)).between(9, 15), hint=r"\+[0-9]"))
 
 
-def _words(text: Column, at: Column, keep: Column | None = None) -> Column:
-    """Terms of a piece of text with their places in the whole, which begins ``at``."""
-    found = matches(text, r"[\p{L}\p{N}]{%d,}+" % MIN_TERM)
-    return F.transform(found, lambda m: F.struct((m["start"] + at).alias("start"), (m["end"] + at).alias("end"),
-                                                 F.xxhash64(F.lower(m["value"])).alias("term")))
-
-
-def near_terms(text: Column, spans: Column) -> Column:
-    """For each base span its entity (a hash of kind and value) and the terms near it."""
-    size = F.length(text)
-
+def entities_of(text: Column, spans: Column) -> Column:
+    """The distinct entities (hashes of kind and value) of base spans."""
     def one(s: Column) -> Column:
         value = F.substring(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
         plain = F.when(s["kind"] >= 2, F.regexp_replace(value, "[^0-9]", "")).otherwise(F.lower(value))
-        left = F.greatest(F.lit(0).cast("bigint"), s["start"] - NEAR)
-        right = F.least(size.cast("bigint"), s["end"] + NEAR)
-        # one more character tells whether the word at the edge is whole
-        before = F.substring(text, F.greatest(left, F.lit(1)).cast("int"), (s["start"] - F.greatest(left - 1, F.lit(0))).cast("int"))
-        behind = F.substring(text, (s["end"] + 1).cast("int"), (right - s["end"] + 1).cast("int"))
-        first = F.greatest(left - 1, F.lit(0))
-        words = F.concat(
-            F.filter(_words(before, first), lambda w: (w["start"] >= left) & ((w["start"] > first) | (first == 0))),
-            F.filter(_words(behind, s["end"]), lambda w: w["end"] <= right))
-        return F.struct(F.xxhash64(s["kind"], plain).alias("entity"), words.alias("words"))
-
-    near = F.transform(spans, one)
-    # words within base spans are replaced with them anyway
-    return F.transform(near, lambda n: F.struct(n["entity"].alias("entity"), F.filter(
-        n["words"], lambda w: ~F.exists(spans, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))).alias("words")))
+        return F.xxhash64(s["kind"], plain)
+
+    return F.array_distinct(F.transform(spans, one))
+
+
+def terms_of(text: Column, spans: Column) -> Column:
+    """The terms of a text with their places; words within base spans are replaced with them anyway."""
+    found = F.transform(matches(text, r"[\p{L}\p{N}]++"), lambda m: F.struct(
+        m["start"].alias("start"), m["end"].alias("end"), F.xxhash64(F.lower(m["value"])).alias("term")))
+    return F.filter(found, lambda w: ~F.exists(spans, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
 
 
 def found_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, h, base, near)`` for every row; ``h`` is a hash of the text."""
+    """``(doc_id, h, key, base, entities, t)`` for every row; ``h`` is a hash of the
+    text, ``key`` one of id and text; the text itself only where entities are."""
     t = docs.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("t"))
-    t = t.withColumn("base", base_spans(F.col("t")))
-    near = F.when(F.size("base") > 0, near_terms(F.col("t"), F.col("base")))
-    return t.select("doc_id", F.xxhash64("t").alias("h"), "base", near.alias("near"))
+    t = t.withColumn("base", base_spans(F.col("t"))).withColumn("h", F.xxhash64("t"))
+    some = F.size("base") > 0
+    return t.select("doc_id", "h", F.xxhash64("doc_id", "h").alias("key"), "base",
+                    F.when(some, entities_of(F.col("t"), F.col("base"))).alias("entities"), F.when(some, F.col("t")).alias("t"))
 
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(term, df)``: rows in which a term occurs, over all rows and whole texts."""
-    words = F.filter(F.split(F.lower(col(text_col).cast("string")), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= MIN_TERM)
+    words = F.filter(F.split(F.lower(col(text_col).cast("string")), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0)
     hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
     return docs.select(F.explode(hashes).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
-def disclosing(found: DataFrame, counts: DataFrame, n: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def _salted(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+
+
+def listed_terms(found: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """``(key, known, words)``: of every document with entities of ``support``
+    documents or more those, ``known``, with their counts, and its terms."""
+    held = found.filter(F.size("base") > 0).dropDuplicates(["key"])
+    each = held.select("key", F.explode("entities").alias("entity"))
+    entities = each.groupBy("entity").agg(F.count("*").alias("df_c")).filter(F.col("df_c") >= support)
+    known = (each.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS))).join(_salted(entities), ["entity", "salt"])
+             .groupBy("key").agg(F.collect_list(F.struct("entity", "df_c")).alias("known")))
+    return held.select("key", "t", "base").join(known, "key").select(
+        "key", "known", terms_of(F.col("t"), F.col("base")).alias("words"))
+
+
+def _pairs(listed: DataFrame) -> DataFrame:
+    """``(key, entity, df_c, term)``, once for every document."""
+    terms = listed.select("key", "known", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
+    return terms.select("key", "term", F.explode("known").alias("c")).select("key", "c.entity", "c.df_c", "term")
+
+
+def disclosing(listed: DataFrame, counts: DataFrame, n: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """``(entity, term, share)``: terms that disclose at least the share ``least`` of an entity."""
-    per_doc = found.filter(F.size("base") > 0).select("doc_id", "h", F.explode("near").alias("x"))
-    entities = (per_doc.select("doc_id", "h", F.col("x.entity").alias("entity")).distinct()
-                .groupBy("entity").agg(F.count("*").alias("df_c")).filter(F.col("df_c") >= support))
-    pairs = (per_doc.select("doc_id", "h", F.col("x.entity").alias("entity"), F.explode("x.words.term").alias("term")).distinct()
-             .groupBy("entity", "term").agg(F.count("*").alias("df_ct")).filter(F.col("df_ct") >= support)
-             .join(entities, "entity").checkpoint())
+    pairs = (_pairs(listed).groupBy("entity", "df_c", "term").agg(F.count("*").alias("df_ct"))
+             .filter(F.col("df_ct") >= support).checkpoint())
     needed = counts.join(pairs.select("term").distinct(), "term")
     salt = F.pmod(F.xxhash64("entity"), F.lit(SALTS))
-    spread = needed.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
     total = F.lit(float(max(n, 1)))
     pmi = F.log2(total * F.col("df_ct") / (F.col("df_c") * F.col("df")))
     ic = F.log2(total / F.col("df_c"))
     share = F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0))
-    return (pairs.withColumn("salt", salt).join(spread, ["term", "salt"])
+    return (pairs.withColumn("salt", salt).join(_salted(needed), ["term", "salt"])
             .select("entity", "term", share.alias("share")).filter(F.col("share") >= least))
 
 
@@ -147,18 +156,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", suppor
     those of disclosing terms (kind 4: to be generalised, 5: to be removed)."""
     ensure_checkpoint_dir(docs.sparkSession)
     found = found_entities(docs, id_col, text_col).checkpoint()
-    told = disclosing(found, term_counts(docs, id_col, text_col), found.count(), support, generalise)
-    per_doc = (found.filter(F.size("base") > 0).select("doc_id", "h", "near").distinct()
-               .select("doc_id", "h", F.explode("near").alias("x"))
-               .select("doc_id", "h", F.col("x.entity").alias("entity"), F.explode("x.words").alias("w")))
-    hit = (per_doc.join(told, (per_doc["entity"] == told["entity"]) & (per_doc["w.term"] == told["term"]))
-           .groupBy("doc_id", "h", F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-           .agg(F.max("share").alias("share")))
+    listed = listed_terms(found, support).checkpoint()
+    told = disclosing(listed, term_counts(docs, id_col, text_col), found.count(), support, generalise)
+    hit = _pairs(listed).join(told, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
+    places = listed.select("key", F.explode("words").alias("w")).select("key", "w.term", "w.start", "w.end")
     kind = F.when(F.col("share") >= remove, F.lit(_REMOVED)).otherwise(F.lit(_GENERALISED))
-    terms = (hit.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
+    terms = (places.join(hit, ["key", "term"]).groupBy("key")
              .agg(F.collect_list(F.struct("start", kind.alias("kind"), "end")).alias("terms")))
-    with_terms = (found.filter(F.size("base") > 0)
-                  .join(terms, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left"))
+    with_terms = found.filter(F.size("base") > 0).join(terms, "key", "left")
     added = F.coalesce("terms", F.array().cast(KIND))
     return (with_terms.select("doc_id", "h", "base", in_order(F.col("base"), added).alias("spans"))
             .union(found.filter(F.size("base") == 0).select("doc_id", "h", "base", F.col("base").alias("spans"))))

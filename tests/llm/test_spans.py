@@ -199,6 +199,18 @@ def test_disclosing_terms_match_brute_force(spark):
             assert clean[d] == t
 
 
+def test_terms_far_from_the_entity_are_marked_everywhere(spark):
+    far = " ".join(f"filler{k % 7}" for k in range(60))
+    text = f"Zebulon Li of {far} writes as zl@x.org in {far} and Zebulon signs Li"
+    docs = [(d, text if d < 2 else f"of {far} writes as in {far} and signs number {d}") for d in range(40)]
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    rows = {r["doc_id"]: {text[s["start"]:s["end"]] + f"@{s['start']}" for s in r["spans"] if s["kind"] >= 4} for r in P.scan(df).collect()}
+    want = {f"{m[0]}@{m.start()}" for m in re.finditer("Zebulon|Li", text)}
+    assert len(want) == 4 and rows[0] == rows[1] == want and not any(rows[d] for d in range(2, 40))
+    clean = {r["doc_id"]: r["text"] for r in P.sanitise(df).collect()}
+    assert "Zebulon" not in clean[0] and "Li" not in clean[0] and clean[5] == docs[5][1]
+
+
 def test_odd_rows(spark, odd, none):
     assert S.redact(odd).columns == odd.columns
     same = lambda df: Counter((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect())
