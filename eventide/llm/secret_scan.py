@@ -6,8 +6,8 @@ run of characters that keys are made of, with a digit in it); adding one
 character and dropping one changes the sum of c log2 c over the window's
 character counts by the terms of those two characters only, and the Shannon
 entropy follows from the sum. A window is hot if its entropy reaches the
-threshold of its character class (hex, one case with digits, mixed); a span
-reaches from the first hot window of a candidate to the end of its last.
+threshold of its character class (hex, one case with digits, mixed); the span
+of a candidate with a hot window is the whole candidate.
 Candidates that match an allow-list pattern are suppressed; base spans stay.
 A span that lies within a base span is not added again.
 
@@ -37,7 +37,10 @@ WINDOW = 20
 #: Runs of characters that keys are made of, with a digit, as long as a window at least.
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{%d,}+" % WINDOW
 #: Least entropy in bits by class: hex digits only; one case and digits; both cases and digits.
-THRESHOLDS = (3.0, 3.6, 3.9)
+#: The 1 % quantiles of windows of random characters (2.90, 3.41, 3.65).
+THRESHOLDS = (2.9, 3.4, 3.64)
+#: Digits that a hot window of one case has at least, here; of 20 random characters 5 % have under three.
+ONE_CASE_DIGITS = 1
 #: Candidates that are no secrets: UUIDs, numbers, words and slugs, documentation keys, paths.
 ALLOW = (r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9+/_-]+", r"[A-Za-z]*([-_/+][A-Za-z]+)*[-_/+]?[0-9]{0,4}",
          r".*(EXAMPLE|example|0123456789|abcdefgh).*", r"/?([a-z0-9_-]{1,12}/)+[a-z0-9_-]{0,12}")
@@ -54,7 +57,8 @@ def base_spans(text: Column) -> Column:
         spans_of(text, r"[0-9a-f]{24,}+", 2, lambda m: F.length(m) >= 24))
 
 
-def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float, float] = THRESHOLDS) -> Column:
+def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float, float] = THRESHOLDS,
+             one_case_digits: int = 3) -> Column:
     """``struct<first, last>`` (from 0, last exclusive) of the hot windows of an
     ASCII string; first is null if none is hot."""
     codes = F.transform(F.split(run, ""), lambda c: F.ascii(c))
@@ -93,7 +97,7 @@ def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float,
         entropy = F.lit(math.log2(window)) - total / F.lit(float(window))
         kind_hot = (F.when((hexed == window) & ((lower == 0) | (upper == 0)),
                            (entropy >= thresholds[0]) & (digit >= 2) & (digit <= window - 2))
-                    .when((lower == 0) | (upper == 0), (entropy >= thresholds[1]) & (digit >= 3) & (lower + upper >= 3))
+                    .when((lower == 0) | (upper == 0), (entropy >= thresholds[1]) & (digit >= one_case_digits) & (lower + upper >= 3))
                     .otherwise((entropy >= thresholds[2]) & (digit >= 1)))
         hot = (i >= window) & kind_hot
         return F.struct(n.alias("n"), total.alias("s"), digit.alias("digit"), lower.alias("lower"), upper.alias("upper"),
@@ -110,15 +114,13 @@ def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float,
 
 
 def entropy_spans(text: Column, base: Column, allow: tuple[str, ...] = ALLOW) -> Column:
-    """Spans of hot windows outside the base spans, kind 3."""
+    """Spans of candidates with a hot window, outside the base spans, kind 3."""
     listed = "|".join(f"(?:{a})" for a in allow)
     runs = matches(text, CANDIDATE, hint="[0-9]")
     if allow:
         runs = F.filter(runs, lambda m: ~m["value"].rlike(f"^(?:{listed})$"))
-    hot = F.transform(runs, lambda m: F.struct(m["start"].alias("at"), hot_part(m["value"]).alias("p")))
-    found = F.transform(F.filter(hot, lambda h: h["p"]["first"].isNotNull()),
-                        lambda h: F.struct((h["at"] + h["p"]["first"]).alias("start"), F.lit(3).alias("kind"),
-                                           (h["at"] + h["p"]["last"]).alias("end")))
+    hot = F.filter(runs, lambda m: hot_part(m["value"], one_case_digits=ONE_CASE_DIGITS)["first"].isNotNull())
+    found = F.transform(hot, lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("kind"), m["end"].alias("end")))
     return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
 
 
