@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import (bpe_replay, chat_windows, decontaminate, hypergeometric_shards, pii_sanitise, quality_attention,
-                          quality_rules, secret_scan, simhash_gph, toxicity_mil)
+from eventide.llm import (bpe_replay, chat_windows, decontaminate, fill_in_middle, hypergeometric_shards, pii_sanitise,
+                          quality_attention, quality_rules, secret_scan, simhash_gph, toxicity_mil)
 from eventide.llm.spans import count_of, named
 from eventide.sources.tables import read_table
 
@@ -86,7 +86,11 @@ def op10_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_sentences", "offending")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(read_table(spark, sf_dir, "documents"), rate=50, spm=80, seed=42)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op3_secret_scan, op4_quality_rules, op5_chat_windows, op6_hypergeometric_shards, op7_bpe_replay,
-                                  op8_simhash_gph, op9_pii_sanitise, op10_toxicity_mil)}
+                                  op8_simhash_gph, op9_pii_sanitise, op10_toxicity_mil, op11_fill_in_middle)}
 
-ORACLES: dict[str, str] = {"op5_chat_windows": chat_windows.SQL}
+ORACLES: dict[str, str] = {"op5_chat_windows": chat_windows.SQL, "op11_fill_in_middle": fill_in_middle.SQL}
