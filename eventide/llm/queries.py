@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.llm import (bpe_replay, chat_windows, decontaminate, fill_in_middle, hypergeometric_shards, pii_sanitise,
-                          quality_attention, quality_rules, secret_scan, simhash_gph, toxicity_mil)
+                          quality_attention, quality_rules, secret_scan, simhash_gph, toxicity_mil, whitening_jd)
 from eventide.llm.spans import count_of, named
 from eventide.sources.tables import read_table
 
@@ -90,7 +90,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(read_table(spark, sf_dir, "documents"), rate=50, spm=80, seed=42)
 
 
+def op13_whitening_jd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_jd.whiten(read_table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op3_secret_scan, op4_quality_rules, op5_chat_windows, op6_hypergeometric_shards, op7_bpe_replay,
-                                  op8_simhash_gph, op9_pii_sanitise, op10_toxicity_mil, op11_fill_in_middle)}
+                                  op8_simhash_gph, op9_pii_sanitise, op10_toxicity_mil, op11_fill_in_middle,
+                                  op13_whitening_jd)}
 
 ORACLES: dict[str, str] = {"op5_chat_windows": chat_windows.SQL, "op11_fill_in_middle": fill_in_middle.SQL}
