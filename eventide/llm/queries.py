@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import (bpe_replay, chat_windows, decontaminate, fill_in_middle, hypergeometric_shards, pii_sanitise,
-                          quality_attention, quality_rules, secret_scan, simhash_gph, toxicity_mil, whitening_jd)
+from eventide.llm import (bpe_replay, chat_windows, decontaminate, fill_in_middle, hypergeometric_shards, lm_backoff,
+                          pii_sanitise, quality_attention, quality_rules, secret_scan, simhash_gph, toxicity_mil, whitening_jd)
 from eventide.llm.spans import count_of, named
 from eventide.sources.tables import read_table
 
@@ -90,12 +90,19 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(read_table(spark, sf_dir, "documents"), rate=50, spm=80, seed=42)
 
 
+def op12_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_backoff.score(read_table(spark, sf_dir, "documents"), lm_backoff.ORDER, lm_backoff.STRENGTH)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
+                        F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"))
+
+
 def op13_whitening_jd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening_jd.whiten(read_table(spark, sf_dir, "embeddings"), components=16)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_attention, op2_decontaminate, op3_secret_scan, op4_quality_rules, op5_chat_windows, op6_hypergeometric_shards, op7_bpe_replay,
                                   op8_simhash_gph, op9_pii_sanitise, op10_toxicity_mil, op11_fill_in_middle,
-                                  op13_whitening_jd)}
+                                  op12_lm_backoff, op13_whitening_jd)}
 
-ORACLES: dict[str, str] = {"op5_chat_windows": chat_windows.SQL, "op11_fill_in_middle": fill_in_middle.SQL}
+ORACLES: dict[str, str] = {"op5_chat_windows": chat_windows.SQL, "op11_fill_in_middle": fill_in_middle.SQL,
+                           "op12_lm_backoff": lm_backoff.SQL}
