@@ -49,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--max-offsets", type=int, help="Kafka records per trigger and query (default: no cap)")
     s.add_argument("--state-partitions", type=int, help="shuffle partitions of the window queries")
     s.add_argument("--sink-files", type=int, help="files per sink and micro-batch, at most")
+    s.add_argument("--fold-every", type=int, help="fold the keyed tables after every so many micro-batches")
     s.add_argument("--summary-source", default="raw", choices=["raw", "archive"])
     s.add_argument("--count-input", choices=["parsed", "valid"])
     _jdbc_bounds(s)
@@ -67,6 +68,8 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--jdbc-url", help="also overwrite the tables over JDBC")
     v.add_argument("--jdbc-user")
     v.add_argument("--jdbc-password")
+    f = sub.add_parser("fold", help="fold new batches into the keyed tables' bases")
+    f.add_argument("--sinks", required=True)
     a = sub.add_parser("alerts")
     a.add_argument("--source", help="folder of alert JSON lines")
     a.add_argument("--kafka", help="bootstrap servers; read the alert topic instead")
@@ -75,32 +78,46 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+SUMMARY_TYPES, ANOMALY_TYPES = ("5s", "1min"), ("5s", "1min", "5s_action", "1min_action")
+
+
+def keyed_tables(spark, sinks) -> dict[str, list]:
+    """The lasting tables behind the views, by view; only those with batches."""
+    from eventide.streaming.sinks import anomaly_table, summary_table
+    tables = {"user_activity_summary": [summary_table(spark, sinks, w) for w in SUMMARY_TYPES],
+              "anomalous_events": [anomaly_table(spark, sinks, w) for w in ANOMALY_TYPES]}
+    return {name: [t for t in ts if t.exists()] for name, ts in tables.items()}
+
+
+def fold_tables(spark, sinks) -> dict[str, list]:
+    """Fold every table's new batches into its base; the manifests written."""
+    return {name: [m for t in ts if (m := t.fold())] for name, ts in keyed_tables(spark, sinks).items()}
+
+
 def keyed_views(spark, sinks) -> dict:
-    """The keyed tables from the change logs: ``user_activity_summary`` (last
-    wins per user and window, over both window sizes) and ``anomalous_events``
-    (first wins)."""
+    """The keyed tables: ``user_activity_summary`` (last wins per user and window,
+    over both window sizes) and ``anomalous_events`` (first wins), each from
+    its folded base and the batches since; ``user_events`` from the raw log."""
     from eventide.operators import changelog
     from eventide.schemas import SUMMARY_KEY
     from eventide.sources.artifacts import _path_exists
-    views = {}
-    logs = [sinks.summary(w) for w in ("5s", "1min") if _path_exists(spark, sinks.summary(w))]
-    def read_all(paths, cols):
-        parts = [spark.read.parquet(p).select(*cols) for p in paths]
+    views, tables = {}, keyed_tables(spark, sinks)
+
+    def read_all(ts, cols):
+        parts = [t.read().select(*cols) for t in ts]
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
 
-    if logs:
-        log = read_all(logs, [*SUMMARY_KEY, "event_count", "batch_id"])
-        views["user_activity_summary"] = changelog.latest_by_key(log, SUMMARY_KEY)
+    if tables["user_activity_summary"]:
+        # the two window sizes share no key, so their tables need no further merge
+        views["user_activity_summary"] = read_all(tables["user_activity_summary"], [*SUMMARY_KEY, "event_count", "batch_id"])
     if _path_exists(spark, sinks.raw):
         views["user_events"] = changelog.dedup_rows(spark.read.parquet(sinks.raw).drop("batch_id"))
-    anoms = [sinks.anomalies(w) for w in ("5s", "1min", "5s_action", "1min_action")
-             if _path_exists(spark, sinks.anomalies(w))]
-    if anoms:
-        log = read_all(anoms, [*SUMMARY_KEY, "event_count", "detected_at", "detector_type",
-                               "severity", "batch_id"])
+    if tables["anomalous_events"]:
+        log = read_all(tables["anomalous_events"], [*SUMMARY_KEY, "event_count", "detected_at", "detector_type",
+                                                    "severity", "batch_id"])
         views["anomalous_events"] = changelog.first_by_key(
             log, SUMMARY_KEY, order_cols=("detected_at", "detector_type", "batch_id")).drop("batch_id")
     return views
@@ -141,6 +158,9 @@ def main(argv=None) -> None:
         write_views(spark, SinkPaths(args.sinks), args.out, args.jdbc_url,
                     {"user": args.jdbc_user or "", "password": args.jdbc_password or ""})
         return
+    if args.cmd == "fold":
+        fold_tables(spark, SinkPaths(args.sinks))
+        return
     if args.cmd == "alerts":
         from eventide.sources.stream import kafka_source
         from eventide.streaming.alerts import AlertJob, alert_source
@@ -178,7 +198,7 @@ def main(argv=None) -> None:
                          kafka_brokers=args.kafka, copy_text=args.copy_text,
                          dedup_raw=args.dedup, action_detectors=action_dets,
                          state_partitions=args.state_partitions, summary_source=args.summary_source,
-                         sink_files=args.sink_files)
+                         sink_files=args.sink_files, fold_every=args.fold_every)
     pipe.start(raw, trigger="availableNow" if args.available_now else None)
     if args.available_now:
         pipe.await_all()

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from eventide.operators.manifest import ManifestLog
 from eventide.schemas import RAW_KEY
 
 
@@ -81,16 +82,29 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def complete_batches(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the batch folders whose write has finished, from one listing."""
+    log = ManifestLog(spark, path)
+    done = log.glob(f"{path.rstrip('/')}/batch_id=*/_SUCCESS")
+    return sorted(int(p.split("/")[-2].split("=", 1)[1]) for p in done)
+
+
 def compact(spark: SparkSession, log_path: str, out_path: str, key_cols: Sequence[str],
             keep: str = "latest", base_path: str | None = None, after: int | None = None) -> int | None:
     """Fold the change log into its view and write it to a new location (never
     read-and-overwrite the same path); returns the last batch folded in.
 
     With ``base_path``, an earlier result that holds all batches up to ``after``,
-    only the newer batches are read (their folders are pruned) and folded onto it."""
-    log = read_log(spark, log_path)
+    only the newer batches are read and folded onto it. The batches are listed
+    once, before anything is read, so one that lands meanwhile is neither folded
+    nor answered. ``KeyedTable`` keeps the exact ids instead of a last one."""
+    ids = [b for b in complete_batches(spark, log_path) if after is None or b > after]
+    parts = [spark.read.option("basePath", log_path).parquet(*[batch_path(log_path, b) for b in ids])] if ids else []
     if base_path is not None and after is not None:
-        log = log.filter(F.col("batch_id") > after).unionByName(spark.read.parquet(base_path))
+        parts.append(spark.read.parquet(base_path))
+    if not parts:
+        return after
+    log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     view = latest_by_key(log, key_cols) if keep == "latest" else first_by_key(log, key_cols)
     view.write.mode("overwrite").parquet(out_path)
-    return read_log(spark, log_path).agg(F.max("batch_id")).first()[0]
+    return max(ids, default=after)

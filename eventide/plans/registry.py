@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventide.plans import batch as B, streamed as S, training as T
+from eventide.plans import batch as B, lasting as L, streamed as S, training as T
 from eventide.plans.oracle import queries_sql
 
 
@@ -42,10 +42,12 @@ def registered_queries() -> dict:
     }
     q.update(S.registered())
     q.update(T.registered())
+    q.update(L.registered())
     return q
 
 
 def registered_oracles() -> dict:
     sql = queries_sql()
     sql.update(S.oracles(sql))
+    sql.update(L.oracles())
     return {k: v for k, v in sql.items() if k in registered_queries()}

@@ -35,7 +35,8 @@ from eventide.operators.enrich import enrich
 from eventide.operators.metrics import metrics_row, observed, observed_moments, observed_rows
 from eventide.schemas import RAW_COLS, REQUIRED_COLS
 from eventide.sources.jdbc import write_jdbc
-from eventide.streaming.sinks import SinkPaths, write_batch_json, write_batch_kafka, write_batch_parquet
+from eventide.streaming.sinks import (SinkPaths, anomaly_table, summary_table, write_batch_json, write_batch_kafka,
+                                      write_batch_parquet)
 
 log = logging.getLogger(__name__)
 
@@ -74,7 +75,7 @@ class EventStreamApp:
                  kafka_brokers: str | None = None, raw_jdbc: dict | None = None,
                  copy_text: bool = False, action_detectors: Sequence[Detector] = (),
                  state_partitions: int | None = None, summary_source: str = "raw",
-                 sink_files: int | None = None):
+                 sink_files: int | None = None, fold_every: int | None = None):
         """``repartition_by_user``: hash-partition parsed rows by user_id into
         that many partitions (off by default: the stateful aggregation
         re-shuffles on (window, user_id) anyway). ``kafka_brokers``: also send
@@ -97,7 +98,9 @@ class EventStreamApp:
         archive) rather than four times; the windows then trail the archive by
         one trigger. ``sink_files``: merge each micro-batch's output into at
         most that many files per sink (the batch is cached, so only the write
-        tasks are merged); a compaction job folds older batches."""
+        tasks are merged). ``fold_every``: fold the summary and anomaly logs of a
+        window query into their keyed tables' bases after every that many
+        batches; a fold reads the new batches and the dates they touch."""
         if summary_source not in ("raw", "archive"):
             raise ValueError("summary_source must be 'raw' or 'archive'")
         self.summary_source = summary_source
@@ -108,7 +111,7 @@ class EventStreamApp:
         self.kafka_brokers, self.raw_jdbc, self.copy_text = kafka_brokers, raw_jdbc, copy_text
         self.action_detectors = list(action_detectors)
         self.state_partitions = state_partitions
-        self.sink_files = sink_files
+        self.sink_files, self.fold_every = sink_files, fold_every
         self.queries: dict[str, StreamingQuery] = {}
 
     # --- plan pieces -----------------------------------------------------------
@@ -231,9 +234,18 @@ class EventStreamApp:
             write_batch_parquet(metrics_row(self.spark, "agg_batch", batch_id, records=n_records,
                                             anomalies=n_anom, window_type=window_type),
                                 self.sinks.path(f"metrics_{window_type}"), batch_id)
+            self._fold(window_type, batch_id, found is not None)
         finally:
             summary.unpersist()
 
+    def _fold(self, window_type: str, batch_id: int, with_anomalies: bool) -> None:
+        if not self.fold_every or (batch_id + 1) % self.fold_every:
+            return
+        if not window_type.endswith("_action"):  # that grain has a key of its own
+            summary_table(self.spark, self.sinks, window_type).fold()
+        if with_anomalies:
+            anomaly_table(self.spark, self.sinks, window_type).fold()
+
     def write_documents(self, documents: DataFrame, window_type: str, batch_id: int) -> None:
         """Where the documents of the anomalies go; override for another store."""
         write_batch_json(documents, self.sinks.path(f"documents_{window_type}"), batch_id)

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.operators.changelog import append_batch, batch_path
+from eventide.operators.keyed_table import KeyedTable
+from eventide.schemas import SUMMARY_KEY
 
 
 @dataclass(frozen=True)
@@ -30,9 +32,25 @@ class SinkPaths:
 
     def summary(self, window_type: str) -> str: return self.path(f"summary_{window_type}")
     def anomalies(self, window_type: str) -> str: return self.path(f"anomalies_{window_type}")
+    def base(self, name: str) -> str: return self.path(f"_tables/{name}")
     def checkpoint(self, query: str) -> str: return self.path(f"_checkpoints/{query}")
 
 
+#: Base parts of the keyed tables: one for each date of their windows.
+WINDOW_DATE = "to_date(window_start)"
+
+
+def summary_table(spark: SparkSession, sinks: SinkPaths, window_type: str) -> KeyedTable:
+    """The keyed summary of one window size: the last write of a user and window wins."""
+    return KeyedTable(spark, sinks.summary(window_type), sinks.base(f"summary_{window_type}"), SUMMARY_KEY, part=WINDOW_DATE)
+
+
+def anomaly_table(spark: SparkSession, sinks: SinkPaths, window_type: str) -> KeyedTable:
+    """The keyed anomalies of one output: the first detection of a user and window wins."""
+    return KeyedTable(spark, sinks.anomalies(window_type), sinks.base(f"anomalies_{window_type}"), SUMMARY_KEY, keep="first",
+                      order_cols=("detected_at", "detector_type", "batch_id"), part=WINDOW_DATE)
+
+
 # One micro-batch into a change log under ``batch_id=<id>`` (replay-safe).
 write_batch_parquet = append_batch
 
