@@ -49,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--max-offsets", type=int, help="Kafka records per trigger and query (default: no cap)")
     s.add_argument("--state-partitions", type=int, help="shuffle partitions of the window queries")
     s.add_argument("--sink-files", type=int, help="files per sink and micro-batch, at most")
+    s.add_argument("--final-windows", action="store_true",
+                   help="emit each window once, when the watermark has passed it, counted from panes")
     s.add_argument("--fold-every", type=int, help="fold the keyed tables after every so many micro-batches")
     s.add_argument("--summary-source", default="raw", choices=["raw", "archive"])
     s.add_argument("--count-input", choices=["parsed", "valid"])
@@ -198,7 +200,8 @@ def main(argv=None) -> None:
                          kafka_brokers=args.kafka, copy_text=args.copy_text,
                          dedup_raw=args.dedup, action_detectors=action_dets,
                          state_partitions=args.state_partitions, summary_source=args.summary_source,
-                         sink_files=args.sink_files, fold_every=args.fold_every)
+                         sink_files=args.sink_files, fold_every=args.fold_every,
+                         final_windows=args.final_windows)
     pipe.start(raw, trigger="availableNow" if args.available_now else None)
     if args.available_now:
         pipe.await_all()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.config import EngineConfig, check_window, interval_seconds
+from eventide.config import check_window, interval_seconds
 
 
 def window_counts(df: DataFrame, duration: str, slide: str | None = None,
@@ -48,6 +48,24 @@ def _from_buckets(df: DataFrame, duration: str, slide: str, time_col: str, keys,
                     *keys, count_col))
 
 
+def pane_counts(df: DataFrame, duration: str, slide: str, watermark: str | None = None,
+                time_col: str = "event_time", keys=("user_id",), count_col: str = "event_count") -> DataFrame:
+    """Sliding counts from panes, for a stream in append mode: one aggregation counts
+    each slide's pane, a second adds the panes that the watermark has closed into
+    the windows that hold them (``window_time`` carries the event time on). The
+    state has a row for each open pane and key, not one for each of the
+    duration/slide windows of every event; every window is emitted once, when
+    it is final. Equal to ``window_counts`` on the windows that have closed."""
+    check_window(duration, slide)
+    if watermark:
+        df = df.withWatermark(time_col, watermark)
+    panes = df.groupBy(F.window(time_col, slide).alias("window"), *keys).agg(F.count(F.lit(1)).alias(count_col))
+    if interval_seconds(slide) == interval_seconds(duration):
+        return panes
+    return (panes.groupBy(F.window(F.window_time("window"), duration, slide).alias("window"), *keys)
+            .agg(F.sum(count_col).alias(count_col)))
+
+
 def flatten_window(df: DataFrame) -> DataFrame:
     """Replace the ``window`` struct by ``window_start`` / ``window_end``."""
     rest = [c for c in df.columns if c != "window"]
@@ -60,18 +78,6 @@ def summary(df: DataFrame, duration: str, slide: str | None = None, **kw) -> Dat
     return flatten_window(window_counts(df, duration, slide, **kw))
 
 
-def short_summary(df: DataFrame, cfg: EngineConfig | None = None, watermark: bool = False) -> DataFrame:
-    cfg = cfg or EngineConfig()
-    return summary(df, cfg.window_short, cfg.window_slide,
-                   watermark=cfg.watermark_short if watermark else None)
-
-
-def long_summary(df: DataFrame, cfg: EngineConfig | None = None, watermark: bool = False) -> DataFrame:
-    cfg = cfg or EngineConfig()
-    return summary(df, cfg.window_long, cfg.window_slide,
-                   watermark=cfg.watermark_long if watermark else None)
-
-
 def action_counts(df: DataFrame) -> DataFrame:
     """Events per (user_id, action), the training aggregate."""
     return df.groupBy("user_id", "action").agg(F.count(F.lit(1)).alias("event_count"))

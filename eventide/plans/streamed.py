@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from eventide.config import interval_seconds
 from eventide.operators import changelog
 from eventide.operators.detect import ZScoreDetector
 from eventide.plans.batch import CFG
@@ -18,7 +19,7 @@ from eventide.session import shared_dir
 from eventide.sources.stream import file_source, write_json_lines
 from eventide.sources.tables import events_from_tables, json_envelope, users_from_tables
 from eventide.streaming.application import EventStreamApp, RefreshingDimension
-from eventide.streaming.sinks import SinkPaths
+from eventide.streaming.sinks import SinkPaths, moments_so_far, summary_table
 
 _RUNS: dict = {}
 
@@ -55,6 +56,68 @@ def run_stream(spark: SparkSession, sf_dir: str,
     return sinks
 
 
+SLICES = 7
+
+
+def sliced_topic(spark: SparkSession, sf_dir: str, slices: int = SLICES, newest_first: bool = False) -> str:
+    """The topic as ``slices`` files of equal spans of event time, written one after the
+    other, so that a stream that takes a file at a time sees them in that order."""
+    key = ("slices", spark.sparkContext.applicationId, sf_dir, slices, newest_first)
+    if key not in _RUNS:
+        root = shared_dir(spark, "sliced")
+        rows = json_envelope(events_from_tables(spark, sf_dir, CFG))
+        lo, hi = rows.agg(F.min("event_time"), F.max("event_time")).first()
+        rows = rows.withColumn("_slice", F.lit(0) if lo is None else F.coalesce(F.least(F.lit(slices - 1), F.floor(
+            F.lit(slices) * (F.unix_micros(F.col("event_time").cast("timestamp")) - F.unix_micros(F.lit(lo).cast("timestamp")))
+            / F.lit(max(1, int((hi - lo).total_seconds() * 1_000_000))))), F.lit(0)))
+        rows.write.partitionBy("_slice").parquet(f"{root}/rows")
+        staged = spark.read.parquet(f"{root}/rows")
+        for k in sorted(range(slices), reverse=newest_first):
+            (staged.filter(F.col("_slice") == k).select("value").coalesce(1)
+             .write.mode("append").text(f"{root}/topic"))
+        _RUNS[key] = root
+    return _RUNS[key]
+
+
+def run_final_windows(spark: SparkSession, sf_dir: str, slices: int = SLICES) -> SinkPaths:
+    """Drain the sliced topic a file at a time with every window emitted once."""
+    key = ("final", spark.sparkContext.applicationId, sf_dir, slices)
+    if key not in _RUNS:
+        raw = file_source(spark, f"{sliced_topic(spark, sf_dir, slices)}/topic", fmt="text", max_files_per_trigger=1)
+        sinks = SinkPaths(shared_dir(spark, "final-windows"))
+        det = [ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor)]
+        pipe = EventStreamApp(spark, sinks, CFG, detectors=det, final_windows=True, fold_every=3)
+        try:
+            pipe.start(raw, trigger="availableNow", which=("summary_1min",))
+            pipe.await_all()
+        finally:
+            pipe.stop()
+        _RUNS[key] = sinks
+    return _RUNS[key]
+
+
+def _no_counts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "user_id int, window_start timestamp_ntz, window_end timestamp_ntz, event_count long")
+
+
+def stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding counts of a stream in seven micro-batches, counted from panes: every
+    window that the watermark has closed, once, read from the keyed table."""
+    rows = summary_table(spark, run_final_windows(spark, sf_dir), "1min").read()
+    return (_no_counts(spark) if rows is None else rows).select("window_start", "window_end", "user_id", "event_count")
+
+
+def stream_anomalies_history(spark: SparkSession, sf_dir: str, slices: int = SLICES) -> DataFrame:
+    """Anomalies against the moments of all closed windows, merged over the
+    micro-batches: the number of those does not matter."""
+    sinks = run_final_windows(spark, sf_dir, slices)
+    rows = summary_table(spark, sinks, "1min").read()
+    det = ZScoreDetector(CFG.z_threshold, high_factor=CFG.severity_high_factor)
+    found = det.anomalies(_no_counts(spark) if rows is None else rows,
+                          stats={"event_count": moments_so_far(spark, sinks, "1min").stats})
+    return found.select("window_start", "window_end", "user_id", "event_count", F.round("score", 6).alias("score"), "severity")
+
+
 def _latest_summary(spark: SparkSession, path: str) -> DataFrame:
     log = spark.read.parquet(path)
     return changelog.latest_by_key(log, SUMMARY_KEY).select(
@@ -183,6 +246,8 @@ def registered() -> dict:
         "stream_metrics": stream_metrics,
         "stream_documents": stream_documents,
         "stream_alert_archive": stream_alert_archive,
+        "stream_panes": stream_panes,
+        "stream_anomalies_history": stream_anomalies_history,
     }
 
 
@@ -196,14 +261,13 @@ def oracles(batch_sql: dict[str, str]) -> dict[str, str]:
         f"CASE WHEN length({c}) > {n} THEN 'sink_{c}_too_long' END"
         for c, n in CFG.sink_max_lengths.items()) + "), '')"
     z = CFG.z_threshold
+    zcol = "(event_count - avg(event_count) OVER ()) / NULLIF(stddev_samp(event_count) OVER (), 0)"
+    # scored by window aggregates and filtered before the users are joined
     zs = f"""WITH {O.EVENTS_CTE.strip()}, {parsed},
 {O.USERS_CTE.strip()},
-s AS (SELECT t.*, u.name AS user_name, u.region FROM ({O._sliding(60, 5, 'parsed')}) t
-      LEFT JOIN users u USING (user_id)),
-st AS (SELECT avg(event_count) AS m, stddev_samp(event_count) AS s FROM s),
-a AS (SELECT s.*, (event_count - m) / NULLIF(st.s, 0) AS score FROM s CROSS JOIN st)"""
+z AS (SELECT *, {zcol} AS score FROM ({O._sliding(60, 5, 'parsed')})),
+a AS (SELECT f.*, u.name AS user_name, u.region FROM (SELECT * FROM z WHERE score > {z}) f LEFT JOIN users u USING (user_id))"""
     sev = O._severity("score", str(z))
-    zcol = "(event_count - avg(event_count) OVER ()) / NULLIF(stddev_samp(event_count) OVER (), 0)"
     metrics = f"""WITH {O.TAGGED_CTE.strip()},
 parsed AS (SELECT * FROM ev WHERE {req}),
 route AS (SELECT coalesce(dq_reason, {sink_reason}) AS reason FROM tagged),
@@ -217,6 +281,9 @@ UNION ALL
 SELECT 'agg_batch', '5s', count(*), CAST(0 AS BIGINT), count(*) FILTER (WHERE score > {z}) FROM w5
 UNION ALL
 SELECT 'agg_batch', '1min', count(*), CAST(0 AS BIGINT), count(*) FILTER (WHERE score > {z}) FROM w60"""
+    closed = f"""WITH {O.EVENTS_CTE.strip()}, {parsed},
+top AS (SELECT max(event_time) - to_microseconds({int(interval_seconds(CFG.watermark_long) * 1_000_000)}) AS mark FROM parsed),
+s AS (SELECT t.* FROM ({O._sliding(60, 5, 'parsed')}) t CROSS JOIN top WHERE t.window_end <= mark)"""
     iso = "'%Y-%m-%dT%H:%M:%S'"
     return {
         "stream_documents": zs + f"""
@@ -225,6 +292,11 @@ SELECT 'anomaly' AS type, user_id, event_count, round(score, 6) AS distance, 'zs
         "stream_alert_archive": zs + f"""
 SELECT user_id, event_count, strftime(window_end, {iso}) AS window_end, {sev} AS severity FROM a WHERE score > {z}""",
         "stream_metrics": metrics,
+        "stream_panes": closed + " SELECT window_start, window_end, user_id, event_count FROM s",
+        "stream_anomalies_history": closed + f""",
+z AS (SELECT *, {zcol} AS score FROM s)
+SELECT window_start, window_end, user_id, event_count, round(score, 6) AS score, {sev} AS severity
+FROM z WHERE score > {z}""",
         "stream_anomalies": zs + f"""
 SELECT user_id, window_start, window_end, event_count FROM a WHERE score > {z}""",
         "stream_alert_notifications": zs + f"""

@@ -33,10 +33,11 @@ from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows,
 from eventide.operators.detect import Detector, detect
 from eventide.operators.enrich import enrich
 from eventide.operators.metrics import metrics_row, observed, observed_moments, observed_rows
+from eventide.operators.moments import Moments
 from eventide.schemas import RAW_COLS, REQUIRED_COLS
 from eventide.sources.jdbc import write_jdbc
-from eventide.streaming.sinks import (SinkPaths, anomaly_table, summary_table, write_batch_json, write_batch_kafka,
-                                      write_batch_parquet)
+from eventide.streaming.sinks import (SinkPaths, anomaly_table, moments_so_far, summary_table, write_batch_json,
+                                      write_batch_kafka, write_batch_parquet)
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +76,7 @@ class EventStreamApp:
                  kafka_brokers: str | None = None, raw_jdbc: dict | None = None,
                  copy_text: bool = False, action_detectors: Sequence[Detector] = (),
                  state_partitions: int | None = None, summary_source: str = "raw",
-                 sink_files: int | None = None, fold_every: int | None = None):
+                 sink_files: int | None = None, fold_every: int | None = None, final_windows: bool = False):
         """``repartition_by_user``: hash-partition parsed rows by user_id into
         that many partitions (off by default: the stateful aggregation
         re-shuffles on (window, user_id) anyway). ``kafka_brokers``: also send
@@ -100,7 +101,11 @@ class EventStreamApp:
         most that many files per sink (the batch is cached, so only the write
         tasks are merged). ``fold_every``: fold the summary and anomaly logs of a
         window query into their keyed tables' bases after every that many
-        batches; a fold reads the new batches and the dates they touch."""
+        batches; a fold reads the new batches and the dates they touch.
+        ``final_windows``: emit every window once, when the watermark has passed
+        it (append mode, counted from panes: a slide's pane is one state row),
+        instead of each change; detectors then score against the moments of
+        all windows so far, not of one micro-batch."""
         if summary_source not in ("raw", "archive"):
             raise ValueError("summary_source must be 'raw' or 'archive'")
         self.summary_source = summary_source
@@ -111,7 +116,7 @@ class EventStreamApp:
         self.kafka_brokers, self.raw_jdbc, self.copy_text = kafka_brokers, raw_jdbc, copy_text
         self.action_detectors = list(action_detectors)
         self.state_partitions = state_partitions
-        self.sink_files, self.fold_every = sink_files, fold_every
+        self.sink_files, self.fold_every, self.final_windows = sink_files, fold_every, final_windows
         self.queries: dict[str, StreamingQuery] = {}
 
     # --- plan pieces -----------------------------------------------------------
@@ -206,11 +211,14 @@ class EventStreamApp:
                                 f"summary_{window_type}_{batch_id}", moments_of="event_count")
             write_batch_parquet(self._files(out), self.sinks.summary(window_type), batch_id)
             n_records = observed_rows(obs)
+            stats = observed_moments(obs)
+            if self.final_windows:
+                stats = self._history(window_type, batch_id, Moments.of(n_records, *stats))
             n_anom = 0
             dets = self._detectors() if detectors is None else detectors
             # the z-score statistics were observed during the write: no extra pass
             found = detect(summary, dets, eager=True,
-                           stats={"event_count": observed_moments(obs)})
+                           stats={"event_count": stats})
             if found is not None:
                 # names and regions are looked up for the anomalies only
                 if self.users is not None:
@@ -238,6 +246,18 @@ class EventStreamApp:
         finally:
             summary.unpersist()
 
+    def _history(self, window_type: str, batch_id: int, own: Moments) -> tuple[float | None, float | None]:
+        """Mean and deviation of all final windows up to this batch. A batch's folder holds
+        its own moments and those of everything up to it, so the one before it
+        is all there is to read, and a replay starts from the same."""
+        before = moments_so_far(self.spark, self.sinks, window_type, below=batch_id)
+        total = before + own
+        row = self.spark.range(1).select(
+            *[F.lit(v).alias(f"{kind}{c}") for kind, m in (("", own), ("total_", total))
+              for c, v in (("n", m.n), ("mean", m.mean), ("m2", m.m2))])
+        write_batch_parquet(row, self.sinks.path(f"moments_{window_type}"), batch_id)
+        return total.stats
+
     def _fold(self, window_type: str, batch_id: int, with_anomalies: bool) -> None:
         if not self.fold_every or (batch_id + 1) % self.fold_every:
             return
@@ -252,6 +272,12 @@ class EventStreamApp:
 
     # --- queries -----------------------------------------------------------------
 
+    def _windows(self, raw: DataFrame, duration: str, watermark: str, keys=("user_id",)) -> DataFrame:
+        counted, slide = self.counted_input(raw), self.cfg.window_slide
+        if self.final_windows:
+            return windows.pane_counts(counted, duration, slide, watermark, keys=keys)
+        return windows.window_counts(counted, duration, slide, keys=keys, watermark=watermark)
+
     def _trigger(self, w, trigger):
         if trigger == "availableNow":
             return w.trigger(availableNow=True)
@@ -280,6 +306,7 @@ class EventStreamApp:
         The short-window summary runs without a trigger, as fast as possible."""
         cfg = self.cfg
         trig = trigger if trigger is not None else cfg.trigger
+        mode = "append" if self.final_windows else "update"
         if "raw_route" in which:
             routed = self.parsed(raw, keep_rejects=True)
             w = (routed.writeStream.outputMode("append")
@@ -302,17 +329,15 @@ class EventStreamApp:
                 ("summary_1min", cfg.window_long, cfg.watermark_long, trig)):
             if name not in which:
                 continue
-            counts = windows.window_counts(self.counted_input(raw), dur, cfg.window_slide,
-                                           watermark=wm)
-            w = (counts.writeStream.outputMode("update")
+            counts = self._windows(raw, dur, wm)
+            w = (counts.writeStream.outputMode(mode)
                  .foreachBatch(partial(self.summary_batch, window_type=name.split("_", 1)[1]))
                  .option("checkpointLocation", self.sinks.checkpoint(name)))
             self.queries[name] = self._start_stateful(self._trigger(w, trig_q))
             if self.action_detectors:
                 aname = name.replace("summary", "actions")
-                counts = windows.window_counts(self.counted_input(raw), dur, cfg.window_slide,
-                                               keys=("user_id", "action"), watermark=wm)
-                w = (counts.writeStream.outputMode("update")
+                counts = self._windows(raw, dur, wm, ("user_id", "action"))
+                w = (counts.writeStream.outputMode(mode)
                      .foreachBatch(partial(self.summary_batch,
                                            window_type=aname.split("_", 1)[1] + "_action",
                                            detectors=self.action_detectors))

@@ -11,8 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.operators.changelog import append_batch, batch_path
+from eventide.operators.changelog import append_batch, batch_path, complete_batches
 from eventide.operators.keyed_table import KeyedTable
+from eventide.operators.moments import Moments
 from eventide.schemas import SUMMARY_KEY
 
 
@@ -51,6 +52,17 @@ def anomaly_table(spark: SparkSession, sinks: SinkPaths, window_type: str) -> Ke
                       order_cols=("detected_at", "detector_type", "batch_id"), part=WINDOW_DATE)
 
 
+def moments_so_far(spark: SparkSession, sinks: SinkPaths, window_type: str, below: int | None = None) -> Moments:
+    """Moments of the counts of all final windows up to the last batch (below an id):
+    the same numbers whatever micro-batches the windows came in."""
+    path = sinks.path(f"moments_{window_type}")
+    ids = [b for b in complete_batches(spark, path) if below is None or b < below]
+    if not ids:
+        return Moments()
+    row = spark.read.parquet(batch_path(path, ids[-1])).first()
+    return Moments(row["total_n"], row["total_mean"], row["total_m2"])
+
+
 # One micro-batch into a change log under ``batch_id=<id>`` (replay-safe).
 write_batch_parquet = append_batch
 

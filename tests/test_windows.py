@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from eventide.config import EngineConfig, check_window
 from eventide.operators import windows
+from eventide.plans.batch import CFG
 from eventide.sources.tables import events_from_tables
 
 from conftest import SF_SMALL
@@ -55,9 +56,9 @@ def test_action_counts(spark):
 def test_configured_short_and_long_summaries(spark):
     base = dt.datetime(2025, 1, 1)
     df = _events(spark, [base + dt.timedelta(seconds=s) for s in (0, 1, 7, 61)])
-    short = {r["window_start"]: r["event_count"] for r in windows.short_summary(df).collect()}
+    short = {r["window_start"]: r["event_count"] for r in windows.summary(df, CFG.window_short, CFG.window_slide).collect()}
     assert short == {base: 2, base + dt.timedelta(seconds=5): 1, base + dt.timedelta(seconds=60): 1}
-    long = windows.long_summary(df)
+    long = windows.summary(df, CFG.window_long, CFG.window_slide)
     assert long.agg(F.sum("event_count")).first()[0] == 12 * 4
 
 
