@@ -248,15 +248,17 @@ def _asked(block: dict, order: int, ranges: int) -> Iterator[pa.RecordBatch]:
 # --- automaton ---------------------------------------------------------------------------
 
 class Automaton:
-    """States, arcs and failure arcs of the n-grams of one block. State 0 has no history."""
+    """States, arcs and failure arcs of the n-grams of one block. State 0 has no history; the
+    state of a k-gram has arcs by the words that follow it, which are (k+1)-grams. A word's
+    arc from the state before it is looked up for all places of the block at once, by
+    the n-gram that ends there, instead of in a table of (state, word)."""
 
     def __init__(self, grams: Grams, totals: list[np.ndarray], tokens: int, words: int, strength: float):
         order, n_start = len(totals), len(totals[0])
         norm = float(tokens + words + 1)
         # the start of a text is a history as often as there are training texts, that is, ends
         totals = [np.append(totals[0], totals[0][grams.end]), *totals[1:]]
-        numbers = [np.where(grams.is_start, n_start, grams.number[0]) if len(grams.ids) else grams.number[0], *grams.number[1:]]
-        p = [(totals[0] + 1) / norm]
+        self.numbers = [np.where(grams.is_start, n_start, grams.number[0]), *grams.number[1:]]
         seen = [t > 0 for t in totals]
         self.state, n_states = [], 1
         for k in range(order - 1):
@@ -264,31 +266,28 @@ class Automaton:
             state[seen[k]] = np.arange(n_states, n_states + seen[k].sum())
             n_states += int(seen[k].sum())
             self.state.append(state)
-        self.fail = np.zeros(n_states, np.int64)
-        self.fail_weight = np.zeros(n_states)
+        fail, weight, level = np.zeros(n_states, np.int64), np.zeros(n_states), np.zeros(n_states, np.int64)
         for k in range(order - 1):
-            self.fail_weight[self.state[k][seen[k]]] = np.log10(strength / (totals[k][seen[k]] + strength))
-        root_next = self.state[0] if order > 1 else np.zeros(len(totals[0]), np.int64)
-        self.arcs: dict[int, tuple[float, int]] = {}
+            own = self.state[k][seen[k]]
+            weight[own], level[own] = np.log10(strength / (totals[k][seen[k]] + strength)), k + 1
+        p = [(totals[0] + 1) / norm]
+        targets = [self.state[0] if order > 1 else np.zeros(n_start + 1, np.int64)]
         for k in range(1, order):
             at = grams.first[k]
-            suffix, history = numbers[k - 1][at], numbers[k - 1][at - 1]
+            suffix, history = self.numbers[k - 1][at], self.numbers[k - 1][at - 1]
             p.append((totals[k] + strength * p[k - 1][suffix]) / (totals[k - 1][history] + strength))
             if k < order - 1:
-                self.fail[self.state[k][seen[k]]] = self.state[k - 1][suffix[seen[k]]]
-                target = self.state[k]
+                fail[self.state[k][seen[k]]] = self.state[k - 1][suffix[seen[k]]]
+                targets.append(self.state[k])
             else:
-                target = self.state[k - 1][suffix]
-            keys = self.state[k - 1][history] * grams.n_words + grams.ids[at]
-            self.arcs.update(zip(keys[seen[k]].tolist(), zip(np.log10(p[k][seen[k]]).tolist(), target[seen[k]].tolist())))
-        number = numbers[0]
-        self.base = np.log10(p[0])[number] if len(number) else np.zeros(0)
-        self.known = seen[0][number] if len(number) else np.zeros(0, bool)
-        self.root = list(zip([0.0] * grams.n_words, [0] * grams.n_words))
-        for word, entry in dict(zip(grams.ids.tolist(), number.tolist())).items():
-            self.root[word] = (float(np.log10(p[0][entry])), int(root_next[entry]))
-        self.numbers, self.n_words = numbers, grams.n_words
-        self.fail_list, self.weight_list = self.fail.tolist(), self.fail_weight.tolist()
+                targets.append(self.state[k - 1][suffix])
+        # arcs of all orders in one numbering; a word has an arc from the root in any case
+        offsets = np.cumsum([0, *map(len, p[:-1])])
+        there = [n >= 0 if k == 0 else np.append(seen[k], False)[n] for k, n in enumerate(self.numbers)]
+        self.arcs = [np.where(t, n + o, -1).tolist() for t, n, o in zip(there, self.numbers, offsets)]
+        self.log_p, self.target = np.log10(np.concatenate(p)).tolist(), np.concatenate(targets).tolist()
+        self.fail, self.weight, self.level = fail.tolist(), weight.tolist(), level.tolist()
+        self.base, self.known = np.log10(p[0])[self.numbers[0]], seen[0][self.numbers[0]]
 
     def state_at(self, place: int, first: int) -> int:
         """The state of the longest seen history that ends at ``place`` and begins at ``first`` or later."""
@@ -298,22 +297,18 @@ class Automaton:
                 return int(self.state[k - 1][entry])
         return 0
 
-    def read(self, words: list[int], state: int) -> float:
-        """The log10 probability of the words, read from left to right."""
-        arcs, root, n_words = self.arcs, self.root, self.n_words
-        fail, weight = self.fail_list, self.weight_list
+    def read(self, start: int, end: int, state: int) -> float:
+        """The log10 probability of the words at these places, read from left to right."""
+        arcs, fail, weight, level, log_p, target = self.arcs, self.fail, self.weight, self.level, self.log_p, self.target
         logs = []
-        for word in words:
-            while state:
-                arc = arcs.get(state * n_words + word)
-                if arc is not None:
-                    break
+        for place in range(start, end):
+            arc = arcs[level[state]][place]
+            while arc < 0:  # no arc by this word: on to the shorter history
                 logs.append(weight[state])
                 state = fail[state]
-            else:
-                arc = root[word]
-            logs.append(arc[0])
-            state = arc[1]
+                arc = arcs[level[state]][place]
+            logs.append(log_p[arc])
+            state = target[arc]
         return math.fsum(logs)
 
 
@@ -337,12 +332,11 @@ def score(docs: DataFrame, order: int = ORDER, strength: float = STRENGTH, id_co
             totals[gram - 1].append(_expand(counts, n, "<u8"))
         totals = [np.concatenate(t).astype(np.int64) for t in totals]
         automaton = Automaton(grams, totals, tokens, words, strength)
-        ids = grams.ids.tolist()
         out = []
         for start, end, first in grams.spans:
             state = automaton.state_at(start - 1, first) if start > first else 0
             out.append((end - start, int(automaton.known[start:end].sum()), math.fsum(automaton.base[start:end].tolist()),
-                        automaton.read(ids[start:end], state)))
+                        automaton.read(start, end, state)))
         n_tokens, n_known, base, total = zip(*out)
         kind = left.schema.field("doc_id").type.value_type
         return pa.table({"row": pa.array(left["row"][0].as_py(), pa.int64()), "doc_id": pa.array(left["doc_id"][0].as_py(), kind),
