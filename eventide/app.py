@@ -51,6 +51,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--sink-files", type=int, help="files per sink and micro-batch, at most")
     s.add_argument("--final-windows", action="store_true",
                    help="emit each window once, when the watermark has passed it, counted from panes")
+    s.add_argument("--unique", action="store_true", help="send rows whose raw key was accepted before to the dead letter")
     s.add_argument("--fold-every", type=int, help="fold the keyed tables after every so many micro-batches")
     s.add_argument("--summary-source", default="raw", choices=["raw", "archive"])
     s.add_argument("--count-input", choices=["parsed", "valid"])
@@ -201,7 +202,7 @@ def main(argv=None) -> None:
                          dedup_raw=args.dedup, action_detectors=action_dets,
                          state_partitions=args.state_partitions, summary_source=args.summary_source,
                          sink_files=args.sink_files, fold_every=args.fold_every,
-                         final_windows=args.final_windows)
+                         final_windows=args.final_windows, unique_raw=args.unique)
     pipe.start(raw, trigger="availableNow" if args.available_now else None)
     if args.available_now:
         pipe.await_all()

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.schemas import JSON_OPTIONS, RAW_COLS
 
+#: The raw table's unique key is taken, by an earlier batch or a row of this one.
+REASON_KEY_CLASH = "sink_key_clash"
+
 
 def dlq_records(rejected: DataFrame, batch_id: int | Column, reason_col: str = "dq_reason",
                 row_cols: Sequence[str] | None = None, reported_at: Column | None = None) -> DataFrame:

@@ -7,9 +7,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from eventide.operators import changelog, windows
+from eventide.operators.deadletter import REASON_KEY_CLASH
+from eventide.operators.key_index import KeyIndex
 from eventide.operators.keyed_table import KeyedTable
 from eventide.plans.batch import CFG, wall_clock_micros
-from eventide.schemas import SUMMARY_KEY
+from eventide.schemas import RAW_KEY, SUMMARY_KEY
 from eventide.session import shared_dir
 from eventide.sources.tables import events_from_tables
 from eventide.streaming.sinks import WINDOW_DATE
@@ -55,15 +57,50 @@ def summary_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().select(*SUMMARY_KEY, "batch_id", "event_count")
 
 
+#: Deliveries of ``route_unique``: days of the month that each batch brings, so that
+#: part of the second and all of the first two come again.
+DELIVERIES = ((1, 12), (8, 22), (1, 31))
+UNIQUE_COLS = ["user_id", "timestamp", "action", "device_id", "product_id"]
+
+
+def route_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with devices delivered in three overlapping batches: every row of every
+    batch, with the dead letter's reason where its key was there before."""
+    device = F.when(F.col("action") != "signup", F.concat(F.lit("d"), F.col("user_id") % 7))
+    events = events_from_tables(spark, sf_dir, CFG, with_geo=False).withColumn("device_id", device)
+    index = KeyIndex(spark, shared_dir(spark, "keys"))
+    parts = []
+    for batch_id, (first, last) in enumerate(DELIVERIES):
+        rows = events.filter(F.dayofmonth("event_time").between(first, last)).select(*UNIQUE_COLS)
+        marked = index.mark(rows, batch_id)
+        index.add(marked.filter("not key_clash"), batch_id)
+        if batch_id == 1:
+            index.fold()
+        parts.append(index.mark(rows, batch_id).withColumn("batch_id", F.lit(batch_id)))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.select("batch_id", *UNIQUE_COLS, F.when(F.col("key_clash"), F.lit(REASON_KEY_CLASH)).alias("reason"))
+
+
 def registered() -> dict:
-    return {"summary_merge_on_read": summary_merge_on_read}
+    return {"route_unique": route_unique, "summary_merge_on_read": summary_merge_on_read}
 
 
 def oracles() -> dict[str, str]:
     from eventide.plans import oracle as O
     day = 86400
     coarse = f"CAST(floor((epoch_us(event_time) + {COARSE_OFFSET_HOURS * 3_600_000_000}) / {COARSE_DAYS * day * 1_000_000}) AS BIGINT)"
+    deliveries = " UNION ALL ".join(f"SELECT {k} AS batch_id, * FROM e WHERE day(event_time) BETWEEN {a} AND {b}"
+                                    for k, (a, b) in enumerate(DELIVERIES))
+    whole_key = " AND ".join(f'"{c}" IS NOT NULL' for c in RAW_KEY)
+    key = ", ".join(f'"{c}"' for c in RAW_KEY)
     return {
+        "route_unique": f"""WITH {O.EVENTS_CTE.strip()},
+e AS (SELECT user_id, "timestamp", action, CASE WHEN action <> 'signup' THEN 'd' || CAST(user_id % 7 AS VARCHAR) END AS device_id,
+             product_id, event_time FROM ev),
+d AS ({deliveries}),
+r AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY batch_id, product_id NULLS FIRST) AS rn FROM d)
+SELECT batch_id, user_id, "timestamp", action, device_id, product_id,
+       CASE WHEN {whole_key} AND rn > 1 THEN '{REASON_KEY_CLASH}' END AS reason FROM r""",
         "summary_merge_on_read": f"""WITH {O.EVENTS_CTE.strip()},
 s AS ({O._tumbling(day)}),
 b AS (SELECT user_id, {O._bucket('event_time', day)} AS window_start, max({coarse}) AS batch_id

@@ -19,7 +19,7 @@ from eventide.session import shared_dir
 from eventide.sources.stream import file_source, write_json_lines
 from eventide.sources.tables import events_from_tables, json_envelope, users_from_tables
 from eventide.streaming.application import EventStreamApp, RefreshingDimension
-from eventide.streaming.sinks import SinkPaths, moments_so_far, summary_table
+from eventide.streaming.sinks import SinkPaths, moments_so_far, settled_summary, summary_table
 
 _RUNS: dict = {}
 
@@ -118,6 +118,24 @@ def stream_anomalies_history(spark: SparkSession, sf_dir: str, slices: int = SLI
     return found.select("window_start", "window_end", "user_id", "event_count", F.round("score", 6).alias("score"), "severity")
 
 
+def stream_late_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that brings its newest events first: the stream's tumbling counts drop
+    what comes behind the watermark, the recount from the archive settles them."""
+    key = ("late", spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        raw = file_source(spark, f"{sliced_topic(spark, sf_dir, newest_first=True)}/topic", fmt="text", max_files_per_trigger=1)
+        sinks = SinkPaths(shared_dir(spark, "late"))
+        pipe = EventStreamApp(spark, sinks, CFG)
+        try:
+            pipe.start(raw, trigger="availableNow", which=("archive", "summary_5s"))
+            pipe.await_all()
+        finally:
+            pipe.stop()
+        pipe.reconcile("5s")
+        _RUNS[key] = sinks
+    return settled_summary(spark, _RUNS[key], "5s").select("window_start", "window_end", "user_id", "event_count")
+
+
 def _latest_summary(spark: SparkSession, path: str) -> DataFrame:
     log = spark.read.parquet(path)
     return changelog.latest_by_key(log, SUMMARY_KEY).select(
@@ -247,6 +265,7 @@ def registered() -> dict:
         "stream_documents": stream_documents,
         "stream_alert_archive": stream_alert_archive,
         "stream_panes": stream_panes,
+        "stream_late_recount": stream_late_recount,
         "stream_anomalies_history": stream_anomalies_history,
     }
 
@@ -292,6 +311,7 @@ SELECT 'anomaly' AS type, user_id, event_count, round(score, 6) AS distance, 'zs
         "stream_alert_archive": zs + f"""
 SELECT user_id, event_count, strftime(window_end, {iso}) AS window_end, {sev} AS severity FROM a WHERE score > {z}""",
         "stream_metrics": metrics,
+        "stream_late_recount": f"WITH {O.EVENTS_CTE.strip()}, {parsed}\n{O._tumbling(5, 'parsed')}",
         "stream_panes": closed + " SELECT window_start, window_end, user_id, event_count FROM s",
         "stream_anomalies_history": closed + f""",
 z AS (SELECT *, {zcol} AS score FROM s)

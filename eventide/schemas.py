@@ -28,6 +28,9 @@ REQUIRED_COLS = ["user_id", "product_id", "action", "event_time"]
 # Natural key of the raw event table.
 RAW_KEY = ["user_id", "timestamp", "action", "device_id"]
 
+# The same over the typed time, as the sink stores it.
+RAW_TIME_KEY = ["user_id", "event_time", "action", "device_id"]
+
 # Key of the summary and anomaly tables.
 SUMMARY_KEY = ["user_id", "window_start", "window_end"]
 

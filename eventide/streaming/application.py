@@ -27,16 +27,17 @@ from eventide.config import EngineConfig
 from eventide.functions import quality
 from eventide.functions.decode import parse_events
 from eventide.functions.text import to_copy_text
-from eventide.operators import changelog, windows
+from eventide.operators import changelog, reconcile, windows
 from eventide.operators.alerts import alert_records, anomaly_documents, to_kafka_rows
-from eventide.operators.deadletter import dlq_json, dlq_records, raw_sink_rows, sink_violations
+from eventide.operators.deadletter import REASON_KEY_CLASH, dlq_json, dlq_records, raw_sink_rows, sink_violations
 from eventide.operators.detect import Detector, detect
 from eventide.operators.enrich import enrich
+from eventide.operators.key_index import KeyIndex
 from eventide.operators.metrics import metrics_row, observed, observed_moments, observed_rows
 from eventide.operators.moments import Moments
-from eventide.schemas import RAW_COLS, REQUIRED_COLS
+from eventide.schemas import RAW_COLS, RAW_TIME_KEY, REQUIRED_COLS
 from eventide.sources.jdbc import write_jdbc
-from eventide.streaming.sinks import (SinkPaths, anomaly_table, moments_so_far, summary_table, write_batch_json,
+from eventide.streaming.sinks import (SinkPaths, anomaly_table, correction_table, moments_so_far, summary_table, write_batch_json,
                                       write_batch_kafka, write_batch_parquet)
 
 log = logging.getLogger(__name__)
@@ -76,7 +77,7 @@ class EventStreamApp:
                  kafka_brokers: str | None = None, raw_jdbc: dict | None = None,
                  copy_text: bool = False, action_detectors: Sequence[Detector] = (),
                  state_partitions: int | None = None, summary_source: str = "raw",
-                 sink_files: int | None = None, fold_every: int | None = None, final_windows: bool = False):
+                 sink_files: int | None = None, fold_every: int | None = None, final_windows: bool = False, unique_raw: bool = False):
         """``repartition_by_user``: hash-partition parsed rows by user_id into
         that many partitions (off by default: the stateful aggregation
         re-shuffles on (window, user_id) anyway). ``kafka_brokers``: also send
@@ -105,7 +106,10 @@ class EventStreamApp:
         ``final_windows``: emit every window once, when the watermark has passed
         it (append mode, counted from panes: a slide's pane is one state row),
         instead of each change; detectors then score against the moments of
-        all windows so far, not of one micro-batch."""
+        all windows so far, not of one micro-batch. ``unique_raw``: the raw key is
+        unique over all batches: an index of the accepted keys tells rows whose
+        key is there, however long ago, and they go to the dead letter as
+        ``sink_key_clash``."""
         if summary_source not in ("raw", "archive"):
             raise ValueError("summary_source must be 'raw' or 'archive'")
         self.summary_source = summary_source
@@ -117,6 +121,7 @@ class EventStreamApp:
         self.action_detectors = list(action_detectors)
         self.state_partitions = state_partitions
         self.sink_files, self.fold_every, self.final_windows = sink_files, fold_every, final_windows
+        self.key_index = KeyIndex(spark, sinks.path("_keys/raw"), RAW_TIME_KEY) if unique_raw else None
         self.queries: dict[str, StreamingQuery] = {}
 
     # --- plan pieces -----------------------------------------------------------
@@ -168,7 +173,7 @@ class EventStreamApp:
         reason = F.coalesce(F.col("parse_reason"), F.col("dq_reason"),
                             sink_violations(raw_sink_rows(batch_df), self.cfg.sink_max_lengths))
         tagged = quality.with_dq_reason(batch_df, self.cfg).withColumn("reject_reason", reason)
-        tagged = tagged.persist()
+        tagged, marked = tagged.persist(), None
         try:
             if tagged.isEmpty():
                 return
@@ -176,9 +181,18 @@ class EventStreamApp:
             rejected = tagged.filter(F.col("reject_reason").isNotNull())
             if self.dedup_raw:
                 valid = changelog.dedup_rows(valid)
+            if self.key_index:
+                marked = self.key_index.mark(valid, batch_id).persist()
+                valid = marked.filter(~F.col("key_clash")).drop("key_clash")
+                clashed = marked.filter("key_clash").withColumn("reject_reason", F.lit(REASON_KEY_CLASH))
+                rejected = rejected.unionByName(clashed.drop("key_clash"))
             good, good_obs = observed(
                 raw_sink_rows(valid).withColumn("event_time", F.col("timestamp")), f"raw_{batch_id}")
             write_batch_parquet(self._files(good), self.sinks.raw, batch_id)
+            if self.key_index:  # a replay before this line finds the index as it was
+                self.key_index.add(valid, batch_id)
+                if self.fold_every and (batch_id + 1) % self.fold_every == 0:
+                    self.key_index.fold()
             if self.copy_text:
                 write_batch_json(to_copy_text(raw_sink_rows(valid), RAW_COLS), self.sinks.path("raw_copy"),
                                  batch_id, value_col="line")
@@ -197,6 +211,8 @@ class EventStreamApp:
                                 self.sinks.path("metrics_raw"), batch_id)
         finally:
             tagged.unpersist()
+            if marked is not None:
+                marked.unpersist()
 
     def summary_batch(self, batch_df: DataFrame, batch_id: int, window_type: str,
                       detectors: Sequence[Detector] | None = None) -> None:
@@ -345,6 +361,21 @@ class EventStreamApp:
                 self.queries[aname] = self._start_stateful(self._trigger(w, trig_q))
         return self.queries
 
+    def reconcile(self, window_type: str, closed_before=None) -> int | None:
+        """Recount the windows of one size whose archive holds more events than the stream
+        counted, and log the corrections; the batch id, None without a summary.
+        ``closed_before`` leaves out windows that the stream still counts."""
+        summary = summary_table(self.spark, self.sinks, window_type).read()
+        if summary is None:
+            return None
+        found = correction_table(self.spark, self.sinks, window_type).read()
+        duration = self.cfg.window_short if window_type == "5s" else self.cfg.window_long
+        archive = self.spark.read.parquet(self.sinks.archive).filter(F.col("event_time") <= F.current_timestamp())
+        if self.cfg.count_input == "valid":
+            archive = archive.filter(quality.dq_reason(self.cfg).isNull())
+        return reconcile.reconcile(self.spark, archive, reconcile.settled(summary, found),
+                                   self.sinks.path(f"corrections_{window_type}"), duration, self.cfg.window_slide, closed_before)
+
     def await_all(self, timeout: float | None = None) -> None:
         for q in self.queries.values():
             q.awaitTermination(timeout)

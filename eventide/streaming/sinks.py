@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventide.operators.changelog import append_batch, batch_path, complete_batches
 from eventide.operators.keyed_table import KeyedTable
 from eventide.operators.moments import Moments
+from eventide.operators.reconcile import settled
 from eventide.schemas import SUMMARY_KEY
 
 
@@ -52,6 +53,18 @@ def anomaly_table(spark: SparkSession, sinks: SinkPaths, window_type: str) -> Ke
                       order_cols=("detected_at", "detector_type", "batch_id"), part=WINDOW_DATE)
 
 
+def correction_table(spark: SparkSession, sinks: SinkPaths, window_type: str) -> KeyedTable:
+    """Counts of late rows, which the stream dropped, of one window size."""
+    return KeyedTable(spark, sinks.path(f"corrections_{window_type}"), sinks.base(f"corrections_{window_type}"), SUMMARY_KEY,
+                      part=WINDOW_DATE)
+
+
+def settled_summary(spark: SparkSession, sinks: SinkPaths, window_type: str) -> DataFrame | None:
+    """The keyed summary with the corrections of late rows; None where nothing was written."""
+    rows = summary_table(spark, sinks, window_type).read()
+    return None if rows is None else settled(rows, correction_table(spark, sinks, window_type).read())
+
+
 def moments_so_far(spark: SparkSession, sinks: SinkPaths, window_type: str, below: int | None = None) -> Moments:
     """Moments of the counts of all final windows up to the last batch (below an id):
     the same numbers whatever micro-batches the windows came in."""
