@@ -71,6 +71,9 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--jdbc-url", help="also overwrite the tables over JDBC")
     v.add_argument("--jdbc-user")
     v.add_argument("--jdbc-password")
+    c = sub.add_parser("compact", help="merge the archive's small files of closed dates")
+    c.add_argument("--sinks", required=True)
+    c.add_argument("--before", help="dates (yyyy-mm-dd) below this one only")
     f = sub.add_parser("fold", help="fold new batches into the keyed tables' bases")
     f.add_argument("--sinks", required=True)
     a = sub.add_parser("alerts")
@@ -161,6 +164,10 @@ def main(argv=None) -> None:
         write_views(spark, SinkPaths(args.sinks), args.out, args.jdbc_url,
                     {"user": args.jdbc_user or "", "password": args.jdbc_password or ""})
         return
+    if args.cmd == "compact":
+        from eventide.operators.archive_compaction import Archive
+        Archive(spark, SinkPaths(args.sinks).archive).compact(args.before)
+        return
     if args.cmd == "fold":
         fold_tables(spark, SinkPaths(args.sinks))
         return

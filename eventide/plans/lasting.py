@@ -4,13 +4,16 @@ checkpoint folder, through the library's writers, and reads the result back."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from eventide.operators import changelog, windows
+from eventide.functions.vectors import matrix_literal, nearest_center
+from eventide.operators import changelog, quantiles, windows
 from eventide.operators.deadletter import REASON_KEY_CLASH
 from eventide.operators.key_index import KeyIndex
 from eventide.operators.keyed_table import KeyedTable
-from eventide.plans.batch import CFG, wall_clock_micros
+from eventide.plans.batch import CENTROID_CENTERS, CFG, DISTANCE_QUANTILE, action_window_features, wall_clock_micros
 from eventide.schemas import RAW_KEY, SUMMARY_KEY
 from eventide.session import shared_dir
 from eventide.sources.tables import events_from_tables
@@ -81,8 +84,22 @@ def route_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("batch_id", *UNIQUE_COLS, F.when(F.col("key_clash"), F.lit(REASON_KEY_CLASH)).alias("reason"))
 
 
+def distance_p95_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distance threshold as it stands after each day: the sketches of the days so
+    far, merged. Each is within ``quantiles.ALPHA`` of the exact 95th percentile."""
+    feats = action_window_features(events_from_tables(spark, sf_dir, CFG, with_geo=False))
+    near = nearest_center(F.col("features"), matrix_literal(CENTROID_CENTERS))
+    scored = feats.select(F.to_date("window_start").alias("day"), F.round(near["distance"], 9).alias("distance"))
+    daily = quantiles.sketch(scored, "distance", ["day"])
+    # a day's sketch counts towards that day and all later ones; days and buckets are few
+    days = daily.select(F.collect_set("day").alias("days")).scalar()
+    upto = daily.select(F.explode(F.filter(days, lambda d: d >= F.col("day"))).alias("as_of"), "sign", "bucket", "n")
+    return quantiles.quantile(upto, DISTANCE_QUANTILE, ["as_of"]).select(
+        F.col("as_of").alias("day"), F.col("n").alias("n_rows"), F.round("value", 6).alias("threshold"))
+
+
 def registered() -> dict:
-    return {"route_unique": route_unique, "summary_merge_on_read": summary_merge_on_read}
+    return {"distance_p95_sketch": distance_p95_sketch, "route_unique": route_unique, "summary_merge_on_read": summary_merge_on_read}
 
 
 def oracles() -> dict[str, str]:
@@ -93,7 +110,21 @@ def oracles() -> dict[str, str]:
                                     for k, (a, b) in enumerate(DELIVERIES))
     whole_key = " AND ".join(f'"{c}" IS NOT NULL' for c in RAW_KEY)
     key = ", ".join(f'"{c}"' for c in RAW_KEY)
+    g = quantiles.growth(quantiles.ALPHA)
     return {
+        "distance_p95_sketch": f"""WITH {O.EVENTS_CTE.strip()},
+c AS (SELECT {O._bucket('event_time', day)} AS window_start, user_id, action, count(*) AS event_count
+      FROM ev WHERE event_time IS NOT NULL GROUP BY ALL),
+f AS (SELECT *, [CAST(event_count AS DOUBLE), {O.CENTROID_FEATS}] AS feats FROM c),
+d AS (SELECT CAST(window_start AS DATE) AS day, round(list_min(list_transform({O.CENTERS_SQL}, lambda ctr: sqrt(list_sum(
+        list_transform(list_zip(feats, ctr), lambda p: (p[1] - p[2]) * (p[1] - p[2])))))), 9) AS distance FROM f),
+k AS (SELECT day, CASE WHEN distance = 0 THEN -1000000 ELSE ceil(ln(distance) / {math.log(g)!r}) END AS bucket, count(*) AS n
+      FROM d GROUP BY ALL),
+u AS (SELECT x.day AS as_of, bucket, sum(n) AS n FROM k JOIN (SELECT DISTINCT day FROM k) x ON k.day <= x.day GROUP BY ALL),
+r AS (SELECT *, sum(n) OVER (PARTITION BY as_of) AS total, sum(n) OVER (PARTITION BY as_of ORDER BY bucket) AS upto FROM u),
+h AS (SELECT as_of, total, min(bucket) AS bucket FROM r WHERE upto >= greatest(1, ceil({DISTANCE_QUANTILE} * total)) GROUP BY ALL)
+SELECT as_of AS day, CAST(total AS BIGINT) AS n_rows,
+       round(CASE WHEN bucket = -1000000 THEN 0 ELSE 2.0 * pow({g!r}, bucket) / {g + 1!r} END, 6) AS threshold FROM h""",
         "route_unique": f"""WITH {O.EVENTS_CTE.strip()},
 e AS (SELECT user_id, "timestamp", action, CASE WHEN action <> 'signup' THEN 'd' || CAST(user_id % 7 AS VARCHAR) END AS device_id,
              product_id, event_time FROM ev),

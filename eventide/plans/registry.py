@@ -50,4 +50,5 @@ def registered_oracles() -> dict:
     sql = queries_sql()
     sql.update(S.oracles(sql))
     sql.update(L.oracles())
+    sql.update(T.oracles())
     return {k: v for k, v in sql.items() if k in registered_queries()}
