@@ -10,7 +10,10 @@ checkpointed, as four readers share them.
 
 A span starts anew where the prefix sum passes a multiple of half the span's
 budget, and around a turn larger than that half; so a span holds no more than
-its budget unless one turn alone does. Texts are never cut.
+its budget unless one turn alone does. Texts are never cut. The system turn stands
+whole in every window, outside this budget: a window has at most SPAN + HISTORY
+tokens beside it, so with a system turn of 64 tokens 1,024, with one of 2,500 3,460,
+unless one turn alone passes SPAN.
 
 Template: ``### role:``, line feed, text, line feed, ``</turn>``, line feed. In texts a
 backslash stands before every ``\\``, ``###`` and ``</turn>``, in roles before ``:`` too;
@@ -29,8 +32,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from eventide.llm.blocks import col
 from eventide.session import ensure_checkpoint_dir
 
-#: Tokens of a window for the span, the turns shown again, and the system turn.
-SPAN, HISTORY, SYSTEM = 768, 192, 64
+#: Tokens of a window for the span and the turns shown again, beside the system turn.
+SPAN, HISTORY = 768, 192
 #: Tokens the template adds to a turn.
 TURN_TOKENS = 4
 #: Turn numbers of a block of the prefix sums.

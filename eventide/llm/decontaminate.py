@@ -1,7 +1,9 @@
 """Benchmark decontamination by CGK embedding and bit-sampling LSH.
 
-Texts and items are sequences of lower-cased words (runs of letters and
-digits). A document leaks an item if some window of it can be turned into the
+Texts and items are sequences of lower-cased words: runs of letters and digits,
+and every letter of a script without spaces (Chinese, Japanese, Thai, Lao, Khmer,
+Burmese) for itself. Letters are lower-cased in every script where that does not
+change their length in UTF-8. A document leaks an item if some window of it can be turned into the
 item by at most (1 - similarity) of the item's words in word edits. Windows as
 long as the item begin at every word. The CGK random walk embeds a sequence so
 that a small edit distance becomes a small Hamming distance; a repetition
@@ -37,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.llm.blocks import col, head_hashes, keyed_texts, small_batches, utf8, word_spans
 from eventide.llm.toxicity_mil import IS_LETTER, LOWER
+from eventide.session import shared_dir
 
 SIMILARITY = 0.8
 RECALL = 0.99
@@ -56,21 +59,88 @@ def allowed_edits(n_words: int, similarity: float) -> int:
     return int((1 - similarity) * n_words + 1e-9)
 
 
+#: Code points of scripts that set no spaces, and of their punctuation (first, last).
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3100, 0x312F), (0x3400, 0x4DBF),
+            (0x4E00, 0x9FFF), (0xF900, 0xFAFF))
+STOPS = ((0x3000, 0x303F), (0xFF01, 0xFF0F))
+
+
+def _lower_table() -> np.ndarray:
+    """The lower-case code point of each of two or three bytes, where it has as many."""
+    table = np.arange(1 << 16, dtype=np.uint16)
+    for cp in range(0x80, 1 << 16):
+        low = chr(cp).lower()
+        if len(low) == 1 and (ord(low) < 0x800) == (cp < 0x800) and 0x80 <= ord(low) < 1 << 16:
+            table[cp] = ord(low)
+    return table
+
+
+_LOW = _lower_table()
+
+
+def _wide(data: np.ndarray, first: int, last: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the whole characters of ``size`` (2 or 3) bytes, and their code points."""
+    at = np.flatnonzero((data >= first) & (data <= last))
+    at = at[at + size <= len(data)]
+    for k in range(1, size):
+        at = at[(data[at + k] & 0xC0) == 0x80]
+    cp = data[at].astype(np.uint32) & (0xFF >> (size + 1))
+    for k in range(1, size):
+        cp = cp << 6 | (data[at + k] & 0x3F)
+    return at, cp
+
+
+def folded(data: np.ndarray) -> np.ndarray:
+    """The bytes with every letter in lower case, at the same places."""
+    low = LOWER[data]
+    if (data >= 0xC3).any():
+        for first, last, size in ((0xC3, 0xDF, 2), (0xE0, 0xEF, 3)):
+            at, cp = _wide(data, first, last, size)
+            new = _LOW[cp].astype(np.uint32)
+            at, new = at[new != cp], new[new != cp]
+            for k in range(1, size):
+                low[at + k] = 0x80 | (new >> 6 * (size - 1 - k) & 0x3F)
+            low[at] = (0xC0 if size == 2 else 0xE0) | new >> 6 * (size - 1)
+    return low
+
+
+def spans_of_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the words in bytes."""
+    if not (data >= 0xE0).any():
+        return word_spans(data, IS_LETTER)
+    inside, cut = IS_LETTER[data], np.zeros(len(data) + 1, bool)
+    at, cp = _wide(data, 0xE0, 0xEF, 3)
+    alone, stop = np.zeros(len(at), bool), np.zeros(len(at), bool)
+    for mask, spans in ((alone, UNSPACED), (stop, STOPS)):
+        for first, last in spans:
+            mask |= (cp >= first) & (cp <= last)
+    more = np.flatnonzero(data == 0xF0)  # the rarer Chinese characters have four bytes
+    more = more[more + 4 <= len(data)]
+    more = more[(data[more + 1] >= 0xA0) & (data[more + 1] <= 0xBF)]
+    cut[at[alone]] = cut[at[alone] + 3] = cut[more] = cut[more + 4] = True
+    for k in range(3):
+        inside[at[stop] + k] = False
+    before = np.concatenate(([False], inside))
+    begin = np.flatnonzero(inside & (~before[:-1] | cut[:-1]))
+    after = np.concatenate((inside, [False]))
+    end = np.flatnonzero(before & (~after | cut))
+    return begin, end
+
+
 def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash (of the first 16 bytes and the length), begin and end of the words in bytes."""
-    begin, end = word_spans(data, IS_LETTER)
+    begin, end = spans_of_words(data)
     if not len(begin):
         return np.zeros(0, np.uint64), begin, end
-    low = LOWER[data]
     length = end - begin
-    h = head_hashes(low, begin, length, (16,))[0] + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    h = head_hashes(folded(data), begin, length, (16,))[0] + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     return (h ^ (h >> np.uint64(32))) | np.uint64(1), begin, end  # never _PAD
 
 
 def exact_words(text: bytes) -> list[bytes]:
     data = np.frombuffer(text, np.uint8)
-    begin, end = word_spans(data, IS_LETTER)
-    low = LOWER[data].tobytes()
+    begin, end = spans_of_words(data)
+    low = folded(data).tobytes()
     return [low[a:b] for a, b in zip(begin.tolist(), end.tolist())]
 
 
@@ -333,7 +403,7 @@ def _scan(texts: list[bytes], targets: Targets, limit: int = 1 << 20) -> dict[tu
     best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
 
     def settle(held: list[tuple[int, int, bytes]]) -> None:
-        rows, begins, ends, hashes, sizes = [], [], [], [], []
+        begins, ends, hashes, sizes, lows = [], [], [], [], {}
         for _, _, part in held:
             h, begin, end = words_of(np.frombuffer(part, np.uint8))
             hashes += [h, np.full(targets.gap, _PAD)]
@@ -350,7 +420,9 @@ def _scan(texts: list[bytes], targets: Targets, limit: int = 1 << 20) -> dict[tu
                 continue
             item = targets.text_words[t]
             span = min(len(begins[k]), w + len(item) + allowed_edits(len(item), targets.similarity))
-            text = [part[a:b].translate(_LOWER) for a, b in zip(begins[k][w:span].tolist(), ends[k][w:span].tolist())]
+            if k not in lows:
+                lows[k] = folded(np.frombuffer(part, np.uint8)).tobytes()
+            text = [lows[k][a:b] for a, b in zip(begins[k][w:span].tolist(), ends[k][w:span].tolist())]
             distance, used = edit_distance_to_prefix(item, text)
             if distance <= allowed_edits(len(item), targets.similarity) and used:
                 found = (distance, offset + int(begins[k][w]), offset + int(ends[k][w + used - 1]), len(item))
@@ -370,9 +442,6 @@ def _scan(texts: list[bytes], targets: Targets, limit: int = 1 << 20) -> dict[tu
     return best
 
 
-_LOWER = LOWER.tobytes()
-
-
 def _points(text: bytes) -> int:
     return len(text.decode("utf-8", "ignore"))
 
@@ -423,9 +492,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that leak no item, with their own columns; rows without an
-    id are judged by none and stay."""
-    found = leaks(docs.filter(col(id_col).isNotNull()), benchmark, id_col=id_col, text_col=text_col)
-    ids = found.select(F.col("doc_id").alias("_leaking")).distinct()
-    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("d"), col(id_col).alias("_key"))
-    return rows.join(ids, F.col("_key") == F.col("_leaking"), "left_anti").select("d.*")
+    """The documents that leak no item, with their own columns. Rows are judged by a digest
+    of their text, so rows without an id are searched like all others, and a clean
+    text stays whoever shares its id."""
+    spark = docs.sparkSession
+    digest = F.md5(F.encode(F.coalesce(col(text_col).cast("string"), F.lit("")), "UTF-8"))
+    found = leaks(docs.select(digest.alias("doc_id"), col(text_col).alias("text")), benchmark)
+    # as a table: the join is planned on its real size, and moves no text where that is small
+    path = shared_dir(spark, "leaks")
+    found.select(F.col("doc_id").alias("_leaking")).distinct().write.parquet(path)
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("d"), digest.alias("_key"))
+    return rows.join(spark.read.parquet(path), F.col("_key") == F.col("_leaking"), "left_anti").select("d.*")

@@ -8,8 +8,10 @@ character counts by the terms of those two characters only, and the Shannon
 entropy follows from the sum. A window is hot if its entropy reaches the
 threshold of its character class (hex, one case with digits, mixed); the span
 of a candidate with a hot window is the whole candidate.
-Candidates that match an allow-list pattern are suppressed; base spans stay.
-A span that lies within a base span is not added again.
+Candidates that match an allow-list pattern are suppressed; base spans stay. A word
+of documentation ("example") suppresses only the segment between separators that
+holds it: what stands before or behind it is judged without it, so a key that is
+joined to such a word is found. A span that lies within a base span is not added again.
 
 Defined results: a null text is the empty text, without spans; repeated rows
 get equal spans; an empty table gives an empty result; columns of any other
@@ -41,9 +43,12 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{%d,}+"
 THRESHOLDS = (2.9, 3.4, 3.64)
 #: Digits that a hot window of one case has at least, here; of 20 random characters 5 % have under three.
 ONE_CASE_DIGITS = 1
-#: Candidates that are no secrets: UUIDs, numbers, words and slugs, documentation keys, paths.
+#: Candidates that are no secrets: UUIDs, numbers, words and slugs, the form of documentation keys, paths.
 ALLOW = (r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9+/_-]+", r"[A-Za-z]*([-_/+][A-Za-z]+)*[-_/+]?[0-9]{0,4}",
-         r".*(EXAMPLE|example|0123456789|abcdefgh).*", r"/?([a-z0-9_-]{1,12}/)+[a-z0-9_-]{0,12}")
+         r"[A-Za-z0-9+/]{30}EXAMPLEKEY", r"/?([a-z0-9_-]{1,12}/)+[a-z0-9_-]{0,12}")
+#: A segment between separators that holds one of these is documentation.
+ALLOW_SEGMENT = "EXAMPLE|example|0123456789|abcdefgh"
+SEPARATORS = "-_/+"
 
 
 def base_spans(text: Column) -> Column:
@@ -58,7 +63,7 @@ def base_spans(text: Column) -> Column:
 
 
 def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float, float] = THRESHOLDS,
-             one_case_digits: int = 3) -> Column:
+             one_case_digits: int = ONE_CASE_DIGITS) -> Column:
     """``struct<first, last>`` (from 0, last exclusive) of the hot windows of an
     ASCII string; first is null if none is hot."""
     codes = F.transform(F.split(run, ""), lambda c: F.ascii(c))
@@ -113,13 +118,22 @@ def hot_part(run: Column, window: int = WINDOW, thresholds: tuple[float, float,
     return F.struct(done["first"].alias("first"), done["last"].alias("last"))
 
 
+def judged_parts(run: Column) -> Column:
+    """What of a candidate is judged: all of it, or what is left around segments of documentation."""
+    segments = F.split(run, f"(?<=[{SEPARATORS}])")
+    left = F.array_join(F.transform(segments, lambda s: F.when(s.rlike(ALLOW_SEGMENT), F.lit("\n")).otherwise(s)), "")
+    around = F.filter(F.split(left, "\n"), lambda s: F.length(s) >= WINDOW)
+    return F.when(run.rlike(ALLOW_SEGMENT), around).otherwise(F.array(run))
+
+
 def entropy_spans(text: Column, base: Column, allow: tuple[str, ...] = ALLOW) -> Column:
     """Spans of candidates with a hot window, outside the base spans, kind 3."""
     listed = "|".join(f"(?:{a})" for a in allow)
     runs = matches(text, CANDIDATE, hint="[0-9]")
     if allow:
         runs = F.filter(runs, lambda m: ~m["value"].rlike(f"^(?:{listed})$"))
-    hot = F.filter(runs, lambda m: hot_part(m["value"], one_case_digits=ONE_CASE_DIGITS)["first"].isNotNull())
+    hot = F.filter(runs, lambda m: F.exists(judged_parts(m["value"]) if allow else F.array(m["value"]),
+                                            lambda part: hot_part(part)["first"].isNotNull()))
     found = F.transform(hot, lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("kind"), m["end"].alias("end")))
     return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
 

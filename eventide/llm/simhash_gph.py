@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventide.llm.blocks import col, keyed_texts, small_batches, utf8, word_parts
 from eventide.llm.components import connected_components
-from eventide.session import ensure_checkpoint_dir
+from eventide.session import ensure_checkpoint_dir, shared_dir
 
 BITS = 64
 #: Bits of a histogram that estimates candidates, at most.
@@ -75,16 +75,16 @@ def _bits(h: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` of every whole text; fp is the fingerprint as a signed bigint."""
+    """``(doc_id, h, fp)`` of every whole text: a hash of it and its fingerprint, a signed bigint."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle, seed) for t in utf8(b["text"])], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["h"], pa.array(fp)], names=["doc_id", "h", "fp"])
 
-    texts = keyed_texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    return texts.mapInArrow(run, "doc_id bigint, fp bigint")
+    texts = keyed_texts(docs, id_col, text_col).select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("h"), "text")
+    return texts.mapInArrow(run, "doc_id bigint, h bigint, fp bigint")
 
 
 def _summed(table: DataFrame, keys: list[str], count: Callable[[np.ndarray], list[np.ndarray]], kinds: str) -> list:
@@ -278,16 +278,25 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
     return q.join(x, (q["key"] == x["key"]) & near).select(F.col("q_rep").alias("a"), F.col("x_rep").alias("b"))
 
 
+def grouped(fps: DataFrame, distance: int) -> DataFrame:
+    """``(fp, low, grp)`` of every distinct fingerprint: the smallest id that has it, and the
+    smallest fingerprint (as a signed number) that can be reached over links. Fingerprints
+    are the nodes, so an id that several texts bear joins none of them."""
+    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("low")).checkpoint()
+    found = connected_components(links(distinct.select("fp", F.col("fp").alias("rep")), distance))
+    return distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "low", F.coalesce("component", "fp").alias("grp"))
+
+
 def cluster(docs: DataFrame, shingle: int = 3, distance: int = 2, seed: int = 42, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """``(doc_id, fp, component_id)``: component_id is the smallest id that can be
-    reached over links of at most ``distance`` bits."""
+    reached over links of at most ``distance`` bits; null where no row reached has one."""
     ensure_checkpoint_dir(docs.sparkSession)
     fps = fingerprints(docs, shingle, seed, id_col, text_col).checkpoint()
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).checkpoint()
-    found = connected_components(links(distinct.filter("rep is not null"), distance))
-    known = distinct.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
+    groups = grouped(fps, distance).checkpoint()
+    lowest = groups.groupBy("grp").agg(F.min("low").alias("component_id"))
+    known = groups.join(lowest, "grp").select("fp", "component_id")
     return fps.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -298,13 +307,25 @@ def hex_digits(fp: str = "fp"):
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each component, one row each;
-    rows without an id stay."""
-    first = (cluster(docs, shingle, distance, 42, id_col, text_col).filter("doc_id = component_id")
-             .groupBy(F.col("doc_id").alias("_first")).agg(F.count("*").alias("_rows")).checkpoint())
-    key = col(id_col).cast("bigint")
-    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("d"), key.alias("_key"))
-    once = rows.join(first.filter("_rows = 1"), F.col("_key") == F.col("_first"), "left_semi")
-    again = rows.join(first.filter("_rows > 1"), F.col("_key") == F.col("_first"), "left_semi").dropDuplicates(["_key"])
-    none = rows.filter("_key is null")
-    return once.union(again).union(none).select("d.*")
+    """One row of ``docs`` for each component: the one of the smallest id (none comes last),
+    of texts under one id the one of the smallest hash. Rows are judged by id and
+    text, so texts that share an id are judged apart, and rows without an id too."""
+    spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
+    fps = fingerprints(docs, shingle, 42, id_col, text_col).checkpoint()
+    rows = fps.groupBy("doc_id", "h", "fp").agg(F.count(F.lit(1)).alias("n"))
+    placed = rows.join(grouped(fps, distance).select("fp", "grp"), "fp").checkpoint()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    best = placed.groupBy("grp").agg(F.min(order).alias("best"))
+    judged = placed.join(best, "grp").select("doc_id", "h", "n", order.eqNullSafe(F.col("best")).alias("first"))
+    # what goes, and what stands there more than once, as a table: the join with the
+    # documents is planned on its real size, and moves no text where that is small
+    path = shared_dir(spark, "near_duplicates")
+    judged.filter("n > 1 or not first").write.parquet(path)
+    out = spark.read.parquet(path).select(F.col("doc_id").alias("_id"), F.col("h").alias("_hash"), "first")
+    texts = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("d"), col(id_col).cast("bigint").alias("_key"),
+                        F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit(""))).alias("_h"))
+    same = (F.col("_h") == F.col("_hash")) & F.col("_key").eqNullSafe(F.col("_id"))
+    once = texts.join(out, same, "left_anti")
+    again = texts.join(out.filter("first"), same, "left_semi").dropDuplicates(["_key", "_h"])
+    return once.union(again).select("d.*")

@@ -102,3 +102,16 @@ def test_sql_on_odd_conversations(spark):
 @pytest.mark.parametrize("rows", [[], [(1, 0, "user", "", 1, "x", 2)]])
 def test_tiny_tables(spark, rows):
     assert C.digest(C.windows(_frame(spark, rows))).count() == len(rows)
+
+
+def test_windows_hold_their_budget_beside_the_system_turn(spark):
+    r = random.Random(9)
+    rows = []
+    for conv, system in enumerate((0, 10, 400, 3000)):
+        rows += [(conv, 0, "system", "s " * system)] if system else []
+        rows += [(conv, k, "user" if k % 2 else "assistant", "w " * r.choice((3, 40, 200, 380, 700, 1500))) for k in range(1, 60)]
+    made = C.windows(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()
+    tokens = {conv: next((len(t.split()) + C.TURN_TOKENS for c, k, role, t in rows if c == conv and role == "system"), 0) for conv in range(4)}
+    over = [m["n_tokens"] - tokens[m["conv_id"]] for m in made if m["n_tokens"] - tokens[m["conv_id"]] > C.SPAN + C.HISTORY]
+    # beyond the budget only with one turn that is alone beyond the span's
+    assert made and all(n - C.HISTORY <= 1500 + C.TURN_TOKENS and n >= 1500 for n in over)

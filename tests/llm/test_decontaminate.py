@@ -153,6 +153,38 @@ def test_long_items_are_searched_in_parts(spark):
     assert 1 in got and 3 not in got
 
 
+def test_scripts_without_spaces_and_letters_of_every_script(spark):
+    items = [(1, "机器学习是人工智能的一个分支，它使计算机能够从数据中学习。"), (2, "ÉTÉ ÀÂ ŒUVRE ÇA ÎLE ÜBER"), (3, "ПРИВЕТ МИР КАК ТВОИ ДЕЛА"),
+             (4, "ΚΑΛΗΜΕΡΑ ΚΟΣΜΕ ΤΙ ΚΑΝΕΙΣ ΕΔΩ"), (5, "สวัสดีชาวโลกวันนี้อากาศดี"), (6, "𠀀𠀁𠀂𠀃𠀄𠀅")]
+    docs = [(1, "前言。" + items[0][1] + "后记。"), (10, "前言。机器学习是人工智能的一个分支它使计算机能够从数据中自学。"),
+            (2, "x été àâ œuvre ça île über y"), (3, "он сказал привет мир как твои дела и ушёл"), (4, "καλημερα κοσμε τι κανεισ εδω"),
+            (5, "ก" + items[4][1]), (6, "a" + items[5][1]), (7, "今天天气很好，我们去公园散步吧，孩子们都很高兴。"), (8, "other words stand here alone")]
+    got = {(x["doc_id"], x["item_id"]): x["distance"] for x in D.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {(1, 1): 0, (10, 1): got[10, 1], (2, 2): 0, (3, 3): 0, (4, 4): got[4, 4], (5, 5): 0, (6, 6): 0} and got[10, 1] >= 1
+    [first] = [x for x in D.leaks(spark.createDataFrame(docs[:1], "doc_id bigint, text string"),
+                                  spark.createDataFrame(items[:1], "item_id bigint, text string")).collect()]
+    assert docs[0][1][first["start"]:first["end"]] == items[0][1].rstrip("。")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aB éÉ中。國ก𠀀İ😀-\n", max_size=30))
+def test_words_of_any_text(text):
+    raw = text.encode()
+    words = D.exact_words(raw)
+    assert all(words) and len(D.words_of(np.frombuffer(raw, np.uint8))[1]) == len(words)
+    assert [w for w in D.exact_words(text.replace("É", "é").replace("B", "b").encode())] == words
+    assert sum(w in ("中".encode(), "國".encode()) for w in words) == text.count("中") + text.count("國")
+
+
+def test_rows_are_judged_by_their_text(spark):
+    item = "one two three four five six seven eight"
+    rows = [(1, "clean text under a shared id " * 3), (1, f"leak {item} leak"), (None, f"again {item}"), (None, "clean without an id"), (2, None)]
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    kept = D.drop_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()
+    assert Counter(map(tuple, kept)) == Counter([rows[0], rows[3], rows[4]])
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     r = np.random.default_rng(3)
     items = [(i, " ".join(f"t{r.integers(1000)}" for _ in range(9))) for i in range(60)]

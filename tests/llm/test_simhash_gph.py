@@ -132,11 +132,30 @@ def test_odd_rows(spark, odd, none):
     kept = G.keep_one(odd)
     assert kept.schema == odd.schema
     ids = sorted((r["doc_id"] for r in kept.collect() if r["doc_id"] is not None))
-    assert ids == [1, 4, 5, 6, 8, 9] and kept.filter("doc_id is null").count() == 2
+    # the null text without an id is a copy of the empty ones, the other text without an id stands alone
+    assert ids == [1, 4, 5, 6, 8, 9] and [r["text"] for r in kept.filter("doc_id is null").collect()] == ["no id here at all"]
     assert G.cluster(none).count() == 0 and G.keep_one(none).count() == 0
     assert G.keep_one(odd.filter("doc_id = 7")).count() == 1  # repeated rows: one stays
 
 
+def test_keep_one_judges_rows_not_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(5, a, 1), (5, b, 2), (3, c, 3), (5, c, 4), (None, a, 5), (None, "alone without an id", 6), (9, b, 7), (9, b, 8), (None, c, 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n int").repartition(3)
+    kept = sorted((r["n"] for r in G.keep_one(df).collect()))
+    assert kept == [1, 2, 3, 6]  # both texts of id 5 stay, every copy goes, under whatever id
+    repeated = spark.createDataFrame([(1, a, 1), (1, a, 1), (1, a, 2), (None, b, 3), (None, b, 3)], "doc_id bigint, text string, n int")
+    assert sorted(r["text"] == a for r in G.keep_one(repeated).collect()) == [False, True]
+
+
+def test_shared_ids_join_no_components(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    df = spark.createDataFrame([(5, a), (5, b), (1, a), (7, b), (8, c), (None, c)], "doc_id bigint, text string")
+    out = {(r["doc_id"], r["fp"]): r["component_id"] for r in G.cluster(df).collect()}
+    assert sorted(((i is None, i), v) for (i, _), v in out.items()) == [
+        ((False, 1), 1), ((False, 5), 1), ((False, 5), 5), ((False, 7), 5), ((False, 8), 8), ((True, None), 8)]
+
+
 def test_same_result_for_any_partitioning(spark, documents):
     few = G.cluster(documents.coalesce(1)).agg(F.sum(F.xxhash64("doc_id", "fp", "component_id").cast("decimal(38,0)"))).first()
     many = G.cluster(documents.repartition(7)).agg(F.sum(F.xxhash64("doc_id", "fp", "component_id").cast("decimal(38,0)"))).first()

@@ -84,7 +84,7 @@ def slow_hot(run, w=S.WINDOW, thresholds=S.THRESHOLDS):
         if one_case and all(c in "0123456789abcdefABCDEF" for c in part):
             ok = h >= thresholds[0] - 1e-9 and 2 <= digit <= w - 2
         elif one_case:
-            ok = h >= thresholds[1] - 1e-9 and digit >= 3 and lower + upper >= 3
+            ok = h >= thresholds[1] - 1e-9 and digit >= S.ONE_CASE_DIGITS and lower + upper >= 3
         else:
             ok = h >= thresholds[2] - 1e-9 and digit >= 1
         if ok:
@@ -114,6 +114,24 @@ def test_method_adds_and_allow_list_suppresses(spark):
     assert {r["doc_id"] for r in bare if r["n"]} >= {0, 3, 4}
 
 
+def test_keys_joined_to_documentation_words_are_found(spark):
+    r = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    keys = []
+    while len(keys) < 20:
+        k = "".join(r.choice(letters) for _ in range(24))
+        if slow_hot(k)[0] is not None:
+            keys.append(k)
+    forms = ["s3://example-bucket/{}", "example-{}", "id={}_EXAMPLE", "{}/example/x", "0123456789_{}"]
+    rows = [(i * 20 + j, f.format(k), k) for i, f in enumerate(forms) for j, k in enumerate(keys)]
+    plain = [(900, "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), (901, "see docs/example-page-0123456789-abcdefgh-index1"),
+             (902, "my-example/example-bucket-2024/example")]
+    df = spark.createDataFrame([x[:2] for x in rows] + plain, "doc_id int, text string").repartition(8)
+    out = {x["doc_id"]: x["text"] for x in S.redact(df, length_col=None).collect()}
+    assert not any(k in out[i] for i, _, k in rows)
+    assert all(out[i] == t for i, t in plain)
+
+
 def test_random_keys_are_covered_whole(spark):
     r = random.Random(11)
     low, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
