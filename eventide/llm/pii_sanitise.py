@@ -12,13 +12,18 @@ reaches GENERALISE are generalised (to a mark), from REMOVE on removed, at every
 place in the documents that hold c; df(c,t) must reach SUPPORT documents, as one
 document is no evidence. Term spans join the base spans.
 
-Terms are all words (runs of letters or digits) of the whole text that lie
-outside base spans.
-
-Counts are keyed by 64-bit hashes, documents by one of id and text. Entities of
-under SUPPORT documents are dropped before any term is listed; the documents of
-an entity meet its count, and pairs of entity and term the counts of terms, in
-salted joins, so neither a frequent entity nor a frequent term fills one task.
+Terms are all words (runs of letters or digits, lower-cased one by one) of the whole
+text that lie outside base spans.
+
+Documents are the distinct pairs of id and text, in every count: the terms of a
+repeated row are counted once. Counts are keyed by 64-bit hashes. Entities that
+occur in the very same documents share a class, and so do terms, by a digest of
+their documents; a document pairs its classes, not its entities and terms, so a
+page of thousands of addresses that stand together is one class. Entities and
+terms of under SUPPORT documents, and terms too frequent to disclose any entity
+(df(t) > df(c)^s N^(1-s) for the share s and the most frequent c), are dropped
+before anything is paired. Joins on a term or a class are salted, so neither a
+frequent entity nor a frequent term fills one task.
 
 Defined results: a null text is the empty text; repeated rows (equal id and
 text) count as one document and get equal spans; an empty table gives an empty
@@ -28,12 +33,10 @@ columns of any other name may stand beside id and text.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.llm.blocks import col
-from eventide.llm.spans import KIND, count_of, in_order, matches, named, replaced, spans_of
+from eventide.llm.spans import KIND, bind, count_of, in_order, matches, named, replaced, running, spans_of
 from eventide.session import ensure_checkpoint_dir
 
 KINDS = ["email", "ip", "card", "phone", "term", "term"]
@@ -47,12 +50,13 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-#: Code points before and behind a base span in which terms count: no bound (the tests' brute force reads this).
-NEAR = math.inf
 SUPPORT = 2
 GENERALISE, REMOVE = 0.7, 0.9
-#: Ways an entity's documents and a term's pairs are split in the join with its count.
+#: Ways the documents of an entity, a term or a class are split in joins.
 SALTS = 32
+#: Base spans of a text up to which each word is compared with each of them.
+FEW_SPANS = 16
+WORDS = r"[\p{L}\p{N}]++"
 
 
 def _ip_fits(m: Column) -> Column:
@@ -90,11 +94,40 @@ def entities_of(text: Column, spans: Column) -> Column:
     return F.array_distinct(F.transform(spans, one))
 
 
+def outside(words: Column, spans: Column) -> Column:
+    """The words that overlap no span. Of many spans the greatest end before a word and the
+    smallest start behind it tell, found by one pass each way over words and spans in order."""
+    def compared(w: Column) -> Column:
+        return ~F.exists(spans, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
+
+    def swept(merged: Column) -> Column:
+        far = F.lit(1 << 60)
+        before = running(merged, F.lit(-1), lambda at, x: F.when(x["is_word"] == 0, F.greatest(at, x["end"])).otherwise(at), "bigint")
+        behind = running(F.reverse(merged), far, lambda at, x: F.when(x["is_word"] == 0, F.least(at, x["start"])).otherwise(at), "bigint")
+        every = bind(before, lambda up: bind(F.reverse(behind), lambda down: F.transform(merged, lambda x, i: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["term"].alias("term"),
+            ((x["is_word"] == 1) & (F.get(up, i) <= x["start"]) & (F.get(down, i) >= x["end"])).alias("free")))))
+        return F.transform(F.filter(every, lambda x: x["free"]), lambda x: F.struct(x["start"], x["end"], x["term"]))
+
+    # at one place spans come before words
+    tagged = F.concat(F.transform(words, lambda w: F.struct(w["start"].alias("start"), F.lit(1).alias("is_word"), w["end"].alias("end"),
+                                                            w["term"].alias("term"))),
+                      F.transform(spans, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("is_word"), b["end"].alias("end"),
+                                                            F.lit(0).cast("bigint").alias("term"))))
+    return F.when(F.size(spans) <= FEW_SPANS, F.filter(words, compared)).otherwise(bind(F.array_sort(tagged), swept))
+
+
 def terms_of(text: Column, spans: Column) -> Column:
     """The terms of a text with their places; words within base spans are replaced with them anyway."""
-    found = F.transform(matches(text, r"[\p{L}\p{N}]++"), lambda m: F.struct(
+    found = F.transform(matches(text, WORDS), lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), F.xxhash64(F.lower(m["value"])).alias("term")))
-    return F.filter(found, lambda w: ~F.exists(spans, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    return bind(found, lambda words: outside(words, spans))
+
+
+def distinct_terms(text: Column) -> Column:
+    """The hashes of the distinct words of a text, the same as in ``terms_of``."""
+    words = F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(F.lower(w))))
 
 
 def found_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,47 +140,72 @@ def found_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     F.when(some, entities_of(F.col("t"), F.col("base"))).alias("entities"), F.when(some, F.col("t")).alias("t"))
 
 
-def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(term, df)``: rows in which a term occurs, over all rows and whole texts."""
-    words = F.filter(F.split(F.lower(col(text_col).cast("string")), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0)
-    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
-    return docs.select(F.explode(hashes).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+def term_counts(docs: DataFrame, repeated: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(term, df)``: distinct documents in which a term occurs, over whole texts. ``repeated``
+    ``(key, m)`` tells the keys of ``found_entities`` that stand m > 1 times: all rows are
+    counted, and the further copies of those taken off."""
+    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    counts = docs.select(F.explode(distinct_terms(text)).alias("term"), F.lit(1).cast("bigint").alias("n"))
+    if repeated is not None:
+        rows = docs.select(col(id_col).alias("doc_id"), text.alias("t")).withColumn("key", F.xxhash64("doc_id", F.xxhash64("t")))
+        once = rows.join(repeated, "key").groupBy("key").agg(F.first("t").alias("t"), F.first("m").alias("m"))
+        counts = counts.union(once.select(F.explode(distinct_terms(F.col("t"))).alias("term"), (1 - F.col("m")).alias("n")))
+    return counts.groupBy("term").agg(F.sum("n").alias("df"))
+
+
+def _salted(table: DataFrame) -> DataFrame:
+    return table.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+
 
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(SALTS))
 
-def _salted(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+
+def _class() -> Column:
+    """A digest of the distinct documents of a group: equal for groups of the very same ones."""
+    return F.xxhash64(F.count(F.lit(1)), F.bit_xor("key"), F.bit_xor(F.xxhash64("key", F.lit(1))))
 
 
 def listed_terms(found: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """``(key, known, words)``: of every document with entities of ``support``
-    documents or more those, ``known``, with their counts, and its terms."""
+    """``(key, known, words)``: of every document with entities of ``support`` documents or
+    more the classes of those, ``known``, with their counts, and its terms."""
     held = found.filter(F.size("base") > 0).dropDuplicates(["key"])
     each = held.select("key", F.explode("entities").alias("entity"))
-    entities = each.groupBy("entity").agg(F.count("*").alias("df_c")).filter(F.col("df_c") >= support)
-    known = (each.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS))).join(_salted(entities), ["entity", "salt"])
-             .groupBy("key").agg(F.collect_list(F.struct("entity", "df_c")).alias("known")))
+    entities = each.groupBy("entity").agg(F.count("*").alias("df_c"), _class().alias("c")).filter(F.col("df_c") >= support)
+    known = (each.withColumn("salt", _salt()).join(_salted(entities), ["entity", "salt"])
+             .groupBy("key").agg(F.collect_set(F.struct("c", "df_c")).alias("known")))
     return held.select("key", "t", "base").join(known, "key").select(
         "key", "known", terms_of(F.col("t"), F.col("base")).alias("words"))
 
 
-def _pairs(listed: DataFrame) -> DataFrame:
-    """``(key, entity, df_c, term)``, once for every document."""
-    terms = listed.select("key", "known", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
-    return terms.select("key", "term", F.explode("known").alias("c")).select("key", "c.entity", "c.df_c", "term")
+def classed_terms(listed: DataFrame, counts: DataFrame, n: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+    """``(term, w, df)``: the terms that may disclose something, their class and corpus count."""
+    each = listed.select("key", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
+    terms = each.groupBy("term").agg(F.count("*").alias("in_listed"), _class().alias("w")).filter(F.col("in_listed") >= support)
+    top = listed.agg(F.max(F.array_max(F.transform("known", lambda k: k["df_c"])))).first()[0] or 0
+    # PMI / IC >= s needs df(t) <= df(c,t) (N / df(c))^(1-s), and df(c,t) is df(c) at most
+    bound = float(top) ** least * float(max(n, 1)) ** (1 - least) * 1.0001
+    return terms.join(counts.filter(F.col("df") <= bound), "term").select("term", "w", "df")
+
+
+def paired_classes(listed: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(key, c, df_c, w)``: the classes of entities and of terms that a document holds both."""
+    each = listed.select("key", "known", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
+    of_doc = (each.withColumn("salt", _salt()).join(_salted(terms.select("term", "w")), ["term", "salt"])
+              .groupBy("key").agg(F.first("known").alias("known"), F.collect_set("w").alias("ws")))
+    return (of_doc.select("key", "known", F.explode("ws").alias("w"))
+            .select("key", "w", F.explode("known").alias("k")).select("key", "k.c", "k.df_c", "w"))
 
 
-def disclosing(listed: DataFrame, counts: DataFrame, n: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """``(entity, term, share)``: terms that disclose at least the share ``least`` of an entity."""
-    pairs = (_pairs(listed).groupBy("entity", "df_c", "term").agg(F.count("*").alias("df_ct"))
-             .filter(F.col("df_ct") >= support).checkpoint())
-    needed = counts.join(pairs.select("term").distinct(), "term")
-    salt = F.pmod(F.xxhash64("entity"), F.lit(SALTS))
+def disclosing(pairs: DataFrame, terms: DataFrame, n: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+    """``(c, w, term, share)``: terms that disclose at least the share ``least`` of the entities of a class."""
+    counted = pairs.groupBy("c", "df_c", "w").agg(F.count("*").alias("df_ct")).filter(F.col("df_ct") >= support)
     total = F.lit(float(max(n, 1)))
     pmi = F.log2(total * F.col("df_ct") / (F.col("df_c") * F.col("df")))
     ic = F.log2(total / F.col("df_c"))
     share = F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0))
-    return (pairs.withColumn("salt", salt).join(_salted(needed), ["term", "salt"])
-            .select("entity", "term", share.alias("share")).filter(F.col("share") >= least))
+    return (counted.withColumn("salt", F.pmod(F.xxhash64("c"), F.lit(SALTS))).join(_salted(terms), ["w", "salt"])
+            .select("c", "w", "term", share.alias("share")).filter(F.col("share") >= least))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
@@ -156,14 +214,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", suppor
     those of disclosing terms (kind 4: to be generalised, 5: to be removed)."""
     ensure_checkpoint_dir(docs.sparkSession)
     found = found_entities(docs, id_col, text_col).checkpoint()
+    keys = found.groupBy("key").agg(F.count("*").alias("m")).checkpoint()
+    n, most = keys.agg(F.count("*"), F.max("m")).first()
+    counts = term_counts(docs, keys.filter("m > 1") if (most or 0) > 1 else None, id_col, text_col)
     listed = listed_terms(found, support).checkpoint()
-    told = disclosing(listed, term_counts(docs, id_col, text_col), found.count(), support, generalise)
-    hit = _pairs(listed).join(told, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
-    places = listed.select("key", F.explode("words").alias("w")).select("key", "w.term", "w.start", "w.end")
+    terms = classed_terms(listed, counts, n, support, generalise).checkpoint()
+    pairs = paired_classes(listed, terms).checkpoint()
+    told = disclosing(pairs, terms, n, support, generalise)
+    hit = (pairs.withColumn("salt", _salt()).join(_salted(told), ["c", "w", "salt"])
+           .groupBy("key", "term").agg(F.max("share").alias("share")))
+    places = listed.select("key", F.explode("words").alias("p")).select("key", "p.term", "p.start", "p.end")
     kind = F.when(F.col("share") >= remove, F.lit(_REMOVED)).otherwise(F.lit(_GENERALISED))
-    terms = (places.join(hit, ["key", "term"]).groupBy("key")
-             .agg(F.collect_list(F.struct("start", kind.alias("kind"), "end")).alias("terms")))
-    with_terms = found.filter(F.size("base") > 0).join(terms, "key", "left")
+    marked = (places.join(hit, ["key", "term"]).groupBy("key")
+              .agg(F.collect_list(F.struct("start", kind.alias("kind"), "end")).alias("terms")))
+    with_terms = found.filter(F.size("base") > 0).join(marked, "key", "left")
     added = F.coalesce("terms", F.array().cast(KIND))
     return (with_terms.select("doc_id", "h", "base", in_order(F.col("base"), added).alias("spans"))
             .union(found.filter(F.size("base") == 0).select("doc_id", "h", "base", F.col("base").alias("spans"))))

@@ -17,6 +17,31 @@ KIND = "array<struct<start:bigint,kind:int,end:bigint>>"
 CHUNK = 256
 
 
+def bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` reads it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def running(items: Column, zero: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """The state after each item, an array of ``kind``. States are gathered in chunks that are
+    joined once, so the time follows the number of items."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def add(acc: Column, x: Column) -> Column:
+        return bind(step(acc["at"], x), lambda v: F.struct(v.alias("at"), F.concat(acc["out"], F.array(v)).alias("out")))
+
+    def along(b: Column) -> Column:
+        def chunk(acc: Column, first: Column) -> Column:
+            part = F.aggregate(F.slice(b, first, F.lit(CHUNK)), F.struct(acc["at"].alias("at"), none.alias("out")), add)
+            return bind(part, lambda p: F.struct(p["at"].alias("at"), F.concat(acc["out"], F.array(p["out"])).alias("out")))
+
+        start = F.struct(zero.cast(kind).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        chunks = F.when(F.size(b) > 0, F.sequence(F.lit(1), F.size(b), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.aggregate(chunks, start, chunk)["out"])
+
+    return bind(items, along)
+
+
 def matches(text: Column, pattern: str, hint: str | None = None) -> Column:
     """``array<struct<start, end, value>>`` of the leftmost non-overlapping matches.
     ``hint`` is a quicker pattern that every text with a match contains."""
@@ -24,24 +49,17 @@ def matches(text: Column, pattern: str, hint: str | None = None) -> Column:
     both = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
                         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"))
 
-    def add(acc: Column, x: Column) -> Column:
-        # the last gap has no match behind it
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["value"]), F.lit(0))
-        return F.struct(end.alias("at"), F.when(x["value"].isNull(), acc["out"]).otherwise(F.concat(
-            acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))))).alias("out"))
-
-    empty = F.lit(None).cast(kind)
-    none = F.coalesce(empty, F.array().cast(kind))
+    def size(x: Column) -> Column:  # the last gap has no match behind it
+        return F.length(x["gap"]) + F.coalesce(F.length(x["value"]), F.lit(0))
 
-    def chunk(acc: Column, first: Column) -> Column:
-        part = F.aggregate(F.slice(both, first, F.lit(CHUNK)), F.struct(acc["at"].alias("at"), none.alias("out")), add)
-        return F.struct(part["at"].alias("at"), F.concat(acc["out"], part["out"]).alias("out"))
+    def placed(b: Column) -> Column:
+        ends = running(b, F.lit(0), lambda at, x: at + size(x), "bigint")
+        every = bind(ends, lambda e: F.transform(b, lambda x, i: F.struct(
+            (F.get(e, i) - F.length(x["value"])).alias("start"), F.get(e, i).alias("end"), x["value"].alias("value"))))
+        return F.filter(every, lambda m: m["value"].isNotNull())
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
-    found = F.aggregate(F.sequence(F.lit(1), F.size(both), F.lit(CHUNK)), start, chunk)["out"]
     there = text.rlike(pattern) if hint is None else text.rlike(hint) & text.rlike(pattern)
-    return F.when(there, found).otherwise(none)
+    return F.when(there, bind(both, placed)).otherwise(F.array().cast(kind))
 
 
 def spans_of(text: Column, pattern: str, kind: int, fits: Callable[[Column], Column], hint: str | None = None) -> Column:
