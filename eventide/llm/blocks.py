@@ -13,7 +13,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from eventide.session import ensure_checkpoint_dir
 
 #: The folder that holds the package.
 HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -21,6 +23,9 @@ HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 BATCH_ROWS = 500
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
+#: Bytes of the texts of a labelled sample, at most.
+SAMPLE_BYTES = 256 << 20
+
 #: Bytes that separate words (space and the ASCII controls from tab to return).
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: The same as a regular expression of words.
@@ -52,17 +57,29 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
                     learn: Column | None = None, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``(doc_id, text, label)`` of at most ``bound`` labelled ids, the first by
-    a hash of the id. Labels other than 0 and 1 do not count; of repeated
-    labels the smallest holds. The ids are broadcast: ``bound`` limits them."""
+                    text_col: str = "text", max_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """``(doc_id, text, label)``: at most ``bound`` rows and ``max_bytes`` of text, one for
+    each of the first labelled ids by a hash of the id. Labels other than 0 and 1
+    do not count; of repeated labels the smallest holds, of several texts of an id the one
+    of the smallest hash; texts of over a sixteenth of ``max_bytes`` are left out. Ids are
+    whole numbers, others stand as hashes. The ids are broadcast: ``bound`` limits them."""
     picked = (labels.select(col(id_col).alias("doc_id"), col(label).cast("int").alias("label"))
               .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()))
     if learn is not None:
         picked = picked.filter(learn)
     picked = (picked.groupBy("doc_id").agg(F.min("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))
-    return keyed_texts(docs, id_col, text_col).join(F.broadcast(picked), "doc_id")
+    ensure_checkpoint_dir(docs.sparkSession)
+    texts = keyed_texts(docs, id_col, text_col).filter(F.octet_length("text") <= max_bytes // 16)
+    rows = (texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label")
+            .agg(F.min_by("text", F.xxhash64("text")).alias("text")).checkpoint())
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    # one number for each of at most ``bound`` rows
+    kept = (rows.select("doc_id", F.octet_length("text").cast("bigint").alias("size")).withColumn("upto", F.sum("size").over(upto))
+            .filter(F.col("upto") <= max_bytes).select("doc_id"))
+    number = F.col("doc_id").cast("string").try_cast("bigint")
+    return rows.join(F.broadcast(kept), "doc_id").select(
+        F.coalesce(number, F.xxhash64("doc_id")).alias("doc_id"), "text", "label")
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -129,6 +146,20 @@ def head_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width
     return out
 
 
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of whole spans, of any length: each byte times a power of an odd number."""
+    length = end - begin
+    if not len(length):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(length) - length
+    place = np.arange(int(length.sum())) - np.repeat(first, length)
+    power = np.full(int(length.max()), 0x9E3779B97F4A7C15, np.uint64)
+    power = np.cumprod(power, dtype=np.uint64)
+    h = np.add.reduceat((data[np.repeat(begin, length) + place].astype(np.uint64) + np.uint64(1)) * power[place], first)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
 def word_parts(text: bytes, limit: int = 1 << 20) -> Iterator[bytes]:
     """``text`` in parts of about ``limit`` bytes, cut at white space only."""
     at = 0

@@ -10,7 +10,9 @@ block totals and draws the matrix (blocks x shards numbers).
 
 Everything random is a hash of the seed and the row, so a task that runs again
 after a lost executor gives the same rows. Defined results: rows that are equal
-in every column are interchangeable; null keys are rows like any other; an
+in every column are interchangeable; where copies of a row fill a block beyond
+HOT_BLOCK times its share, the rows of that block are spread over all blocks by
+their place in the table, so no task takes them all; null keys are rows like any other; an
 empty table gives an empty result; shards may be empty. The order columns must
 tell apart rows that differ, or they too count as interchangeable.
 """
@@ -31,6 +33,8 @@ BLOCK_ROWS = 1_000_000
 LEAST_BLOCKS = 64
 #: Blocks at most: the driver draws so many rows of the matrix.
 MOST_BLOCKS = 1 << 16
+#: A block is hot with more than so many times the mean rows, and so many more.
+HOT_BLOCK, HOT_ROWS = 4, 1_000
 
 
 def hypergeometric(good: int, bad: int, drawn: int, u: float) -> int:
@@ -73,7 +77,9 @@ def shard_sizes(rows: int, shards: int) -> list[int]:
 
 
 def _draw(seed: int, salt: int, order: list[str]) -> Column:
-    return F.xxhash64(F.lit(seed), F.lit(salt), *[col(c) for c in order])
+    """A hash of the row; of its place too (``_place``, null for most) where the row's block is hot."""
+    drawn = F.xxhash64(F.lit(seed), F.lit(salt), *[col(c) for c in order])
+    return F.when(F.col("_place").isNull(), drawn).otherwise(F.xxhash64(drawn, F.col("_place")))
 
 
 def shuffle(rows: DataFrame, shards: int, order: list[str], seed: int = 6, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -81,12 +87,21 @@ def shuffle(rows: DataFrame, shards: int, order: list[str], seed: int = 6, block
     each shard): a uniform random order cut into shards of exact size. ``order``
     names the columns that tell rows apart."""
     ensure_checkpoint_dir(rows.sparkSession)
-    held = rows.select(F.struct(*[col(c) for c in rows.columns]).alias("d"), *[col(c).alias(f"_{i}") for i, c in enumerate(order)])
+    held = rows.select(F.struct(*[col(c) for c in rows.columns]).alias("d"), *[col(c).alias(f"_{i}") for i, c in enumerate(order)],
+                       F.lit(None).cast("bigint").alias("_place"))
     keys = [f"_{i}" for i in range(len(order))]
     total = rows.count()
     blocks = min(MOST_BLOCKS, max(LEAST_BLOCKS, -(-total // block_rows)))
     block = F.pmod(_draw(seed, 1, keys), F.lit(blocks)).cast("int")
-    found = {r["block"]: r["n"] for r in held.groupBy(block.alias("block")).agg(F.count("*").alias("n")).collect()}
+
+    def counted() -> dict[int, int]:
+        return {r["block"]: r["n"] for r in held.groupBy(block.alias("block")).agg(F.count("*").alias("n")).collect()}
+
+    found = counted()
+    hot = [b for b, n in found.items() if n > HOT_BLOCK * total / blocks + HOT_ROWS]
+    if hot:  # copies of a row: only their places tell them apart, so these are fixed first
+        held = held.withColumn("_place", F.when(block.isin(hot), F.monotonically_increasing_id())).checkpoint()
+        found = counted()
     sizes = [found.get(b, 0) for b in range(blocks)]
     matrix = communication_matrix(sizes, shard_sizes(total, shards), seed)
     # ends[s] of a block: its ranks up to there go to shards up to s
@@ -99,7 +114,7 @@ def shuffle(rows: DataFrame, shards: int, order: list[str], seed: int = 6, block
              .withColumn("rank", F.row_number().over(local).cast("bigint"))
              .join(F.broadcast(ends), "block")  # bounded: blocks x shards numbers
              .withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("rank"))))
-             .select("d", *keys, "shard"))
+             .select("d", *keys, "_place", "shard"))
 
     # exchange, and permute within the shard: a random order, dealt over cells so
     # that no task holds a whole shard; a cell's first slot is the sum of those before

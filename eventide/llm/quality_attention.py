@@ -10,7 +10,8 @@ of any length is scored whole in bounded memory.
 
 Defined results: a null or empty text is a bag of one all-zero passage;
 repeated rows get equal scores; an empty table gives an empty result; without
-labels of both kinds the score is 0.5 everywhere. Only id and text are read.
+labels of both kinds the score is 0.5 everywhere. Only id and text are read. The fit
+takes at most LEARN_ROWS rows and ``blocks.SAMPLE_BYTES`` of text, one row an id.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.llm.blocks import (blocks, head_hashes, keyed_texts, labelled_sample, small_batches, utf8,
+from eventide.llm.blocks import (blocks, keyed_texts, labelled_sample, small_batches, utf8, word_hashes,
                                  word_spans)
 
 PASSAGE_WORDS = 64
@@ -79,7 +80,7 @@ def passages(data: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np
     found = np.bincount(home * PAIR_BUCKETS + pair, minlength=(n + 1) * PAIR_BUCKETS)
     out[:, _CLASSES:_CLASSES + PAIR_BUCKETS] = np.sqrt(found.reshape(n + 1, -1)[:n] / size[:, None])
     words = np.bincount(of_word, minlength=n)
-    h = head_hashes(data, begin, end - begin, (8,))[0]
+    h = word_hashes(data, begin, end)
     same = np.zeros(len(h))
     same[1:] = (h[1:] == h[:-1]) & (of_word[1:] == of_word[:-1])
     order = np.lexsort((h, of_word))

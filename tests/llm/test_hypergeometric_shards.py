@@ -4,6 +4,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from eventide.llm import hypergeometric_shards as H
 from eventide.llm.queries import op6_hypergeometric_shards
 from llm_fixtures import none, odd, sf  # noqa: F401
@@ -71,3 +73,33 @@ def test_odd_rows(spark, odd, none):
     assert H.shuffle(none, 5, ["doc_id", "text"]).count() == 0
     few = H.shuffle(spark.range(3), 24, ["id"]).collect()
     assert len({r["shard"] for r in few}) == 3 and all(r["slot"] == 0 for r in few)
+
+
+def test_copies_of_one_row_are_spread_over_tasks(spark):
+    """A row with 20,000 copies among 4,000 others: sizes and slots stay exact, and no block
+    or cell holds more than its share."""
+    hot = spark.range(24_000, numPartitions=6).selectExpr("if(id < 20000, -1, id) as id", "'x' as v")
+    rows = H.shuffle(hot, 5, ["id"]).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(map(len, by.values())) == sorted(H.shard_sizes(24_000, 5))
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    assert Counter(r["id"] for r in rows) == Counter({-1: 20_000, **{k: 1 for k in range(20_000, 24_000)}})
+    share = [sum(r["id"] == -1 for r in rows if r["shard"] == s) for s in range(5)]
+    assert max(share) - min(share) < 250  # 4,000 +- 26 expected
+    placed = hot.select("id", F.monotonically_increasing_id().alias("_place"))
+    sizes = placed.groupBy(F.pmod(H._draw(6, 1, ["id"]), F.lit(H.LEAST_BLOCKS))).count().agg(F.max("count")).first()[0]
+    assert sizes < 2 * 24_000 / H.LEAST_BLOCKS
+
+
+def test_law_against_counting(spark):
+    """Where three marked rows of 30 go, over many seeds, against the law of drawing without replacement."""
+    from math import comb
+    df, seen = spark.range(30), Counter()
+    runs = 60
+    for seed in range(runs):
+        placed = {r["id"]: r["shard"] for r in H.shuffle(df, 3, ["id"], seed).collect()}
+        seen[sum(placed[k] == 0 for k in range(3))] += 1
+    want = [comb(3, k) * comb(27, 10 - k) / comb(30, 10) for k in range(4)]
+    assert sum((seen[k] - runs * want[k]) ** 2 / (runs * want[k]) for k in range(4)) < 16.3  # 0.1 % of chi-squared, 3 d. f.

@@ -1,9 +1,13 @@
 """Quality by attention and toxicity by noisy-or."""
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 
 from eventide.llm import quality_attention as A, toxicity_mil as T
-from eventide.llm.blocks import blocks, pieces, utf8
+from eventide.llm.blocks import blocks, labelled_sample, pieces, utf8, word_hashes
 from eventide.llm.queries import op1_quality_attention, op10_toxicity_mil
 from llm_fixtures import documents, labels, none, odd  # noqa: F401
 
@@ -125,3 +129,109 @@ def test_odd_rows(spark, odd, none, documents, labels, module, label):
 def test_null_texts_are_empty():
     import pyarrow as pa
     assert utf8(pa.array(["a", None, "é"])) == [b"a", b"", "é".encode()]
+
+
+# --- the same scores in plain Python, a word and a byte at a time ------------------------
+
+M64 = (1 << 64) - 1
+
+
+def slow_heads(word, widths):
+    h, out = 0x9E3779B97F4A7C15, {}
+    for j in range(max(widths)):
+        h = ((h ^ (word[j] + 1 if j < len(word) else 0)) * 0x100000001B3) & M64
+        h ^= h >> 29
+        if j + 1 in widths:
+            out[j + 1] = h
+    return out
+
+
+def slow_toxicity(text, w):
+    data, sentences, at = text + b"\n", {}, 0
+    for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", data):
+        word = bytes(b + 32 if 65 <= b <= 90 else b for b in m[0])
+        heads = slow_heads(word, (*T.HEADS, 16))
+        z = w[((heads[16] ^ len(word) << 40) >> 20) % (T.BUCKETS - 1) + 1]
+        for k in T.HEADS:
+            if len(word) > k:
+                z += w[((((heads[k] ^ k * 0x9E3779B1) * 0xD6E8FEB86659FD93) & M64) >> 20) % (T.BUCKETS - 1) + 1]
+        number = sum(b in b".!?\n" for b in data[at:m.start()]) + max(sentences, default=0) if sentences else 0
+        at = m.start()
+        sentences[number] = sentences.get(number, 0.0) + float(z)
+    good = 1.0
+    for z in sentences.values():
+        good *= math.exp(-float(np.logaddexp(0, z + float(w[-1]))))
+    return 1 - good, len(sentences)
+
+
+def slow_quality(text, p):
+    words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
+    bags = []
+    for k in range(0, len(words), A.PASSAGE_WORDS):
+        own = words[k:k + A.PASSAGE_WORDS]
+        body = text[own[0][0]:own[-1][1]]
+        x = np.zeros(A.WIDTH)
+        for b in body:
+            x[A.CLASS[b]] += 1 / len(body)
+        pairs = Counter(((a * 31 + b) * 40503 >> 5) & (A.PAIR_BUCKETS - 1) for a, b in zip(body, body[1:]))
+        for q, n in pairs.items():
+            x[16 + q] = math.sqrt(n / len(body))
+        each = [text[a:b] for a, b in own]
+        x[-4] = sum(a == b for a, b in zip(each, each[1:])) / len(each)
+        x[-3] = len(set(each)) / len(each)
+        x[-2] = sum(map(len, each)) / len(each) / 10
+        x[-1] = math.log1p(len(each)) / 5
+        bags.append(x)
+    top, below = 0, 0
+    for x in bags or [np.zeros(A.WIDTH)]:
+        h = np.tanh(((x - p["mean"]) * p["scale"]) @ p["W"] + p["b"])
+        e = math.exp(min(30, max(-30, float((np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["a"]))))
+        top, below = top + e * h, below + e
+    return 1 / (1 + math.exp(-float((top / below) @ p["c"] + p["d"][0]))), len(bags)
+
+
+ODD_TEXTS = ["", " \n", "one", "a" * 40 + " " + "a" * 39 + "b " + "a" * 40, "x y x y x x. Z! é中 ok?\n\nno", "word " * 200]
+
+
+@pytest.mark.parametrize("module,slow,label", [(A, slow_quality, "quality"), (T, slow_toxicity, "toxic")])
+def test_scores_against_plain_python(spark, module, slow, label):
+    """Every document of the table, and texts with words that share their beginnings."""
+    small = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    model = module.fit(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    odd_ = spark.createDataFrame([(-k - 1, t) for k, t in enumerate(ODD_TEXTS)], "doc_id bigint, text string")
+    texts = {r["doc_id"]: r["text"].encode() for r in docs.union(odd_).collect()}
+    rows = module.score(docs.union(odd_), model).collect()
+    assert len(rows) == len(texts) > 1000
+    for r in rows:
+        score, parts = slow(texts[r["doc_id"]], model.p if module is A else model)
+        assert r["score"] == pytest.approx(score, abs=2e-4) and r[2] == parts, r["doc_id"]
+
+
+def test_sample_has_one_row_an_id_and_its_bounds(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(k, "y" * 100) for k in range(2, 60)] + [(99, "z" * 5000), (1, None)],
+                                 "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 120)], "doc_id bigint, quality int")
+    rows = labelled_sample(docs, labels, "quality", 1000).collect()
+    assert sorted(r["doc_id"] for r in rows) == [*range(1, 60), 99]
+    again = labelled_sample(docs.repartition(2), labels, "quality", 1000).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+    few = labelled_sample(docs, labels, "quality", 1000, max_bytes=3200).collect()
+    assert 25 <= len(few) <= 33 and sum(len(r["text"]) for r in few) <= 3200 and 99 not in {r["doc_id"] for r in few}
+    assert len(labelled_sample(docs, labels, "quality", 7).collect()) <= 7
+
+
+def test_ids_that_are_no_numbers(spark, documents, labels):
+    from pyspark.sql import functions as F
+    name = F.concat(F.lit("doc-"), F.col("doc_id"))
+    for module in (A, T):
+        model = module.fit(documents.withColumn("doc_id", name), labels.withColumn("doc_id", name))
+        assert module.score(documents.withColumn("doc_id", name), model).count() == documents.count()
+
+
+def test_hashes_of_whole_words():
+    words = [b"a" * 40, b"a" * 39 + b"b", b"a" * 41, b"b", b"ab", b"ba", b"\x00", b"\x00\x00"]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    h = word_hashes(data, end - [len(w) for w in words], end)
+    assert len(set(h.tolist())) == len(words)
