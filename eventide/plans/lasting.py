@@ -93,7 +93,8 @@ def distance_p95_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = quantiles.sketch(scored, "distance", ["day"])
     # a day's sketch counts towards that day and all later ones; days and buckets are few
     days = daily.select(F.collect_set("day").alias("days")).scalar()
-    upto = daily.select(F.explode(F.filter(days, lambda d: d >= F.col("day"))).alias("as_of"), "sign", "bucket", "n")
+    listed = daily.withColumn("days", days)  # a subquery may not stand inside the filter below
+    upto = listed.select(F.explode(F.filter("days", lambda d: d >= F.col("day"))).alias("as_of"), "sign", "bucket", "n")
     return quantiles.quantile(upto, DISTANCE_QUANTILE, ["as_of"]).select(
         F.col("as_of").alias("day"), F.col("n").alias("n_rows"), F.round("value", 6).alias("threshold"))
 
