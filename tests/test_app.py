@@ -49,6 +49,18 @@ def test_cli_train_then_stream(spark, tmp_dir):
     table = spark.read.parquet(f"{tmp_dir}/tables/anomalous_events")
     assert table.count() == table.select(*key).distinct().count() > 0
 
+    # folded bases hold the same tables, the compacted archive the same rows
+    app.main(["fold", "--sinks", f"{tmp_dir}/sinks"])
+    app.main(["views", "--sinks", f"{tmp_dir}/sinks", "--out", f"{tmp_dir}/folded"])
+    for name in ("user_activity_summary", "anomalous_events"):
+        again = spark.read.parquet(f"{tmp_dir}/folded/{name}")
+        old = spark.read.parquet(f"{tmp_dir}/tables/{name}")
+        assert again.exceptAll(old.select(*again.columns)).count() == 0 and again.count() == old.count()
+    from eventide.operators.archive_compaction import Archive
+    app.main(["compact", "--sinks", f"{tmp_dir}/sinks"])
+    archive = Archive(spark, f"{tmp_dir}/sinks/archive")
+    assert archive.read().count() == spark.read.parquet(f"{tmp_dir}/sinks/archive").count()
+
     app.main(["alerts", "--source", f"{tmp_dir}/sinks/alerts_1min_action", "--sinks",
               f"{tmp_dir}/alert_job", "--available-now"])
     archived = spark.read.text(f"{tmp_dir}/alert_job/alert_archive").count()
