@@ -18,8 +18,13 @@ from eventide.operators.changelog import batch_path, complete_batches
 from eventide.streaming.sinks import SinkPaths, write_batch_json, write_batch_parquet
 
 
-#: What makes an alert the same one, wherever its payload was read.
-ALERT_KEY = ["batch_id", "window_start", "window_end", "user_id", "detector_type"]
+#: What makes an alert the same one, wherever its payload was read; one that carries no
+#: batch id is known by its whole payload.
+ALERT_KEY = ["batch_id", "window_start", "window_end", "user_id", "detector_type", "unbatched"]
+
+
+def keyed(alerts: DataFrame) -> DataFrame:
+    return alerts.withColumn("unbatched", F.when(F.col("batch_id").isNull(), F.sha2("payload", 256)))
 
 
 def unnotified(alerts: DataFrame, told: DataFrame | None) -> DataFrame:
@@ -48,7 +53,7 @@ class AlertJob:
             write_batch_json(parsed.select(F.col("payload").alias("value")),
                              self.sinks.path("alert_archive"), batch_id)
             # the same alert in an earlier batch of this job (a replayed upstream batch) is told once
-            fresh = unnotified(valid, self.ledger(batch_id)).persist()
+            fresh = unnotified(keyed(valid), self.ledger(batch_id)).persist()
             notes = notifications(fresh, self.severities)
             write_batch_json(notes.select(F.to_json(F.struct("user_id", "severity", "message"))
                                           .alias("value")),

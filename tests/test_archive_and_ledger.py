@@ -104,3 +104,12 @@ def test_a_replay_of_the_alert_job_itself_writes_the_same_notes(spark, tmp_dir):
     job.handle(first, 0)
     assert notified(spark, out) == {1: 1, 2: 1, 3: 1}
     assert sorted(changelog.complete_batches(spark, out.path("alert_ledger"))) == [0, 1]
+
+
+def test_alerts_without_a_batch_id_are_known_by_their_payload(spark, tmp_dir):
+    out = SinkPaths(f"{tmp_dir}/alerts")
+    job = AlertJob(spark, out)
+    plain = [alert(0, 1, n).replace(',"batch_id":0', "") for n in (9, 10, 9)]
+    job.handle(spark.createDataFrame([(x,) for x in plain], "value string"), 0)
+    job.handle(spark.createDataFrame([(plain[0],), (alert(0, 1, 11).replace(',"batch_id":0', ""),)], "value string"), 1)
+    assert notified(spark, out) == {1: 3}
