@@ -24,6 +24,8 @@ from eventide.operators.changelog import append_batch, batch_path, complete_batc
 from eventide.operators.manifest import ManifestLog, ranges, within
 from eventide.schemas import RAW_KEY
 
+#: Copies of a row that are written out at a time.
+COPIES = 10_000
 #: Bits of a bitmap, as ``bitmap_construct_agg`` has them.
 BITMAP_BITS = 32_768
 
@@ -109,10 +111,11 @@ class KeyIndex:
                 .withColumn("_kept", F.when(F.col("_known").isNull() | ~F.col("_known"),
                                             (rest.eqNullSafe(F.col("_first"))).cast("long")).otherwise(F.lit(0).cast("long"))))
         both = held.select(*columns, "_n", "_kept").unionByName(free.select(*columns, "_n", "_kept"))
-        # each counted row comes back as often as it was there
-        copies = F.concat(F.array_repeat(F.lit(False), F.col("_kept").cast("int")),
-                          F.array_repeat(F.lit(True), (F.col("_n") - F.col("_kept")).cast("int")))
-        return both.select(*columns, F.explode(copies).alias(flag))
+        # each counted row comes back as often as it was there, a bounded piece at a time
+        pieces = both.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES).cast("long"))))
+        last = F.least(F.col("_from") + COPIES, F.col("_n")) - 1
+        numbered = pieces.withColumn("_copy", F.explode(F.sequence("_from", last)))
+        return numbered.select(*columns, (F.col("_copy") >= F.col("_kept")).alias(flag))
 
     def add(self, accepted: DataFrame, batch_id: int) -> None:
         """Record the keys of a batch's accepted rows; a replay replaces them."""

@@ -77,8 +77,9 @@ def test_filter_lets_few_keys_through_and_loses_none(spark, tmp_dir):
     assert index.known(spark.range(8000), 1).count() == 4000
 
 
-def test_copies_of_one_row_are_counted_before_they_are_joined(spark, tmp_dir):
+def test_copies_of_one_row_are_counted_before_they_are_joined(spark, tmp_dir, monkeypatch):
     index = KeyIndex(spark, f"{tmp_dir}/i", ["id"])
+    monkeypatch.setattr("eventide.operators.key_index.COPIES", 700)
     rows = spark.range(3000).select(F.lit(1).cast("long").alias("id"), F.lit("x").alias("v"))
     assert Counter(r.key_clash for r in index.mark(rows, 0).collect()) == {False: 1, True: 2999}
     nulls = spark.range(50).select(F.lit(None).cast("long").alias("id"), F.lit("x").alias("v"))
