@@ -35,12 +35,12 @@ from eventide.llm.blocks import keyed_texts, small_batches, utf8
 #: Rank of a pair that no merge joins.
 NONE = np.int32(2**31 - 1)
 #: A block ends at so many new distinct words or characters of text.
-BLOCK_WORDS = 200_000
-BLOCK_CHARS = 16_000_000
+BLOCK_WORDS = 100_000
+BLOCK_CHARS = 8_000_000
 #: Words whose merges are replayed together, at most.
-REPLAY_WORDS = 400_000
+REPLAY_WORDS = 150_000
 #: Distinct words a task remembers between blocks.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 #: Texts are matched in parts of about this many characters.
 PART_CHARS = 1_000_000
 
