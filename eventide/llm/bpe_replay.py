@@ -322,3 +322,22 @@ def decode(encoded: DataFrame, rank_file: bytes) -> DataFrame:
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, f"{fields}, decoded binary")
+
+
+def recode(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``decode(encode(...))`` gives, by one Python worker a task instead of two: the texts are
+    encoded, and the bytes decoded from the ids as they are returned."""
+    small_batches(docs.sparkSession)
+    texts = keyed_texts(docs, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = _vocabulary(rank_file)
+        encoder = Encoder(vocab, pattern)
+        for keys, ids in encoder.run((b["doc_id"], b["text"].to_pylist()) for b in batches):
+            raw = [x.astype("<u4").tobytes() for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [keys, pa.array([len(x) for x in ids], pa.int64()), pa.array(raw, pa.binary()),
+                 pa.array([vocab.decode(np.frombuffer(x, "<u4").astype(np.int64)) for x in raw], pa.binary())],
+                names=["doc_id", "n_tokens", "ids", "decoded"])
+
+    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary, decoded binary")

@@ -60,7 +60,7 @@ def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = bpe_replay.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = read_table(spark, sf_dir, "documents")
-    coded = bpe_replay.decode(bpe_replay.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe_replay.recode(docs, ranks, public_tokenizers.PATTERN)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

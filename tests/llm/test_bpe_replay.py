@@ -72,3 +72,10 @@ def test_odd_rows(spark, odd, none):
 
 def test_near_pattern_spells_out_properties():
     assert "\\p" not in B.near_pattern(P.PATTERN) and "\\S" not in B.near_pattern(P.PATTERN)
+
+
+def test_recode_is_encode_and_decode(spark, odd, none):
+    both = B.decode(B.encode(odd, RANKS, P.PATTERN), RANKS)
+    one = B.recode(odd, RANKS, P.PATTERN)
+    assert one.columns == both.columns and one.exceptAll(both).count() == both.exceptAll(one).count() == 0
+    assert one.count() == odd.count() and B.recode(none, RANKS, P.PATTERN).count() == 0
