@@ -40,6 +40,8 @@ BITS = 64
 SUB_BITS = 11
 #: Numbers of parts that are weighed against each other.
 PART_COUNTS = (2, 3, 4)
+#: Tasks over which the rows of one group of copies are dealt.
+SALTS = 16
 #: Cost of a probe row against that of a candidate that is verified.
 PROBE_COST = 1.0
 CANDIDATE_COST = 0.2
@@ -316,8 +318,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str =
     rows = fps.groupBy("doc_id", "h", "fp").agg(F.count(F.lit(1)).alias("n"))
     placed = rows.join(grouped(fps, distance).select("fp", "grp"), "fp").checkpoint()
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    best = placed.groupBy("grp").agg(F.min(order).alias("best"))
-    judged = placed.join(best, "grp").select("doc_id", "h", "n", order.eqNullSafe(F.col("best")).alias("first"))
+    # only groups of several rows have one to choose; each is dealt over SALTS tasks
+    best = placed.groupBy("grp").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    dealt = best.select("grp", "best", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"))
+    judged = placed.withColumn("salt", F.pmod(F.xxhash64("doc_id", "h"), F.lit(SALTS))).join(dealt, ["grp", "salt"], "left").select(
+        "doc_id", "h", "n", (F.col("best").isNull() | order.eqNullSafe(F.col("best"))).alias("first"))
     # what goes, and what stands there more than once, as a table: the join with the
     # documents is planned on its real size, and moves no text where that is small
     path = shared_dir(spark, "near_duplicates")
