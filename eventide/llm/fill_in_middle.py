@@ -13,8 +13,8 @@ within the same partitions streams them into the digest of the restored text.
 No task holds more than one piece of a text beside Spark's sort buffers, which
 spill.
 
-A plain text is its own output: its digests are taken where it is cut, and only
-its numbers travel.
+A plain text is its own output and takes the same way: its pieces are exchanged,
+sorted, digested and restored like any other's.
 
 Rows: a null text is empty, an empty text plain; a null id draws from the hash
 of ``42:`` alone. Repeated rows are documents of their own: rows are told apart
@@ -98,33 +98,31 @@ def _form(text: bytes, h3: int, h4: int, rate: int, spm: int) -> str:
     return "spm" if h4 % 100 < spm else "psm"
 
 
-def pieces(docs: DataFrame, rate: int = 50, spm: int = 80, seed: int = 42, id_col: str = "doc_id", text_col: str = "text",
-           plain_text: bool = True) -> DataFrame:
-    """``(row, doc_id, n, form, prefix_chars, middle_chars, pos, chunk, digest)``: each
+def pieces(docs: DataFrame, rate: int = 50, spm: int = 80, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(row, doc_id, n, form, prefix_chars, middle_chars, pos, chunk)``: each
     document's output as pieces in no order. The facts stand on the piece of position 0.
 
     ``rate``: percent of texts that are transformed; ``spm``: percent of those in
-    suffix-first form. Without ``plain_text`` a plain document is one row with
-    the digest of its text in place of the text."""
+    suffix-first form."""
     small_batches(docs.sparkSession)
     # the draws come from the id as text, whatever columns the table has beside it
     name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     digits = F.sha2(F.encode(name, "UTF-8"), 256)
     draws = [F.conv(F.substring(digits, 8 * k + 1, 8), 16, 10).cast("long").alias(f"h{k + 1}") for k in range(4)]
     rows = keyed_texts(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", *draws, "text")
-    schema = f"row long, doc_id {_id_type(rows).simpleString()}, {_FACTS}, pos long, chunk binary, digest string"
+    schema = f"row long, doc_id {_id_type(rows).simpleString()}, {_FACTS}, pos long, chunk binary"
 
     def cut(batches):
         for batch in batches:
-            yield from _cut_batch(batch, rate, spm, plain_text)
+            yield from _cut_batch(batch, rate, spm)
 
     return rows.mapInArrow(cut, schema)
 
 
-def _cut_batch(batch: pa.RecordBatch, rate: int, spm: int, plain_text: bool) -> Iterator[pa.RecordBatch]:
+def _cut_batch(batch: pa.RecordBatch, rate: int, spm: int) -> Iterator[pa.RecordBatch]:
     texts = utf8(batch["text"])
     draws = [batch[f"h{k}"].to_pylist() for k in (1, 2, 3, 4)]
-    origin, facts, pos, chunk, digest, size = [], [], [], [], [], 0
+    origin, facts, pos, chunk, size = [], [], [], [], 0
 
     def flush():
         at = pa.array(origin, pa.int64())
@@ -132,8 +130,8 @@ def _cut_batch(batch: pa.RecordBatch, rate: int, spm: int, plain_text: bool) ->
         return pa.RecordBatch.from_arrays(
             [batch["row"].take(at), batch["doc_id"].take(at), pa.array(ns, pa.int64()), pa.array(forms, pa.string()),
              pa.array(prefixes, pa.int64()), pa.array(middles, pa.int64()), pa.array(pos, pa.int64()),
-             pa.array(chunk, pa.binary()), pa.array(digest, pa.string())],
-            ["row", "doc_id", "n", "form", "prefix_chars", "middle_chars", "pos", "chunk", "digest"])
+             pa.array(chunk, pa.binary())],
+            ["row", "doc_id", "n", "form", "prefix_chars", "middle_chars", "pos", "chunk"])
 
     for k, (text, h1, h2, h3, h4) in enumerate(zip(texts, *draws)):
         offsets = _offsets(text)
@@ -141,23 +139,22 @@ def _cut_batch(batch: pa.RecordBatch, rate: int, spm: int, plain_text: bool) ->
         form = _form(text, h3, h4, rate, spm)
         if form == "plain":
             fact = (n, form, None, None)
-            out = _chunks(text, offsets, 0, n) if plain_text else iter(())
-            known = None if plain_text else hashlib.sha256(text).hexdigest()
+            out = _chunks(text, offsets, 0, n)
         else:
             a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
             fact = (n, form, _chars(text[:offsets[a]]), _chars(text[offsets[a]:offsets[b]]))
-            parts, known = {PREFIX: (0, a), MIDDLE: (a, b), SUFFIX: (b, n)}, None
+            parts = {PREFIX: (0, a), MIDDLE: (a, b), SUFFIX: (b, n)}
             out = (c for s in ORDERS[form] for c in (s, *_chunks(text, offsets, *parts[s])))
         number = 0
         for c in out:
-            origin.append(k), pos.append(number), chunk.append(c), digest.append(None)
+            origin.append(k), pos.append(number), chunk.append(c)
             facts.append(fact if number == 0 else (None,) * 4)
             number, size = number + 1, size + len(c)
             if size > 1 << 23:
                 yield flush()
-                origin, facts, pos, chunk, digest, size = [], [], [], [], [], 0
+                origin, facts, pos, chunk, size = [], [], [], [], 0
         if number == 0:
-            origin.append(k), pos.append(0), chunk.append(b""), digest.append(known), facts.append(fact)
+            origin.append(k), pos.append(0), chunk.append(b""), facts.append(fact)
     if origin:
         yield flush()
 
@@ -196,7 +193,7 @@ class _Splitter:
 
 
 def outputs(ordered: DataFrame) -> DataFrame:
-    """``(row, doc_id, facts, output_sha256, pos, chunk, digest)`` from pieces in order: a row at
+    """``(row, doc_id, facts, output_sha256, pos, chunk)`` from pieces in order: a row at
     position -1 with each document's facts and digest, and the pieces of its restored text."""
     id_type = _id_type(ordered).simpleString()
 
@@ -204,12 +201,12 @@ def outputs(ordered: DataFrame) -> DataFrame:
         row, fact, sha, splitter = None, None, None, None
         out = _Rows()
         for batch in batches:
-            heads = [batch[c].to_pylist() for c in ("row", "doc_id", "n", "form", "prefix_chars", "middle_chars", "digest")]
-            for r, doc_id, n, form, prefix, middle, known, chunk in zip(*heads, batch["chunk"].to_pylist()):
+            heads = [batch[c].to_pylist() for c in ("row", "doc_id", "n", "form", "prefix_chars", "middle_chars")]
+            for r, doc_id, n, form, prefix, middle, chunk in zip(*heads, batch["chunk"].to_pylist()):
                 if r != row:
                     if row is not None:
                         out.close(row, fact, sha, splitter)
-                    row, fact, sha, splitter = r, (doc_id, n, form, prefix, middle, known), hashlib.sha256(), _Splitter(form)
+                    row, fact, sha, splitter = r, (doc_id, n, form, prefix, middle), hashlib.sha256(), _Splitter(form)
                 sha.update(chunk)
                 for place in splitter.feed(chunk):
                     out.piece(row, *place)
@@ -220,30 +217,29 @@ def outputs(ordered: DataFrame) -> DataFrame:
             yield out.batch(batch.schema.field("doc_id").type)
 
     return ordered.mapInArrow(stream, f"row long, doc_id {id_type}, {_FACTS}, output_sha256 string, pos long, "
-                                      "chunk binary, digest string")
+                                      "chunk binary")
 
 
 class _Rows:
     """Rows of ``outputs`` gathered for an Arrow batch."""
 
-    NAMES = ("row", "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "pos", "chunk", "digest")
+    NAMES = ("row", "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "pos", "chunk")
 
     def __init__(self):
         self.rows, self.size = [], 0
 
     def piece(self, row, pos, chunk):
-        self.rows.append((row, None, None, None, None, None, None, pos, chunk, None))
+        self.rows.append((row, None, None, None, None, None, None, pos, chunk))
         self.size += len(chunk) + 100
 
     def close(self, row, fact, sha, splitter):
         for place in splitter.end():
             self.piece(row, *place)
-        doc_id, n, form, prefix, middle, known = fact
-        self.rows.append((row, doc_id, n, form, prefix, middle, known or sha.hexdigest(), -1, None, known))
+        self.rows.append((row, *fact, sha.hexdigest(), -1, None))
         self.size += 200
 
     def batch(self, id_type: pa.DataType) -> pa.RecordBatch:
-        types = (pa.int64(), id_type, pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string())
+        types = (pa.int64(), id_type, pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary())
         columns = list(zip(*self.rows)) or [()] * len(types)
         self.rows, self.size = [], 0
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], list(self.NAMES))
@@ -252,27 +248,27 @@ class _Rows:
 def digests(docs: DataFrame, **options) -> DataFrame:
     """``(doc_id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256)`` of every
     document, the last of the text rebuilt from the output and its form."""
-    told = outputs(in_order(pieces(docs, plain_text=False, **options)))
+    told = outputs(in_order(pieces(docs, **options)))
     id_type = _id_type(told).simpleString()
 
     def stream(batches):
         row, fact, sha, done, at = None, None, None, [], None
         for batch in batches:
             at = batch.schema.field("doc_id").type
-            names = ("row", "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "digest", "chunk")
-            for r, *head, known, chunk in zip(*[batch[c].to_pylist() for c in names]):
+            names = ("row", "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "chunk")
+            for r, *head, chunk in zip(*[batch[c].to_pylist() for c in names]):
                 if r != row:
                     if row is not None:
-                        done.append((*fact, sha.hexdigest() if sha else fact[-1]))
-                    # position -1 comes first; a plain text brings the digest of what it is
-                    row, fact, sha = r, tuple(head), None if known else hashlib.sha256()
+                        done.append((*fact, sha.hexdigest()))
+                    # position -1 comes first
+                    row, fact, sha = r, tuple(head), hashlib.sha256()
                 else:
                     sha.update(chunk)
             if len(done) >= 1000:
                 yield _digest_batch(done, at)
                 done = []
         if row is not None:
-            done.append((*fact, sha.hexdigest() if sha else fact[-1]))
+            done.append((*fact, sha.hexdigest()))
             yield _digest_batch(done, at)
 
     # the same partitions hold the same documents: this sort needs no exchange

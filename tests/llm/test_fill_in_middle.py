@@ -3,6 +3,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventide.llm import fill_in_middle as fim
 from llm_fixtures import documents, none, odd, odd_rows, real_texts  # noqa: F401
@@ -79,3 +80,13 @@ def test_sentinels_across_pieces(size):
 def test_one_exchange(documents):
     plan = fim.digests(documents)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("MapInArrow") == 3
+
+
+def test_plain_texts_are_sorted_and_restored_too(spark, monkeypatch):
+    """Both digests of a plain text come from its pieces behind the exchange."""
+    docs = spark.createDataFrame([(1, "a b c"), (2, "")], "doc_id int, text string")
+    before = fim.in_order
+    marked = F.concat("chunk", F.encode(F.lit("!"), "UTF-8"))
+    monkeypatch.setattr(fim, "in_order", lambda found: before(found.withColumn("chunk", marked)))
+    got = {r.doc_id: (r.form, r.output_sha256, r.restored_sha256) for r in fim.digests(docs, rate=0).collect()}
+    assert got == {1: ("plain", sha("a b c!"), sha("a b c!")), 2: ("plain", sha("!"), sha("!"))}
