@@ -38,6 +38,8 @@ from eventide.session import ensure_checkpoint_dir
 SCALE, SHIFT, LIMIT = 64, 1_000_000, 1 << 53
 #: Vectors of a packed block.
 BLOCK_ROWS = 4096
+#: Bytes of packed integers that a task of a pass reads at least, where the cores allow it.
+PASS_BYTES = 32 << 20
 #: Residuals count as double precision below this part of the largest eigenvalue.
 TOLERANCE = 2.0 ** -43
 #: MINRES steps of a round at most, and the drop of the residual that ends them.
@@ -223,6 +225,13 @@ def moments(packed: DataFrame, dim: int) -> Moments:
     return Moments(total.pop(dim, 0), tuple(total[k] for k in range(dim)) if total else ())
 
 
+def merged(packed: DataFrame, about: Moments) -> DataFrame:
+    """The blocks in as many partitions as their size asks for, or one for each core: the
+    passes are many, and each pays for its tasks."""
+    needed = -(-about.n * about.dim * 8 // PASS_BYTES)
+    return packed.coalesce(max(needed, packed.sparkSession.sparkContext.defaultParallelism))
+
+
 def _total(packed: DataFrame, about: Moments, of_block: Callable[[np.ndarray], np.ndarray], length: int) -> np.ndarray:
     """The sum over all blocks of a vector of numbers taken from the centred block."""
     dim = about.dim
@@ -271,6 +280,7 @@ def fit(x: DataFrame, components: int = 16, seed: int = 0) -> Whitening | None:
     dim = sizes[0]["dim"]
     packed = pack(x.filter(F.size("x") == dim), dim)
     about = moments(packed, dim)
+    packed = merged(packed, about)
     trace = float(_total(packed, about, lambda c: np.array([np.sum(c * c)]), 1)[0]) / about.n
     wanted = min(components, dim, about.n - 1)
     if not wanted or not trace:

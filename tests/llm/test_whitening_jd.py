@@ -143,3 +143,19 @@ def test_far_values(spark):
     want = {k: sum((n * a - s) ** 2 for a, s in zip(x_of(v), sums)) for k, v in enumerate(wide)}
     got = {r.vec_id: r.deviation for r in W.whiten(frame(spark, wide)).collect()}
     assert got == {k: v if v < 1 << 63 else None for k, v in want.items()}
+
+
+def test_passes_run_few_tasks_over_small_blocks(spark, monkeypatch):
+    """However many partitions the distinct vectors came in, the passes read them in few."""
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((400, 8)).astype(np.float32).tolist()
+    cores, seen, total = spark.sparkContext.defaultParallelism, [], W._total
+    pack = W.pack
+    monkeypatch.setattr(W, "pack", lambda x, dim: pack(x.repartition(cores + 40), dim).repartition(cores + 40))
+    monkeypatch.setattr(W, "_total", lambda packed, *a: (seen.append(packed.rdd.getNumPartitions()), total(packed, *a))[1])
+    compare(vectors, W.whiten(frame(spark, vectors), components=4).collect(), components=4)
+    assert len(seen) > 5 and max(seen) <= cores
+    monkeypatch.setattr(W, "PASS_BYTES", 400 * 8 * 8 // (cores + 20))
+    seen.clear()
+    compare(vectors, W.whiten(frame(spark, vectors), components=4).collect(), components=4)
+    assert min(seen) == max(seen) >= cores + 20
