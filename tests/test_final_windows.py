@@ -7,9 +7,11 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from eventide.config import EngineConfig
 from eventide.operators import moments as M, windows
 from eventide.plans import streamed
-from eventide.streaming.sinks import moments_so_far
+from eventide.streaming.application import EventStreamApp
+from eventide.streaming.sinks import SinkPaths, moments_so_far
 
 from conftest import SF_SMALL
 
@@ -55,6 +57,32 @@ def test_panes_equal_sliding_counts_with_a_tenth_of_the_state(spark, feed):
     assert slow_state[0] > 10 * fast_state[0] and max(slow_state) > 8 * max(fast_state)
 
 
+@pytest.mark.parametrize("duration,slide", [("1 minute", "5 seconds"), ("2 minutes", "5 seconds"), ("90 seconds", "30 seconds")])
+def test_blocks_emit_the_changed_windows_of_update_mode(spark, tmp_path, duration, slide):
+    """The same rows batch by batch as one state row a window, nulls and late events included."""
+    r, base = random.Random(3), dt.datetime(2025, 1, 1)
+    times = sorted(base + dt.timedelta(microseconds=r.randrange(900_000_000)) for _ in range(600))
+    for k in range(3):
+        part = [(r.randrange(15), t) for t in times[k * 200:(k + 1) * 200]]
+        part += [(7, base), (None, times[-1]), (3, None)] if k == 2 else []
+        spark.createDataFrame(part, "user_id int, event_time timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/{k}")
+    src = (spark.readStream.schema("user_id int, event_time timestamp").option("recursiveFileLookup", "true")
+           .option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"))
+    app, found, state = EventStreamApp(spark, SinkPaths(str(tmp_path)), EngineConfig(window_short=slide, window_slide=slide)), {}, {}
+    app.counted_input = lambda raw: raw
+    for name, counts in (("each", windows.window_counts(src, duration, slide, watermark="1 minute")),
+                         ("blocks", app._windows(src, duration, "1 minute"))):
+        out = []
+        q = (counts.writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/{name}")
+             .foreachBatch(lambda b, i, out=out: out.extend((i, *x.window, x.user_id or -1, x.event_count) for x in b.collect()))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.exception() is None
+        found[name], state[name] = sorted(out), max(sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in q.recentProgress)
+    assert found["each"] == found["blocks"] and len(found["each"]) > 300
+    assert state["each"] > state["blocks"] * (5 if slide == "5 seconds" else 1)
+
+
 def test_history_does_not_depend_on_the_number_of_micro_batches(spark):
     one, seven = (sorted(map(tuple, streamed.stream_anomalies_history(spark, SF_SMALL, k).collect())) for k in (1, 7))
     assert one == seven and one
