@@ -72,9 +72,12 @@ def route_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     device = F.when(F.col("action") != "signup", F.concat(F.lit("d"), F.col("user_id") % 7))
     events = events_from_tables(spark, sf_dir, CFG, with_geo=False).withColumn("device_id", device)
     index = KeyIndex(spark, shared_dir(spark, "keys"))
-    parts = []
+    parts, landed = [], shared_dir(spark, "deliveries")
     for batch_id, (first, last) in enumerate(DELIVERIES):
-        rows = events.filter(F.dayofmonth("event_time").between(first, last)).select(*UNIQUE_COLS)
+        # a delivery is decoded once; the index reads it many times
+        (events.filter(F.dayofmonth("event_time").between(first, last)).select(*UNIQUE_COLS)
+         .write.parquet(f"{landed}/delivery={batch_id}"))
+        rows = spark.read.parquet(f"{landed}/delivery={batch_id}")
         marked = index.mark(rows, batch_id)
         index.add(marked.filter("not key_clash"), batch_id)
         if batch_id == 1:

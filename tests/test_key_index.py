@@ -6,12 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.operators.key_index import KeyIndex
+from eventide.plans import lasting
 from eventide.plans.batch import CFG
 from eventide.schemas import JSON_OPTIONS
 from eventide.sources.stream import file_source
 from eventide.streaming.application import EventStreamApp
 from eventide.streaming.sinks import SinkPaths
 
+from conftest import SF_SMALL
+
 SCHEMA = "user_id int, action string, device_id string, product_id int"
 KEY = ["user_id", "action", "device_id"]
 
@@ -101,3 +104,9 @@ def test_route_sends_clashes_to_the_dead_letter(spark, tmp_dir):
     dead = spark.read.text(sinks.dlq).select(F.from_json("value", "row struct<user_id int>, reason string", JSON_OPTIONS).alias("d"))
     assert Counter((r.d.row.user_id, r.d.reason) for r in dead.collect()) == {
         (1, "sink_key_clash"): 1, (2, "sink_key_clash"): 1, (0, "invalid_user_id"): 1}
+
+
+def test_route_unique_decodes_a_delivery_once(spark):
+    """The index works on the deliveries as they landed, not on the events each time."""
+    found = lasting.route_unique(spark, SF_SMALL)
+    assert found.inputFiles() and not any("events.parquet" in f for f in found.inputFiles())
