@@ -4,8 +4,11 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from eventide.functions.decode import MALFORMED, parse_events
 from eventide.plans import streamed
+from eventide.schemas import REQUIRED_COLS
 from eventide.streaming.application import LEAST_STATE_PARTITIONS, drain_state_partitions
 
 
@@ -52,3 +55,19 @@ def test_panes_keep_to_the_partitions_of_the_cluster(spark, wide, tmp_dir):
 
 def test_fewer_partitions_of_the_session_hold(spark):
     assert drain_state_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_value_is_decoded_once(spark):
+    """The conditions on the decoded fields stand above the decoding and do not repeat it."""
+    raw = spark.createDataFrame(
+        [('{"user_id": 1, "product_id": 2, "action": "view", "timestamp": "2024-01-01 00:00:05"}',), ('{"user_id": 1}',), ("x",), (None,)],
+        "value string")
+    for fields in (None, (*REQUIRED_COLS, "timestamp")):
+        events = parse_events(raw, fields=fields).filter(F.col("event_time") <= F.current_timestamp())
+        assert [(e.user_id, e.event_time) for e in events.collect()] == [(1, dt.datetime(2024, 1, 1, 0, 0, 5))]
+        plan = events._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+    kept = parse_events(raw, keep_rejects=True)
+    assert sorted((e._raw or "", e.parse_reason or "") for e in kept.collect()) == [
+        ("", MALFORMED), ("x", MALFORMED), ('{"user_id": 1, "product_id": 2, "action": "view", "timestamp": "2024-01-01 00:00:05"}', ""),
+        ('{"user_id": 1}', "")]
